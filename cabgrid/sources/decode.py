@@ -38,15 +38,23 @@ def trip_decode_csv(lines: DataFrame, columns=None, value_col: str = "value",
     parts = F.split(F.col(value_col).cast("string"), ",")
     out = [F.col(k) for k in keep]
     names = []
+    first_is_text = False
     for c in columns:
         name, typ = (c, TRIP_LINE_TYPES[c]) if isinstance(c, str) else c
         if typ.startswith("timestamp") and not ntz:
             typ = "timestamp"
-        item = F.get(parts, TRIP_LINE_FIELDS.index(name))
+        idx = TRIP_LINE_FIELDS.index(name)
+        item = F.get(parts, idx)
         if typ != "string":
             item = F.trim(item).try_cast(typ)
+        elif idx == 0:
+            first_is_text = True
         out.append(item.alias(name))
         names.append(name)
+    if first_is_text:
+        # Field 0 as text is null only when the line is: the all-null test is
+        # one null check, not 17 decodes pushed below the projection.
+        return lines.filter(F.col(value_col).isNotNull()).select(*out)
     return lines.select(*out).na.drop(how="all", subset=names)
 
 
