@@ -3,7 +3,7 @@ started with a ride longer than the route's recent mean."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sequence as seq
@@ -40,3 +40,56 @@ def congestion_alerts(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
             .select("route", *([tiebreak] if tiebreak else []), time_col, "run_length",
                     "first_pickup_longitude", "first_pickup_latitude", "first_trip_time",
                     "route_mean"))
+
+
+def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "trip_id",
+                     bucket_seconds: int = seq.DAY) -> DataFrame:
+    """Running mean of ``trip_time`` per route (rides in dropoff order) that
+    restarts at the first ride ending more than ``reset_hours`` after the
+    pickup of the ride that started the current mean: the original job's
+    rule, where the prose asks for a trailing window (see
+    ``congestion_alerts``).
+
+    The restarts form a chain per route (each start fixes the next one), found
+    without putting a route in one task: every ride's would-be successor
+    start comes from a bucketed successor search, the chain from each route's
+    first ride is unrolled by pointer doubling over ride ids, and the mean is
+    a running average inside each segment (a segment spans at most
+    ``reset_hours`` of dropoffs).
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(routed.sparkSession)
+    span = reset_hours * 3600 * 1_000_000
+    r = routed.dropna(subset=["route"]).select(
+        "route", F.col(tiebreak).alias("_id"), "trip_time", "dropoff_datetime",
+        seq.epoch_micros(routed, "dropoff_datetime").alias("_td"),
+        seq.epoch_micros(routed, "pickup_datetime").alias("_tp"))
+    reach = F.col("_tp") + F.lit(span)
+    later = reach >= F.col("_td")
+    rides = r.select("route", F.col("_td").alias("_t"), F.col("_id").alias("_k"),
+                     F.col("_id").alias("_ride"))
+    probes = r.select("route", F.when(later, reach).otherwise(F.col("_td")).alias("_t"),
+                      F.when(later, F.lit(seq.LONG_MAX)).otherwise(F.col("_id")).alias("_k"),
+                      F.col("_id").alias("_probe"))
+    nxt = seq.first_after(rides, probes, ["route"], bucket_seconds).select(
+        F.col("_probe").alias("_node"), F.col("_next").alias("_ptr"))
+    roots = r.groupBy("route").agg(
+        F.min_by("_id", F.struct("_td", "_id")).alias("_node")).withColumnRenamed("route", "_root_key")
+    starts = seq.chain_members(nxt, roots).select(F.col("_node").alias("_id"), F.lit(True).alias("_start"))
+    flagged = r.join(starts, "_id", "left").withColumn("_start", F.coalesce("_start", F.lit(False)))
+    # Segment label = id of the latest start at or before the ride.
+    flagged = flagged.withColumn("_seg_in", F.when(F.col("_start"), F.col("_id")))
+    d = seq.add_bucket(flagged, "dropoff_datetime", bucket_seconds)
+    w = Window.partitionBy("route", seq.BUCKET).orderBy("dropoff_datetime", "_id")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_seg", F.last("_seg_in", ignorenulls=True).over(upto))
+    # A bucket that opens inside a segment takes the segment from before it.
+    bw = Window.partitionBy("route").orderBy(seq.BUCKET)
+    last_seg = d.groupBy("route", seq.BUCKET).agg(F.max_by("_seg", F.struct("_td", "_id")).alias("_bl"))
+    carry = last_seg.select("route", seq.BUCKET, F.last("_bl", ignorenulls=True).over(
+        bw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_seg"))
+    d = d.join(carry, ["route", seq.BUCKET]).withColumn("_seg", F.coalesce("_seg", "_carry_seg"))
+    sw = Window.partitionBy("route", "_seg").orderBy("_td", "_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return d.select("route", F.col("_id").alias(tiebreak), "dropoff_datetime",
+                    F.avg("trip_time").over(sw).alias("route_mean_reset"))

@@ -57,10 +57,15 @@ def idle_rides(prev: DataFrame, max_idle_seconds: int | None = 3600) -> DataFram
     return d.withColumn("idle_seconds", F.col("_gap_us") / F.lit(1_000_000.0))
 
 
-def idle_time(prev: DataFrame, max_idle_seconds: int | None = 3600) -> DataFrame:
-    """Average idle seconds per pickup cell, highest first."""
-    d = idle_rides(prev, max_idle_seconds)
-    agg = d.groupBy(F.col("cell_pickup").alias("cell")).agg(
-        F.sum("_gap_us").alias("_s"), F.count(F.lit(1)).alias("rides"))
+def idle_summary(rides: DataFrame) -> DataFrame:
+    """Average idle seconds and ride count per ``cell`` from rides with the
+    gap ``_gap_us`` in microseconds (exact sum, then one division); highest
+    average first."""
+    agg = rides.groupBy("cell").agg(F.sum("_gap_us").alias("_s"), F.count(F.lit(1)).alias("rides"))
     return agg.select("cell", (F.col("_s").cast("double") / F.col("rides") / F.lit(1_000_000.0))
                       .alias("avg_idle_seconds"), "rides").orderBy(F.desc("avg_idle_seconds"), "cell")
+
+
+def idle_time(prev: DataFrame, max_idle_seconds: int | None = 3600) -> DataFrame:
+    """Average idle seconds per pickup cell, highest first."""
+    return idle_summary(idle_rides(prev, max_idle_seconds).withColumnRenamed("cell_pickup", "cell"))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import areas, congestion, drivers, fleet, routes
 from ..operators.clean import (ENRICHED_COLUMNS, trip_clean, trip_date_parts, trip_enriched,
@@ -18,7 +19,9 @@ from ..operators.clean import (ENRICHED_COLUMNS, trip_clean, trip_date_parts, tr
 from ..operators.grid import grid_cells, routed_trips
 from ..sources.decode import trip_decode_csv, trip_decode_json
 from ..sources.trips import load_table, load_trips, to_trip_json, to_trip_lines
+from ..streaming import jobs
 from ..streaming.sinks import topic_fanout
+from ..streaming.sources import read_json_stream, read_trip_stream, stage_time_slices
 
 TOPICS = ["topic2", "topic3", "topic4"]
 
@@ -143,6 +146,54 @@ def q_topic_fanout(spark, d):
         "topic", "trip_id", "value")
 
 
+def q_route_mean_reset(spark, d):
+    return congestion.route_mean_reset(routed500(spark, d))
+
+
+# --- stream twins: the fixture replayed as time-ordered files -------------------
+
+FEED_SCHEMA = T.StructType([T.StructField("trip_id", T.LongType()), T.StructField("value", T.StringType())])
+
+
+def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime"):
+    """Stage the trips' wire form as time slices in the shared folder and open
+    a file stream over them, one slice per micro-batch."""
+    trips = load_trips(spark, d)
+    wire = to_trip_lines if form == "csv" else to_trip_json
+    staged = wire(trips, keep_id=True, keep=(time_col,))
+    glob = stage_time_slices(staged, time_col)
+    read = read_trip_stream if form == "csv" else read_json_stream
+    return read(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA, keep=("trip_id",))
+
+
+def q_top_routes_stream(spark, d):
+    return jobs.top_routes_stream(_feed(spark, d))
+
+
+def q_area_profitability_stream(spark, d):
+    return jobs.area_profitability_stream(_feed(spark, d))
+
+
+def q_idle_time_stream(spark, d):
+    return jobs.idle_time_stream(_feed(spark, d, time_col="pickup_datetime"))
+
+
+def q_congestion_stream(spark, d):
+    return jobs.congestion_stream(_feed(spark, d))
+
+
+def q_route_mean_reset_stream(spark, d):
+    return jobs.route_mean_reset_stream(_feed(spark, d))
+
+
+def q_archive_readback(spark, d):
+    return jobs.archive_roundtrip(_feed(spark, d, "json"))
+
+
+def q_register_clean_table(spark, d):
+    return jobs.clean_table_roundtrip(_feed(spark, d, "json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_routes": lambda s, d: routes.top_routes(q_route_counts(s, d)),
     "trip_decode_csv": q_trip_decode_csv,
@@ -178,6 +229,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_preview": q_table_preview,
     "table_filter_eq": q_table_filter_eq,
     "topic_fanout": q_topic_fanout,
+    "route_mean_reset": q_route_mean_reset,
+    "top_routes_stream": q_top_routes_stream,
+    "area_profitability_stream": q_area_profitability_stream,
+    "idle_time_stream": q_idle_time_stream,
+    "congestion_stream": q_congestion_stream,
+    "route_mean_reset_stream": q_route_mean_reset_stream,
+    "archive_readback": q_archive_readback,
+    "register_clean_table": q_register_clean_table,
 }
 
 __all__ = ["QUERIES", "F"]

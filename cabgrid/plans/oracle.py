@@ -292,6 +292,32 @@ def sql_map() -> dict[str, str]:
                          "SUM(TRY_CAST(TRIM(passenger_count) AS DOUBLE)) AS total_passengers FROM enriched")
     q["table_preview"] = "SELECT * FROM part ORDER BY p_partkey LIMIT 5"
     q["table_filter_eq"] = "SELECT * FROM lineitem WHERE l_partkey = 3"
+    span = 4 * 3600 * 1_000_000
+    q["route_mean_reset"] = (
+        "WITH RECURSIVE " + ",\n".join(routed) + ",\n"
+        "o AS (SELECT route, trip_id, dropoff_datetime, trip_time, epoch_us(pickup_datetime) AS tp, "
+        "epoch_us(dropoff_datetime) AS td, ROW_NUMBER() OVER (PARTITION BY route ORDER BY dropoff_datetime, "
+        "trip_id) AS rn FROM routed),\n"
+        "rec AS (SELECT route, rn, trip_id, dropoff_datetime, trip_time AS total, 1 AS n, tp AS start "
+        "FROM o WHERE rn = 1 UNION ALL "
+        f"SELECT o.route, o.rn, o.trip_id, o.dropoff_datetime, "
+        f"CASE WHEN o.td - rec.start > {span} THEN o.trip_time ELSE rec.total + o.trip_time END, "
+        f"CASE WHEN o.td - rec.start > {span} THEN 1 ELSE rec.n + 1 END, "
+        f"CASE WHEN o.td - rec.start > {span} THEN o.tp ELSE rec.start END "
+        "FROM rec JOIN o ON o.route = rec.route AND o.rn = rec.rn + 1)\n"
+        "SELECT route, trip_id, dropoff_datetime, total / n AS route_mean_reset FROM rec")
+    q["archive_readback"] = (
+        with_(TRIPS, JSONREC, "a AS (SELECT *, TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS pickup_datetime, "
+              "TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS dropoff_datetime, "
+              "CAST(TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS DATE) AS TripStartDT, "
+              "CAST(TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS DATE) AS TripEndDT FROM jsonrec)",
+              dated("a", "d", "hour", "minute", "second"))
+        + "SELECT * FROM d")
+    twins = {"top_routes_stream": "top_routes", "area_profitability_stream": "area_profitability",
+             "idle_time_stream": "idle_time", "congestion_stream": "congestion_alerts",
+             "route_mean_reset_stream": "route_mean_reset", "register_clean_table": "trip_clean"}
+    for stream_key, batch_key in twins.items():
+        q[stream_key] = q[batch_key]
     q["topic_fanout"] = (with_(TRIPS, JSONREC) + f"SELECT t.topic, trip_id, {_json_text()} AS value FROM jsonrec, "
                          "(VALUES ('topic2'), ('topic3'), ('topic4')) t(topic)")
     return q

@@ -17,6 +17,19 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer splits than the
+    cluster has cores (one small file = one row group = one task).
+
+    A large input already has at least that many splits and is returned
+    as it is, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 # The trip fixture: one trip per event. Same arithmetic as the DuckDB text in
 # plans/oracle.py, so both engines see identical rows.
 _TRIP_EXPRS = [
@@ -48,15 +61,16 @@ def trips_from_events(events: DataFrame) -> DataFrame:
 
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(load_table(spark, sf_dir, "events"))
+    return trips_from_events(spread(load_table(spark, sf_dir, "events")))
 
 
 # --- wire forms -------------------------------------------------------------
 
-def to_trip_lines(trips: DataFrame, keep_id: bool = False) -> DataFrame:
-    """17-field comma-separated trip line in column ``value``."""
+def to_trip_lines(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
+    """17-field comma-separated trip line in column ``value`` (``keep``:
+    extra columns carried along)."""
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in TRIP_LINE_FIELDS])
-    cols = [line.alias("value")]
+    cols = [line.alias("value")] + [F.col(k) for k in keep]
     if keep_id:
         cols = [F.col("trip_id")] + cols
     return trips.select(*cols)
@@ -73,7 +87,7 @@ def fixed_text(c: Column, decimals: int) -> Column:
                     F.lpad((mag % F.lit(scale)).cast("string"), decimals, "0"))
 
 
-def to_trip_json(trips: DataFrame, keep_id: bool = False) -> DataFrame:
+def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
     """20-field JSON trip record (all text) in column ``value``.
 
     Deterministic dirt, keyed on ``trip_id``: ``$`` before money when
@@ -111,7 +125,7 @@ def to_trip_json(trips: DataFrame, keep_id: bool = False) -> DataFrame:
     }
     assert list(fields) == TRIP_JSON_FIELDS
     rec = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
-    cols = [rec.alias("value")]
+    cols = [rec.alias("value")] + [F.col(k) for k in keep]
     if keep_id:
         cols = [tid] + cols
     return trips.select(*cols)

@@ -46,12 +46,13 @@ def write_clean_files(df: DataFrame, path: str, checkpoint: str,
 
 
 def register_clean_table(spark: SparkSession, table: str, location: str | None = None,
-                         database: str | None = None) -> str:
+                         database: str | None = None, repair: bool = True) -> str:
     """Create (if missing) the partitioned Parquet table of cleaned trips.
 
-    With ``location`` the table is external over existing batch-written files
-    and their partitions are discovered with ``MSCK REPAIR TABLE``; nothing is
-    moved.
+    With ``location`` the table is external over that folder; with
+    ``repair`` the partitions of files already there are discovered with
+    ``MSCK REPAIR TABLE`` (nothing is moved). Pass ``repair=False`` for a new,
+    empty folder that ``write_clean_table`` will fill.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -61,7 +62,7 @@ def register_clean_table(spark: SparkSession, table: str, location: str | None =
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
               f"PARTITIONED BY ({parts}){loc}")
-    if location:
+    if location and repair:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     return table
 
