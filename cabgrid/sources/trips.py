@@ -61,6 +61,11 @@ def trips_from_events(events: DataFrame) -> DataFrame:
 
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every trip column is an expression of ``event_id``; Catalyst's constraint
+    # propagation over such derived aliases grows very fast with plan depth
+    # (planning the congestion query took ~50 s, running it ~5 s). It only
+    # feeds filter inference, so results are unchanged with it off.
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return trips_from_events(spread(load_table(spark, sf_dir, "events")))
 
 
