@@ -37,20 +37,27 @@ def previous_in_order(df: DataFrame, key: list[str], order: list[str], cols: lis
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key
     (rows ordered by ``order``; ``order[0]`` is the timestamp bucketed).
 
+    One window pass over (key, bucket) gives the in-bucket ``lag`` and, on
+    each bucket's first row, the bucket's last row. Only those first rows
+    (one per key and bucket) are joined to the previous bucket's last row;
+    all other rows never leave the window's partitioning.
     Rows whose key is null have no sequence and are left out.
     """
     d = add_bucket(df.dropna(subset=key), order[0], bucket_seconds)
-    ordkey = F.struct(*[F.col(c) for c in order])
-    last = d.groupBy(*key, BUCKET).agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), ordkey).alias("_last"))
-    carry = last.select(*key, BUCKET,
-                        F.lag("_last").over(Window.partitionBy(*key).orderBy(BUCKET)).alias("_carry"))
-    j = d.join(carry, key + [BUCKET])
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
-    first = F.row_number().over(w) == 1
-    return j.withColumns({
-        prefix + c: F.when(first, F.col("_carry")[c]).otherwise(F.lag(c).over(w)) for c in cols
-    }).drop("_carry")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.withColumns({
+        "_rn": F.row_number().over(w),
+        "_blast": F.last(F.struct(*[F.col(c).alias(c) for c in cols])).over(whole),
+        **{prefix + c: F.lag(c).over(w) for c in cols},
+    })
+    firsts = d.filter(F.col("_rn") == 1)
+    carry = firsts.select(*key, BUCKET, F.lag("_blast").over(
+        Window.partitionBy(*key).orderBy(BUCKET)).alias("_carry"))
+    head = firsts.drop(*[prefix + c for c in cols]).join(carry, key + [BUCKET]).withColumns(
+        {prefix + c: F.col("_carry")[c] for c in cols}).drop("_carry")
+    rest = d.filter(F.col("_rn") > 1)
+    return rest.unionByName(head).drop("_rn", "_blast")
 
 
 def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
@@ -60,10 +67,16 @@ def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
     ``run_length`` is 0 on the first row of a key and whenever ``value`` does
     not exceed the previous row's, else previous + 1. ``first_<value>`` and
     ``first_<c>`` for ``c`` in ``carry`` come from the row that started the run.
+
+    Per (key, bucket) window passes give the run inside the bucket and the
+    bucket's end state; a prefix scan over the end states (one row per key
+    and bucket) gives the run entering each bucket. Only rows before the
+    bucket's first break need that carry, so only they are joined to it.
     """
     d = previous_in_order(df, key, order, [value], bucket_seconds=bucket_seconds)
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     prev = F.col("prev_" + value)
     start = F.struct(F.col(value).alias("first_" + value),
                      *[F.col(c).alias("first_" + c) for c in carry])
@@ -73,12 +86,12 @@ def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
         "_lastbrk": F.max(F.when(F.col("_brk"), F.col("_pos"))).over(upto),
         "_start": F.last(F.when(F.col("_brk"), start), ignorenulls=True).over(upto),
     })
+    d = d.withColumn("_bend", F.last(F.struct("_pos", "_lastbrk", "_start")).over(whole))
     # Run state at the end of every bucket, then a prefix scan over buckets.
-    ends = d.groupBy(*key, BUCKET).agg(
-        F.max_by(F.struct("_pos", "_lastbrk", "_start"), F.col("_pos")).alias("_e"))
-    ends = ends.select(*key, BUCKET, (F.col("_e._pos") + 1).alias("_n"),
-                       (F.col("_e._pos") - F.col("_e._lastbrk")).alias("_local_end"),
-                       F.col("_e._start").alias("_end_start"))
+    ends = d.filter(F.col("_pos") == 0).select(
+        *key, BUCKET, (F.col("_bend._pos") + 1).alias("_n"),
+        (F.col("_bend._pos") - F.col("_bend._lastbrk")).alias("_local_end"),
+        F.col("_bend._start").alias("_end_start"))
     kw = Window.partitionBy(*key).orderBy(BUCKET)
     ends = ends.withColumn("_cum", F.sum("_n").over(kw.rowsBetween(Window.unboundedPreceding, 0)))
     last_with_break = F.last(
@@ -90,15 +103,16 @@ def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
         *key, BUCKET,
         (F.col("_lb.cnt") + (F.col("_cum") - F.col("_n") - F.col("_lb.cum"))).alias("_carry_cnt"),
         F.col("_lb.start").alias("_carry_start"))
-    j = d.join(ends, key + [BUCKET])
     in_bucket = F.col("_lastbrk").isNotNull()
-    run_len = F.when(in_bucket, F.col("_pos") - F.col("_lastbrk")).otherwise(
-        F.col("_carry_cnt") + F.col("_pos") + 1)
-    st = F.when(in_bucket, F.col("_start")).otherwise(F.col("_carry_start"))
-    out = j.withColumn("run_length", run_len.cast("long")).withColumn("_st", st)
+    local = d.filter(in_bucket).withColumns({
+        "run_length": (F.col("_pos") - F.col("_lastbrk")).cast("long"), "_st": F.col("_start")})
+    carried = d.filter(~in_bucket).join(ends, key + [BUCKET]).withColumns({
+        "run_length": (F.col("_carry_cnt") + F.col("_pos") + 1).cast("long"),
+        "_st": F.col("_carry_start")}).drop("_carry_cnt", "_carry_start")
+    out = local.unionByName(carried)
     out = out.withColumns({f: F.col("_st")[f] for f in
                            ["first_" + value] + ["first_" + c for c in carry]})
-    return out.drop("_pos", "_brk", "_lastbrk", "_start", "_carry_cnt", "_carry_start", "_st")
+    return out.drop("_pos", "_brk", "_lastbrk", "_start", "_bend", "_st")
 
 
 def trailing_range_avg(df: DataFrame, key: list[str], time_col: str, value: str,
