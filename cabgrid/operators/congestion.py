@@ -83,12 +83,17 @@ def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "t
     w = Window.partitionBy("route", seq.BUCKET).orderBy("dropoff_datetime", "_id")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_seg", F.last("_seg_in", ignorenulls=True).over(upto))
-    # A bucket that opens inside a segment takes the segment from before it.
+    # A bucket that opens inside a segment takes the segment from before it:
+    # each bucket's last label, carried over buckets, joined only to the rows
+    # that precede the bucket's first start.
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.withColumns({"_bl": F.last("_seg").over(whole), "_rn": F.row_number().over(w)})
     bw = Window.partitionBy("route").orderBy(seq.BUCKET)
-    last_seg = d.groupBy("route", seq.BUCKET).agg(F.max_by("_seg", F.struct("_td", "_id")).alias("_bl"))
-    carry = last_seg.select("route", seq.BUCKET, F.last("_bl", ignorenulls=True).over(
+    carry = d.filter(F.col("_rn") == 1).select("route", seq.BUCKET, F.last("_bl", ignorenulls=True).over(
         bw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_seg"))
-    d = d.join(carry, ["route", seq.BUCKET]).withColumn("_seg", F.coalesce("_seg", "_carry_seg"))
+    open_ = d.filter(F.col("_seg").isNull()).join(carry, ["route", seq.BUCKET]).withColumn(
+        "_seg", F.col("_carry_seg")).drop("_carry_seg")
+    d = d.filter(F.col("_seg").isNotNull()).unionByName(open_)
     sw = Window.partitionBy("route", "_seg").orderBy("_td", "_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return d.select("route", F.col("_id").alias(tiebreak), "dropoff_datetime",

@@ -53,3 +53,15 @@ def test_top_routes_ties_by_route(spark):
     assert [(r.route, r["count"]) for r in top] == [("c", 2), ("a", 1), ("b", 1)]
     per = routes.top_routes_per_window(counts, 1).collect()
     assert {r.route for r in per} == {"c"} and len(per) == 3
+
+
+def test_price_breakdown_shares_sum_to_one(spark):
+    from conftest import SF_SMALL
+    from cabgrid.operators import areas
+    from cabgrid.plans.catalog import valid
+    pb = areas.price_breakdown(grid_cells(valid(spark, SF_SMALL), 500), tolls_digits=3)
+    rows = pb.collect()
+    assert len(rows) > 10
+    for r in rows:
+        total = r.fare + r.surcharge + r.mta_tax + r.tip + r.tolls
+        assert abs(total - 1.0) <= 0.0025  # five shares, each rounded to 3 digits
