@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY
+from ..sources import tables
 
 
 def vendor_revenue(clean: DataFrame) -> DataFrame:
@@ -32,9 +33,9 @@ def fleet_totals(enriched: DataFrame) -> DataFrame:
 
 def table_preview(table: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` rows of a table in key order (a top-n, not a full sort)."""
-    return table.orderBy(*order_by).limit(n)
+    return tables.preview(table, order_by, n)
 
 
 def table_filter_eq(table: DataFrame, column: str, value) -> DataFrame:
     """Rows where ``column == value`` (pushed to the scan as a filter)."""
-    return table.filter(F.col(column) == F.lit(value))
+    return tables.filter_eq(table, column, value)

@@ -86,7 +86,7 @@ def idle_time_stream(lines: DataFrame, max_idle_seconds: int | None = 3600,
     rides = stateful.idle_rides_stream(grid_cells(trips_stream(lines), 500), max_idle_seconds)
     q = run_stream(rides, ckpt, "append", append_writer(out), trigger=trigger)
     await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T._parse_datatype_string(stateful.IDLE_OUT))
+    got = read_appended(spark, out, T.DataType.fromDDL(stateful.IDLE_OUT))
     return drivers.idle_summary(got.withColumnRenamed("gap_us", "_gap_us"))
 
 
@@ -98,7 +98,7 @@ def congestion_stream(lines: DataFrame, min_run: int = 2, mean_hours: int = 4,
     alerts = stateful.congestion_alerts_stream(routed_trips(trips_stream(lines)), min_run, mean_hours)
     q = run_stream(alerts, ckpt, "append", append_writer(out), trigger=trigger)
     await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T._parse_datatype_string(stateful.CONG_OUT))
+    got = read_appended(spark, out, T.DataType.fromDDL(stateful.CONG_OUT))
     return got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"),
                       "run_length", "first_pickup_longitude", "first_pickup_latitude",
                       "first_trip_time", "route_mean")
@@ -112,7 +112,7 @@ def route_mean_reset_stream(lines: DataFrame, reset_hours: int = 4, timeout_s: f
     means = stateful.route_mean_reset_stream(routed_trips(trips_stream(lines)), reset_hours)
     q = run_stream(means, ckpt, "append", append_writer(out), trigger=trigger)
     await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T._parse_datatype_string(stateful.RESET_OUT))
+    got = read_appended(spark, out, T.DataType.fromDDL(stateful.RESET_OUT))
     return got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"),
                       "route_mean_reset")
 

@@ -74,7 +74,7 @@ def test_restart_from_checkpoint(spark, tmp_path):
     q.stop()
     q2 = run_stream(alerts, ckpt, "append", append_writer(out))
     await_bounded(q2, 300)
-    got = read_appended(spark, out, T._parse_datatype_string(stateful.CONG_OUT))
+    got = read_appended(spark, out, T.DataType.fromDDL(stateful.CONG_OUT))
     batch = congestion.congestion_alerts(routed_trips(valid(spark, SF_ORACLE)))
     assert batch.count() >= 5
     pd.testing.assert_frame_equal(
