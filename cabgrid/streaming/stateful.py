@@ -31,7 +31,19 @@ def _micros(c: str):
 
 def _concat(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [p for p in pdfs if len(p)]
-    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
+    if not frames:
+        return pd.DataFrame()
+    return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+
+
+def _ordered(df: pd.DataFrame, time_col: str, cols: list[str]) -> dict[str, np.ndarray]:
+    """Columns as numpy arrays, rows in (time, trip id) order."""
+    t = df[time_col].to_numpy("int64")
+    tid = df["trip_id"].to_numpy("int64")
+    order = np.lexsort((tid, t))
+    out = {c: df[c].to_numpy()[order] for c in cols}
+    out[time_col], out["trip_id"] = t[order], tid[order]
+    return out
 
 
 # --- idle time (previous ride of the same driver) ---------------------------
@@ -51,35 +63,34 @@ def _idle_fn(max_idle_seconds: int | None):
         df = _concat(pdfs)
         if df.empty:
             return
-        df = df.sort_values(["pickup_us", "trip_id"], kind="stable").reset_index(drop=True)
-        prev_cell = df["cell_dropoff"].shift(1)
-        prev_drop = df["dropoff_us"].shift(1)
+        r = _ordered(df, "pickup_us", ["cell_pickup", "cell_dropoff", "dropoff_us"])
+        pick, drop, cp, cd = r["pickup_us"], r["dropoff_us"].astype("int64"), r["cell_pickup"], r["cell_dropoff"]
+        n = len(pick)
+        prev_cell = np.empty(n, dtype=object)
+        prev_drop = np.zeros(n, dtype="int64")
+        has_prev = np.ones(n, dtype=bool)
+        prev_cell[1:], prev_drop[1:] = cd[:-1], drop[:-1]
         if state.exists:
             s_pick, s_id, s_cell, s_drop = state.get
-            prev_cell.iloc[0] = s_cell
-            prev_drop.iloc[0] = s_drop
-        gap = df["pickup_us"] - prev_drop
-        keep = prev_drop.notna() & (df["cell_pickup"] == prev_cell) & (gap > 0)
+            prev_cell[0], prev_drop[0] = s_cell, s_drop
+        else:
+            has_prev[0] = False
+        gap = pick - prev_drop
+        keep = has_prev & (cp == prev_cell) & (gap > 0)
         if cap is not None:
             keep &= gap <= cap
-        last = df.iloc[-1]
-        if not state.exists or (int(last["pickup_us"]), int(last["trip_id"])) > (s_pick, s_id):
-            state.update((int(last["pickup_us"]), int(last["trip_id"]),
-                          last["cell_dropoff"], int(last["dropoff_us"])))
+        last = (int(pick[-1]), int(r["trip_id"][-1]))
+        if not state.exists or last > (s_pick, s_id):
+            state.update((last[0], last[1], cd[-1], int(drop[-1])))
         if cap is not None:
             # After the watermark passes the last dropoff + cap, no later ride
             # can be counted against this one: drop the driver's state.
             state.setTimeoutTimestamp(int(state.get[3]) // 1000 + cap // 1000 + 1)
-        out = df[keep]
-        if len(out):
+        if keep.any():
             yield pd.DataFrame({
-                "hack_license": out["hack_license"].astype(object),
-                "trip_id": out["trip_id"].astype("int64"),
-                "cell": out["cell_pickup"].astype(object),
-                "pickup_us": out["pickup_us"].astype("int64"),
-                "prev_dropoff_us": prev_drop[keep].astype("int64"),
-                "gap_us": gap[keep].astype("int64"),
-            })
+                "hack_license": np.full(int(keep.sum()), key[0], dtype=object),
+                "trip_id": r["trip_id"][keep], "cell": cp[keep], "pickup_us": pick[keep],
+                "prev_dropoff_us": prev_drop[keep], "gap_us": gap[keep]})
 
     return fn
 
@@ -115,7 +126,11 @@ def _congestion_fn(min_run: int, mean_hours: int):
         df = _concat(pdfs)
         if df.empty:
             return
-        df = df.sort_values(["dropoff_us", "trip_id"], kind="stable").reset_index(drop=True)
+        r = _ordered(df, "dropoff_us", ["trip_time", "pickup_longitude", "pickup_latitude"])
+        t = r["dropoff_us"]
+        dur = r["trip_time"].astype("float64")
+        lon = r["pickup_longitude"].astype("float64")
+        lat = r["pickup_latitude"].astype("float64")
         if state.exists:
             has_prev, prev, run, f_dur, f_lon, f_lat, h_us, h_dur = state.get
             h_us = np.asarray(h_us, dtype="int64")
@@ -123,8 +138,6 @@ def _congestion_fn(min_run: int, mean_hours: int):
         else:
             has_prev, prev, run, f_dur, f_lon, f_lat = False, 0.0, 0, 0.0, 0.0, 0.0
             h_us, h_dur = np.empty(0, "int64"), np.empty(0, "float64")
-        t = df["dropoff_us"].to_numpy("int64")
-        dur = df["trip_time"].to_numpy("float64")
         # Trailing mean over [t - range, t], ties included: history + batch.
         all_t = np.concatenate([h_us, t])
         all_d = np.concatenate([h_dur, dur])
@@ -134,29 +147,30 @@ def _congestion_fn(min_run: int, mean_hours: int):
         lo = np.searchsorted(all_t, t - rng, side="left")
         hi = np.searchsorted(all_t, t, side="right")
         mean = (csum[hi] - csum[lo]) / (hi - lo)
-        # Rising runs, in order.
-        lon = df["pickup_longitude"].to_numpy("float64")
-        lat = df["pickup_latitude"].to_numpy("float64")
-        n = len(df)
-        runs = np.empty(n, "int64")
-        fd, flo, fla = np.empty(n), np.empty(n), np.empty(n)
-        for i in range(n):
-            if has_prev and dur[i] > prev:
-                run += 1
-            else:
-                run, f_dur, f_lon, f_lat = 0, dur[i], lon[i], lat[i]
-            has_prev, prev = True, dur[i]
-            runs[i], fd[i], flo[i], fla[i] = run, f_dur, f_lon, f_lat
-        keep_from = all_t[-1] - rng
-        k = all_t >= keep_from
-        state.update((has_prev, float(prev), int(run), float(f_dur), float(f_lon), float(f_lat),
+        # Rising runs: a break where the duration does not rise; the run
+        # length is the distance to the latest break, the run's first ride is
+        # the ride at that break (or the carried one when the batch continues
+        # the previous run).
+        before = np.concatenate([[prev], dur[:-1]])
+        brk = dur <= before
+        if not has_prev:
+            brk[0] = True
+        idx = np.arange(len(dur))
+        last_brk = np.maximum.accumulate(np.where(brk, idx, -1))
+        carried = last_brk < 0
+        runs = np.where(carried, run + 1 + idx, idx - last_brk)
+        src = np.where(carried, 0, last_brk)
+        fd = np.where(carried, f_dur, dur[src])
+        flo = np.where(carried, f_lon, lon[src])
+        fla = np.where(carried, f_lat, lat[src])
+        k = all_t >= all_t[-1] - rng
+        state.update((True, float(dur[-1]), int(runs[-1]), float(fd[-1]), float(flo[-1]), float(fla[-1]),
                       all_t[k].tolist(), all_d[k].tolist()))
         hit = (runs >= min_run) & (fd > mean)
         if hit.any():
             yield pd.DataFrame({
-                "route": df["route"][hit].astype(object),
-                "trip_id": df["trip_id"][hit].astype("int64"),
-                "dropoff_us": t[hit], "run_length": runs[hit],
+                "route": np.full(int(hit.sum()), key[0], dtype=object),
+                "trip_id": r["trip_id"][hit], "dropoff_us": t[hit], "run_length": runs[hit],
                 "first_pickup_longitude": flo[hit], "first_pickup_latitude": fla[hit],
                 "first_trip_time": fd[hit], "route_mean": mean[hit],
             })
@@ -187,23 +201,25 @@ def _reset_fn(reset_hours: int):
         df = _concat(pdfs)
         if df.empty:
             return
-        df = df.sort_values(["dropoff_us", "trip_id"], kind="stable").reset_index(drop=True)
-        dur = df["trip_time"].to_numpy("float64")
-        pick = df["pickup_us"].to_numpy("int64")
-        drop = df["dropoff_us"].to_numpy("int64")
+        r = _ordered(df, "dropoff_us", ["trip_time", "pickup_us"])
+        dur = r["trip_time"].astype("float64").tolist()
+        pick = r["pickup_us"].astype("int64").tolist()
+        drop = r["dropoff_us"]
         if state.exists:
             total, n, start = state.get
         else:
-            total, n, start = 0.0, 0, int(pick[0])
-        out = np.empty(len(df))
-        for i in range(len(df)):
-            total, n = total + dur[i], n + 1
-            if drop[i] - start > span:
-                total, n, start = dur[i], 1, int(pick[i])
+            total, n, start = 0.0, 0, pick[0]
+        out = np.empty(len(dur))
+        # Each restart depends on the previous one: a plain loop over the
+        # key's rows of this micro-batch.
+        for i, (d, p, e) in enumerate(zip(dur, pick, drop.tolist())):
+            total, n = total + d, n + 1
+            if e - start > span:
+                total, n, start = d, 1, p
             out[i] = total / n
         state.update((float(total), int(n), int(start)))
-        yield pd.DataFrame({"route": df["route"].astype(object), "trip_id": df["trip_id"].astype("int64"),
-                            "dropoff_us": drop, "route_mean_reset": out})
+        yield pd.DataFrame({"route": np.full(len(dur), key[0], dtype=object),
+                            "trip_id": r["trip_id"], "dropoff_us": drop, "route_mean_reset": out})
 
     return fn
 
