@@ -22,25 +22,33 @@ VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 def read_trip_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
                      options: dict | None = None, schema: T.StructType | None = None,
                      keep: tuple[str, ...] = ()) -> DataFrame:
-    """Streaming DataFrame with the record text in column ``value``.
+    """Streaming DataFrame with the record text in ``value`` and a unique
+    ``trip_id`` (the tiebreak of event-time order in the stateful jobs).
 
     ``fmt="kafka"``: ``options`` carries ``kafka.bootstrap.servers`` and
-    ``subscribe``; key and value are cast to text. ``fmt="text"``: one record
-    per line. Any other file format (``parquet``, ``json``) is read with
-    ``schema`` (default: a single text column ``value``); ``keep`` names extra
-    columns carried through.
+    ``subscribe``; key and value are cast to text and ``trip_id`` is
+    ``(partition << 40) + offset`` (unique, and in arrival order within a
+    partition). ``fmt="text"``: one record per line. Any other file format
+    (``parquet``, ``json``) is read with ``schema`` (default: a single text
+    column ``value``); ``keep`` names extra columns carried through. A file
+    source without a ``trip_id`` column gets ``xxhash64(value)``.
     """
     reader = spark.readStream.format(fmt)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "kafka":
         df = reader.load()
+        tid = F.shiftleft(F.col("partition").cast("long"), 40) + F.col("offset")
         return df.select(F.col("key").cast("string").alias("key"),
-                         F.col("value").cast("string").alias("value"), *keep)
+                         F.col("value").cast("string").alias("value"), tid.alias("trip_id"), *keep)
     if fmt == "text":
-        return reader.load(path)
-    df = reader.schema(schema or VALUE_SCHEMA).load(path)
-    return df.select(F.col("value").cast("string").alias("value"), *keep)
+        df = reader.load(path)
+    else:
+        df = reader.schema(schema or VALUE_SCHEMA).load(path)
+    cols = [F.col("value").cast("string").alias("value")] + [F.col(k) for k in keep]
+    if "trip_id" not in keep:
+        cols.append(F.xxhash64("value").alias("trip_id"))
+    return df.select(*cols)
 
 
 def read_json_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,

@@ -82,3 +82,16 @@ def test_restart_from_checkpoint(spark, tmp_path):
         frame(batch.select("route", "trip_id", "run_length", "route_mean"), ["route", "trip_id"]),
         check_dtype=False)
     assert got.select("trip_id").distinct().count() == got.count()
+
+
+def test_text_feed_gets_trip_ids(spark):
+    """A plain-text feed has no id column: one is derived from the line, so
+    the stateful twins still have a tiebreak."""
+    from cabgrid.session import shared_path
+    import uuid
+    path = shared_path(spark, f"text-{uuid.uuid4().hex}")
+    to_trip_lines(load_trips(spark, SF_SMALL)).write.text(path)
+    lines = read_trip_stream(spark, "text", path)
+    assert set(lines.columns) == {"value", "trip_id"}
+    alerts = jobs.route_mean_reset_stream(lines)
+    assert alerts.count() == valid(spark, SF_SMALL).count()
