@@ -10,15 +10,18 @@ from pyspark.sql import types as T
 
 from cabgrid.functions.constants import CLEAN_COLUMNS, CLEAN_PARTITIONS
 from cabgrid.operators.clean import trip_clean
-from cabgrid.plans.catalog import FEED_SCHEMA, json_records
+from cabgrid.operators import routes
+from cabgrid.operators.grid import routed_trips
+from cabgrid.plans.catalog import FEED_SCHEMA, json_records, valid
+from cabgrid.streaming import jobs
 from cabgrid.session import shared_path
 from cabgrid.sources.decode import trip_decode_json
 from cabgrid.sources.tables import describe_table, list_databases, list_tables
-from cabgrid.sources.trips import load_trips, to_trip_json
-from cabgrid.streaming.runner import await_bounded
+from cabgrid.sources.trips import load_trips, to_trip_json, to_trip_lines
+from cabgrid.streaming.runner import await_bounded, run_stream
 from cabgrid.streaming.sinks import (kafka_payload, register_clean_table, topic_fanout,
                                      write_clean_files)
-from cabgrid.streaming.sources import read_json_stream, stage_time_slices
+from cabgrid.streaming.sources import read_json_stream, read_trip_stream, stage_time_slices
 from conftest import SF_SMALL
 
 TYPES = {"double": T.DoubleType(), "string": T.StringType(), "int": T.IntegerType()}
@@ -71,3 +74,22 @@ def test_kafka_payload_three_topics(spark):
     back = pay.select("topic", F.decode("value", "UTF-8").alias("v")).groupBy("topic").agg(
         F.count_distinct("v").alias("k")).collect()
     assert {r.topic: r.k for r in back} == {"topic2": n, "topic3": n, "topic4": n}
+
+
+def test_memory_and_foreach_batch_sinks(spark):
+    trips = load_trips(spark, SF_SMALL)
+    glob = stage_time_slices(to_trip_lines(trips, keep_id=True, keep=("dropoff_datetime",)),
+                             "dropoff_datetime", 2)
+    lines = read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA,
+                             keep=("trip_id",))
+    counts = routes.route_counts(routed_trips(jobs.trips_stream(lines)), watermark="30 minutes")
+    name = f"route_counts_{uuid.uuid4().hex[:8]}"
+    q = run_stream(counts, shared_path(spark, f"ckpt-{uuid.uuid4().hex}"), "complete", fmt="memory",
+                   query_name=name)
+    await_bounded(q, 300)
+    assert spark.table(name).count() == routes.route_counts(routed_trips(valid(spark, SF_SMALL))).count()
+    seen = []
+    q2 = run_stream(counts, shared_path(spark, f"ckpt-{uuid.uuid4().hex}"), "complete",
+                    foreach_batch=lambda b, i: seen.append((i, b.count())))
+    await_bounded(q2, 300)
+    assert len(seen) >= 2 and seen[-1][1] == spark.table(name).count()
