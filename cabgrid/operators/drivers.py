@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import AVG_DIGITS, epoch_micros, window_columns
 from .routes import top_k_per_window
-from .sequence import BUCKET, DAY, previous_in_order
+from .sequence import BUCKET, previous_in_order, resolve_bucket
 
 
 def driver_tip_rate(trips: DataFrame, length: str = "1 day",
@@ -33,10 +33,11 @@ def pleasant_driver_per_day(rates: DataFrame, k: int = 1) -> DataFrame:
 
 
 def previous_ride(cells: DataFrame, key: str = "hack_license", time_col: str = "pickup_datetime",
-                  tiebreak: str | None = "trip_id", bucket_seconds: int = DAY) -> DataFrame:
+                  tiebreak: str | None = "trip_id", bucket_seconds: int | None = None) -> DataFrame:
     """Every ride with the dropoff cell and dropoff time of the same driver's
     previous ride (by pickup time); null for the driver's first ride."""
     order = [time_col] + ([tiebreak] if tiebreak else [])
+    bucket_seconds = resolve_bucket(cells, [key], time_col, bucket_seconds)
     d = previous_in_order(cells, [key], order, ["cell_dropoff", "dropoff_datetime"],
                           bucket_seconds=bucket_seconds)
     return d.drop(BUCKET)

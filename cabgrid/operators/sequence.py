@@ -25,6 +25,35 @@ BUCKET = "_bkt"
 DAY = 86_400
 
 
+# Target rows per (key, bucket) window partition when the width is chosen
+# from the data.
+BUCKET_ROWS = 2_000_000
+MIN_BUCKET = 60
+
+
+def choose_bucket_seconds(df: DataFrame, key: list[str], time_col: str,
+                          target_rows: int = BUCKET_ROWS) -> int:
+    """Bucket width that keeps every (key, bucket) under ``target_rows``.
+
+    One aggregate job: rows per (key, day), largest group. A day is halved
+    until the densest key-day would fit (assuming rows spread over the day;
+    the width never drops below a minute). A key holding a third of the
+    data is thereby split over as many tasks as its volume needs.
+    """
+    day = F.floor(epoch_micros(df, time_col) / F.lit(DAY * 1_000_000))
+    top = (df.groupBy(*key, day.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n").alias("m")).first()["m"]) or 0
+    width = DAY
+    while top > target_rows and width > MIN_BUCKET:
+        width //= 2
+        top //= 2
+    return max(width, MIN_BUCKET)
+
+
+def resolve_bucket(df: DataFrame, key: list[str], time_col: str, bucket_seconds: int | None) -> int:
+    return bucket_seconds if bucket_seconds else choose_bucket_seconds(df, key, time_col)
+
+
 def add_bucket(df: DataFrame, time_col: str, bucket_seconds: int = DAY) -> DataFrame:
     if BUCKET in df.columns:
         return df
@@ -120,17 +149,20 @@ def trailing_range_avg(df: DataFrame, key: list[str], time_col: str, value: str,
     """``out`` = average of ``value`` over rows of the same key whose
     ``time_col`` lies in [t - range, t] (ties included).
 
-    Partitioned by (key, bucket); the last ``range`` of each bucket is copied
-    into the next one as context rows, so frames crossing a boundary are whole.
-    The copy adds at most range/bucket of the rows (1/6 for 4 h in a day).
+    Partitioned by (key, bucket). Every row is also copied, as context, into
+    each later bucket whose start lies less than ``range`` after it
+    (ceil(range / bucket) buckets at most), so every frame is whole inside
+    its bucket. The copies add range/bucket of the rows (1/6 for 4 h in a
+    day; more when a dense key needs buckets shorter than the range).
     """
-    if bucket_seconds < range_seconds:
-        raise ValueError("bucket must be at least as long as the range")
     rng = range_seconds * 1_000_000
     width = bucket_seconds * 1_000_000
+    reach = -(-range_seconds // bucket_seconds)
     d = add_bucket(df, time_col, bucket_seconds).withColumn("_t", epoch_micros(df, time_col))
-    ctx = (d.filter(F.col("_t") >= (F.col(BUCKET) + 1) * F.lit(width) - F.lit(rng))
-           .withColumn(BUCKET, F.col(BUCKET) + 1).withColumn("_ctx", F.lit(True)))
+    ctx = (d.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(reach))))
+           .filter(F.col("_t") >= (F.col(BUCKET) + F.col("_j")) * F.lit(width) - F.lit(rng))
+           .withColumn(BUCKET, F.col(BUCKET) + F.col("_j")).drop("_j")
+           .withColumn("_ctx", F.lit(True)))
     u = d.withColumn("_ctx", F.lit(False)).unionByName(ctx)
     w = Window.partitionBy(*key, BUCKET).orderBy("_t").rangeBetween(-rng, 0)
     return (u.withColumn(out, F.avg(value).over(w)).filter(~F.col("_ctx"))

@@ -96,6 +96,24 @@ def test_trailing_mean_matches_range_window(spark, rides):
             assert got.loc[r.trip_id].m == pytest.approx(g["trip_time"][inside].mean(), rel=1e-12)
 
 
+def test_trailing_mean_with_buckets_shorter_than_range(spark, rides):
+    pdf, df = rides
+    got = seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m",
+                                 bucket_seconds=3600).toPandas().set_index("trip_id")
+    exp = seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m",
+                                 bucket_seconds=86400).toPandas().set_index("trip_id")
+    assert len(got) == len(pdf)
+    for tid in exp.index:
+        assert got.loc[tid].m == pytest.approx(exp.loc[tid].m, rel=1e-12)
+
+
+def test_adaptive_bucket_splits_dense_keys(spark, rides):
+    pdf, df = rides
+    assert seq.choose_bucket_seconds(df, ["route"], "dropoff_datetime") == 86400
+    # The hot key has ~100 rides on its densest day: a 25-row target halves the day twice or more.
+    assert seq.choose_bucket_seconds(df, ["route"], "dropoff_datetime", target_rows=25) <= 21600
+
+
 def test_route_mean_reset_matches_sequential(spark, rides):
     pdf, df = rides
     got = congestion.route_mean_reset(df, bucket_seconds=2 * 3600).toPandas().set_index("trip_id")
