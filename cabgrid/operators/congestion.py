@@ -86,18 +86,37 @@ def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "t
     w = Window.partitionBy("route", seq.BUCKET).orderBy("dropoff_datetime", "_id")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_seg", F.last("_seg_in", ignorenulls=True).over(upto))
-    # A bucket that opens inside a segment takes the segment from before it:
-    # each bucket's last label, carried over buckets, joined only to the rows
-    # that precede the bucket's first start.
+    # Running mean per segment, computed per (route, bucket). Rows after a
+    # start in their bucket average from that start. Rows before the bucket's
+    # first start continue a segment from earlier buckets: its (sum, count)
+    # so far comes from a prefix scan over per-bucket totals (one row per
+    # route and bucket), joined to those rows only.
+    tt = F.col("trip_time").cast("double")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumns({"_bl": F.last("_seg").over(whole), "_rn": F.row_number().over(w)})
+    d = d.withColumns({
+        "_rn": F.row_number().over(w), "_bl": F.last("_seg").over(whole),
+        "_bsum": F.sum(tt).over(whole), "_bcnt": F.count(F.lit(1)).over(whole),
+        "_psum": F.sum(tt).over(upto), "_pcnt": F.count(F.lit(1)).over(upto)})
+    d = d.withColumns({
+        "_lsum": F.sum(F.when(F.col("_seg") == F.col("_bl"), tt)).over(whole),
+        "_lcnt": F.count(F.when(F.col("_seg") == F.col("_bl"), F.lit(1))).over(whole)})
     bw = Window.partitionBy("route").orderBy(seq.BUCKET)
-    carry = d.filter(F.col("_rn") == 1).select("route", seq.BUCKET, F.last("_bl", ignorenulls=True).over(
-        bw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_seg"))
-    open_ = d.filter(F.col("_seg").isNull()).join(carry, ["route", seq.BUCKET]).withColumn(
-        "_seg", F.col("_carry_seg")).drop("_carry_seg")
-    d = d.filter(F.col("_seg").isNotNull()).unionByName(open_)
-    sw = Window.partitionBy("route", "_seg").orderBy("_td", "_id").rowsBetween(
+    ends = d.filter(F.col("_rn") == 1).withColumns({
+        "_ct": F.sum("_bsum").over(bw.rowsBetween(Window.unboundedPreceding, 0)),
+        "_cn": F.sum("_bcnt").over(bw.rowsBetween(Window.unboundedPreceding, 0))})
+    last_start = F.last(F.when(F.col("_bl").isNotNull(), F.struct(
+        F.col("_lsum").alias("s"), F.col("_lcnt").alias("n"), F.col("_ct").alias("ct"),
+        F.col("_cn").alias("cn"))), ignorenulls=True).over(bw.rowsBetween(Window.unboundedPreceding, -1))
+    carry = ends.withColumn("_a", last_start).select(
+        "route", seq.BUCKET,
+        (F.col("_a.s") + F.col("_ct") - F.col("_bsum") - F.col("_a.ct")).alias("_csum"),
+        (F.col("_a.n") + F.col("_cn") - F.col("_bcnt") - F.col("_a.cn")).alias("_ccnt"))
+    sw = Window.partitionBy("route", seq.BUCKET, "_seg").orderBy("_td", "_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return d.select("route", F.col("_id").alias(tiebreak), "dropoff_datetime",
-                    F.avg("trip_time").over(sw).alias("route_mean_reset"))
+    started = d.filter(F.col("_seg").isNotNull()).select(
+        "route", F.col("_id").alias(tiebreak), "dropoff_datetime",
+        F.avg("trip_time").over(sw).alias("route_mean_reset"))
+    carried = d.filter(F.col("_seg").isNull()).join(carry, ["route", seq.BUCKET]).select(
+        "route", F.col("_id").alias(tiebreak), "dropoff_datetime",
+        ((F.col("_csum") + F.col("_psum")) / (F.col("_ccnt") + F.col("_pcnt"))).alias("route_mean_reset"))
+    return started.unionByName(carried)
