@@ -155,15 +155,18 @@ def q_route_mean_reset(spark, d):
 FEED_SCHEMA = T.StructType([T.StructField("trip_id", T.LongType()), T.StructField("value", T.StringType())])
 
 
-def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime"):
-    """Stage the trips' wire form as time slices in the shared folder and open
-    a file stream over them, one slice per micro-batch."""
+def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime", batches: int = 4):
+    """Stage the trips' wire form as time-ordered files in the shared folder
+    and open a file stream over them: ``batches`` micro-batches, each reading
+    as many files as the cluster has cores."""
     trips = load_trips(spark, d)
     wire = to_trip_lines if form == "csv" else to_trip_json
-    staged = wire(trips, keep_id=True, keep=(time_col,))
-    glob = stage_time_slices(staged, time_col)
+    per_batch = spark.sparkContext.defaultParallelism
+    glob = stage_time_slices(wire(trips, keep_id=True, keep=(time_col,)), time_col,
+                             files=batches * per_batch)
     read = read_trip_stream if form == "csv" else read_json_stream
-    return read(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA, keep=("trip_id",))
+    return read(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
+                keep=("trip_id",))
 
 
 def q_top_routes_stream(spark, d):

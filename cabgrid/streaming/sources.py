@@ -58,50 +58,42 @@ def read_json_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     return read_trip_stream(spark, fmt, path, options, schema, keep)
 
 
-def stage_time_slices(df: DataFrame, time_col: str, slices: int | None = None,
-                      rows_per_slice: int = 2_000_000, root: str | None = None,
+def stage_time_slices(df: DataFrame, time_col: str, files: int | None = None,
+                      rows_per_file: int = 1_000_000, root: str | None = None,
                       fmt: str = "parquet") -> str:
-    """Write ``df`` as consecutive time ranges, one file per range, into a
-    fresh folder under the shared checkpoint folder, files dated in time
-    order.
-
-    A file stream with ``maxFilesPerTrigger=1`` then sees one time range per
-    micro-batch, in order, like a live feed replayed. ``slices`` defaults to
-    enough ranges that none holds more than ``rows_per_slice`` rows (at least
-    4), so no writer task grows with the table. Slice bounds are quantiles of
-    ``time_col`` (one aggregate job); equal times share a slice. All slices
-    are written by one job; the file stream orders files by modification
-    time, so each slice's file is then stamped with its position (a metadata
-    call per file). A replay tool for tests and registered checks: a
-    production feed comes from Kafka. Returns the glob to read.
+    """Write ``df`` as files that each hold one contiguous range of
+    ``time_col``, dated in time order, into a fresh folder under the shared
+    checkpoint folder.
+
+    The file stream takes files oldest first, so with ``maxFilesPerTrigger =
+    k`` every micro-batch reads the next k time ranges, k tasks in parallel,
+    and data arrives in time order, like a live feed replayed. One write job
+    (``repartitionByRange`` on the time: equal times share a file); ``files``
+    defaults to enough that none holds more than ``rows_per_file`` rows (at
+    least the cluster's cores). Each file is then stamped with its position
+    (a metadata call per file). A replay tool for tests and registered checks:
+    a production feed comes from Kafka. Returns the glob to read.
     """
     spark = df.sparkSession
     folder = root or shared_path(spark, f"stage-{uuid.uuid4().hex}")
-    epoch = F.unix_micros(F.col(time_col).cast("timestamp"))
-    if slices is None:
-        slices = max(4, -(-df.count() // rows_per_slice))
-    probs = [i / slices for i in range(1, slices)]
-    accuracy = max(10_000, 10 * slices)
-    cuts = df.select(F.percentile_approx(epoch, probs, accuracy).alias("q")).first()["q"] if probs else []
-    # Slice index = number of cut points strictly below the row's time.
-    idx = F.lit(0)
-    if cuts:
-        arr = F.array(*[F.lit(int(c)) for c in cuts])
-        idx = F.size(F.filter(arr, lambda c: c < epoch))
-    (df.withColumn("slice", idx).repartition("slice")
-     .write.mode("errorifexists").partitionBy("slice").format(fmt).save(folder))
+    if files is None:
+        cores = spark.sparkContext.defaultParallelism
+        files = max(cores, -(-df.count() // rows_per_file))
+    (df.repartitionByRange(files, F.col(time_col)).sortWithinPartitions(time_col)
+     .write.mode("errorifexists").format(fmt).save(folder))
     _stamp_in_order(spark, folder, fmt)
-    return f"{folder}/slice=*/*.{fmt}"
+    return f"{folder}/part-*.{fmt}"
 
 
 def _stamp_in_order(spark: SparkSession, folder: str, fmt: str) -> None:
-    """Set each slice file's modification time to base + slice seconds."""
+    """Set each part file's modification time to base + its partition number
+    (range partitions are numbered in key order)."""
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(Path(f"{folder}/slice=*/*.{fmt}")) or []
+    statuses = fs.globStatus(Path(f"{folder}/part-*.{fmt}")) or []
     base = 1_000_000_000_000  # ms; any fixed past time works
     for st in statuses:
         p = st.getPath()
-        i = int(p.getParent().getName().split("=", 1)[1])
-        fs.setTimes(p, base + 1000 * i, -1)
+        part = int(p.getName().split("-")[1])
+        fs.setTimes(p, base + 1000 * part, -1)

@@ -17,10 +17,10 @@ from conftest import SF_ORACLE, SF_SMALL
 from pyspark.sql import types as T
 
 
-def feed(spark, time_col, slices=5, sf=SF_SMALL):
+def feed(spark, time_col, slices=5, sf=SF_SMALL, per_batch=1):
     trips = load_trips(spark, sf)
     glob = stage_time_slices(to_trip_lines(trips, keep_id=True, keep=(time_col,)), time_col, slices)
-    return read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA,
+    return read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
                             keep=("trip_id",))
 
 
@@ -30,7 +30,7 @@ def frame(df, key):
 
 def test_congestion_stream_equals_batch(spark):
     batch = congestion.congestion_alerts(routed_trips(valid(spark, SF_ORACLE)))
-    stream = jobs.congestion_stream(feed(spark, "dropoff_datetime", sf=SF_ORACLE))
+    stream = jobs.congestion_stream(feed(spark, "dropoff_datetime", 12, SF_ORACLE, per_batch=3))
     assert batch.count() >= 5
     key = ["route", "trip_id"]
     pd.testing.assert_frame_equal(frame(stream.select(*batch.columns), key), frame(batch, key),
