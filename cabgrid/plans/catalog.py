@@ -141,6 +141,23 @@ def q_table_filter_eq(spark, d):
     return fleet.table_filter_eq(load_table(spark, d, "lineitem"), "l_partkey", 3)
 
 
+# (l_orderkey, l_linenumber) repeats in the test tables; these four are unique.
+LINEITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def q_table_preview_lineitem(spark, d):
+    return fleet.table_preview(load_table(spark, d, "lineitem"), LINEITEM_KEY, 5)
+
+
+def q_table_preview_supplier(spark, d):
+    return fleet.table_preview(load_table(spark, d, "supplier"), ["s_suppkey"], 5)
+
+
+def q_table_filter_eq_head(spark, d):
+    rows = fleet.table_filter_eq(load_table(spark, d, "lineitem"), "l_partkey", 3)
+    return fleet.table_preview(rows, LINEITEM_KEY, 2)
+
+
 def q_topic_fanout(spark, d):
     return topic_fanout(to_trip_json(load_trips(spark, d), keep_id=True), TOPICS).select(
         "topic", "trip_id", "value")
@@ -231,6 +248,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fleet_totals": q_fleet_totals,
     "table_preview": q_table_preview,
     "table_filter_eq": q_table_filter_eq,
+    "table_preview_lineitem": q_table_preview_lineitem,
+    "table_preview_supplier": q_table_preview_supplier,
+    "table_filter_eq_head": q_table_filter_eq_head,
     "topic_fanout": q_topic_fanout,
     "route_mean_reset": q_route_mean_reset,
     "top_routes_stream": q_top_routes_stream,

@@ -292,6 +292,10 @@ def sql_map() -> dict[str, str]:
                          "SUM(TRY_CAST(TRIM(passenger_count) AS DOUBLE)) AS total_passengers FROM enriched")
     q["table_preview"] = "SELECT * FROM part ORDER BY p_partkey LIMIT 5"
     q["table_filter_eq"] = "SELECT * FROM lineitem WHERE l_partkey = 3"
+    q["table_preview_lineitem"] = "SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 5"
+    q["table_preview_supplier"] = "SELECT * FROM supplier ORDER BY s_suppkey LIMIT 5"
+    q["table_filter_eq_head"] = ("SELECT * FROM lineitem WHERE l_partkey = 3 "
+                                 "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 2")
     span = 4 * 3600 * 1_000_000
     q["route_mean_reset"] = (
         "WITH RECURSIVE " + ",\n".join(routed) + ",\n"
