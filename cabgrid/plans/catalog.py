@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import areas, congestion, drivers, fleet, routes
@@ -262,4 +261,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "register_clean_table": q_register_clean_table,
 }
 
-__all__ = ["QUERIES", "F"]
+__all__ = ["QUERIES"]

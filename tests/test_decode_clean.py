@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from cabgrid.functions.columns import money, parse_timestamp
 from cabgrid.functions.constants import LIMIT_LAT, ORIGIN_LON

@@ -2,8 +2,6 @@
 micro-batch, through the streaming twins; and a restart from checkpoint."""
 
 import pandas as pd
-import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cabgrid.operators import congestion, drivers
