@@ -55,10 +55,6 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name))
 
 
-def time_bucket(df: DataFrame, name: str, width_seconds: int) -> Column:
-    """Integer bucket of a timestamp (used to split hot keys by time)."""
-    return F.floor(epoch_micros(df, name) / F.lit(width_seconds * 1_000_000)).cast("long")
-
 
 def cell_label(lon: Column, lat: Column, size: int = 500,
                convention: str = "lat_lon") -> Column:

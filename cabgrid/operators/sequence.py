@@ -3,15 +3,20 @@
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if
 one taxi or route holds a third of the data, that task holds a third of the
 data. Here every window is partitioned by (key, time bucket) instead, and
-what crosses a bucket boundary is carried by a small per-bucket summary:
+what crosses a bucket boundary is carried by a small per-bucket summary
+(one row per key and bucket), joined only to the rows that need it:
 
-* previous row: the last row of each bucket, ``lag`` over buckets;
+* previous row: the last row of each bucket, ``lag`` over buckets, joined to
+  each bucket's first row;
 * run counters: the run state at the end of each bucket, combined with a
-  prefix scan over buckets;
-* trailing range aggregates: rows in the last ``range`` of a bucket are
-  copied into the next bucket as context (a halo), so every frame is whole.
-
-All results equal the unbucketed window definitions exactly.
+  prefix scan over buckets, joined to the rows before a bucket's first break;
+* trailing range aggregates: each row is copied as context (a halo) into the
+  later buckets its range reaches, so every frame is whole in its bucket;
+* successor search and chains (``first_after``, ``chain_members``) for the
+  restart rule of the reset mean.
+
+The bucket width is chosen from the data (``choose_bucket_seconds``). All
+results equal the unbucketed window definitions exactly.
 """
 
 from __future__ import annotations
@@ -173,10 +178,6 @@ def key_time_order(time_col: str, tiebreak: str | None) -> list[str]:
     return [time_col] + ([tiebreak] if tiebreak else [])
 
 
-def seconds_between(df: DataFrame, start: str, end: str) -> Column:
-    """Exact seconds from ``start`` to ``end`` (microsecond precision)."""
-    return (epoch_micros(df, end) - epoch_micros(df, start)) / F.lit(1_000_000.0)
-
 
 LONG_MAX = 9_223_372_036_854_775_807
 
