@@ -173,13 +173,14 @@ FEED_SCHEMA = T.StructType([T.StructField("trip_id", T.LongType()), T.StructFiel
 
 def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime", batches: int = 4):
     """Stage the trips' wire form as time-ordered files in the shared folder
-    and open a file stream over them: ``batches`` micro-batches, each reading
-    as many files as the cluster has cores."""
+    and open a file stream over them: at least ``batches`` micro-batches (more
+    when the table is large, as files are capped in rows), each reading as
+    many files as the cluster has cores."""
     trips = load_trips(spark, d)
     wire = to_trip_lines if form == "csv" else to_trip_json
     per_batch = spark.sparkContext.defaultParallelism
     glob = stage_time_slices(wire(trips, keep_id=True, keep=(time_col,)), time_col,
-                             files=batches * per_batch)
+                             min_files=batches * per_batch)
     read = read_trip_stream if form == "csv" else read_json_stream
     return read(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
                 keep=("trip_id",))

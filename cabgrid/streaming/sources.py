@@ -60,7 +60,7 @@ def read_json_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
 
 def stage_time_slices(df: DataFrame, time_col: str, files: int | None = None,
                       rows_per_file: int = 1_000_000, root: str | None = None,
-                      fmt: str = "parquet") -> str:
+                      fmt: str = "parquet", min_files: int | None = None) -> str:
     """Write ``df`` as files that each hold one contiguous range of
     ``time_col``, dated in time order, into a fresh folder under the shared
     checkpoint folder.
@@ -69,16 +69,16 @@ def stage_time_slices(df: DataFrame, time_col: str, files: int | None = None,
     k`` every micro-batch reads the next k time ranges, k tasks in parallel,
     and data arrives in time order, like a live feed replayed. One write job
     (``repartitionByRange`` on the time: equal times share a file); ``files``
-    defaults to enough that none holds more than ``rows_per_file`` rows (at
-    least the cluster's cores). Each file is then stamped with its position
+    defaults to enough that none holds more than ``rows_per_file`` rows, and
+    at least ``min_files`` (default: the cluster's cores). Each file is then stamped with its position
     (a metadata call per file). A replay tool for tests and registered checks:
     a production feed comes from Kafka. Returns the glob to read.
     """
     spark = df.sparkSession
     folder = root or shared_path(spark, f"stage-{uuid.uuid4().hex}")
     if files is None:
-        cores = spark.sparkContext.defaultParallelism
-        files = max(cores, -(-df.count() // rows_per_file))
+        floor = min_files or spark.sparkContext.defaultParallelism
+        files = max(floor, -(-df.count() // rows_per_file))
     (df.repartitionByRange(files, F.col(time_col)).sortWithinPartitions(time_col)
      .write.mode("errorifexists").format(fmt).save(folder))
     _stamp_in_order(spark, folder, fmt)
