@@ -190,6 +190,10 @@ def q_top_routes_stream(spark, d):
     return jobs.top_routes_stream(_feed(spark, d))
 
 
+def q_top_routes_stream_update(spark, d):
+    return jobs.top_routes_stream(_feed(spark, d), output_mode="update")
+
+
 def q_area_profitability_stream(spark, d):
     return jobs.area_profitability_stream(_feed(spark, d))
 
@@ -254,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_fanout": q_topic_fanout,
     "route_mean_reset": q_route_mean_reset,
     "top_routes_stream": q_top_routes_stream,
+    "top_routes_stream_update": q_top_routes_stream_update,
     "area_profitability_stream": q_area_profitability_stream,
     "idle_time_stream": q_idle_time_stream,
     "congestion_stream": q_congestion_stream,

@@ -93,3 +93,12 @@ def test_text_feed_gets_trip_ids(spark):
     assert set(lines.columns) == {"value", "trip_id"}
     alerts = jobs.route_mean_reset_stream(lines)
     assert alerts.count() == valid(spark, SF_SMALL).count()
+
+
+def test_top_routes_update_mode_equals_batch(spark):
+    """Update mode (state evicted behind the watermark, changed counts
+    appended per batch) gives the same top k as the batch query."""
+    batch = entry.queries()["top_routes"](spark, SF_SMALL)
+    stream = jobs.top_routes_stream(feed(spark, "dropoff_datetime", 8, per_batch=2), output_mode="update")
+    key = ["window_start", "route"]
+    pd.testing.assert_frame_equal(frame(stream, key), frame(batch, key), check_dtype=False)
