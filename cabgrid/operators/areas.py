@@ -20,8 +20,9 @@ def _money_sum(name: str):
 
 
 def area_profit_avg(cells: DataFrame, length: str = "15 minutes",
-                    time_col: str = "dropoff_datetime") -> DataFrame:
+                    time_col: str = "dropoff_datetime", watermark: str | None = None) -> DataFrame:
     """Average fare + tip per (pickup cell, window on dropoff)."""
+    cells = cells.withWatermark(time_col, watermark) if watermark else cells
     profit = F.col("fare_amount").cast(MONEY) + F.col("tip_amount").cast(MONEY)
     win = F.window(time_col, length)
     agg = cells.groupBy("cell_pickup", win.alias("w")).agg(
@@ -31,8 +32,9 @@ def area_profit_avg(cells: DataFrame, length: str = "15 minutes",
 
 
 def area_dropoffs(cells: DataFrame, length: str = "30 minutes",
-                  time_col: str = "dropoff_datetime") -> DataFrame:
+                  time_col: str = "dropoff_datetime", watermark: str | None = None) -> DataFrame:
     """Number of dropoffs per (dropoff cell, window on dropoff)."""
+    cells = cells.withWatermark(time_col, watermark) if watermark else cells
     win = F.window(time_col, length)
     return (cells.groupBy("cell_dropoff", win.alias("w")).agg(F.count(F.lit(1)).alias("count"))
             .select("cell_dropoff", *window_columns(F.col("w")), "count"))

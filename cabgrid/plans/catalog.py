@@ -198,6 +198,10 @@ def q_area_profitability_stream(spark, d):
     return jobs.area_profitability_stream(_feed(spark, d))
 
 
+def q_area_profitability_stream_update(spark, d):
+    return jobs.area_profitability_stream(_feed(spark, d), output_mode="update")
+
+
 def q_idle_time_stream(spark, d):
     return jobs.idle_time_stream(_feed(spark, d, time_col="pickup_datetime"))
 
@@ -260,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_routes_stream": q_top_routes_stream,
     "top_routes_stream_update": q_top_routes_stream_update,
     "area_profitability_stream": q_area_profitability_stream,
+    "area_profitability_stream_update": q_area_profitability_stream_update,
     "idle_time_stream": q_idle_time_stream,
     "congestion_stream": q_congestion_stream,
     "route_mean_reset_stream": q_route_mean_reset_stream,

@@ -317,7 +317,8 @@ def sql_map() -> dict[str, str]:
               "CAST(TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS DATE) AS TripEndDT FROM jsonrec)",
               dated("a", "d", "hour", "minute", "second"))
         + "SELECT * FROM d")
-    twins = {"top_routes_stream": "top_routes", "top_routes_stream_update": "top_routes", "area_profitability_stream": "area_profitability",
+    twins = {"top_routes_stream": "top_routes", "top_routes_stream_update": "top_routes",
+             "area_profitability_stream_update": "area_profitability", "area_profitability_stream": "area_profitability",
              "idle_time_stream": "idle_time", "congestion_stream": "congestion_alerts",
              "route_mean_reset_stream": "route_mean_reset", "register_clean_table": "trip_clean"}
     for stream_key, batch_key in twins.items():

@@ -23,7 +23,7 @@ from ..session import shared_path
 from ..sources.decode import trip_decode_csv, trip_decode_json
 from . import stateful
 from .runner import (append_writer, await_bounded, overwrite_writer, read_appended,
-                     run_stream)
+                     read_latest, run_stream)
 from .sinks import jdbc_batch_writer, register_clean_table, write_archive, write_clean_table
 
 
@@ -74,22 +74,44 @@ def top_routes_stream(lines: DataFrame, k: int = 10, watermark: str = "30 minute
     return _ntz(routes.top_routes(latest, k), "window_start", "window_end")
 
 
-def area_profitability_stream(lines: DataFrame, k: int = 5, timeout_s: float | None = None,
+PROFIT_DDL = "cell_pickup string, window_start timestamp, window_end timestamp, avg_profit double"
+DROPOFFS_DDL = "cell_dropoff string, window_start timestamp, window_end timestamp, count long"
+
+
+def area_profitability_stream(lines: DataFrame, k: int = 5, output_mode: str = "complete",
+                              watermark: str = "30 minutes", timeout_s: float | None = None,
                               trigger: dict | None = None) -> DataFrame:
-    """Two concurrent complete-mode streams (average profit per pickup cell
-    and 15 minutes; dropoffs per cell and 30 minutes), then the profitability
-    report over their current results."""
+    """Two concurrent streams (average profit per pickup cell and 15 minutes;
+    dropoffs per cell and 30 minutes), then the profitability report over
+    their current results.
+
+    ``complete``: each micro-batch rewrites both results (all windows stay in
+    state, as in the original job). ``update``: the watermark evicts closed
+    windows; changed rows are appended per batch and the report reads, per
+    (cell, window), the row of the latest batch that changed it.
+    """
     spark = lines.sparkSession
     cells = grid_cells(trips_stream(lines), 250)
     p_out, d_out = _folder(spark, "profit"), _folder(spark, "dropoffs")
-    qp = run_stream(areas.area_profit_avg(cells), _folder(spark, "ckpt-profit"), "complete",
-                    overwrite_writer(p_out), trigger=trigger)
-    qd = run_stream(areas.area_dropoffs(cells), _folder(spark, "ckpt-dropoffs"), "complete",
-                    overwrite_writer(d_out), trigger=trigger)
+    if output_mode == "complete":
+        profit_q, drops_q = areas.area_profit_avg(cells), areas.area_dropoffs(cells)
+        writer_p, writer_d = overwrite_writer(p_out), overwrite_writer(d_out)
+    else:
+        profit_q = areas.area_profit_avg(cells, watermark=watermark)
+        drops_q = areas.area_dropoffs(cells, watermark=watermark)
+        writer_p, writer_d = append_writer(p_out), append_writer(d_out)
+    qp = run_stream(profit_q, _folder(spark, "ckpt-profit"), output_mode, writer_p, trigger=trigger)
+    qd = run_stream(drops_q, _folder(spark, "ckpt-dropoffs"), output_mode, writer_d, trigger=trigger)
     await_bounded(qp, timeout_s)
     await_bounded(qd, timeout_s)
-    profit = _ntz(spark.read.parquet(p_out), "window_start", "window_end")
-    drops = _ntz(spark.read.parquet(d_out), "window_start", "window_end")
+    if output_mode == "complete":
+        profit, drops = spark.read.parquet(p_out), spark.read.parquet(d_out)
+    else:
+        win = ["window_start", "window_end"]
+        profit = read_latest(spark, p_out, T.DataType.fromDDL(PROFIT_DDL), ["cell_pickup", *win])
+        drops = read_latest(spark, d_out, T.DataType.fromDDL(DROPOFFS_DDL), ["cell_dropoff", *win])
+    profit = _ntz(profit, "window_start", "window_end")
+    drops = _ntz(drops, "window_start", "window_end")
     return areas.area_profitability(profit, drops, k)
 
 

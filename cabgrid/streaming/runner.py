@@ -80,3 +80,19 @@ def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{path}/batch_id=*")
     except AnalysisException:  # no batch has run yet
         return spark.createDataFrame([], schema)
+
+
+def read_latest(spark: SparkSession, path: str, schema, key: list[str]) -> DataFrame:
+    """For update-mode output written by ``append_writer``: per ``key``, the
+    row from the latest batch that changed it (one aggregate)."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+    try:
+        df = spark.read.schema(full).option("basePath", path).parquet(f"{path}/batch_id=*")
+    except AnalysisException:  # no batch has run yet
+        return spark.createDataFrame([], schema)
+    rest = [f.name for f in schema.fields if f.name not in key]
+    latest = df.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v"))
+    return latest.select(*key, *[F.col("_v")[c].alias(c) for c in rest])

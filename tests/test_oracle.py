@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from scripts.check_oracle import compare
 from conftest import SF_ORACLE, SF_SMALL, TABLES
 
-STREAM_KEYS = {"top_routes_stream", "top_routes_stream_update", "area_profitability_stream", "idle_time_stream",
+STREAM_KEYS = {"top_routes_stream", "top_routes_stream_update", "area_profitability_stream_update", "area_profitability_stream", "idle_time_stream",
                "congestion_stream", "route_mean_reset_stream", "archive_readback",
                "register_clean_table"}
 # Keys whose interesting rows are sparse: checked at sf0.01 with a floor.

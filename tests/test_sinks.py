@@ -93,3 +93,14 @@ def test_memory_and_foreach_batch_sinks(spark):
                     foreach_batch=lambda b, i: seen.append((i, b.count())))
     await_bounded(q2, 300)
     assert len(seen) >= 2 and seen[-1][1] == spark.table(name).count()
+
+
+def test_read_latest_takes_the_last_batch_per_key(spark):
+    from cabgrid.streaming.runner import append_writer, read_latest
+    path = shared_path(spark, f"latest-{uuid.uuid4().hex}")
+    put = append_writer(path)
+    put(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double"), 0)
+    put(spark.createDataFrame([("a", 5.0)], "k string, v double"), 1)
+    put(spark.createDataFrame([("a", 3.0), ("c", 7.0)], "k string, v double"), 2)
+    got = {r.k: r.v for r in read_latest(spark, path, T.StructType.fromDDL("k string, v double"), ["k"]).collect()}
+    assert got == {"a": 3.0, "b": 2.0, "c": 7.0}
