@@ -50,3 +50,13 @@ def test_per_window_topk_trimmed_before_shuffle(stored):
     counts = routes.route_counts(routed_trips(trip_valid(stored)))
     p = plan(routes.top_routes_per_window(counts))
     assert "WindowGroupLimit" in p
+
+
+def test_no_registered_query_pairs_rows(spark):
+    """No cartesian product or nested-loop join in any batch query's plan."""
+    import __spark_entry__ as entry
+    from test_oracle import BATCH_KEYS
+    for name in BATCH_KEYS:
+        p = plan(entry.queries()[name](spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in p, f"{name}: {bad}"
