@@ -85,7 +85,10 @@ def _idle_fn(max_idle_seconds: int | None):
         if cap is not None:
             # After the watermark passes the last dropoff + cap, no later ride
             # can be counted against this one: drop the driver's state.
-            state.setTimeoutTimestamp(int(state.get[3]) // 1000 + cap // 1000 + 1)
+            # A late ride can put that time behind the watermark, which Spark
+            # refuses: never ask for less than just past the watermark.
+            due = int(state.get[3]) // 1000 + cap // 1000 + 1
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         if keep.any():
             yield pd.DataFrame({
                 "hack_license": np.full(int(keep.sum()), key[0], dtype=object),
