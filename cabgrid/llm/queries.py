@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import op1_mix
+from . import op1_mix, op6_bpe
 
 LLM_QUERIES = {
     "op1_mix_sources": op1_mix.op1_mix_sources,
+    "op6_byte_bpe": op6_bpe.op6_byte_bpe,
 }
 LLM_ORACLE = {
     "op1_mix_sources": op1_mix.SQL,
