@@ -30,3 +30,11 @@ def with_row(df: DataFrame, *columns) -> DataFrame:
     """
     from pyspark.sql import functions as F
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *columns)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_, name__, ... that ``df`` has not."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

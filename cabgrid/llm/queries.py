@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import op1_mix, op6_bpe
+from . import op1_mix, op6_bpe, op9_lines, op10_language
 
 LLM_QUERIES = {
     "op1_mix_sources": op1_mix.op1_mix_sources,
     "op6_byte_bpe": op6_bpe.op6_byte_bpe,
+    "op9_line_dedup": op9_lines.op9_line_dedup,
+    "op10_language_id": op10_language.op10_language_id,
 }
 LLM_ORACLE = {
     "op1_mix_sources": op1_mix.SQL,
+    "op9_line_dedup": op9_lines.SQL,
 }
