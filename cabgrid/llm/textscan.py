@@ -108,34 +108,45 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+class Shingles:
+    """The ``width``-word shingles of a chunk of rows, A-Z lower-cased:
+    ``hashes`` of those starting at each word but the chunk's last, ``whole``
+    whether such a shingle stays inside its row, ``cut`` each row's first
+    word (and an end), ``start``/``end`` the words' bytes in the chunk."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int):
+        base = offsets[0]
+        data = LOWER[data[base:offsets[-1]]]
+        starts = offsets[:-1] - base
+        self.width = width
+        self.start, self.end = words(data, starts)
+        self.words = Hasher(data, 1)(self.start, self.end) if len(self.start) else np.zeros(0, U)
+        self.cut = np.searchsorted(self.start, np.append(starts, len(data)))
+        self.factor = mix64(np.arange(1, width + 1, dtype=U) * U(_GOLD)) | U(1)
+        n = max(0, len(self.words) - width + 1)
+        self.hashes = np.zeros(n, U)
+        for i in range(width):
+            self.hashes += self.words[i:i + n] * self.factor[i]
+        self.hashes = mix64(self.hashes)
+
+    @property
+    def whole(self) -> np.ndarray:
+        row_end = np.repeat(self.cut[1:], np.diff(self.cut))[:len(self.hashes)]
+        return np.arange(len(self.hashes)) + self.width <= row_end
+
+    def distinct(self, row: int) -> np.ndarray:
+        """The sorted distinct hashes of one row; with fewer words than a
+        shingle its whole sequence is one, without words there is none."""
+        a, b = self.cut[row], self.cut[row + 1]
+        if b - a >= self.width:
+            return np.unique(self.hashes[a:b - self.width + 1])
+        if b > a:
+            part = (self.words[a:b] * self.factor[:b - a]).sum(dtype=U) + U(b - a)
+            return mix64(np.array([part], U))
+        return np.zeros(0, U)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
-    """Per row the sorted distinct hashes of its ``width``-word shingles, with
-    A-Z lower-cased; a row with fewer words has its whole sequence as one, a
-    row without words none."""
-    base = offsets[0]
-    data = LOWER[data[base:offsets[-1]]]
-    starts = offsets[:-1] - base
-    rows = len(starts)
-    ws, we = words(data, starts)
-    if not len(ws):
-        return [np.zeros(0, U)] * rows
-    h = Hasher(data, 1)(ws, we)
-    cut = np.searchsorted(ws, np.append(starts, len(data)))
-    factor = mix64(np.arange(1, width + 1, dtype=U) * U(_GOLD)) | U(1)
-    n = len(h) - width + 1
-    whole = np.zeros(max(n, 0), U)
-    for i in range(width):
-        if n > 0:
-            whole += h[i:i + n] * factor[i]
-    whole = mix64(whole)
-    out = []
-    for r in range(rows):
-        a, b = cut[r], cut[r + 1]
-        if b - a >= width:
-            out.append(np.unique(whole[a:b - width + 1]))
-        elif b > a:
-            part = (h[a:b] * factor[:b - a]).sum(dtype=U) + U(b - a)
-            out.append(mix64(np.array([part], U)))
-        else:
-            out.append(np.zeros(0, U))
-    return out
+    """Per row of a chunk the sorted distinct hashes of its shingles."""
+    found = Shingles(data, offsets, width)
+    return [found.distinct(r) for r in range(len(offsets) - 1)]
