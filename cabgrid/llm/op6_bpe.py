@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding (operator 6).
 
 ``mapInArrow`` over batches of whole texts: the pattern splits, the
-``tokenizers`` library merges by the ranks, each distinct piece once; the rank file becomes its vocabulary
-(bytes written as the byte-level alphabet's characters) and its merge list
-(all splits of a token into two tokens, by the token's rank). Decoding goes
-through a table of each id's bytes, so characters split between tokens come
-back whole.
+``tokenizers`` library merges by the ranks, each distinct piece once; the rank
+file becomes its vocabulary (bytes written as the byte-level alphabet's
+characters) and its merge list (all splits of a token into two tokens, by the
+token's rank). Decoding goes through a table of each id's bytes, so characters
+split between tokens come back whole.
 
 Edge cases: a null or empty text has no ids and decodes to nothing; text of
 any length is encoded whole; other columns of any name are untouched; empty
@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 GROUP_BYTES = 1 << 20
-MEMO = 400_000
+MEMO = 500_000
 _LOADED: dict = {}
 
 
@@ -62,12 +61,14 @@ class Codec:
             merges += [(name[a], name[b]) for a, b in halves]
         model = models.BPE(vocab={name[t]: r for t, r in ranks.items()}, merges=merges,
                            ignore_merges=True, cache_capacity=200_000)
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
         self.pattern = regex.compile(PATTERN)
         self.tokenizer = Tokenizer(model)
+        letters_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(PATTERN), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            pre_tokenizers.Split(Regex(PATTERN), "isolated"), letters_only])
+        self.by_piece = Tokenizer(model)
+        self.by_piece.pre_tokenizer = letters_only
         size = max(ranks.values()) + 1
         self.lengths = np.zeros(size, np.int64)
         pieces = [b""] * size
@@ -80,27 +81,29 @@ class Codec:
     def _learn(self, pieces: list[str]) -> None:
         """The ids of new pieces: one call of the library, each piece a word of
         its own (pieces never merge across the pattern's matches)."""
-        if len(self.memo) + len(pieces) > MEMO:
-            self.memo.clear()
-        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids, ends = found.ids, np.cumsum(np.bincount(found.word_ids, minlength=len(pieces))).tolist()
+        found = self.by_piece.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(pieces)))).tolist()
         a = 0
         for piece, b in zip(pieces, ends):
             self.memo[piece] = ids[a:b]
             a = b
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """ids of each text. A piece (match of the pattern) is encoded by the
-        library once and remembered; the memory is emptied at MEMO pieces."""
+        library once and remembered as packed ids; the memory is emptied at
+        MEMO pieces."""
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        out, known = [], self.memo.get
         split = [self.pattern.findall(t) for t in texts]
-        needed = dict.fromkeys(chain.from_iterable(split))
-        new = [p for p in needed if p not in self.memo]
+        packed = [list(map(known, pieces)) for pieces in split]
+        new = {p for ids, pieces in zip(packed, split) if None in ids for p, i in zip(pieces, ids) if i is None}
         if new:
-            if len(self.memo) + len(new) > MEMO:
-                new = list(needed)
-            self._learn(new)
-        memo = self.memo
-        return [list(chain.from_iterable([memo[p] for p in pieces])) for pieces in split]
+            self._learn(list(new))
+        for ids, pieces in zip(packed, split):
+            out.append(np.frombuffer(b"".join(map(known, pieces) if None in ids else ids), np.int32))
+        return out
 
     def encode_with_offsets(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
         """ids and, for each, the [start, end) of the characters it touches; a
@@ -191,26 +194,31 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, bytes binary, text string")
 
 
-def round_trip_digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the decimal ids
-    joined by commas), decoded_sha256 (of the decoded bytes). Encoding and
-    decoding run batch by batch in one pass; ids never leave the task."""
+def encoded_corpus(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, ids (unless ``with_ids`` is
+    false), ids_sha256 (of the decimal ids joined by commas), decoded_sha256
+    (of the bytes the ids decode to). One pass, batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
         for batch in batches:
-            counts, of_ids, of_bytes = [], [], []
+            counts, all_ids, of_ids, of_bytes = [], [], [], []
             for part in groups(_texts(batch.column(1))):
                 for ids in use.encode(part):
                     counts.append(len(ids))
-                    of_ids.append(hashlib.sha256(",".join(use.text[ids]).encode() if ids else b"").hexdigest())
+                    if with_ids:
+                        all_ids.append(ids)
+                    of_ids.append(hashlib.sha256(",".join(use.text[ids]).encode()).hexdigest())
                     of_bytes.append(hashlib.sha256(use.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = {"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
+            if with_ids:
+                columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
+            columns |= {"ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_bytes, pa.string())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
+    ids = "ids array<int>, " * with_ids
     return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+            .mapInArrow(run, f"doc_id long, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip_digests(table(spark, sf_dir, "documents"))
+    return encoded_corpus(table(spark, sf_dir, "documents"), with_ids=False)
