@@ -8,8 +8,9 @@ labelled sample; a batch of texts is scored by two matrix products (kernel
 with the landmarks, then the regression weights).
 
 What bounds the fit (documented parameters; everything else covers all rows):
-LANDMARKS and SAMPLE rows per language, chosen by a keyed hash of the id among
-labelled texts of at most SAMPLE_CHARS code points. Prediction reads whole
+LANDMARKS and SAMPLE rows for each of the MAX_LANGUAGES most frequent labels,
+chosen by a keyed hash of the id among labelled texts of at most SAMPLE_CHARS
+code points. Prediction reads whole
 texts, every n-gram of them.
 
 Edge cases: a text that is null or holds no letter is ``und`` with score 0; an
@@ -35,6 +36,7 @@ LANDMARKS = 16
 SAMPLE = 300
 SAMPLE_CHARS = 20_000
 MAX_LANGUAGES = 64
+OVERSAMPLE = 4
 RIDGE = 1e-3
 GRAMS = 4
 SLOTS = 1 << 22
@@ -133,16 +135,23 @@ class Scorer:
 
 
 def training_rows(docs: DataFrame, per_language: int = SAMPLE, max_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """The bounded labelled sample: per language the ``per_language`` rows
-    first by a keyed hash of the id, none held out, at most per_language *
-    MAX_LANGUAGES rows in all. WindowGroupLimit trims the ranking before its
-    shuffle."""
-    fit = (docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-           .select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64(F.lit("lang"), "doc_id", "text").alias("h"), "text"))
-    fit = fit.filter((F.char_length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-    w = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = fit.select("lang", "h", "doc_id", "text", F.row_number().over(w).alias("n")).filter(F.col("n") <= per_language)
-    return picked.orderBy("n", "lang").limit(per_language * MAX_LANGUAGES)
+    """The bounded labelled sample (lang, doc_id, text, n): of the
+    MAX_LANGUAGES most frequent languages the ``per_language`` rows first by a
+    keyed hash of the id, none held out. The counts (one row per language, at
+    most MAX_LANGUAGES on the driver) give hash thresholds that about
+    OVERSAMPLE times as many rows pass in the scan; only those are ranked."""
+    labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES).collect()
+    limit = F.lit(-1.0)
+    for r in counts:
+        limit = F.when(F.col("lang") == r["lang"], F.lit(OVERSAMPLE * per_language / r["rows"])).otherwise(limit)
+    h = F.xxhash64(F.lit("lang"), F.col("doc_id"))
+    some = (labelled.filter((F.shiftrightunsigned(h, 11) / float(1 << 53)) < limit)
+            .filter((F.char_length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
+            .select("lang", F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), "text"))
+    w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
+    return (some.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= per_language)
+            .select("lang", "doc_id", "text", "n"))
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE, landmarks: int = LANDMARKS) -> Model | None:
@@ -155,6 +164,15 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, landmarks: int = LANDMARKS)
     return Model([r["text"] for r in rows], [r["lang"] for r in rows], [r["n"] <= landmarks for r in rows])
 
 
+def identify(column: pa.Array, scorer: Scorer | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text of a batch."""
+    letters = np.array([bool(t) and LETTER.search(t) is not None for t in column.to_pylist()], bool)
+    if scorer is None or not len(letters):
+        return [UND] * len(letters), np.zeros(len(letters))
+    langs, scores = scorer(column)
+    return [x if ok else UND for x, ok in zip(langs, letters)], np.where(letters, scores, 0.0)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, lang_pred, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size bounded by the sample
@@ -162,20 +180,31 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
         for batch in batches:
-            column = batch.column(1)
-            letters = [bool(t) and LETTER.search(t) is not None for t in column.to_pylist()]
-            if scorer is None:
-                langs, scores = [UND] * len(letters), np.zeros(len(letters))
-            else:
-                langs, scores = scorer(column)
+            langs, scores = identify(batch.column(1), scorer)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x if ok else UND for x, ok in zip(langs, letters)], pa.string()),
-                 pa.array(np.where(letters, scores, 0.0), pa.float64())], ["doc_id", "lang_pred", "score"])
+                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                ["doc_id", "lang_pred", "score"])
 
     return (docs.select(F.col("doc_id").cast("long"), "text")
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
+def keep_identified(docs: DataFrame, model: Model | None, languages: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a predicted language (one of
+    ``languages``, if given), all columns as they are, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value) if shared.value is not None else None
+        for batch in batches:
+            found, _ = identify(batch.column(text_at), scorer)
+            keep = [x != UND and (languages is None or x in languages) for x in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = predict(docs, fit(docs))

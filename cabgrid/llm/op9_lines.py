@@ -289,6 +289,13 @@ def rewrite(texts: pa.Array, lost: pa.Array) -> tuple[list, np.ndarray, np.ndarr
     return kept, lines, drops
 
 
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` with the rewritten texts (and n_chars, where there is one)."""
+    columns = [F.char_length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`")
+               for c in docs.columns]
+    return dedup_lines(docs).select(*columns)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), digest=True)
 
