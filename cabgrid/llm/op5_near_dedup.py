@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import materialise, table
+from .common import fresh, materialise, table
 from .components import connected_components
 from .textscan import bytes_of, chunks, mix64, shingle_sets
 
@@ -206,8 +206,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` less every document that is not the smallest of its component."""
-    gone = (near_duplicates(docs, words).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    ident = fresh(docs, "gone_id")
+    gone = near_duplicates(docs, words).filter(~F.col("kept")).select(F.col("doc_id").alias(ident)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(ident), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
