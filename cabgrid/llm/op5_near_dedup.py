@@ -7,18 +7,21 @@ Set of a text: its distinct word shingles (A-Z lower-cased), 64-bit hashes.
    element stops as soon as its rank cannot lower any component).
 2. Rows of equal sets are one class; only its smallest doc_id goes on. Groups
    of exact copies, however large, are one row from here.
-3. Band buckets of two classes or more propose links. Not all pairs: in round
-   1 each class is tested against one hub, the smallest id met in its buckets;
-   in later rounds the next hubs (8, 64, ... by id) of every bucket that still
-   holds classes of different components are tested against the classes
-   outside their component. Rounds end when no such bucket has an untested
-   hub, so no proposed link that could change a component is left out.
-4. Proposed links whose sizes or sketches already exclude the similarity are
-   dropped; the others are confirmed on the full sets of the whole texts.
+3. Band buckets of two classes or more propose links. Not all pairs: first
+   each class is tested against one hub, the smallest id met in its buckets.
+   In buckets that then hold several components, classes leave that can link
+   with nobody there, as too many of their shingles are theirs alone (an exact
+   bound, from one count over the shingles of such buckets); the others are
+   tested against the bucket's HUBS smallest ids outside their component. What
+   larger buckets still hold is compared in blocks, two blocks a task, giving
+   links only. So no proposed link that could change a component is left out.
+4. Proposed links whose sizes, own shingles or sketches already exclude the
+   similarity are dropped; the others are confirmed on the full sets of the
+   whole texts.
 5. Components of the confirmed links give component_id.
 
 A link at the threshold meets in a band with probability above 0.999997
-(ROWS 5, BANDS 32 at 0.8), and passes the sketch with one above 0.9999999.
+(ROWS 5, BANDS 32 at 0.8), and passes the sketch with one above 0.99999998.
 
 Edge cases: null, empty or wordless texts have an empty set and no link; fewer
 words than the shingle: the whole sequence is the one shingle; rows sharing a
@@ -47,8 +50,9 @@ BANDS, ROWS = 32, 5
 M = BANDS * ROWS
 NUMERATOR, DENOMINATOR = 80, 100
 #: Of M one-bit components, links at 0.8 agree in 0.9 M on average; fewer than this never happens to them.
-LEAST_EQUAL_BITS = 112
-FIRST_HUBS, MORE_HUBS = 8, 8
+LEAST_EQUAL_BITS = 120
+HUBS = 8
+BLOCK, COLUMNS = 512, 8192
 U = np.uint64
 
 
@@ -107,11 +111,33 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
         run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, s1 long, s2 long, s3 long"))
 
 
-def _possible(a: str, b: str):
-    """Can the sets of rows a and b reach the similarity, by sizes and sketches?"""
+def _possible(a: str, b: str, own: bool = False):
+    """Can the sets of rows a and b reach the similarity, by sizes, sketches
+    and (with ``own``) the shingles that nobody shares?"""
     x, y = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     differ = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in ("s1", "s2", "s3")), F.lit(0))
-    return (DENOMINATOR * F.least(x, y) >= NUMERATOR * F.greatest(x, y)) & (differ <= M - LEAST_EQUAL_BITS)
+    fits = (DENOMINATOR * F.least(x, y) >= NUMERATOR * F.greatest(x, y)) & (differ <= M - LEAST_EQUAL_BITS)
+    if own:
+        both = F.least(x - F.col(f"{a}.own"), y - F.col(f"{b}.own"))
+        fits = fits & ((NUMERATOR + DENOMINATOR) * both >= NUMERATOR * (x + y))
+    return fits
+
+
+def own_shingles(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """rep, own: how many of its shingles no other of ``reps`` has (one
+    partial aggregation over their shingle hashes)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = bytes_of(batch.column(1))
+            ids = batch.column(0).to_numpy()
+            for a, b in chunks(offsets):
+                sets = shingle_sets(data, offsets[a:b + 1], words)
+                n = [len(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[a:b], n)), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "h"])
+
+    hashes = texts.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(run, "rep long, h long")
+    alone = hashes.groupBy("h").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
+    return alone.groupBy("rep").agg(F.count("*").alias("own"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -171,31 +197,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     pairs = (m.join(h, F.col("m.bucket") == F.col("h.bucket"))
              .filter((F.col("m.rep") != F.col("h.rep")) & _possible("m", "h"))
              .groupBy(F.col("m.rep").alias("u")).agg(F.min("h.rep").alias("v")))
-    refuted, found, tested = None, None, 1
-    while True:
-        result = materialise(confirmed(pairs, texts, words))
-        stars = stars.unionByName(result.filter("linked").select("u", "v"))
-        found = materialise(connected_components(stars))
-        stars = found.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-        wrong = result.filter(~F.col("linked")).select("u", "v")
-        refuted = wrong if refuted is None else refuted.unionByName(wrong)
-        placed = (members.join(found, F.col("rep") == F.col("node"), "left")
-                  .withColumn("component", F.coalesce("component", "rep")).drop("node"))
-        mixed = (placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size"))
-                 .filter((F.col("a") < F.col("b")) & (F.col("size") > (tested if tested > 1 else 0))).select("bucket"))
-        open_ = materialise(placed.join(mixed, "bucket"))
-        if open_.isEmpty():
-            break
-        upto = FIRST_HUBS if tested == 1 else tested * MORE_HUBS
-        first = Window.partitionBy("bucket").orderBy("rep")
-        hubs = open_.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= upto)
-        hubs = hubs.filter(F.col("n") > (tested if tested > 1 else 0))
-        m, h = open_.alias("m"), hubs.alias("h")
-        pairs = (m.join(h, F.col("m.bucket") == F.col("h.bucket"))
-                 .filter((F.col("m.component") != F.col("h.component")) & _possible("m", "h"))
-                 .select(F.greatest("m.rep", "h.rep").alias("u"), F.least("m.rep", "h.rep").alias("v")).distinct()
-                 .join(refuted, ["u", "v"], "left_anti"))
-        tested = upto
+
+    def joined(stars: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = materialise(connected_components(stars.unionByName(links)))
+        return found, found.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+    first = materialise(confirmed(pairs, texts, words))
+    found, stars = joined(stars, first.filter("linked").select("u", "v"))
+    members = _linkable(_unsettled(members, found, 0), texts, words)
+    open_ = materialise(_unsettled(members, found, 0))
+    by_id = Window.partitionBy("bucket").orderBy("rep")
+    hubs = open_.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= HUBS)
+    m, h = open_.alias("m"), hubs.alias("h")
+    pairs = (m.join(h, F.col("m.bucket") == F.col("h.bucket"))
+             .filter((F.col("m.component") != F.col("h.component")) & _possible("m", "h", own=True))
+             .select(F.greatest("m.rep", "h.rep").alias("u"), F.least("m.rep", "h.rep").alias("v")).distinct()
+             .join(first.select("u", "v"), ["u", "v"], "left_anti"))
+    second = materialise(confirmed(pairs, texts, words))
+    found, stars = joined(stars, second.filter("linked").select("u", "v"))
+    rest = materialise(_unsettled(members, found, HUBS))
+    found, stars = joined(stars, block_links(rest, texts, words))
 
     labels = (of.join(found, F.col("rep") == F.col("node"), "left")
               .select("doc_id", F.coalesce("component", "rep").alias("component_id")).distinct())
@@ -204,6 +225,91 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _unsettled(members: DataFrame, found: DataFrame, tested: int) -> DataFrame:
+    """``members`` with their component, of the buckets that hold several
+    components and more members than ``tested``."""
+    placed = (members.drop("component").join(found, F.col("rep") == F.col("node"), "left")
+              .withColumn("component", F.coalesce("component", "rep")).drop("node"))
+    mixed = (placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size"))
+             .filter((F.col("a") < F.col("b")) & (F.col("size") > tested)).select("bucket"))
+    return placed.join(mixed, "bucket")
+
+
+def _linkable(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``members`` + own, without those that can reach the similarity with
+    nobody in their bucket: their shared shingles are too few even for its
+    smallest set. Exact: what is own here is shared with no possible partner."""
+    members = materialise(members)
+    known = members.join(own_shingles(members, texts, words), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    for _ in range(2):  # the smallest sets may go first
+        least = known.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+        known = known.join(least, "bucket").filter(
+            (NUMERATOR + DENOMINATOR) * (F.col("n_shingles") - F.col("own")) >= NUMERATOR * (F.col("n_shingles") + F.col("least"))).drop("least")
+    return materialise(known)
+
+
+def block_links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """u, v: links between components of ``members`` that share a bucket,
+    enough of them to join all that are linked.
+
+    Buckets that share members are one cluster; its members are dealt over
+    blocks of about BLOCK, and a task compares two blocks on their full sets
+    (intersections of all rows at once, as matrix products over chunks of the
+    vocabulary) and gives at most one link less than it has rows. So a group
+    of any size is split over tasks, and its pairs are never rows.
+    """
+    hubs = members.groupBy("bucket").agg(F.min("rep").alias("v"))
+    clusters = materialise(connected_components(members.join(hubs, "bucket").select(F.col("rep").alias("u"), "v")))
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = clusters.join(sizes, "component").select(
+        F.col("node").alias("rep"), F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own_block"))
+    known = members.select("rep", F.col("component").alias("was")).distinct().join(dealt, "rep")
+    rows = known.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tasks = rows.select("rep", "was", "text", "cluster", "own_block", other).select(
+        "rep", "was", "text", "cluster", F.least("own_block", "other").alias("a"), F.greatest("own_block", "other").alias("b"))
+
+    def compare(pdf):
+        import pandas as pd
+        return pd.DataFrame(linked_rows(pdf["rep"].to_numpy(), pdf["was"].to_numpy(), pa.array(pdf["text"]), words), columns=["u", "v"])
+
+    return tasks.groupBy("cluster", "a", "b").applyInPandas(compare, "u long, v long")
+
+
+def linked_rows(ids: np.ndarray, was: np.ndarray, texts: pa.Array, words: int) -> list[tuple[int, int]]:
+    """Links between rows of different components, a spanning forest of them."""
+    data, offsets = bytes_of(texts)
+    sets = [s for a, b in chunks(offsets) for s in shingle_sets(data, offsets[a:b + 1], words)]
+    n = np.array([len(s) for s in sets])
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, len(every), COLUMNS):
+        cut = slice(*np.searchsorted(place, [start, start + COLUMNS]))
+        part = np.zeros((len(sets), min(COLUMNS, len(every) - start)), np.float32)
+        part[row[cut], place[cut] - start] = 1
+        part = part[:, part.sum(0) > 1]
+        both += part @ part.T
+    sizes = n[:, None] + n[None, :]
+    u, v = np.nonzero(np.triu(DENOMINATOR * both.astype(np.int64) >= NUMERATOR * (sizes - both.astype(np.int64)), 1))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(u.tolist(), v.tolist()):
+        a, b = root(int(was[i])), root(int(was[j]))
+        if a != b:
+            parent[a] = b
+            out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` less every document that is not the smallest of its component."""
     ident = fresh(docs, "gone_id")

@@ -79,9 +79,12 @@ def test_near_dedup_matches_brute(docs, rows, words):
     assert got == exp and any(not kept for _, _, kept in got.values())
 
 
-def test_near_dedup_hot_group(spark):
-    """One group of copies holds most rows, near copies of it another share,
+@pytest.mark.parametrize("hubs, block", [(8, 512), (1, 16)])
+def test_near_dedup_hot_group(spark, monkeypatch, hubs, block):
+    """Also with nearly everything left to the block comparison. One group of copies holds most rows, near copies of it another share,
     and a passage that many share links nothing."""
+    monkeypatch.setattr(op5_near_dedup, "HUBS", hubs)
+    monkeypatch.setattr(op5_near_dedup, "BLOCK", block)
     base = [f"a{i}" for i in range(120)]
     passage = [f"p{i}" for i in range(60)]
     rows = [(i, " ".join(base)) for i in range(100, 400)]
@@ -90,6 +93,8 @@ def test_near_dedup_hot_group(spark):
         text[(7 * i) % 120] = f"x{i}"
         text[(11 * i) % 120] = f"y{i}"
         rows.append((i, " ".join(text)))
+    # Prefixes of one text: each links with the next ones only.
+    rows += [(i, " ".join(f"s{j}" for j in range(40 + 3 * (i - 700)))) for i in range(700, 780)]
     rows += [(i, " ".join(passage + [f"z{i}q{j}" for j in range(40)])) for i in range(520, 620)]
     exp = brute.near_dup(rows, 4)
     got = op5_near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
