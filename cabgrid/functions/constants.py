@@ -36,30 +36,23 @@ TRIP_JSON_FIELDS = [
     "trip_type",
 ]
 
-# Renames applied when a JSON record is cleaned.
+# Renames applied when a JSON record is cleaned.
 JSON_RENAMES = {
     "lpep_pickup_datetime": "pickup_datetime",
     "lpep_dropoff_datetime": "dropoff_datetime",
     "payment_type": "PaymentType",
 }
 
-# Money columns normalised from text ("$12.50" -> 12.5, null -> 0.0).
+# Money columns normalised from text ("$12.50" -> 12.5, null -> 0.0).
 JSON_MONEY_FIELDS = ["tip_amount", "fare_amount", "tolls_amount", "mta_tax", "total_amount"]
 
-# Text columns cast to double when a JSON record is cleaned.
+# Text columns cast to double when a JSON record is cleaned.
 JSON_DOUBLE_FIELDS = [
     "trip_distance", "pickup_longitude", "pickup_latitude",
     "dropoff_longitude", "dropoff_latitude",
 ]
 
-# Columns dropped from the cleaned table (after the outlier filter).
-CLEAN_DROPPED = [
-    "store_and_fwd_flag", "fare_amount", "extra", "tolls_amount", "mta_tax",
-    "improvement_surcharge", "trip_type", "ratecodeid", "pickup_datetime",
-    "dropoff_datetime", "PaymentType", "TripStartDT", "TripEndDT",
-]
-
-# Cleaned-table layout: data columns then partition columns.
+# Cleaned-table layout: data columns then partition columns.
 CLEAN_COLUMNS = [
     ("pickup_longitude", "double"), ("pickup_latitude", "double"),
     ("dropoff_longitude", "double"), ("dropoff_latitude", "double"),
@@ -73,3 +66,22 @@ CLEAN_PARTITIONS = [("vendorid", "string"), ("TripStartMonth", "int")]
 
 # Default partition layout of the JSON archive (coarser than per-second).
 ARCHIVE_PARTITIONS = ["TripStartYear", "TripStartMonth", "TripStartDay", "hour"]
+
+# The 33 columns of the routed-trip table of the database sink,
+# with their SQL types, in table order.
+ENRICHED_TYPES = [
+    ("vendorid", "VARCHAR(8)"), ("pickup_datetime", "TIMESTAMP"), ("dropoff_datetime", "TIMESTAMP"),
+    ("store_and_fwd_flag", "VARCHAR(8)"), ("ratecodeid", "VARCHAR(8)"),
+    ("pickup_longitude", "DOUBLE PRECISION"), ("pickup_latitude", "DOUBLE PRECISION"),
+    ("dropoff_longitude", "DOUBLE PRECISION"), ("dropoff_latitude", "DOUBLE PRECISION"),
+    ("passenger_count", "VARCHAR(8)"), ("trip_distance", "DOUBLE PRECISION"),
+    ("fare_amount", "DOUBLE PRECISION"), ("extra", "VARCHAR(16)"), ("mta_tax", "DOUBLE PRECISION"),
+    ("tip_amount", "DOUBLE PRECISION"), ("tolls_amount", "DOUBLE PRECISION"),
+    ("improvement_surcharge", "VARCHAR(16)"), ("total_amount", "DOUBLE PRECISION"),
+    ("PaymentType", "VARCHAR(16)"), ("trip_type", "VARCHAR(8)"),
+    ("TripStartDT", "DATE"), ("TripEndDT", "DATE"),
+    ("TripStartDay", "INTEGER"), ("TripStartMonth", "INTEGER"), ("TripStartYear", "INTEGER"),
+    ("hourd", "INTEGER"), ("minuted", "INTEGER"), ("secondd", "INTEGER"), ("dayofweek", "INTEGER"),
+    ("week_day_full", "VARCHAR(16)"), ("cell_pickup", "VARCHAR(16)"), ("cell_dropoff", "VARCHAR(16)"),
+    ("route", "VARCHAR(40)"),
+]

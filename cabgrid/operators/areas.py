@@ -2,7 +2,7 @@
 price breakdown.
 
 Aggregates group by (cell, window) with partial aggregation before the
-shuffle. Money is summed as DECIMAL(12,2) so totals are exact and do not
+shuffle. Money is summed as wide decimals so totals are exact and do not
 depend on partitioning; ratios divide the exact sums as doubles.
 """
 
@@ -11,19 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, window_columns
+from ..functions.columns import EXACT, window_columns
 from .routes import top_k_per_window
 
 
 def _money_sum(name: str):
-    return F.sum(F.col(name).cast(MONEY))
+    return F.sum(F.col(name).try_cast(EXACT))
 
 
 def area_profit_avg(cells: DataFrame, length: str = "15 minutes",
                     time_col: str = "dropoff_datetime", watermark: str | None = None) -> DataFrame:
     """Average fare + tip per (pickup cell, window on dropoff)."""
     cells = cells.withWatermark(time_col, watermark) if watermark else cells
-    profit = F.col("fare_amount").cast(MONEY) + F.col("tip_amount").cast(MONEY)
+    profit = F.col("fare_amount").try_cast(EXACT) + F.col("tip_amount").try_cast(EXACT)
     win = F.window(time_col, length)
     agg = cells.groupBy("cell_pickup", win.alias("w")).agg(
         F.sum(profit).alias("_p"), F.count(profit).alias("_n"))
@@ -78,7 +78,7 @@ def area_profitability_aligned(cells: DataFrame, length: str = "15 minutes") ->
     Both aggregates are keyed on (cell, window struct), so the join reuses
     their hash partitioning instead of shuffling again.
     """
-    profit = F.col("fare_amount").cast(MONEY) + F.col("tip_amount").cast(MONEY)
+    profit = F.col("fare_amount").try_cast(EXACT) + F.col("tip_amount").try_cast(EXACT)
     win = F.window("dropoff_datetime", length)
     p = cells.groupBy(F.col("cell_pickup").alias("cell"), win.alias("w")).agg(
         F.sum(profit).alias("_p"), F.count(profit).alias("_n"))
@@ -91,12 +91,13 @@ def area_profitability_aligned(cells: DataFrame, length: str = "15 minutes") ->
 
 
 def price_breakdown(cells: DataFrame, length: str = "2 hours", time_col: str = "pickup_datetime",
-                    tolls_digits: int = 0) -> DataFrame:
+                    tolls_digits: int = 0, watermark: str | None = None) -> DataFrame:
     """Σ total and the share of each price component per (pickup cell, window).
 
     Shares are rounded to 3 digits, tolls to ``tolls_digits`` (0 as in the
     original report).
     """
+    cells = cells.withWatermark(time_col, watermark) if watermark else cells
     win = F.window(time_col, length)
     agg = cells.groupBy("cell_pickup", win.alias("w")).agg(
         *[_money_sum(c).alias(f"_{c}") for c in

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import money, parse_timestamp
-from ..functions.constants import (CLEAN_COLUMNS, CLEAN_DROPPED, CLEAN_PARTITIONS,
+from ..functions.constants import (CLEAN_COLUMNS, CLEAN_PARTITIONS, ENRICHED_TYPES,
                                    JSON_DOUBLE_FIELDS, JSON_MONEY_FIELDS, JSON_RENAMES,
                                    LIMIT_LAT, LIMIT_LON, ORIGIN_LAT, ORIGIN_LON)
 from .grid import grid_cells, trip_routes
@@ -23,6 +23,12 @@ def inside_box(prefix: str):
             & (lat > F.lit(LIMIT_LAT)) & (lat < F.lit(ORIGIN_LAT)))
 
 
+def valid_trip():
+    """The condition of ``trip_valid``."""
+    return (inside_box("pickup") & inside_box("dropoff") & (F.col("trip_time") > 0)
+            & (F.col("trip_distance") > 0) & (F.col("total_amount") > 0))
+
+
 def trip_valid(trips: DataFrame) -> DataFrame:
     """Trips whose four coordinates lie strictly inside the grid and whose
     ``trip_time``, ``trip_distance`` and ``total_amount`` are positive.
@@ -30,9 +36,7 @@ def trip_valid(trips: DataFrame) -> DataFrame:
 
     An all-null row fails these comparisons, so no separate all-null drop is
     needed (one would reference every column and defeat column pruning)."""
-    return trips.filter(inside_box("pickup") & inside_box("dropoff")
-                        & (F.col("trip_time") > 0) & (F.col("trip_distance") > 0)
-                        & (F.col("total_amount") > 0))
+    return trips.filter(valid_trip())
 
 
 def trip_box_filter(trips: DataFrame) -> DataFrame:
@@ -80,8 +84,7 @@ def trip_clean(records: DataFrame) -> DataFrame:
     """Cleaned trip table from decoded JSON records.
 
     Outlier filter on typed values first (0 < passengers < 8, 0 <= tip < 30,
-    1 <= fare < 150, 0 < distance < 100), then the unneeded columns are
-    dropped. ``passenger_count`` stays text, as in the table layout.
+    1 <= fare < 150, 0 < distance < 100), then the table's columns. ``passenger_count`` stays text, as in the table layout.
     """
     df = trip_date_parts(trip_typed_json(records), names="table")
     pc = F.trim(F.col("passenger_count")).try_cast("double")
@@ -89,7 +92,6 @@ def trip_clean(records: DataFrame) -> DataFrame:
                    & (F.col("tip_amount") >= 0) & (F.col("tip_amount") < 30)
                    & (F.col("fare_amount") >= 1) & (F.col("fare_amount") < 150)
                    & (F.col("trip_distance") > 0) & (F.col("trip_distance") < 100))
-    df = df.drop(*CLEAN_DROPPED)
     cols = [F.col(n).cast(t).alias(n) for n, t in CLEAN_COLUMNS + CLEAN_PARTITIONS]
     return df.select(*cols)
 
@@ -102,12 +104,4 @@ def trip_enriched(records: DataFrame, size: int = 500, convention: str = "lat_lo
     return trip_routes(grid_cells(df, size, convention), convention)
 
 
-ENRICHED_COLUMNS = [
-    "vendorid", "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "ratecodeid",
-    "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
-    "passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
-    "tolls_amount", "improvement_surcharge", "total_amount", "PaymentType", "trip_type",
-    "TripStartDT", "TripEndDT", "TripStartDay", "TripStartMonth", "TripStartYear",
-    "hourd", "minuted", "secondd", "dayofweek", "week_day_full",
-    "cell_pickup", "cell_dropoff", "route",
-]
+ENRICHED_COLUMNS = [name for name, _ in ENRICHED_TYPES]

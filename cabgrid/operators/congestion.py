@@ -10,33 +10,31 @@ from . import sequence as seq
 
 
 def route_rising_runs(routed: DataFrame, time_col: str = "dropoff_datetime",
-                      tiebreak: str | None = "trip_id", bucket_seconds: int | None = None) -> DataFrame:
+                      tiebreak: str | None = "trip_id",
+                      bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
     """Per ride: ``run_length`` of strictly rising ``trip_time`` on its route
     (rides in dropoff order), plus duration and pickup point of the ride that
     started the run."""
     order = seq.key_time_order(time_col, tiebreak)
-    bucket_seconds = seq.resolve_bucket(routed, ["route"], time_col, bucket_seconds)
-    d = seq.rising_runs(routed, ["route"], order, "trip_time",
-                        ["pickup_longitude", "pickup_latitude"], bucket_seconds)
-    return d.drop(seq.BUCKET, "prev_trip_time")
+    return seq.rising_runs(routed, ["route"], order, "trip_time",
+                           ["pickup_longitude", "pickup_latitude"], bucket_seconds).drop(seq.BUCKET)
 
 
 def congestion_alerts(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
                       time_col: str = "dropoff_datetime", tiebreak: str | None = "trip_id",
-                      bucket_seconds: int | None = None) -> DataFrame:
+                      bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
     """Rides ending a run of at least ``min_run`` rising durations whose first
     ride lasted longer than the route's mean duration over the last
     ``mean_hours`` (rides with dropoff in [t - mean_hours, t]).
 
-    The trailing mean and the run detection share the (route, day) layout,
-    so the data is shuffled once for both.
+    The rows are shuffled once by (route, bucket) for the trailing mean and
+    the runs; the carries of both are narrow aggregates.
     """
     order = seq.key_time_order(time_col, tiebreak)
-    bucket_seconds = seq.resolve_bucket(routed, ["route"], time_col, bucket_seconds)
     d = seq.trailing_range_avg(routed, ["route"], time_col, "trip_time", mean_hours * 3600,
                                "route_mean", bucket_seconds)
     d = seq.rising_runs(d, ["route"], order, "trip_time",
-                        ["pickup_longitude", "pickup_latitude"], bucket_seconds)
+                        ["pickup_longitude", "pickup_latitude"], bucket_seconds, source=routed)
     return (d.filter((F.col("run_length") >= min_run)
                      & (F.col("first_trip_time") > F.col("route_mean")))
             .select("route", *([tiebreak] if tiebreak else []), time_col, "run_length",
@@ -45,7 +43,7 @@ def congestion_alerts(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
 
 
 def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "trip_id",
-                     bucket_seconds: int | None = None) -> DataFrame:
+                     bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
     """Running mean of ``trip_time`` per route (rides in dropoff order) that
     restarts at the first ride ending more than ``reset_hours`` after the
     pickup of the ride that started the current mean: the original job's
@@ -61,7 +59,7 @@ def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "t
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(routed.sparkSession)
-    bucket_seconds = seq.resolve_bucket(routed, ["route"], "dropoff_datetime", bucket_seconds)
+    routed = routed.dropna(subset=["dropoff_datetime", "pickup_datetime"])
     span = reset_hours * 3600 * 1_000_000
     r = routed.dropna(subset=["route"]).select(
         "route", F.col(tiebreak).alias("_id"), "trip_time", "dropoff_datetime",

@@ -7,37 +7,44 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import AVG_DIGITS, epoch_micros, window_columns
 from .routes import top_k_per_window
-from .sequence import BUCKET, previous_in_order, resolve_bucket
+from .sequence import BUCKET, BUCKET_SECONDS, previous_in_order
 
 
-def driver_tip_rate(trips: DataFrame, length: str = "1 day",
-                    time_col: str = "dropoff_datetime") -> DataFrame:
-    """Average of tip / total per (window on dropoff, driver)."""
+def driver_tip_rate(trips: DataFrame, length: str = "1 day", time_col: str = "dropoff_datetime",
+                    watermark: str | None = None) -> DataFrame:
+    """Average of tip / total per (window on dropoff, driver), as computed;
+    ``reported_rates`` rounds it for a report."""
+    trips = trips.withWatermark(time_col, watermark) if watermark else trips
     rate = F.try_divide(F.col("tip_amount"), F.col("total_amount"))
     win = F.window(time_col, length)
-    return (trips.groupBy(win.alias("w"), "hack_license")
-            .agg(F.round(F.avg(rate), AVG_DIGITS).alias("avg_tip_percentage"))
+    return (trips.groupBy(win.alias("w"), "hack_license").agg(F.avg(rate).alias("avg_tip_percentage"))
             .select(*window_columns(F.col("w")), "hack_license", "avg_tip_percentage"))
 
 
+def reported_rates(rates: DataFrame) -> DataFrame:
+    """Rates rounded for the report, after any ranking."""
+    return rates.withColumn("avg_tip_percentage", F.round("avg_tip_percentage", AVG_DIGITS))
+
+
 def most_pleasant_driver(rates: DataFrame, k: int = 1) -> DataFrame:
-    """Highest average tip rate over the whole result (window, driver break ties)."""
-    return rates.orderBy(F.col("avg_tip_percentage").desc_nulls_last(), "window_start",
-                         "hack_license").limit(k)
+    """Highest average tip rate over the whole result (window, driver break
+    ties); ranked as computed, then rounded."""
+    return reported_rates(rates.orderBy(F.col("avg_tip_percentage").desc_nulls_last(), "window_start",
+                                        "hack_license").limit(k))
 
 
 def pleasant_driver_per_day(rates: DataFrame, k: int = 1) -> DataFrame:
-    """Highest average tip rate inside every window."""
-    return top_k_per_window(rates, [F.col("avg_tip_percentage").desc_nulls_last(),
-                                    F.col("hack_license")], k)
+    """Highest average tip rate inside every window; ranked as computed."""
+    return reported_rates(top_k_per_window(rates, [F.col("avg_tip_percentage").desc_nulls_last(),
+                                                   F.col("hack_license")], k))
 
 
 def previous_ride(cells: DataFrame, key: str = "hack_license", time_col: str = "pickup_datetime",
-                  tiebreak: str | None = "trip_id", bucket_seconds: int | None = None) -> DataFrame:
+                  tiebreak: str | None = "trip_id",
+                  bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Every ride with the dropoff cell and dropoff time of the same driver's
     previous ride (by pickup time); null for the driver's first ride."""
     order = [time_col] + ([tiebreak] if tiebreak else [])
-    bucket_seconds = resolve_bucket(cells, [key], time_col, bucket_seconds)
     d = previous_in_order(cells, [key], order, ["cell_dropoff", "dropoff_datetime"],
                           bucket_seconds=bucket_seconds)
     return d.drop(BUCKET)

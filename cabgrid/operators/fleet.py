@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY
+from ..functions.columns import EXACT
 from ..sources import tables
 
 
 def vendor_revenue(clean: DataFrame) -> DataFrame:
     """round(Σ total_amount) per vendor."""
     return clean.groupBy("vendorid").agg(
-        F.round(F.sum(F.col("total_amount").cast(MONEY)), 0).cast("double").alias("amount"))
+        F.round(F.sum(F.col("total_amount").try_cast(EXACT)), 0).cast("double").alias("amount"))
 
 
 def vendor_revenue_report(revenue: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def vendor_revenue_report(revenue: DataFrame) -> DataFrame:
 def fleet_totals(enriched: DataFrame) -> DataFrame:
     """Σ trip_distance and Σ passenger_count over the whole table."""
     return enriched.agg(
-        F.sum(F.col("trip_distance").cast(MONEY)).cast("double").alias("total_trip_distance"),
+        F.sum(F.col("trip_distance").try_cast(EXACT)).cast("double").alias("total_trip_distance"),
         F.sum(F.trim(F.col("passenger_count")).try_cast("double")).alias("total_passengers"))
 
 

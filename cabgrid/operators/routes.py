@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, window_columns
+from ..functions.columns import EXACT, window_columns
 
 
 def route_counts(routed: DataFrame, length: str = "30 minutes", slide: str = "10 minutes",
@@ -42,13 +42,14 @@ def top_routes_per_window(counts: DataFrame, k: int = 10) -> DataFrame:
     return top_k_per_window(counts, [F.col("count").desc(), F.col("route")], k)
 
 
-def amount_per_mile(routed: DataFrame, length: str = "1 hour",
-                    time_col: str = "pickup_datetime") -> DataFrame:
+def amount_per_mile(routed: DataFrame, length: str = "1 hour", time_col: str = "pickup_datetime",
+                    watermark: str | None = None) -> DataFrame:
     """Σ total_amount / Σ trip_distance per (window on pickup, route)."""
+    routed = routed.withWatermark(time_col, watermark) if watermark else routed
     win = F.window(time_col, length)
     agg = routed.groupBy(win.alias("w"), "route").agg(
-        F.sum(F.col("total_amount").cast(MONEY)).alias("sum_total"),
-        F.sum(F.col("trip_distance").cast(MONEY)).alias("sum_distance"))
+        F.sum(F.col("total_amount").try_cast(EXACT)).alias("sum_total"),
+        F.sum(F.col("trip_distance").try_cast(EXACT)).alias("sum_distance"))
     return agg.select(*window_columns(F.col("w")), "route",
                       F.try_divide(F.col("sum_total").cast("double"),
                                    F.col("sum_distance").cast("double")).alias("amount_per_mile"))

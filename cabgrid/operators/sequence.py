@@ -2,21 +2,21 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if
 one taxi or route holds a third of the data, that task holds a third of the
-data. Here every window is partitioned by (key, time bucket) instead, and
-what crosses a bucket boundary is carried by a small per-bucket summary
-(one row per key and bucket), joined only to the rows that need it:
-
-* previous row: the last row of each bucket, ``lag`` over buckets, joined to
-  each bucket's first row;
-* run counters: the run state at the end of each bucket, combined with a
-  prefix scan over buckets, joined to the rows before a bucket's first break;
-* trailing range aggregates: each row is copied as context (a halo) into the
-  later buckets its range reaches, so every frame is whole in its bucket;
+data. Here every window is partitioned by (key, time bucket), and what crosses
+a bucket boundary is a carry: one row per key and bucket, from a narrow
+aggregate of the columns it needs, joined to the one pass over the rows.
+
+* previous row: the last row of each bucket, ``lag`` over buckets;
+* run counters: each bucket's row count, last value and last break, scanned
+  over buckets to the run that enters each bucket;
+* trailing range means: exact prefix sums; the prefix at ``t - range`` comes
+  from narrow look-up entries placed in the bucket that asks for them;
 * successor search and chains (``first_after``, ``chain_members``) for the
   restart rule of the reset mean.
 
-The bucket width is chosen from the data (``choose_bucket_seconds``). All
-results equal the unbucketed window definitions exactly.
+Buckets are BUCKET_SECONDS wide unless the caller says otherwise, whatever the
+data. Rows without a key or a time have no place in a sequence and are left
+out. All results equal the unbucketed window definitions exactly.
 """
 
 from __future__ import annotations
@@ -24,166 +24,142 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import epoch_micros
+from ..functions.columns import EXACT, epoch_micros
 
 BUCKET = "_bkt"
-DAY = 86_400
+# One hour: a key's rows of an hour are one window partition, and a key has
+# 8,766 carry rows a year. A parameter of every operator.
+BUCKET_SECONDS = 3_600
 
 
-# Target rows per (key, bucket) window partition when the width is chosen
-# from the data.
-BUCKET_ROWS = 2_000_000
-MIN_BUCKET = 60
-
-
-def choose_bucket_seconds(df: DataFrame, key: list[str], time_col: str,
-                          target_rows: int = BUCKET_ROWS) -> int:
-    """Bucket width that keeps every (key, bucket) under ``target_rows``.
-
-    One aggregate job: rows per (key, day), largest group. A day is halved
-    until the densest key-day would fit (assuming rows spread over the day;
-    the width never drops below a minute). A key holding a third of the
-    data is thereby split over as many tasks as its volume needs.
-    """
-    day = F.floor(epoch_micros(df, time_col) / F.lit(DAY * 1_000_000))
-    top = (df.groupBy(*key, day.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.max("_n").alias("m")).first()["m"]) or 0
-    width = DAY
-    while top > target_rows and width > MIN_BUCKET:
-        width //= 2
-        top //= 2
-    return max(width, MIN_BUCKET)
-
-
-def resolve_bucket(df: DataFrame, key: list[str], time_col: str, bucket_seconds: int | None) -> int:
-    return bucket_seconds if bucket_seconds else choose_bucket_seconds(df, key, time_col)
-
-
-def add_bucket(df: DataFrame, time_col: str, bucket_seconds: int = DAY) -> DataFrame:
+def add_bucket(df: DataFrame, time_col: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     if BUCKET in df.columns:
         return df
     width = bucket_seconds * 1_000_000
     return df.withColumn(BUCKET, F.floor(epoch_micros(df, time_col) / F.lit(width)).cast("long"))
 
 
+def placed(df: DataFrame, key: list[str], time_col: str, bucket_seconds: int) -> DataFrame:
+    """Rows that have a place in a sequence, with their bucket."""
+    return add_bucket(df.dropna(subset=[*key, time_col]), time_col, bucket_seconds)
+
+
 def previous_in_order(df: DataFrame, key: list[str], order: list[str], cols: list[str],
-                      prefix: str = "prev_", bucket_seconds: int = DAY) -> DataFrame:
+                      prefix: str = "prev_", bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key
     (rows ordered by ``order``; ``order[0]`` is the timestamp bucketed).
 
-    One window pass over (key, bucket) gives the in-bucket ``lag`` and, on
-    each bucket's first row, the bucket's last row. Only those first rows
-    (one per key and bucket) are joined to the previous bucket's last row;
-    all other rows never leave the window's partitioning.
-    Rows whose key is null have no sequence and are left out.
+    One window pass over (key, bucket); a bucket's first row takes the last
+    row of the bucket before, from a partial aggregate.
     """
-    d = add_bucket(df.dropna(subset=key), order[0], bucket_seconds)
+    d = placed(df, key, order[0], bucket_seconds)
+    ends = d.groupBy(*key, BUCKET).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
+    carry = ends.select(*key, BUCKET, F.lag("_last").over(Window.partitionBy(*key).orderBy(BUCKET)).alias("_carry"))
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumns({
-        "_rn": F.row_number().over(w),
-        "_blast": F.last(F.struct(*[F.col(c).alias(c) for c in cols])).over(whole),
-        **{prefix + c: F.lag(c).over(w) for c in cols},
-    })
-    firsts = d.filter(F.col("_rn") == 1)
-    carry = firsts.select(*key, BUCKET, F.lag("_blast").over(
-        Window.partitionBy(*key).orderBy(BUCKET)).alias("_carry"))
-    head = firsts.drop(*[prefix + c for c in cols]).join(carry, key + [BUCKET]).withColumns(
-        {prefix + c: F.col("_carry")[c] for c in cols}).drop("_carry")
-    rest = d.filter(F.col("_rn") > 1)
-    return rest.unionByName(head).drop("_rn", "_blast")
+    d = d.join(carry, [*key, BUCKET]).withColumns(
+        {"_rn": F.row_number().over(w), **{prefix + c: F.lag(c).over(w) for c in cols}})
+    return d.withColumns({prefix + c: F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(prefix + c))
+                          for c in cols}).drop("_rn", "_carry")
+
+
+def run_carries(df: DataFrame, key: list[str], order: list[str], value: str, carry: list[str],
+                bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Per (key, bucket): ``_before`` rows in earlier buckets, ``_enter`` the
+    last value before it, ``_run`` the start of the run that enters it
+    (``at``: its row number, ``value``, and the ``carry`` columns)."""
+    d = placed(df, key, order[0], bucket_seconds).select(*key, BUCKET, *dict.fromkeys([*order, value, *carry]))
+    w = Window.partitionBy(*key, BUCKET).orderBy(*order)
+    d = d.withColumns({"_pos": F.row_number().over(w) - 1, "_prev": F.lag(value).over(w)})
+    start = F.struct(F.col("_pos").alias("at"), F.col(value).alias("value"), *carry)
+    broke = (F.col("_pos") > 0) & (F.col("_prev").isNull() | (F.col(value) <= F.col("_prev")))
+    ends = d.groupBy(*key, BUCKET).agg(
+        F.count("*").alias("_n"), F.max_by(value, "_pos").alias("_last"), F.min_by(start, "_pos").alias("_first"),
+        F.max_by(F.when(broke, start), F.when(broke, F.col("_pos"))).alias("_break"))
+    kw = Window.partitionBy(*key).orderBy(BUCKET)
+    earlier = kw.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumns({"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_enter": F.lag("_last").over(kw)})
+    first = F.col("_first.value")
+    latest = F.coalesce("_break", F.when(F.col("_enter").isNull() | (first <= F.col("_enter")), F.col("_first")))
+    moved = F.when(latest.isNotNull(), F.struct((latest["at"] + F.col("_before")).alias("at"), latest["value"].alias("value"),
+                                                *[latest[c].alias(c) for c in carry]))
+    return (ends.withColumn("_latest", moved)
+            .select(*key, BUCKET, "_before", "_enter", F.last("_latest", ignorenulls=True).over(earlier).alias("_run")))
 
 
 def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
-                carry: list[str], bucket_seconds: int = DAY) -> DataFrame:
+                carry: list[str], bucket_seconds: int = BUCKET_SECONDS, source: DataFrame | None = None) -> DataFrame:
     """Length of the current run of strictly rising ``value`` per key.
 
     ``run_length`` is 0 on the first row of a key and whenever ``value`` does
     not exceed the previous row's, else previous + 1. ``first_<value>`` and
     ``first_<c>`` for ``c`` in ``carry`` come from the row that started the run.
 
-    Per (key, bucket) window passes give the run inside the bucket and the
-    bucket's end state; a prefix scan over the end states (one row per key
-    and bucket) gives the run entering each bucket. Only rows before the
-    bucket's first break need that carry, so only they are joined to it.
+    One pass over the rows (one shuffle, one window order) beside the carries;
+    ``source``: the rows to take the carries from, where ``df`` is derived
+    from them.
     """
-    d = previous_in_order(df, key, order, [value], bucket_seconds=bucket_seconds)
+    carries = run_carries(df if source is None else source, key, order, value, carry, bucket_seconds)
+    d = placed(df, key, order[0], bucket_seconds).join(carries, [*key, BUCKET])
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    prev = F.col("prev_" + value)
-    start = F.struct(F.col(value).alias("first_" + value),
-                     *[F.col(c).alias("first_" + c) for c in carry])
-    d = d.withColumn("_pos", F.row_number().over(w) - 1)
-    d = d.withColumn("_brk", prev.isNull() | (F.col(value) <= prev))
-    d = d.withColumns({
-        "_lastbrk": F.max(F.when(F.col("_brk"), F.col("_pos"))).over(upto),
-        "_start": F.last(F.when(F.col("_brk"), start), ignorenulls=True).over(upto),
-    })
-    d = d.withColumn("_bend", F.last(F.struct("_pos", "_lastbrk", "_start")).over(whole))
-    # Run state at the end of every bucket, then a prefix scan over buckets.
-    ends = d.filter(F.col("_pos") == 0).select(
-        *key, BUCKET, (F.col("_bend._pos") + 1).alias("_n"),
-        (F.col("_bend._pos") - F.col("_bend._lastbrk")).alias("_local_end"),
-        F.col("_bend._start").alias("_end_start"))
-    kw = Window.partitionBy(*key).orderBy(BUCKET)
-    ends = ends.withColumn("_cum", F.sum("_n").over(kw.rowsBetween(Window.unboundedPreceding, 0)))
-    last_with_break = F.last(
-        F.when(F.col("_local_end").isNotNull(),
-               F.struct(F.col("_cum").alias("cum"), F.col("_local_end").alias("cnt"),
-                        F.col("_end_start").alias("start"))),
-        ignorenulls=True).over(kw.rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.withColumn("_lb", last_with_break).select(
-        *key, BUCKET,
-        (F.col("_lb.cnt") + (F.col("_cum") - F.col("_n") - F.col("_lb.cum"))).alias("_carry_cnt"),
-        F.col("_lb.start").alias("_carry_start"))
-    in_bucket = F.col("_lastbrk").isNotNull()
-    local = d.filter(in_bucket).withColumns({
-        "run_length": (F.col("_pos") - F.col("_lastbrk")).cast("long"), "_st": F.col("_start")})
-    carried = d.filter(~in_bucket).join(ends, key + [BUCKET]).withColumns({
-        "run_length": (F.col("_carry_cnt") + F.col("_pos") + 1).cast("long"),
-        "_st": F.col("_carry_start")}).drop("_carry_cnt", "_carry_start")
-    out = local.unionByName(carried)
-    out = out.withColumns({f: F.col("_st")[f] for f in
-                           ["first_" + value] + ["first_" + c for c in carry]})
-    return out.drop("_pos", "_brk", "_lastbrk", "_start", "_bend", "_st")
+    d = d.withColumns({"_pos": F.row_number().over(w) - 1, "_prev": F.lag(value).over(w)})
+    prev = F.when(F.col("_pos") == 0, F.col("_enter")).otherwise(F.col("_prev"))
+    at = F.col("_before") + F.col("_pos")
+    start = F.struct(at.alias("at"), F.col(value).alias("value"), *carry)
+    d = d.withColumn("_start", F.coalesce(
+        F.last(F.when(prev.isNull() | (F.col(value) <= prev), start), ignorenulls=True).over(upto), "_run"))
+    return d.withColumns({"run_length": (at - F.col("_start.at")).cast("long"), "first_" + value: F.col("_start.value"),
+                          **{"first_" + c: F.col("_start")[c] for c in carry}}).drop(
+        "_before", "_enter", "_run", "_pos", "_prev", "_start")
 
 
 def trailing_range_avg(df: DataFrame, key: list[str], time_col: str, value: str,
-                       range_seconds: int, out: str, bucket_seconds: int = DAY) -> DataFrame:
+                       range_seconds: int, out: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """``out`` = average of ``value`` over rows of the same key whose
     ``time_col`` lies in [t - range, t] (ties included).
 
-    Partitioned by (key, bucket). Every row is also copied, as context, into
-    each later bucket whose start lies less than ``range`` after it
-    (ceil(range / bucket) buckets at most), so every frame is whole inside
-    its bucket. The copies add range/bucket of the rows (1/6 for 4 h in a
-    day; more when a dense key needs buckets shorter than the range).
+    The sum to ``t`` less the sum before ``t - range``, both exact decimals:
+    totals of earlier buckets (a carry per key and bucket) and growing frames
+    inside the bucket. For the second, each row gives one narrow entry (key,
+    time, value) to the bucket that starts ``range`` later. Linear in the rows;
+    ``bucket_seconds`` must divide the range.
     """
-    rng = range_seconds * 1_000_000
-    width = bucket_seconds * 1_000_000
-    reach = -(-range_seconds // bucket_seconds)
-    d = add_bucket(df, time_col, bucket_seconds).withColumn("_t", epoch_micros(df, time_col))
-    ctx = (d.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(reach))))
-           .filter(F.col("_t") >= (F.col(BUCKET) + F.col("_j")) * F.lit(width) - F.lit(rng))
-           .withColumn(BUCKET, F.col(BUCKET) + F.col("_j")).drop("_j")
-           .withColumn("_ctx", F.lit(True)))
-    u = d.withColumn("_ctx", F.lit(False)).unionByName(ctx)
-    w = Window.partitionBy(*key, BUCKET).orderBy("_t").rangeBetween(-rng, 0)
-    return (u.withColumn(out, F.avg(value).over(w)).filter(~F.col("_ctx"))
-            .drop("_ctx", "_t"))
+    if range_seconds % bucket_seconds:
+        raise ValueError(f"a range of {range_seconds} s is not a multiple of the {bucket_seconds} s buckets")
+    rng, back = range_seconds * 1_000_000, range_seconds // bucket_seconds
+    d = placed(df, key, time_col, bucket_seconds).withColumn("_t", epoch_micros(df, time_col))
+    v = F.col(value).try_cast(EXACT)
+    narrow = d.select(*key, BUCKET, "_t", v.alias("_v"))
+    kw = Window.partitionBy(*key).orderBy(BUCKET)
+    totals = narrow.groupBy(*key, BUCKET).agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c"))
+
+    def until(column: str, last: int) -> Column:
+        return F.coalesce(F.sum(column).over(kw.rangeBetween(Window.unboundedPreceding, last)), F.lit(0))
+
+    # Sum and count in (the buckets wholly before t - range, the bucket's start].
+    base = totals.select(*key, BUCKET, (until("_s", -1) - until("_s", -1 - back)).alias("_bs"),
+                         (until("_c", -1) - until("_c", -1 - back)).alias("_bc"))
+    entries = narrow.select(*key, (F.col(BUCKET) + back).alias(BUCKET), (F.col("_t") + rng).alias("_t"), F.col("_v").alias("_gone"))
+    both = d.withColumn("_v", v).unionByName(entries.withColumn("_entry", F.lit(True)), allowMissingColumns=True)
+    w = Window.partitionBy(*key, BUCKET).orderBy("_t", F.col("_entry").asc_nulls_first())
+    gone = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    came = Window.partitionBy(*key, BUCKET).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumns({"_gs": F.coalesce(F.sum("_gone").over(gone), F.lit(0)), "_gc": F.count("_gone").over(gone)})
+    both = both.withColumns({"_us": F.coalesce(F.sum("_v").over(came), F.lit(0)), "_uc": F.count("_v").over(came)})
+    rows = both.filter(F.col("_entry").isNull()).join(base, [*key, BUCKET])
+    mean = F.try_divide((F.col("_bs") + F.col("_us") - F.col("_gs")).cast("double"), F.col("_bc") + F.col("_uc") - F.col("_gc"))
+    return rows.withColumn(out, mean).drop("_t", "_v", "_entry", "_gone", "_gs", "_gc", "_us", "_uc", "_bs", "_bc")
 
 
 def key_time_order(time_col: str, tiebreak: str | None) -> list[str]:
     return [time_col] + ([tiebreak] if tiebreak else [])
 
 
-
 LONG_MAX = 9_223_372_036_854_775_807
 
 
 def first_after(rides: DataFrame, probes: DataFrame, key: list[str],
-                bucket_seconds: int = DAY) -> DataFrame:
+                bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """For every probe, the first ride of the same key strictly after it.
 
     ``rides``: key, ``_t`` (long), ``_k`` (long tiebreak), ``_ride`` (id).

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import areas, congestion, drivers, fleet, routes
@@ -20,7 +21,7 @@ from ..sources.decode import trip_decode_csv, trip_decode_json
 from ..sources.trips import load_table, load_trips, to_trip_json, to_trip_lines
 from ..streaming import jobs
 from ..streaming.sinks import topic_fanout
-from ..streaming.sources import read_json_stream, read_trip_stream, stage_time_slices
+from ..streaming.sources import closing_line, read_json_stream, read_trip_stream, stage_time_slices
 
 TOPICS = ["topic2", "topic3", "topic4"]
 
@@ -88,10 +89,14 @@ def q_area_profitability(spark, d):
     return areas.area_profitability(areas.area_profit_avg(c), areas.area_dropoffs(c))
 
 
-def q_driver_tip_rate(spark, d):
+def tip_rates(spark, d):
     return drivers.driver_tip_rate(valid(spark, d))
 
 
+def q_driver_tip_rate(spark, d):
+    return drivers.reported_rates(tip_rates(spark, d))
+
+
 def q_price_breakdown(spark, d):
     return areas.price_breakdown(grid_cells(valid(spark, d), 500))
 
@@ -171,16 +176,22 @@ def q_route_mean_reset(spark, d):
 FEED_SCHEMA = T.StructType([T.StructField("trip_id", T.LongType()), T.StructField("value", T.StringType())])
 
 
-def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime", batches: int = 4):
-    """Stage the trips' wire form as time-ordered files in the shared folder
-    and open a file stream over them: at least ``batches`` micro-batches (more
-    when the table is large, as files are capped in rows), each reading as
-    many files as the cluster has cores."""
+def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime", files: int = 32, per_batch: int = 8,
+          late_seconds: int = 0):
+    """Stage the trips' wire form as ``files`` files in order of arrival in
+    the shared folder and open a file stream over them, ``per_batch`` files a
+    micro-batch. A trip arrives up to ``late_seconds`` after its event time
+    (by a hash of its id); a closing line ends the trip lines."""
     trips = load_trips(spark, d)
+    delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(F.xxhash64("trip_id"), F.lit(late_seconds + 1)).cast("decimal(18,6)"))
+    arrival = (F.coalesce(time_col, "pickup_datetime") + delay).alias("arrival")
     wire = to_trip_lines if form == "csv" else to_trip_json
-    per_batch = spark.sparkContext.defaultParallelism
-    glob = stage_time_slices(wire(trips, keep_id=True, keep=(time_col,)), time_col,
-                             min_files=batches * per_batch)
+    rows = wire(trips, keep_id=True, keep=("pickup_datetime", "dropoff_datetime")).select("trip_id", "value", arrival)
+    if form == "csv":
+        last = spark.range(1).select(F.lit(-1).cast("long").alias("trip_id"), F.lit(closing_line()).alias("value"),
+                                     F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'").alias("arrival"))
+        rows = rows.unionByName(last)
+    glob = stage_time_slices(rows, "arrival", files)
     read = read_trip_stream if form == "csv" else read_json_stream
     return read(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
                 keep=("trip_id",))
@@ -214,6 +225,34 @@ def q_route_mean_reset_stream(spark, d):
     return jobs.route_mean_reset_stream(_feed(spark, d))
 
 
+LATE_SECONDS = 20 * 60
+
+
+def q_late(job, time_col: str = "dropoff_datetime"):
+    """A keyed-state job fed with trips up to 20 minutes late, out of order."""
+    return lambda spark, d: job(_feed(spark, d, time_col=time_col, late_seconds=LATE_SECONDS))
+
+
+def q_windowed(job, output_mode: str = "complete"):
+    return lambda spark, d: job(_feed(spark, d), output_mode=output_mode)
+
+
+def routed_lon_lat(spark, d):
+    return routed_trips(valid(spark, d), 500, "lon_lat_ceil")
+
+
+def q_idle_time_uncapped(spark, d):
+    return drivers.idle_time(drivers.previous_ride(grid_cells(valid(spark, d), 500)), None)
+
+
+def q_idle_time_lon_lat(spark, d):
+    return drivers.idle_time(drivers.previous_ride(routed_lon_lat(spark, d)))
+
+
+def q_congestion_alerts_lon_lat(spark, d):
+    return congestion.congestion_alerts(routed_lon_lat(spark, d))
+
+
 def q_archive_readback(spark, d):
     return jobs.archive_roundtrip(_feed(spark, d, "json"))
 
@@ -240,8 +279,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_profitability": q_area_profitability,
     "area_profitability_aligned": lambda s, d: areas.area_profitability_aligned(cells250(s, d)),
     "driver_tip_rate": q_driver_tip_rate,
-    "most_pleasant_driver": lambda s, d: drivers.most_pleasant_driver(q_driver_tip_rate(s, d)),
-    "pleasant_driver_per_day": lambda s, d: drivers.pleasant_driver_per_day(q_driver_tip_rate(s, d)),
+    "most_pleasant_driver": lambda s, d: drivers.most_pleasant_driver(tip_rates(s, d)),
+    "pleasant_driver_per_day": lambda s, d: drivers.pleasant_driver_per_day(tip_rates(s, d)),
     "price_breakdown": q_price_breakdown,
     "top_price_breakdown": lambda s, d: areas.top_price_breakdown(q_price_breakdown(s, d)),
     "price_breakdown_per_window": lambda s, d: areas.price_breakdown_per_window(q_price_breakdown(s, d)),
@@ -268,6 +307,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idle_time_stream": q_idle_time_stream,
     "congestion_stream": q_congestion_stream,
     "route_mean_reset_stream": q_route_mean_reset_stream,
+    "idle_time_uncapped": q_idle_time_uncapped,
+    "idle_time_lon_lat": q_idle_time_lon_lat,
+    "congestion_alerts_lon_lat": q_congestion_alerts_lon_lat,
+    "most_pleasant_driver_stream": q_windowed(jobs.most_pleasant_driver_stream),
+    "most_pleasant_driver_stream_update": q_windowed(jobs.most_pleasant_driver_stream, "update"),
+    "top_price_breakdown_stream": q_windowed(jobs.top_price_breakdown_stream),
+    "top_price_breakdown_stream_update": q_windowed(jobs.top_price_breakdown_stream, "update"),
+    "top_amount_per_mile_stream": q_windowed(jobs.top_amount_per_mile_stream),
+    "top_amount_per_mile_stream_update": q_windowed(jobs.top_amount_per_mile_stream, "update"),
+    "idle_time_stream_late": q_late(jobs.idle_time_stream, "pickup_datetime"),
+    "congestion_stream_late": q_late(jobs.congestion_stream),
+    "route_mean_reset_stream_late": q_late(jobs.route_mean_reset_stream),
     "archive_readback": q_archive_readback,
     "register_clean_table": q_register_clean_table,
 }

@@ -6,27 +6,13 @@ the trip derivation, so the oracle shares no code path with Spark.
 
 from __future__ import annotations
 
-LON0, LAT0 = "-7.4916578e1", "4.147718278e1"
-LON1, LAT1 = "-7.3120778e1", "4.012971598e1"
-DLON, DLAT = "5.986e-3", "4.491556e-3"
-
-TRIPS = """trips AS (
-SELECT event_id AS trip_id, CAST(event_id % 200 AS VARCHAR) AS medallion, CAST(user_id AS VARCHAR) AS hack_license,
- ts - (60 + (event_id*event_id*31 + event_id*17) % 2399) * INTERVAL '1' SECOND AS pickup_datetime, ts AS dropoff_datetime,
- CAST(60 + (event_id*event_id*31 + event_id*17) % 2399 AS DOUBLE) AS trip_time,
- CASE WHEN event_id % 29 = 0 THEN 0e0 ELSE CAST((event_id*31) % 1500 AS DOUBLE)/1e2 END AS trip_distance,
- CASE WHEN event_id % 23 = 0 THEN 0e0 ELSE -7.4916578e1 + (150 + ((event_id*7919) % 1009) % 2 + 3e-1)*5.986e-3 END AS pickup_longitude,
- 4.147718278e1 - (160 + ((event_id*6101) % 1013) % 2 + 3e-1)*4.491556e-3 AS pickup_latitude,
- -7.4916578e1 + (150 + ((event_id*4513) % 1019) % 2 + 3e-1)*5.986e-3 AS dropoff_longitude,
- 4.147718278e1 - (160 + ((event_id*3571) % 1021) % 2 + 3e-1)*4.491556e-3 AS dropoff_latitude,
- CASE WHEN event_id % 2 = 0 THEN 'CRD' ELSE 'CSH' END AS payment_type,
- CAST(250 + (event_id*53) % 5000 AS DOUBLE)/1e2 AS fare_amount,
- CAST(50*(event_id % 3) AS DOUBLE)/1e2 AS surcharge, 5e-1 AS mta_tax,
- CAST((event_id*17) % 900 AS DOUBLE)/1e2 AS tip_amount,
- CASE WHEN event_id % 13 = 0 THEN 5.33e0 ELSE 0e0 END AS tolls_amount,
- CAST(250 + (event_id*53) % 5000 + 50*(event_id % 3) + 50 + (event_id*17) % 900
-   + CASE WHEN event_id % 13 = 0 THEN 533 ELSE 0 END AS DOUBLE)/1e2 AS total_amount
-FROM events)"""
+from ..functions.constants import LIMIT_LAT, LIMIT_LON, ORIGIN_LAT, ORIGIN_LON, SHIFT_LAT_500, SHIFT_LON_500
+from ..sources.fixture import number, trip_columns
+
+LON0, LAT0, LON1, LAT1 = map(number, (ORIGIN_LON, ORIGIN_LAT, LIMIT_LON, LIMIT_LAT))
+DLON, DLAT = number(SHIFT_LON_500), number(SHIFT_LAT_500)
+
+TRIPS = "trips AS (SELECT " + ",\n ".join(f"{e} AS {n}" for e, n in trip_columns("VARCHAR")) + "\nFROM events)"
 
 TRIP_COLS = ("trip_id, medallion, hack_license, pickup_datetime, dropoff_datetime, trip_time, "
              "trip_distance, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude, "
@@ -69,12 +55,12 @@ def with_(*ctes: str) -> str:
 ROUTED500 = cells("valid", "routed")
 ROUTED250 = cells("valid", "routed250", 250)
 
-MONEY = "DECIMAL(12,2)"
+MONEY = "DECIMAL(28,9)"
 AVG_DIGITS = 9
 
 ROUTE_COUNTS = ("route_counts AS (SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, "
                 "route, COUNT(*) AS count FROM (SELECT route, time_bucket(INTERVAL 10 MINUTE, dropoff_datetime) "
-                "- k * INTERVAL 10 MINUTE AS window_start FROM routed, range(3) t(k)) GROUP BY ALL)")
+                "- k * INTERVAL 10 MINUTE AS window_start FROM routed, range(3) t(k) WHERE dropoff_datetime IS NOT NULL) GROUP BY ALL)")
 
 
 def fixed_sql(expr: str, d: int) -> str:
@@ -86,10 +72,21 @@ def fixed_sql(expr: str, d: int) -> str:
 
 DOLLAR = "(CASE WHEN trip_id % 7 = 0 THEN '$' ELSE '' END)"
 
+
+
+def _when(c: str) -> str:
+    return (f"CASE WHEN trip_id % 41 = 0 THEN strftime({c}, '%-m/%-d/%Y %-I:%M:%S %p') "
+            f"ELSE strftime({c}, '%Y-%m-%d %H:%M:%S') END")
+
+
+def _time(c: str) -> str:
+    return f"coalesce(TRY_CAST({c} AS TIMESTAMP), try_strptime({c}, '%m/%d/%Y %I:%M:%S %p'))"
+
+
 JSON_FIELDS_SQL = {
     "vendorid": "CAST(1 + trip_id % 2 AS VARCHAR)",
-    "lpep_pickup_datetime": "strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S')",
-    "lpep_dropoff_datetime": "strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S')",
+    "lpep_pickup_datetime": _when("pickup_datetime"),
+    "lpep_dropoff_datetime": _when("coalesce(dropoff_datetime, pickup_datetime)"),
     "store_and_fwd_flag": "'N'",
     "ratecodeid": "'1'",
     "pickup_longitude": fixed_sql("pickup_longitude", 6),
@@ -97,7 +94,7 @@ JSON_FIELDS_SQL = {
     "dropoff_longitude": fixed_sql("dropoff_longitude", 6),
     "dropoff_latitude": fixed_sql("dropoff_latitude", 6),
     "passenger_count": "CAST(trip_id % 10 AS VARCHAR)",
-    "trip_distance": fixed_sql("trip_distance", 2),
+    "trip_distance": fixed_sql("trip_distance", 4),
     "fare_amount": f"{DOLLAR} || {fixed_sql('fare_amount', 2)}",
     "extra": fixed_sql("surcharge", 2),
     "mta_tax": f"{DOLLAR} || {fixed_sql('mta_tax', 2)}",
@@ -127,8 +124,8 @@ def _money(c: str) -> str:
 
 
 TYPED = f"""typed AS (SELECT trip_id, vendorid,
- TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS pickup_datetime,
- TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS dropoff_datetime,
+ {_time('lpep_pickup_datetime')} AS pickup_datetime,
+ {_time('lpep_dropoff_datetime')} AS dropoff_datetime,
  store_and_fwd_flag, ratecodeid,
  TRY_CAST(TRIM(pickup_longitude) AS DOUBLE) AS pickup_longitude,
  TRY_CAST(TRIM(pickup_latitude) AS DOUBLE) AS pickup_latitude,
@@ -139,8 +136,8 @@ TYPED = f"""typed AS (SELECT trip_id, vendorid,
  {_money('tip_amount')} AS tip_amount, {_money('tolls_amount')} AS tolls_amount,
  improvement_surcharge, {_money('total_amount')} AS total_amount,
  payment_type AS PaymentType, trip_type,
- CAST(TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS DATE) AS TripStartDT,
- CAST(TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS DATE) AS TripEndDT
+ CAST({_time('lpep_pickup_datetime')} AS DATE) AS TripStartDT,
+ CAST({_time('lpep_dropoff_datetime')} AS DATE) AS TripEndDT
 FROM jsonrec)"""
 
 
@@ -190,12 +187,12 @@ def msum(c: str) -> str:
 PROFIT_AVG = (f"profit AS (SELECT cell_pickup, {win('dropoff_datetime', 15)}, "
               f"CAST(SUM(CAST(fare_amount AS {MONEY}) + CAST(tip_amount AS {MONEY})) AS DOUBLE) "
               f"/ COUNT(CAST(fare_amount AS {MONEY}) + CAST(tip_amount AS {MONEY})) AS avg_profit "
-              "FROM routed250 GROUP BY ALL)")
+              "FROM routed250 WHERE dropoff_datetime IS NOT NULL GROUP BY ALL)")
 DROPOFFS = (f"taxis AS (SELECT cell_dropoff, {win('dropoff_datetime', 30)}, COUNT(*) AS count "
-            "FROM routed250 GROUP BY ALL)")
+            "FROM routed250 WHERE dropoff_datetime IS NOT NULL GROUP BY ALL)")
 TIP_RATE = (f"rates AS (SELECT {win('dropoff_datetime', 1440)}, hack_license, "
-            f"ROUND(AVG(tip_amount / total_amount), {AVG_DIGITS}) AS avg_tip_percentage "
-            "FROM valid GROUP BY ALL)")
+            "AVG(tip_amount / total_amount) AS raw_rate FROM valid WHERE dropoff_datetime IS NOT NULL GROUP BY ALL)")
+RATE_COLS = f"window_start, window_end, hack_license, ROUND(raw_rate, {AVG_DIGITS}) AS avg_tip_percentage"
 PRICE = (f"pb AS (SELECT cell_pickup, {win('pickup_datetime', 120)}, "
          f"ROUND({msum('total_amount')}, 3) AS sum_total_amount, "
          f"ROUND({msum('fare_amount')} / {msum('total_amount')}, 3) AS fare, "
@@ -209,7 +206,7 @@ APM = (f"apm AS (SELECT {win('pickup_datetime', 60)}, route, "
 PREV = ("prev AS (SELECT *, LAG(cell_dropoff) OVER w AS prev_cell_dropoff, "
         "LAG(dropoff_datetime) OVER w AS prev_dropoff_datetime FROM routed "
         "WINDOW w AS (PARTITION BY hack_license ORDER BY pickup_datetime, trip_id))")
-RUNS = """lagged AS (SELECT *, LAG(trip_time) OVER (PARTITION BY route ORDER BY dropoff_datetime, trip_id) AS prev_t FROM routed),
+RUNS = """lagged AS (SELECT *, LAG(trip_time) OVER (PARTITION BY route ORDER BY dropoff_datetime, trip_id) AS prev_t FROM routed WHERE dropoff_datetime IS NOT NULL),
 flagged AS (SELECT *, SUM(CASE WHEN prev_t IS NULL OR trip_time <= prev_t THEN 1 ELSE 0 END)
   OVER (PARTITION BY route ORDER BY dropoff_datetime, trip_id ROWS UNBOUNDED PRECEDING) AS run_id FROM lagged),
 runs AS (SELECT *, ROW_NUMBER() OVER r - 1 AS run_length, FIRST_VALUE(trip_time) OVER r AS first_trip_time,
@@ -251,15 +248,15 @@ def sql_map() -> dict[str, str]:
     q["area_profitability_aligned"] = (
         with_(*c250, PROFIT_AVG.replace("profit AS", "p AS"),
               f"d AS (SELECT cell_dropoff, {win('dropoff_datetime', 15)}, COUNT(*) AS dropoffs "
-              "FROM routed250 GROUP BY ALL)")
+              "FROM routed250 WHERE dropoff_datetime IS NOT NULL GROUP BY ALL)")
         + "SELECT p.cell_pickup AS cell, p.window_start, p.window_end, p.avg_profit, d.dropoffs, "
           "p.avg_profit / d.dropoffs AS profitability FROM p JOIN d ON p.cell_pickup = d.cell_dropoff "
           "AND p.window_start = d.window_start")
-    q["driver_tip_rate"] = with_(*BASE, TIP_RATE) + "SELECT * FROM rates"
-    q["most_pleasant_driver"] = (with_(*BASE, TIP_RATE) + "SELECT * FROM rates ORDER BY "
-                                 "avg_tip_percentage DESC NULLS LAST, window_start, hack_license LIMIT 1")
-    q["pleasant_driver_per_day"] = (with_(*BASE, TIP_RATE) + "SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER "
-                                    "(PARTITION BY window_start, window_end ORDER BY avg_tip_percentage DESC "
+    q["driver_tip_rate"] = with_(*BASE, TIP_RATE) + f"SELECT {RATE_COLS} FROM rates"
+    q["most_pleasant_driver"] = (with_(*BASE, TIP_RATE) + f"SELECT {RATE_COLS} FROM rates ORDER BY "
+                                 "raw_rate DESC NULLS LAST, window_start, hack_license LIMIT 1")
+    q["pleasant_driver_per_day"] = (with_(*BASE, TIP_RATE) + f"SELECT {RATE_COLS}, rank FROM (SELECT *, CAST(ROW_NUMBER() OVER "
+                                    "(PARTITION BY window_start, window_end ORDER BY raw_rate DESC "
                                     "NULLS LAST, hack_license) AS INTEGER) AS rank FROM rates) WHERE rank <= 1")
     q["price_breakdown"] = with_(*routed, PRICE) + "SELECT * FROM pb"
     q["top_price_breakdown"] = (with_(*routed, PRICE) + "SELECT * FROM pb ORDER BY sum_total_amount DESC "
@@ -277,6 +274,15 @@ def sql_map() -> dict[str, str]:
                             "- epoch_us(prev_dropoff_datetime) AS gap FROM prev WHERE cell_pickup = prev_cell_dropoff)")
                       + "SELECT cell, CAST(SUM(gap) AS DOUBLE) / COUNT(*) / 1e6 AS avg_idle_seconds, "
                         "COUNT(*) AS rides FROM g WHERE gap > 0 AND gap <= 3600000000 GROUP BY cell")
+    lon_lat = BASE + [cells("valid", "routed", 500, "lon_lat")]
+    gaps = ("g AS (SELECT cell_pickup AS cell, epoch_us(pickup_datetime) - epoch_us(prev_dropoff_datetime) AS gap "
+            "FROM prev WHERE cell_pickup = prev_cell_dropoff)")
+    idle = "SELECT cell, CAST(SUM(gap) AS DOUBLE) / COUNT(*) / 1e6 AS avg_idle_seconds, COUNT(*) AS rides FROM g WHERE gap > 0"
+    q["idle_time_uncapped"] = with_(*routed, PREV, gaps) + idle + " GROUP BY cell"
+    q["idle_time_lon_lat"] = with_(*lon_lat, PREV, gaps) + idle + " AND gap <= 3600000000 GROUP BY cell"
+    q["congestion_alerts_lon_lat"] = (
+        with_(*lon_lat, RUNS) + "SELECT route, trip_id, dropoff_datetime, run_length, first_pickup_longitude, "
+        "first_pickup_latitude, first_trip_time, route_mean FROM runs WHERE run_length >= 2 AND first_trip_time > route_mean")
     q["rising_runs"] = (with_(*routed, RUNS) + "SELECT route, trip_id, dropoff_datetime, trip_time, "
                         "run_length, first_trip_time, first_pickup_longitude, first_pickup_latitude FROM runs")
     q["congestion_alerts"] = (with_(*routed, RUNS) + "SELECT route, trip_id, dropoff_datetime, run_length, "
@@ -301,7 +307,7 @@ def sql_map() -> dict[str, str]:
         "WITH RECURSIVE " + ",\n".join(routed) + ",\n"
         "o AS (SELECT route, trip_id, dropoff_datetime, trip_time, epoch_us(pickup_datetime) AS tp, "
         "epoch_us(dropoff_datetime) AS td, ROW_NUMBER() OVER (PARTITION BY route ORDER BY dropoff_datetime, "
-        "trip_id) AS rn FROM routed),\n"
+        "trip_id) AS rn FROM routed WHERE dropoff_datetime IS NOT NULL),\n"
         "rec AS (SELECT route, rn, trip_id, dropoff_datetime, trip_time AS total, 1 AS n, tp AS start "
         "FROM o WHERE rn = 1 UNION ALL "
         f"SELECT o.route, o.rn, o.trip_id, o.dropoff_datetime, "
@@ -311,16 +317,21 @@ def sql_map() -> dict[str, str]:
         "FROM rec JOIN o ON o.route = rec.route AND o.rn = rec.rn + 1)\n"
         "SELECT route, trip_id, dropoff_datetime, total / n AS route_mean_reset FROM rec")
     q["archive_readback"] = (
-        with_(TRIPS, JSONREC, "a AS (SELECT *, TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS pickup_datetime, "
-              "TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS dropoff_datetime, "
-              "CAST(TRY_CAST(lpep_pickup_datetime AS TIMESTAMP) AS DATE) AS TripStartDT, "
-              "CAST(TRY_CAST(lpep_dropoff_datetime AS TIMESTAMP) AS DATE) AS TripEndDT FROM jsonrec)",
+        with_(TRIPS, JSONREC, f"a AS (SELECT *, {_time('lpep_pickup_datetime')} AS pickup_datetime, "
+              f"{_time('lpep_dropoff_datetime')} AS dropoff_datetime, "
+              f"CAST({_time('lpep_pickup_datetime')} AS DATE) AS TripStartDT, "
+              f"CAST({_time('lpep_dropoff_datetime')} AS DATE) AS TripEndDT FROM jsonrec)",
               dated("a", "d", "hour", "minute", "second"))
         + "SELECT * FROM d")
     twins = {"top_routes_stream": "top_routes", "top_routes_stream_update": "top_routes",
              "area_profitability_stream_update": "area_profitability", "area_profitability_stream": "area_profitability",
              "idle_time_stream": "idle_time", "congestion_stream": "congestion_alerts",
-             "route_mean_reset_stream": "route_mean_reset", "register_clean_table": "trip_clean"}
+             "route_mean_reset_stream": "route_mean_reset", "idle_time_stream_late": "idle_time",
+             "congestion_stream_late": "congestion_alerts", "route_mean_reset_stream_late": "route_mean_reset",
+             "most_pleasant_driver_stream": "most_pleasant_driver", "most_pleasant_driver_stream_update": "most_pleasant_driver",
+             "top_price_breakdown_stream": "top_price_breakdown", "top_price_breakdown_stream_update": "top_price_breakdown",
+             "top_amount_per_mile_stream": "top_amount_per_mile", "top_amount_per_mile_stream_update": "top_amount_per_mile",
+             "register_clean_table": "trip_clean"}
     for stream_key, batch_key in twins.items():
         q[stream_key] = q[batch_key]
     q["topic_fanout"] = (with_(TRIPS, JSONREC) + f"SELECT t.topic, trip_id, {_json_text()} AS value FROM jsonrec, "

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,7 +25,6 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -38,11 +39,15 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a scratch folder is set only when the
-    session has none (local tests).
+    A scratch folder of this machine stands in only on a ``local`` master
+    (tests); on a cluster a missing setting is an error, as executors could
+    not read each other's folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set: on {master} it must name a folder all executors share")
         current = tempfile.mkdtemp(prefix="cabgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -50,6 +55,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (Python workers import the functions
+    they run from it). Not needed where it is installed on every node."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="cabgrid-pkg-"), "cabgrid"), "zip",
+                                  os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (for stream checkpoints and
     materialised intermediates); never a machine-local path on a cluster."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import utc_timestamp
 from ..functions.constants import TRIP_JSON_FIELDS, TRIP_LINE_FIELDS
 
 # Natural type of each trip-line field.
@@ -31,7 +32,8 @@ def trip_decode_csv(lines: DataFrame, columns=None, value_col: str = "value",
     ``columns``: list of names or ``(name, type)`` pairs; default all 17 with
     their natural types. Lines with fewer fields or text in a number give null
     (``try_cast`` / ``get``), never an exception. Rows with every decoded field
-    null are dropped. ``keep`` names input columns carried through.
+    null are dropped. ``keep`` names input columns carried through. With
+    ``ntz=False`` times become moments, wall clocks read as UTC.
     """
     if columns is None:
         columns = list(TRIP_LINE_FIELDS)
@@ -41,12 +43,12 @@ def trip_decode_csv(lines: DataFrame, columns=None, value_col: str = "value",
     first_is_text = False
     for c in columns:
         name, typ = (c, TRIP_LINE_TYPES[c]) if isinstance(c, str) else c
-        if typ.startswith("timestamp") and not ntz:
-            typ = "timestamp"
         idx = TRIP_LINE_FIELDS.index(name)
         item = F.get(parts, idx)
         if typ != "string":
             item = F.trim(item).try_cast(typ)
+            if typ.startswith("timestamp") and not ntz:
+                item = utc_timestamp(item)
         elif idx == 0:
             first_is_text = True
         out.append(item.alias(name))

@@ -1,8 +1,8 @@
 """Trip inputs: the typed trip table derived from the ``events`` table, and the
 two wire forms (17-field CSV line, 20-field JSON record) built from it.
 
-The derivation is plain column arithmetic on ``events`` (one narrow
-projection, no shuffle), so its cost grows linearly with the table.
+The derivation is column arithmetic on ``events`` (no shuffle), so its cost
+grows linearly with the table.
 """
 
 from __future__ import annotations
@@ -11,70 +11,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import TRIP_JSON_FIELDS, TRIP_LINE_FIELDS
+from .fixture import trip_columns
+
+MALFORMED = "garbage"
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer splits than the
-    cluster has cores (one small file = one row group = one task).
-
-    A large input already has at least that many splits and is returned
-    as it is, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-# The trip fixture: one trip per event. Same arithmetic as the DuckDB text in
-# plans/oracle.py, so both engines see identical rows.
-_TRIP_EXPRS = [
-    "event_id AS trip_id",
-    "CAST(event_id % 200 AS STRING) AS medallion",
-    "CAST(user_id AS STRING) AS hack_license",
-    "ts - (60 + (event_id*event_id*31 + event_id*17) % 2399) * INTERVAL '1' SECOND AS pickup_datetime",
-    "ts AS dropoff_datetime",
-    "CAST(60 + (event_id*event_id*31 + event_id*17) % 2399 AS DOUBLE) AS trip_time",
-    "CASE WHEN event_id % 29 = 0 THEN 0e0 ELSE CAST((event_id*31) % 1500 AS DOUBLE)/1e2 END AS trip_distance",
-    "CASE WHEN event_id % 23 = 0 THEN 0e0 ELSE -7.4916578e1 + (150 + ((event_id*7919) % 1009) % 2 + 3e-1)*5.986e-3 END AS pickup_longitude",
-    "4.147718278e1 - (160 + ((event_id*6101) % 1013) % 2 + 3e-1)*4.491556e-3 AS pickup_latitude",
-    "-7.4916578e1 + (150 + ((event_id*4513) % 1019) % 2 + 3e-1)*5.986e-3 AS dropoff_longitude",
-    "4.147718278e1 - (160 + ((event_id*3571) % 1021) % 2 + 3e-1)*4.491556e-3 AS dropoff_latitude",
-    "CASE WHEN event_id % 2 = 0 THEN 'CRD' ELSE 'CSH' END AS payment_type",
-    "CAST(250 + (event_id*53) % 5000 AS DOUBLE)/1e2 AS fare_amount",
-    "CAST(50*(event_id % 3) AS DOUBLE)/1e2 AS surcharge",
-    "5e-1 AS mta_tax",
-    "CAST((event_id*17) % 900 AS DOUBLE)/1e2 AS tip_amount",
-    "CASE WHEN event_id % 13 = 0 THEN 5.33e0 ELSE 0e0 END AS tolls_amount",
-    "CAST(250 + (event_id*53) % 5000 + 50*(event_id % 3) + 50 + (event_id*17) % 900"
-    " + CASE WHEN event_id % 13 = 0 THEN 533 ELSE 0 END AS DOUBLE)/1e2 AS total_amount",
-]
-
-
 def trips_from_events(events: DataFrame) -> DataFrame:
-    """Typed trips (``trip_id`` + the 17 trip-line fields) from ``events``."""
-    return events.selectExpr(*_TRIP_EXPRS)
+    """Typed trips (``trip_id`` + the 17 trip-line fields) from ``events``.
+
+    The columns come out of a generator, so the optimizer sees plain columns
+    and not their derivations (constraint propagation over those grows very
+    fast with the depth of a plan)."""
+    fields = ", ".join(f"{e} AS {n}" for e, n in trip_columns("STRING"))
+    return events.selectExpr(f"inline(array(struct({fields})))")
 
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Every trip column is an expression of ``event_id``; Catalyst's constraint
-    # propagation over such derived aliases grows very fast with plan depth
-    # (planning the congestion query took ~50 s, running it ~5 s). It only
-    # feeds filter inference, so results are unchanged with it off.
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-    return trips_from_events(spread(load_table(spark, sf_dir, "events")))
+    return trips_from_events(load_table(spark, sf_dir, "events"))
 
 
 # --- wire forms -------------------------------------------------------------
 
 def to_trip_lines(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
     """17-field comma-separated trip line in column ``value`` (``keep``:
-    extra columns carried along)."""
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in TRIP_LINE_FIELDS])
+    extra columns carried along); an unknown value is malformed text."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(MALFORMED)) for c in TRIP_LINE_FIELDS])
     cols = [line.alias("value")] + [F.col(k) for k in keep]
     if keep_id:
         cols = [F.col("trip_id")] + cols
@@ -97,7 +62,8 @@ def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
 
     Deterministic dirt, keyed on ``trip_id``: ``$`` before money when
     ``id % 7 = 0`` (not on ``extra``/``improvement_surcharge``), null tip when
-    ``id % 31 = 0``, ``tolls_amount = 'n/a'`` when ``id % 37 = 0``.
+    ``id % 31 = 0``, ``tolls_amount = 'n/a'`` when ``id % 37 = 0``, times with
+    AM/PM when ``id % 41 = 0``, the pickup time for an unknown dropoff time.
     """
     tid = F.col("trip_id")
     dollar = F.when(tid % 7 == 0, F.lit("$")).otherwise(F.lit(""))
@@ -105,11 +71,14 @@ def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
     def cash(name: str) -> Column:
         return F.concat(dollar, fixed_text(F.col(name), 2))
 
-    ts_fmt = "yyyy-MM-dd HH:mm:ss"
+    def when(time: Column) -> Column:
+        return F.when(tid % 41 == 0, F.date_format(time, "M/d/yyyy h:mm:ss a")).otherwise(
+            F.date_format(time, "yyyy-MM-dd HH:mm:ss"))
+
     fields = {
         "vendorid": (F.lit(1) + tid % 2).cast("string"),
-        "lpep_pickup_datetime": F.date_format("pickup_datetime", ts_fmt),
-        "lpep_dropoff_datetime": F.date_format("dropoff_datetime", ts_fmt),
+        "lpep_pickup_datetime": when(F.col("pickup_datetime")),
+        "lpep_dropoff_datetime": when(F.coalesce("dropoff_datetime", "pickup_datetime")),
         "store_and_fwd_flag": F.lit("N"),
         "ratecodeid": F.lit("1"),
         "pickup_longitude": fixed_text(F.col("pickup_longitude"), 6),
@@ -117,7 +86,7 @@ def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
         "dropoff_longitude": fixed_text(F.col("dropoff_longitude"), 6),
         "dropoff_latitude": fixed_text(F.col("dropoff_latitude"), 6),
         "passenger_count": (tid % 10).cast("string"),
-        "trip_distance": fixed_text(F.col("trip_distance"), 2),
+        "trip_distance": fixed_text(F.col("trip_distance"), 4),
         "fare_amount": cash("fare_amount"),
         "extra": fixed_text(F.col("surcharge"), 2),
         "mta_tax": cash("mta_tax"),

@@ -1,6 +1,8 @@
 """The streaming jobs: each wires a stream source through the same operators
-as the batch queries into a sink, runs it (``availableNow`` by default) and
-returns what the sink holds, read back as a DataFrame.
+as the batch queries into a sink. ``start_*`` starts a job (give ``output``
+and ``checkpoint`` to restart it later, or to run it from a scheduler with the
+default ``availableNow`` trigger); its report may be read while it runs.
+``*_stream`` runs it to its end and returns the report.
 
 ``lines`` / ``records`` are streaming DataFrames with the record text in
 ``value`` and, where the feed has one, a ``trip_id`` used to break ties in
@@ -10,21 +12,26 @@ event-time order (on Kafka the offset plays that role).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import utc_wall
 from ..functions.constants import CLEAN_COLUMNS, CLEAN_PARTITIONS, TRIP_JSON_FIELDS
 from ..operators import areas, drivers, routes
-from ..operators.clean import (ENRICHED_COLUMNS, trip_clean, trip_enriched, trip_valid)
+from ..operators.clean import trip_clean, trip_valid, valid_trip
 from ..operators.grid import grid_cells, routed_trips
 from ..session import shared_path
 from ..sources.decode import trip_decode_csv, trip_decode_json
 from . import stateful
-from .runner import (append_writer, await_bounded, overwrite_writer, read_appended,
-                     read_latest, run_stream)
-from .sinks import jdbc_batch_writer, register_clean_table, write_archive, write_clean_table
+from .runner import (await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
+                     snapshot_sink)
+from .sinks import register_clean_table, write_archive, write_clean_table
 
 
 def _folder(spark, name: str) -> str:
@@ -32,127 +39,191 @@ def _folder(spark, name: str) -> str:
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+    return df.withColumns({c: utc_wall(F.col(c)) for c in cols})
 
 
 def _from_us(c: str):
-    return F.timestamp_micros(F.col(c)).cast("timestamp_ntz")
+    return utc_wall(F.timestamp_micros(F.col(c)))
 
 
-def trips_stream(lines: DataFrame) -> DataFrame:
-    """Decoded, valid trips (event times as ``timestamp`` for watermarks)."""
-    keep = [c for c in ("trip_id",) if c in lines.columns]
-    return trip_valid(trip_decode_csv(lines, ntz=False, keep=keep))
+WINDOW = ["window_start", "window_end"]
+
 
+@dataclass(frozen=True)
+class Job:
+    """Started queries and the report over what their sinks hold, which may be
+    asked for at any time: while they run, after a stop, after a restart."""
 
-ROUTE_COUNTS_DDL = "window_start timestamp, window_end timestamp, route string, count long"
+    queries: list[StreamingQuery]
+    report: Callable[[], DataFrame]
 
+    def finish(self, timeout_s: float | None = None) -> DataFrame:
+        for q in self.queries:
+            await_bounded(q, timeout_s)
+        return self.report()
 
-def top_routes_stream(lines: DataFrame, k: int = 10, watermark: str = "30 minutes",
-                      output_mode: str = "complete", timeout_s: float | None = None,
-                      trigger: dict | None = None) -> DataFrame:
-    """Top k routes over 30-minute windows sliding by 10 minutes.
 
-    ``complete``: each micro-batch rewrites the sorted top k (all windows stay
-    in state, as in the original job). ``update``: for long runs; the
-    watermark evicts closed windows from state, each micro-batch appends the
-    counts it changed, and the report takes the latest count per (window,
-    route), which is exact because counts only grow.
+def trips_stream(lines: DataFrame, event_time: str | None = None, watermark: str | None = None) -> DataFrame:
+    """Decoded, valid trips (times as moments). With ``event_time`` and
+    ``watermark`` the watermark comes before the validity test, and the test
+    reads that column, so it is not moved below: invalid records (a closing
+    line) move the watermark too."""
+    keep = [c for c in ("trip_id",) if c in lines.columns]
+    trips = trip_decode_csv(lines, ntz=False, keep=keep)
+    if event_time is None:
+        return trip_valid(trips)
+    valid = F.coalesce(valid_trip(), F.lit(False))
+    return trips.withWatermark(event_time, watermark).filter(valid == F.col(event_time).isNotNull())
+
+
+def _windowed(rows: DataFrame, name: str, key: list[str], top: Callable[[DataFrame], DataFrame], output_mode: str,
+              output: str | None, checkpoint: str | None, trigger: dict | None) -> Job:
+    """A windowed aggregate kept up to date, and its top report.
+
+    ``complete``: each micro-batch writes the sorted top as the newest version
+    (all windows stay in state, as in the original jobs). ``update``: for long
+    runs; the watermark evicts closed windows, each micro-batch writes the
+    rows it changed, the report takes each (window, key)'s latest row.
+    ``output`` and ``checkpoint`` make the job restartable: with the same two,
+    a new start goes on where the last one stopped.
     """
-    spark = lines.sparkSession
-    out, ckpt = _folder(spark, "top-routes"), _folder(spark, "ckpt-top-routes")
-    counts = routes.route_counts(routed_trips(trips_stream(lines)), watermark=watermark)
+    spark = rows.sparkSession
+    out, schema = output or _folder(spark, name), rows.schema
     if output_mode == "complete":
-        q = run_stream(counts, ckpt, "complete",
-                       overwrite_writer(out, lambda b: routes.top_routes(b, k)), trigger=trigger)
-        await_bounded(q, timeout_s)
-        return _ntz(spark.read.parquet(out), "window_start", "window_end")
-    q = run_stream(counts, ckpt, "update", append_writer(out), trigger=trigger)
-    await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T.DataType.fromDDL(ROUTE_COUNTS_DDL))
-    latest = got.groupBy("window_start", "window_end", "route").agg(F.max("count").alias("count"))
-    return _ntz(routes.top_routes(latest, k), "window_start", "window_end")
+        ranked = top(spark.createDataFrame([], schema)).schema
+        sink, report = snapshot_sink(out, top), lambda: read_snapshot(spark, out, ranked)
+    else:
+        sink, report = batch_sink(out, schema, [*WINDOW, *key]), lambda: top(read_batches(spark, out, schema, [*WINDOW, *key]))
 
+    q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), output_mode, sink, trigger=trigger)
+    return Job([q], lambda: _ntz(report(), *WINDOW))
 
-PROFIT_DDL = "cell_pickup string, window_start timestamp, window_end timestamp, avg_profit double"
-DROPOFFS_DDL = "cell_dropoff string, window_start timestamp, window_end timestamp, count long"
 
+def start_top_routes(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output_mode: str = "complete",
+                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """Top k routes over 30-minute windows sliding by 10 minutes."""
+    counts = routes.route_counts(routed_trips(trips_stream(lines)), watermark=watermark)
+    return _windowed(counts, "top-routes", ["route"], lambda c: routes.top_routes(c, k), output_mode, output, checkpoint, trigger)
 
-def area_profitability_stream(lines: DataFrame, k: int = 5, output_mode: str = "complete",
-                              watermark: str = "30 minutes", timeout_s: float | None = None,
-                              trigger: dict | None = None) -> DataFrame:
-    """Two concurrent streams (average profit per pickup cell and 15 minutes;
-    dropoffs per cell and 30 minutes), then the profitability report over
-    their current results.
 
-    ``complete``: each micro-batch rewrites both results (all windows stay in
-    state, as in the original job). ``update``: the watermark evicts closed
-    windows; changed rows are appended per batch and the report reads, per
-    (cell, window), the row of the latest batch that changed it.
-    """
+def start_most_pleasant_driver(lines: DataFrame, k: int = 1, watermark: str = "30 minutes", output_mode: str = "complete",
+                               output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """Drivers with the highest average tip rate of a day."""
+    rates = drivers.driver_tip_rate(trips_stream(lines), watermark=watermark)
+    return _windowed(rates, "pleasant-driver", ["hack_license"], lambda r: drivers.most_pleasant_driver(r, k), output_mode,
+                     output, checkpoint, trigger)
+
+
+def start_top_price_breakdown(lines: DataFrame, k: int = 5, watermark: str = "30 minutes", output_mode: str = "complete",
+                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """Cells with the highest totals of two hours and what they consist of."""
+    prices = areas.price_breakdown(grid_cells(trips_stream(lines), 500), watermark=watermark)
+    return _windowed(prices, "price-breakdown", ["cell_pickup"], lambda p: areas.top_price_breakdown(p, k), output_mode,
+                     output, checkpoint, trigger)
+
+
+def start_top_amount_per_mile(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output_mode: str = "complete",
+                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """Routes with the highest amount per mile of an hour."""
+    rates = routes.amount_per_mile(routed_trips(trips_stream(lines)), watermark=watermark)
+    return _windowed(rates, "amount-per-mile", ["route"], lambda a: routes.top_amount_per_mile(a, k), output_mode,
+                     output, checkpoint, trigger)
+
+
+def start_area_profitability(lines: DataFrame, k: int = 5, output_mode: str = "complete", watermark: str = "30 minutes",
+                             output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """Two concurrent streams (average profit per pickup cell and 15 minutes;
+    dropoffs per cell and 30 minutes); the profitability report reads what
+    both hold at that moment."""
     spark = lines.sparkSession
     cells = grid_cells(trips_stream(lines), 250)
-    p_out, d_out = _folder(spark, "profit"), _folder(spark, "dropoffs")
-    if output_mode == "complete":
-        profit_q, drops_q = areas.area_profit_avg(cells), areas.area_dropoffs(cells)
-        writer_p, writer_d = overwrite_writer(p_out), overwrite_writer(d_out)
-    else:
-        profit_q = areas.area_profit_avg(cells, watermark=watermark)
-        drops_q = areas.area_dropoffs(cells, watermark=watermark)
-        writer_p, writer_d = append_writer(p_out), append_writer(d_out)
-    qp = run_stream(profit_q, _folder(spark, "ckpt-profit"), output_mode, writer_p, trigger=trigger)
-    qd = run_stream(drops_q, _folder(spark, "ckpt-dropoffs"), output_mode, writer_d, trigger=trigger)
-    await_bounded(qp, timeout_s)
-    await_bounded(qd, timeout_s)
-    if output_mode == "complete":
-        profit, drops = spark.read.parquet(p_out), spark.read.parquet(d_out)
-    else:
-        win = ["window_start", "window_end"]
-        profit = read_latest(spark, p_out, T.DataType.fromDDL(PROFIT_DDL), ["cell_pickup", *win])
-        drops = read_latest(spark, d_out, T.DataType.fromDDL(DROPOFFS_DDL), ["cell_dropoff", *win])
-    profit = _ntz(profit, "window_start", "window_end")
-    drops = _ntz(drops, "window_start", "window_end")
-    return areas.area_profitability(profit, drops, k)
-
-
-def idle_time_stream(lines: DataFrame, max_idle_seconds: int | None = 3600,
-                     timeout_s: float | None = None, trigger: dict | None = None) -> DataFrame:
-    """Idle rides from keyed state, appended per micro-batch; the average
-    idle time per cell over what has been appended."""
-    spark = lines.sparkSession
-    out, ckpt = _folder(spark, "idle"), _folder(spark, "ckpt-idle")
-    rides = stateful.idle_rides_stream(grid_cells(trips_stream(lines), 500), max_idle_seconds)
-    q = run_stream(rides, ckpt, "append", append_writer(out), trigger=trigger)
-    await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T.DataType.fromDDL(stateful.IDLE_OUT))
-    return drivers.idle_summary(got.withColumnRenamed("gap_us", "_gap_us"))
+    out, ckpt = output or _folder(spark, "profitability"), checkpoint or _folder(spark, "ckpt-profitability")
+    parts = {"profit": (areas.area_profit_avg(cells, watermark=watermark), "cell_pickup"),
+             "dropoffs": (areas.area_dropoffs(cells, watermark=watermark), "cell_dropoff")}
+    queries = []
+    for name, (rows, cell) in parts.items():
+        sink = (snapshot_sink(f"{out}/{name}") if output_mode == "complete"
+                else batch_sink(f"{out}/{name}", rows.schema, [cell, *WINDOW]))
+        queries.append(run_stream(rows, f"{ckpt}/{name}", output_mode, sink, trigger=trigger))
+
+    def held(name: str) -> DataFrame:
+        rows, cell = parts[name]
+        got = (read_snapshot(spark, f"{out}/{name}", rows.schema) if output_mode == "complete"
+               else read_batches(spark, f"{out}/{name}", rows.schema, [cell, *WINDOW]))
+        return _ntz(got, *WINDOW)
+
+    return Job(queries, lambda: areas.area_profitability(held("profit"), held("dropoffs"), k))
+
+
+def _stateful(rows: DataFrame, name: str, report: Callable[[DataFrame], DataFrame], output: str | None,
+              checkpoint: str | None, trigger: dict | None,
+              on_batch: Callable[[DataFrame, int], None] | None = None) -> Job:
+    """Rows of a keyed-state query, appended per micro-batch, and their report;
+    ``on_batch`` gets the report after every micro-batch."""
+    spark, schema = rows.sparkSession, rows.schema
+    out = output or _folder(spark, name)
+    put = batch_sink(out, schema)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        put(batch, batch_id)
+        if on_batch is not None:
+            on_batch(report(read_batches(spark, out, schema)), batch_id)
+
+    q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), "append", sink, trigger=trigger)
+    return Job([q], lambda: report(read_batches(spark, out, schema)))
+
+
+def start_idle_time(lines: DataFrame, max_idle_seconds: int | None = 3600, watermark: str = "2 hours",
+                    output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                    on_batch: Callable[[DataFrame, int], None] | None = None) -> Job:
+    """Average idle time per cell, highest first, over the idle rides that the
+    keyed state has given so far."""
+    cells = grid_cells(trips_stream(lines, "pickup_datetime", watermark), 500)
+    return _stateful(stateful.idle_rides_stream(cells, max_idle_seconds, None), "idle",
+                     lambda got: drivers.idle_summary(got.withColumnRenamed("gap_us", "_gap_us")),
+                     output, checkpoint, trigger, on_batch)
+
+
+def start_congestion(lines: DataFrame, min_run: int = 2, mean_hours: int = 4, watermark: str = "30 minutes",
+                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                     expire_hours: float | None = None) -> Job:
+    """Congestion alerts from keyed state per route."""
+    routed = routed_trips(trips_stream(lines, "dropoff_datetime", watermark))
+    return _stateful(
+        stateful.congestion_alerts_stream(routed, min_run, mean_hours, None, expire_hours), "congestion",
+        lambda got: got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"), "run_length",
+                               "first_pickup_longitude", "first_pickup_latitude", "first_trip_time", "route_mean"),
+        output, checkpoint, trigger)
+
+
+def start_route_mean_reset(lines: DataFrame, reset_hours: int = 4, watermark: str = "30 minutes",
+                           output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                           expire_hours: float | None = None) -> Job:
+    """Running duration mean per route with the original 4-hour reset."""
+    routed = routed_trips(trips_stream(lines, "dropoff_datetime", watermark))
+    return _stateful(
+        stateful.route_mean_reset_stream(routed, reset_hours, None, expire_hours), "mean-reset",
+        lambda got: got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"), "route_mean_reset"),
+        output, checkpoint, trigger)
 
 
-def congestion_stream(lines: DataFrame, min_run: int = 2, mean_hours: int = 4,
-                      timeout_s: float | None = None, trigger: dict | None = None) -> DataFrame:
-    """Congestion alerts from keyed state per route, appended per batch."""
-    spark = lines.sparkSession
-    out, ckpt = _folder(spark, "congestion"), _folder(spark, "ckpt-congestion")
-    alerts = stateful.congestion_alerts_stream(routed_trips(trips_stream(lines)), min_run, mean_hours)
-    q = run_stream(alerts, ckpt, "append", append_writer(out), trigger=trigger)
-    await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T.DataType.fromDDL(stateful.CONG_OUT))
-    return got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"),
-                      "run_length", "first_pickup_longitude", "first_pickup_latitude",
-                      "first_trip_time", "route_mean")
+def _bounded(start: Callable[..., Job]) -> Callable[..., DataFrame]:
+    """The job run to its end (``availableNow`` unless a trigger is given) or
+    for ``timeout_s`` seconds, then its report."""
+    @wraps(start)
+    def run(lines: DataFrame, *args, timeout_s: float | None = None, **options) -> DataFrame:
+        return start(lines, *args, **options).finish(timeout_s)
+    return run
 
 
-def route_mean_reset_stream(lines: DataFrame, reset_hours: int = 4, timeout_s: float | None = None,
-                            trigger: dict | None = None) -> DataFrame:
-    """Running duration mean per route with the original 4-hour reset."""
-    spark = lines.sparkSession
-    out, ckpt = _folder(spark, "mean-reset"), _folder(spark, "ckpt-mean-reset")
-    means = stateful.route_mean_reset_stream(routed_trips(trips_stream(lines)), reset_hours)
-    q = run_stream(means, ckpt, "append", append_writer(out), trigger=trigger)
-    await_bounded(q, timeout_s)
-    got = read_appended(spark, out, T.DataType.fromDDL(stateful.RESET_OUT))
-    return got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"),
-                      "route_mean_reset")
+top_routes_stream = _bounded(start_top_routes)
+most_pleasant_driver_stream = _bounded(start_most_pleasant_driver)
+top_price_breakdown_stream = _bounded(start_top_price_breakdown)
+top_amount_per_mile_stream = _bounded(start_top_amount_per_mile)
+area_profitability_stream = _bounded(start_area_profitability)
+idle_time_stream = _bounded(start_idle_time)
+congestion_stream = _bounded(start_congestion)
+route_mean_reset_stream = _bounded(start_route_mean_reset)
 
 
 # --- pipeline sinks ------------------------------------------------------------
@@ -181,42 +252,25 @@ def archive_records(records: DataFrame) -> DataFrame:
     return trip_date_parts(df, names="archive")
 
 
-def archive_roundtrip(records: DataFrame, partitions: list[str] | None = None,
-                      timeout_s: float | None = None) -> DataFrame:
+def archive_roundtrip(records: DataFrame, partitions: list[str] | None = None, timeout_s: float | None = None,
+                      output: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Stream the records into the partitioned JSON archive, then read the
     archive back with partition discovery (typed by an explicit schema)."""
     spark = records.sparkSession
-    path, ckpt = _folder(spark, "archive"), _folder(spark, "ckpt-archive")
-    q = write_archive(archive_records(records), path, ckpt, partitions)
+    path = output or _folder(spark, "archive")
+    q = write_archive(archive_records(records), path, checkpoint or _folder(spark, "ckpt-archive"), partitions)
     await_bounded(q, timeout_s)
     return spark.read.schema(ARCHIVE_SCHEMA).json(path)
 
 
-def clean_table_roundtrip(records: DataFrame, table: str | None = None,
-                          timeout_s: float | None = None) -> DataFrame:
+def clean_table_roundtrip(records: DataFrame, table: str | None = None, timeout_s: float | None = None,
+                          output: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Stream cleaned trips into a partitioned catalog table (created over a
     folder in the shared checkpoint folder), then scan the table."""
     spark = records.sparkSession
     name = table or f"clean_{uuid.uuid4().hex[:12]}"
-    location = _folder(spark, "clean-table")
-    full = register_clean_table(spark, name, location=location, repair=False)
-    q = write_clean_table(trip_clean(trip_decode_json(records)), full, _folder(spark, "ckpt-clean"))
+    full = register_clean_table(spark, name, location=output or _folder(spark, "clean-table"), repair=False, by_batch=True)
+    q = write_clean_table(trip_clean(trip_decode_json(records)), full, checkpoint or _folder(spark, "ckpt-clean"))
     await_bounded(q, timeout_s)
     cols = [n for n, _ in CLEAN_COLUMNS + CLEAN_PARTITIONS]
     return spark.table(full).select(*cols)
-
-
-def jdbc_roundtrip(records: DataFrame, url: str, table: str, properties: dict | None = None,
-                   timeout_s: float | None = None) -> DataFrame:
-    """Stream routed trips into a JDBC table (one batched append per
-    micro-batch), then read the table back through JDBC."""
-    spark = records.sparkSession
-    keep = [c for c in ("trip_id",) if c in records.columns]
-    routed = trip_enriched(trip_decode_json(records, keep=keep)).select(*keep, *ENRICHED_COLUMNS)
-    q = run_stream(routed, _folder(spark, "ckpt-jdbc"), "append",
-                   jdbc_batch_writer(url, table, properties))
-    await_bounded(q, timeout_s)
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()

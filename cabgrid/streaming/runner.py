@@ -1,17 +1,12 @@
-"""Starting, bounding and collecting streaming queries.
-
-Results of complete-mode queries are written per micro-batch to a Parquet
-folder (overwrite: a replayed batch rewrites the same result); append-mode
-results go to one sub-folder per batch id (overwrite of that sub-folder: a
-replayed batch replaces its own rows, so the folder holds each batch once).
-Nothing is collected on the driver.
-"""
+"""Starting and bounding streaming queries, and the folders that hold their
+results. Nothing is collected on the driver."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -56,43 +51,90 @@ def await_bounded(query: StreamingQuery, timeout_s: float | None = None) -> None
         raise RuntimeError(f"streaming query failed: {err}")
 
 
-def overwrite_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
-    """foreachBatch function for complete mode: the (transformed) batch
-    replaces the result folder."""
-    def put(batch: DataFrame, _batch_id: int) -> None:
-        out = transform(batch) if transform else batch
-        out.write.mode("overwrite").parquet(path)
-    return put
+# --- result folders ------------------------------------------------------------
+#
+# A micro-batch writes one sub-folder named by its batch id (a replay writes
+# it again, so every batch counts once) and readers take only folders whose
+# write has ended. ``snapshot_sink``: each ``version=<id>`` holds the whole
+# result. ``batch_sink``: each ``batch=<id>`` holds what the batch changed;
+# every ``compact_every`` batches they are merged into ``base=<id>``, and what
+# the merge before has taken in is deleted, so a reader's folders outlive it.
+
+def _folders(spark: SparkSession, path: str, kind: str) -> dict[int, str]:
+    """Ended sub-folders ``<kind>=<id>`` of ``path``, by id; none if it is not there."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return {}
+    found = {}
+    for status in fs.listStatus(root):
+        name, _, number = status.getPath().getName().partition("=")
+        if name == kind and fs.exists(_child(spark, status.getPath(), "_SUCCESS")):
+            found[int(number)] = f"{path}/{name}={number}"
+    return found
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _child(spark: SparkSession, folder, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name)
 
 
-def append_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
-    """foreachBatch function for append mode, idempotent per batch id."""
+def _delete(spark: SparkSession, folders) -> None:
+    for f in folders:
+        fs, root = _file_system(spark, f)
+        fs.delete(root, True)
+
+
+def snapshot_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+    """foreachBatch function for complete mode: the (transformed) result of
+    the batch is the newest version; the one before stays for its readers."""
     def put(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch) if transform else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        versions = _folders(spark, path, "version")
+        _delete(spark, [versions[v] for v in sorted(versions)[:-2]])
     return put
 
 
-def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Rows written by ``append_writer`` (the batch-id column dropped)."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/batch_id=*")
-    except AnalysisException:  # no batch has run yet
+def read_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest whole version; empty if no batch has run yet."""
+    versions = _folders(spark, path, "version")
+    if not versions:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(versions[max(versions)])
+
+
+def batch_sink(path: str, schema, key: list[str] | None = None, compact_every: int = 100,
+               transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+    """foreachBatch function for append mode, and with ``key`` for update mode
+    (readers take a key's row of its latest batch)."""
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            before = max(_folders(spark, path, "base"), default=-1)
+            read_batches(spark, path, schema, key).write.mode("overwrite").parquet(f"{path}/base={batch_id}")
+            _delete(spark, [f for b, f in _folders(spark, path, "batch").items() if b <= before])
+            _delete(spark, [f for b, f in _folders(spark, path, "base").items() if b < before])
+    return put
 
 
-def read_latest(spark: SparkSession, path: str, schema, key: list[str]) -> DataFrame:
-    """For update-mode output written by ``append_writer``: per ``key``, the
-    row from the latest batch that changed it (one aggregate)."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    try:
-        df = spark.read.schema(full).option("basePath", path).parquet(f"{path}/batch_id=*")
-    except AnalysisException:  # no batch has run yet
+def read_batches(spark: SparkSession, path: str, schema, key: list[str] | None = None) -> DataFrame:
+    """What ``batch_sink`` holds: all rows, or per ``key`` the row of the
+    latest batch that changed it; empty if no batch has run yet."""
+    bases, batches = _folders(spark, path, "base"), _folders(spark, path, "batch")
+    base = max(bases, default=-1)
+    folders = [bases[base]] if bases else []
+    folders += [f for b, f in batches.items() if b > base]
+    if not folders:
         return spark.createDataFrame([], schema)
-    rest = [f.name for f in schema.fields if f.name not in key]
-    latest = df.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v"))
-    return latest.select(*key, *[F.col("_v")[c].alias(c) for c in rest])
+    df = spark.read.schema(schema).parquet(*folders)
+    if key is None:
+        return df
+    at = F.regexp_extract("_metadata.file_path", r"/(?:batch|base)=(\d+)/", 1).cast("long")
+    rest = [c for c in df.columns if c not in key]
+    latest = df.withColumn("_at", at).groupBy(*key).agg(F.max_by(F.struct(*rest), "_at").alias("_v"))
+    return latest.select(*[F.col(c) if c in key else F.col("_v")[c].alias(c) for c in df.columns])

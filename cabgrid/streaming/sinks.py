@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.constants import ARCHIVE_PARTITIONS, CLEAN_COLUMNS, CLEAN_PARTITIONS
+from ..functions.constants import ARCHIVE_PARTITIONS, CLEAN_COLUMNS, CLEAN_PARTITIONS, ENRICHED_TYPES
 
 
 def topic_fanout(records: DataFrame, topics: list[str], value_col: str = "value") -> DataFrame:
@@ -29,8 +29,9 @@ def kafka_payload(fanned: DataFrame) -> DataFrame:
 def write_archive(df: DataFrame, path: str, checkpoint: str,
                   partitions: list[str] | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Append the dated trips as JSON files partitioned by calendar parts
-    (year/month/day/hour by default; the full list is an argument)."""
-    w = (df.writeStream.format("json").outputMode("append")
+    (year/month/day/hour by default; the full list is an argument). Rows are
+    dealt by those parts first: few files per partition."""
+    w = (df.repartition(*(partitions or ARCHIVE_PARTITIONS)).writeStream.format("json").outputMode("append")
          .partitionBy(*(partitions or ARCHIVE_PARTITIONS))
          .option("path", path).option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -45,9 +46,17 @@ def write_clean_files(df: DataFrame, path: str, checkpoint: str,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+BATCH_PARTITION = ("batch_id", "bigint")
+
+
 def register_clean_table(spark: SparkSession, table: str, location: str | None = None,
-                         database: str | None = None, repair: bool = True) -> str:
-    """Create (if missing) the partitioned Parquet table of cleaned trips.
+                         database: str | None = None, repair: bool = True, replace: bool = False,
+                         by_batch: bool = False) -> str:
+    """Create the partitioned Parquet table of cleaned trips, if it is missing
+    or ``replace`` drops it first (of an external table the definition only).
+    A table that is there with other columns or another location is an error.
+    ``by_batch`` adds the partition ``batch_id`` that ``write_clean_table``
+    needs to write a replayed batch once.
 
     With ``location`` the table is external over that folder; with
     ``repair`` the partitions of files already there are discovered with
@@ -57,11 +66,20 @@ def register_clean_table(spark: SparkSession, table: str, location: str | None =
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         table = f"`{database}`.`{table}`"
-    cols = ", ".join(f"`{n}` {t}" for n, t in CLEAN_COLUMNS + CLEAN_PARTITIONS)
-    parts = ", ".join(f"`{n}`" for n, _ in CLEAN_PARTITIONS)
+    partitions = CLEAN_PARTITIONS + [BATCH_PARTITION] * by_batch
+    cols = ", ".join(f"`{n}` {t}" for n, t in CLEAN_COLUMNS + partitions)
+    parts = ", ".join(f"`{n}`" for n, _ in partitions)
     loc = f" LOCATION '{location}'" if location else ""
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
               f"PARTITIONED BY ({parts}){loc}")
+    there = [(c.name, c.dataType) for c in spark.catalog.listColumns(table)]
+    if there != CLEAN_COLUMNS + partitions:
+        raise ValueError(f"{table} is there with other columns: {there}")
+    at = next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name == "Location")
+    if location and at.split(":", 1)[-1].rstrip("/").lstrip("/") != location.split(":", 1)[-1].rstrip("/").lstrip("/"):
+        raise ValueError(f"{table} is there at {at}, not {location}")
     if location and repair:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     return table
@@ -69,22 +87,34 @@ def register_clean_table(spark: SparkSession, table: str, location: str | None =
 
 def write_clean_table(df: DataFrame, table: str, checkpoint: str,
                       trigger: dict | None = None) -> StreamingQuery:
-    """Append cleaned trips into a partitioned catalog table, one
-    ``insertInto`` per micro-batch (partitions are listed as they appear and
-    partition columns keep their declared types)."""
+    """Append cleaned trips into a catalog table registered ``by_batch``: each
+    micro-batch overwrites its own ``batch_id`` partitions, so a replayed one
+    leaves its rows once. The rows are dealt by the partition columns first:
+    few files per partition."""
     order = [n for n, _ in CLEAN_COLUMNS + CLEAN_PARTITIONS]
+    parts = [n for n, _ in CLEAN_PARTITIONS]
 
-    def put(batch: DataFrame, _batch_id: int) -> None:
-        batch.select(*order).write.insertInto(table)
+    def put(batch: DataFrame, batch_id: int) -> None:
+        # The micro-batch's own session: the caller's settings stay as they are.
+        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        (batch.select(*order).repartition(*parts).withColumn(BATCH_PARTITION[0], F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").insertInto(table))
 
     w = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def enriched_column_types() -> str:
+    """The 33 typed columns of the routed-trip sink table, in table order, as
+    Spark's JDBC writer takes them."""
+    return ", ".join(f"{n} {t}" for n, t in ENRICHED_TYPES)
+
+
 def jdbc_batch_writer(url: str, table: str, properties: dict | None = None,
                       column_types: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function appending a micro-batch through the JDBC
-    writer (one connection per task, batched inserts, typed columns).
+    writer (one connection per task, batched inserts, typed columns:
+    ``enriched_column_types()`` for routed trips).
 
     A replayed batch is written again; give the table a unique trip key (or
     deduplicate downstream) for exactly-once results.

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.constants import TRIP_LINE_FIELDS
 from ..session import shared_path
 
+KAFKA_ROWS = 1_000_000
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 
 
@@ -32,8 +34,14 @@ def read_trip_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     (``parquet``, ``json``) is read with ``schema`` (default: a single text
     column ``value``); ``keep`` names extra columns carried through. A file
     source without a ``trip_id`` column gets ``xxhash64(value)``.
+
+    ``options`` also bounds a micro-batch: ``maxFilesPerTrigger`` for files,
+    ``maxOffsetsPerTrigger`` for Kafka (KAFKA_ROWS unless given). The keyed
+    jobs hold one key's rows of a micro-batch in one call.
     """
     reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        options = {"maxOffsetsPerTrigger": str(KAFKA_ROWS), **(options or {})}
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "kafka":
@@ -58,9 +66,15 @@ def read_json_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     return read_trip_stream(spark, fmt, path, options, schema, keep)
 
 
-def stage_time_slices(df: DataFrame, time_col: str, files: int | None = None,
-                      rows_per_file: int = 1_000_000, root: str | None = None,
-                      fmt: str = "parquet", min_files: int | None = None) -> str:
+def closing_line(when: str = "2100-01-01 00:00:00") -> str:
+    """A trip line dated past everything, which no filter keeps: as the last
+    record of a bounded replay it moves the watermark over the rides that
+    still wait in keyed state."""
+    return ",".join({"pickup_datetime": when, "dropoff_datetime": when}.get(f, "0") for f in TRIP_LINE_FIELDS)
+
+
+def stage_time_slices(df: DataFrame, time_col: str, files: int = 32, root: str | None = None,
+                      fmt: str = "parquet") -> str:
     """Write ``df`` as files that each hold one contiguous range of
     ``time_col``, dated in time order, into a fresh folder under the shared
     checkpoint folder.
@@ -68,17 +82,13 @@ def stage_time_slices(df: DataFrame, time_col: str, files: int | None = None,
     The file stream takes files oldest first, so with ``maxFilesPerTrigger =
     k`` every micro-batch reads the next k time ranges, k tasks in parallel,
     and data arrives in time order, like a live feed replayed. One write job
-    (``repartitionByRange`` on the time: equal times share a file); ``files``
-    defaults to enough that none holds more than ``rows_per_file`` rows, and
-    at least ``min_files`` (default: the cluster's cores). Each file is then stamped with its position
-    (a metadata call per file). A replay tool for tests and registered checks:
+    (``repartitionByRange`` on the time: equal times share a file) into
+    ``files`` files. Each file is then stamped with its position (a metadata
+    call per file). A replay tool for tests and registered checks:
     a production feed comes from Kafka. Returns the glob to read.
     """
     spark = df.sparkSession
     folder = root or shared_path(spark, f"stage-{uuid.uuid4().hex}")
-    if files is None:
-        floor = min_files or spark.sparkContext.defaultParallelism
-        files = max(floor, -(-df.count() // rows_per_file))
     (df.repartitionByRange(files, F.col(time_col)).sortWithinPartitions(time_col)
      .write.mode("errorifexists").format(fmt).save(folder))
     _stamp_in_order(spark, folder, fmt)

@@ -1,116 +1,139 @@
 """Keyed-state twins of the order-dependent queries for Structured Streaming.
 
-Each is an ``applyInPandasWithState`` over a key (driver or route): Spark
-shuffles the micro-batch by key and calls the function once per key with
-that key's new rows and its state. Inside, the rows are put in event-time
-order (trip id breaks ties) and processed against the state, so with input
-arriving in time order the emitted rows equal the batch (window-function)
-forms exactly. State is bounded: one ride per driver, and per route the run
-counters plus the rides of the last ``mean_hours``.
-
-Times cross the Python boundary as epoch microseconds (``long``), so no
-time-zone conversion happens in pandas.
+Each is an ``applyInPandasWithState`` over a key (driver or route) that puts
+rides in event-time order, whatever order they arrive in: a ride waits in the
+key's state until the watermark has passed it, then the waiting rides up to
+the watermark are processed sorted by (time, trip id) and the rest waits on,
+with an event-time timer for the next one. So the output equals the batch
+(window-function) forms as long as no ride is later than the watermark delay.
+Later rides are dropped by Spark and counted in the query's progress
+(``numRowsDroppedByWatermark``). A bounded replay ends with a closing record
+dated past everything (``sources.closing_line``), which lets the last rides go.
+
+State per key: the waiting rides of one watermark delay; for drivers the last
+ride (dropped once no later ride can be counted against it), for routes the run
+counters and the rides of the last ``mean_hours``, or the current mean;
+``expire_hours`` (off by default) drops a route's state when the watermark is
+that far past its last ride, and its next ride starts anew. Rides without an
+event time are left out before the state. Rows of one key and micro-batch meet
+in one call: bound them by the source's rows per trigger.
+
+Times cross the Python boundary as epoch microseconds (``long``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-US = 1_000_000
-
-
-def _micros(c: str):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+from ..functions.columns import utc_timestamp
 
+US = 1_000_000
+HOUR = 3600 * US
+TYPES = {"long": "int64", "double": "float64", "string": object}
+Rows = dict[str, np.ndarray]
+
+
+def _moment(df: DataFrame, name: str) -> Column:
+    """A time column as a moment: wall clocks are UTC."""
+    c = F.col(name)
+    return utc_timestamp(c) if dict(df.dtypes)[name] == "timestamp_ntz" else c
+
+
+def in_event_time(df: DataFrame, key: str, time: str, columns: dict[str, str], kept: str, out: str,
+                  watermark: str | None, step: Callable, until: Callable | None = None) -> DataFrame:
+    """``step(key value, rows in order, kept state or None) -> (state, output
+    frame or None)`` applied to each key's rides in event-time order.
+
+    ``time``: the event time (a timestamp column, also in ``columns`` as
+    ``<time>_us``); ``columns``: name -> type of what ``step`` reads; ``kept``:
+    fields of its state; ``watermark``: its delay (None: ``df`` has one);
+    ``until(state)``: microseconds after which an idle state goes (None: stays).
+    """
+    names = list(columns)
+    time_us = names.index("time_us")
+    fields = ", ".join([*(f"w_{n} array<{t}>" for n, t in columns.items()), "has boolean", kept])
+    empty = tuple({"long": 0, "double": 0.0, "string": None, "array<long>": [], "array<double>": []}[f.split()[1]] for f in kept.split(", "))
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting = [np.empty(0, TYPES[t]) for t in columns.values()]
+        current = None
+        if state.exists:
+            saved = state.get
+            waiting = [np.asarray(w, TYPES[t]) for w, t in zip(saved, columns.values())]
+            current = tuple(saved[len(names) + 1:]) if saved[len(names)] else None
+        for pdf in () if state.hasTimedOut else pdfs:
+            waiting = [np.concatenate([w, pdf[n].to_numpy(TYPES[t])]) for w, (n, t) in zip(waiting, columns.items())]
+        passed = state.getCurrentWatermarkMs() * 1000
+        ready = waiting[time_us] <= passed
+        if ready.any():
+            rows = {n: w[ready] for n, w in zip(names, waiting)}
+            order = np.lexsort((rows["trip_id"], rows["time_us"]))
+            current, found = step(k[0], {n: v[order] for n, v in rows.items()}, current)
+            waiting = [w[~ready] for w in waiting]
+            if found is not None and len(found):
+                yield found
+        due = until(current) if until and current is not None else None
+        if not len(waiting[time_us]) and (current is None or due is not None and due <= passed):
+            if state.exists:
+                state.remove()
+            return
+        state.update((*(w.tolist() for w in waiting), current is not None, *(current or empty)))
+        wake = int(waiting[time_us].min()) if len(waiting[time_us]) else due
+        if wake is not None:
+            state.setTimeoutTimestamp(max(wake // 1000, state.getCurrentWatermarkMs()) + 1)
 
-def _concat(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return pd.DataFrame()
-    return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    df = df.withWatermark(time, watermark) if watermark else df
+    return (df.withColumn("time_us", F.unix_micros(time))
+            .select(key, time, *names).groupBy(key)
+            .applyInPandasWithState(fn, out, fields, "append", GroupStateTimeout.EventTimeTimeout))
 
 
-def _ordered(df: pd.DataFrame, time_col: str, cols: list[str]) -> dict[str, np.ndarray]:
-    """Columns as numpy arrays, rows in (time, trip id) order."""
-    t = df[time_col].to_numpy("int64")
-    tid = df["trip_id"].to_numpy("int64")
-    order = np.lexsort((tid, t))
-    out = {c: df[c].to_numpy()[order] for c in cols}
-    out[time_col], out["trip_id"] = t[order], tid[order]
-    return out
+def _rides(df: DataFrame, key: str, time_col: str) -> DataFrame:
+    """Rides with a key and an event time (as a moment, ``event_time``)."""
+    return df.withColumn("event_time", _moment(df, time_col)).dropna(subset=[key, "event_time"])
 
 
 # --- idle time (previous ride of the same driver) ---------------------------
 
 IDLE_OUT = ("hack_license string, trip_id long, cell string, pickup_us long, "
             "prev_dropoff_us long, gap_us long")
-IDLE_STATE = "pickup_us long, trip_id long, cell_dropoff string, dropoff_us long"
+NO_TIME = -(1 << 62)
 
 
-def _idle_fn(max_idle_seconds: int | None):
-    cap = None if max_idle_seconds is None else max_idle_seconds * US
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        df = _concat(pdfs)
-        if df.empty:
-            return
-        r = _ordered(df, "pickup_us", ["cell_pickup", "cell_dropoff", "dropoff_us"])
-        pick, drop, cp, cd = r["pickup_us"], r["dropoff_us"].astype("int64"), r["cell_pickup"], r["cell_dropoff"]
-        n = len(pick)
-        prev_cell = np.empty(n, dtype=object)
-        prev_drop = np.zeros(n, dtype="int64")
-        has_prev = np.ones(n, dtype=bool)
-        prev_cell[1:], prev_drop[1:] = cd[:-1], drop[:-1]
-        if state.exists:
-            s_pick, s_id, s_cell, s_drop = state.get
-            prev_cell[0], prev_drop[0] = s_cell, s_drop
-        else:
-            has_prev[0] = False
-        gap = pick - prev_drop
-        keep = has_prev & (cp == prev_cell) & (gap > 0)
+def _idle_step(cap: int | None):
+    def step(driver, r: Rows, last):
+        drop, cell = r["dropoff_us"], r["cell_dropoff"]
+        prev_cell = np.append([last[0] if last else None], cell[:-1]).astype(object)
+        prev_drop = np.append([last[1] if last else NO_TIME], drop[:-1])
+        gap = r["time_us"] - prev_drop
+        keep = (r["cell_pickup"] == prev_cell) & (gap > 0) & (prev_drop != NO_TIME)
         if cap is not None:
             keep &= gap <= cap
-        last = (int(pick[-1]), int(r["trip_id"][-1]))
-        if not state.exists or last > (s_pick, s_id):
-            state.update((last[0], last[1], cd[-1], int(drop[-1])))
-        if cap is not None:
-            # After the watermark passes the last dropoff + cap, no later ride
-            # can be counted against this one: drop the driver's state.
-            # A late ride can put that time behind the watermark, which Spark
-            # refuses: never ask for less than just past the watermark.
-            due = int(state.get[3]) // 1000 + cap // 1000 + 1
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        if keep.any():
-            yield pd.DataFrame({
-                "hack_license": np.full(int(keep.sum()), key[0], dtype=object),
-                "trip_id": r["trip_id"][keep], "cell": cp[keep], "pickup_us": pick[keep],
-                "prev_dropoff_us": prev_drop[keep], "gap_us": gap[keep]})
-
-    return fn
+        return (cell[-1], int(drop[-1])), pd.DataFrame({
+            "hack_license": np.full(int(keep.sum()), driver, dtype=object), "trip_id": r["trip_id"][keep],
+            "cell": r["cell_pickup"][keep], "pickup_us": r["time_us"][keep],
+            "prev_dropoff_us": prev_drop[keep], "gap_us": gap[keep]})
+    return step
 
 
 def idle_rides_stream(cells: DataFrame, max_idle_seconds: int | None = 3600,
-                      watermark: str = "2 hours") -> DataFrame:
+                      watermark: str | None = "2 hours") -> DataFrame:
     """Streaming rides that start where the driver's previous ride ended,
-    with the idle gap ``gap_us`` (microseconds). Same rows as the batch
-    ``idle_rides`` when input arrives in time order."""
-    d = (cells.withColumn("pickup_ts", F.col("pickup_datetime").cast("timestamp"))
-         .withWatermark("pickup_ts", watermark)
-         .select("hack_license", "trip_id", "cell_pickup", "cell_dropoff", "pickup_ts",
-                 _micros("pickup_datetime").alias("pickup_us"),
-                 _micros("dropoff_datetime").alias("dropoff_us")))
-    timeout = GroupStateTimeout.NoTimeout if max_idle_seconds is None else GroupStateTimeout.EventTimeTimeout
-    return d.groupBy("hack_license").applyInPandasWithState(
-        _idle_fn(max_idle_seconds), IDLE_OUT, IDLE_STATE, "append", timeout)
+    with the idle gap ``gap_us`` (microseconds): the rows of the batch
+    ``idle_rides``. A ride whose dropoff time is unknown leaves no gap."""
+    cap = None if max_idle_seconds is None else max_idle_seconds * US
+    d = _rides(cells, "hack_license", "pickup_datetime")
+    d = d.withColumn("dropoff_us", F.coalesce(F.unix_micros(_moment(d, "dropoff_datetime")), F.lit(NO_TIME)))
+    columns = {"time_us": "long", "trip_id": "long", "cell_pickup": "string", "cell_dropoff": "string", "dropoff_us": "long"}
+    until = None if cap is None else lambda last: max(last[1], 0) + cap
+    return in_event_time(d, "hack_license", "event_time", columns, "cell string, dropoff_us long", IDLE_OUT,
+                         watermark, _idle_step(cap), until)
 
 
 # --- congestion (rising runs + trailing mean per route) -----------------------
@@ -118,120 +141,89 @@ def idle_rides_stream(cells: DataFrame, max_idle_seconds: int | None = 3600,
 CONG_OUT = ("route string, trip_id long, dropoff_us long, run_length long, "
             "first_pickup_longitude double, first_pickup_latitude double, "
             "first_trip_time double, route_mean double")
-CONG_STATE = ("has_prev boolean, prev_dur double, run_length long, first_dur double, "
+CONG_STATE = ("last_us long, prev_dur double, run_length long, first_dur double, "
               "first_lon double, first_lat double, hist_us array<long>, hist_dur array<double>")
 
 
-def _congestion_fn(min_run: int, mean_hours: int):
-    rng = mean_hours * 3600 * US
+def _congestion_step(min_run: int, mean_hours: int):
+    rng = mean_hours * HOUR
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        df = _concat(pdfs)
-        if df.empty:
-            return
-        r = _ordered(df, "dropoff_us", ["trip_time", "pickup_longitude", "pickup_latitude"])
-        t = r["dropoff_us"]
-        dur = r["trip_time"].astype("float64")
-        lon = r["pickup_longitude"].astype("float64")
-        lat = r["pickup_latitude"].astype("float64")
-        if state.exists:
-            has_prev, prev, run, f_dur, f_lon, f_lat, h_us, h_dur = state.get
-            h_us = np.asarray(h_us, dtype="int64")
-            h_dur = np.asarray(h_dur, dtype="float64")
-        else:
-            has_prev, prev, run, f_dur, f_lon, f_lat = False, 0.0, 0, 0.0, 0.0, 0.0
-            h_us, h_dur = np.empty(0, "int64"), np.empty(0, "float64")
-        # Trailing mean over [t - range, t], ties included: history + batch.
-        all_t = np.concatenate([h_us, t])
-        all_d = np.concatenate([h_dur, dur])
-        order = np.argsort(all_t, kind="stable")
-        all_t, all_d = all_t[order], all_d[order]
-        csum = np.concatenate([[0.0], np.cumsum(all_d)])
-        lo = np.searchsorted(all_t, t - rng, side="left")
-        hi = np.searchsorted(all_t, t, side="right")
+    def step(route, r: Rows, last):
+        t, dur, lon, lat = r["time_us"], r["trip_time"], r["pickup_longitude"], r["pickup_latitude"]
+        _, prev, run, f_dur, f_lon, f_lat, h_us, h_dur = last or (0, np.inf, -1, 0.0, 0.0, 0.0, [], [])
+        # Trailing mean over [t - range, t], ties included: history + new rides.
+        all_t, all_d = np.append(np.asarray(h_us, "int64"), t), np.append(np.asarray(h_dur, "float64"), dur)
+        csum = np.append(0.0, np.cumsum(all_d))
+        lo, hi = np.searchsorted(all_t, t - rng, "left"), np.searchsorted(all_t, t, "right")
         mean = (csum[hi] - csum[lo]) / (hi - lo)
-        # Rising runs: a break where the duration does not rise; the run
-        # length is the distance to the latest break, the run's first ride is
-        # the ride at that break (or the carried one when the batch continues
-        # the previous run).
-        before = np.concatenate([[prev], dur[:-1]])
-        brk = dur <= before
-        if not has_prev:
-            brk[0] = True
+        # Rising runs: a break where the duration does not rise; the run length is
+        # the distance to the latest break, or goes on from the carried run.
         idx = np.arange(len(dur))
-        last_brk = np.maximum.accumulate(np.where(brk, idx, -1))
-        carried = last_brk < 0
+        last_brk = np.maximum.accumulate(np.where(dur <= np.append(prev, dur[:-1]), idx, -1))
+        carried, src = last_brk < 0, np.maximum(last_brk, 0)
         runs = np.where(carried, run + 1 + idx, idx - last_brk)
-        src = np.where(carried, 0, last_brk)
-        fd = np.where(carried, f_dur, dur[src])
-        flo = np.where(carried, f_lon, lon[src])
-        fla = np.where(carried, f_lat, lat[src])
-        k = all_t >= all_t[-1] - rng
-        state.update((True, float(dur[-1]), int(runs[-1]), float(fd[-1]), float(flo[-1]), float(fla[-1]),
-                      all_t[k].tolist(), all_d[k].tolist()))
+        fd, flo, fla = (np.where(carried, a, b[src]) for a, b in ((f_dur, dur), (f_lon, lon), (f_lat, lat)))
+        recent = all_t >= all_t[-1] - rng
         hit = (runs >= min_run) & (fd > mean)
-        if hit.any():
-            yield pd.DataFrame({
-                "route": np.full(int(hit.sum()), key[0], dtype=object),
-                "trip_id": r["trip_id"][hit], "dropoff_us": t[hit], "run_length": runs[hit],
-                "first_pickup_longitude": flo[hit], "first_pickup_latitude": fla[hit],
-                "first_trip_time": fd[hit], "route_mean": mean[hit],
-            })
+        return (int(t[-1]), float(dur[-1]), int(runs[-1]), float(fd[-1]), float(flo[-1]), float(fla[-1]),
+                all_t[recent].tolist(), all_d[recent].tolist()), pd.DataFrame({
+                    "route": np.full(int(hit.sum()), route, dtype=object), "trip_id": r["trip_id"][hit],
+                    "dropoff_us": t[hit], "run_length": runs[hit], "first_pickup_longitude": flo[hit],
+                    "first_pickup_latitude": fla[hit], "first_trip_time": fd[hit], "route_mean": mean[hit]})
+
+    return step
+
 
-    return fn
+def _expiry(expire_hours: float | None):
+    return None if expire_hours is None else lambda last: last[0] + int(expire_hours * HOUR)
 
 
-def congestion_alerts_stream(routed: DataFrame, min_run: int = 2, mean_hours: int = 4) -> DataFrame:
-    """Streaming congestion alerts: same rows as the batch ``congestion_alerts``
-    when input arrives in time order (``dropoff_us`` in place of the time)."""
-    d = routed.select("route", "trip_id", "trip_time", "pickup_longitude", "pickup_latitude",
-                      _micros("dropoff_datetime").alias("dropoff_us"))
-    return d.groupBy("route").applyInPandasWithState(
-        _congestion_fn(min_run, mean_hours), CONG_OUT, CONG_STATE, "append",
-        GroupStateTimeout.NoTimeout)
+def congestion_alerts_stream(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
+                             watermark: str | None = "30 minutes", expire_hours: float | None = None) -> DataFrame:
+    """Streaming congestion alerts: the rows of the batch ``congestion_alerts``
+    (``dropoff_us`` in place of the time)."""
+    columns = {"time_us": "long", "trip_id": "long", "trip_time": "double", "pickup_longitude": "double", "pickup_latitude": "double"}
+    return in_event_time(_rides(routed, "route", "dropoff_datetime"), "route", "event_time", columns, CONG_STATE, CONG_OUT,
+                         watermark, _congestion_step(min_run, mean_hours), _expiry(expire_hours))
 
 
 # --- running mean per route with the 4-hour reset (as coded) --------------------
 
 RESET_OUT = "route string, trip_id long, dropoff_us long, route_mean_reset double"
-RESET_STATE = "total double, n long, start_us long"
+RESET_STATE = "last_us long, total double, n long, start_us long"
 
 
-def _reset_fn(reset_hours: int):
-    span = reset_hours * 3600 * US
+def _reset_step(reset_hours: int):
+    span = reset_hours * HOUR
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        df = _concat(pdfs)
-        if df.empty:
-            return
-        r = _ordered(df, "dropoff_us", ["trip_time", "pickup_us"])
-        dur = r["trip_time"].astype("float64").tolist()
-        pick = r["pickup_us"].astype("int64").tolist()
-        drop = r["dropoff_us"]
-        if state.exists:
-            total, n, start = state.get
-        else:
-            total, n, start = 0.0, 0, pick[0]
+    def step(route, r: Rows, last):
+        drop, pick, dur = r["time_us"], r["pickup_us"], r["trip_time"]
+        _, total, n, start = last or (0, 0.0, 0, int(pick[0]))
         out = np.empty(len(dur))
-        # Each restart depends on the previous one: a plain loop over the
-        # key's rows of this micro-batch.
-        for i, (d, p, e) in enumerate(zip(dur, pick, drop.tolist())):
-            total, n = total + d, n + 1
-            if e - start > span:
-                total, n, start = d, 1, p
-            out[i] = total / n
-        state.update((float(total), int(n), int(start)))
-        yield pd.DataFrame({"route": np.full(len(dur), key[0], dtype=object),
-                            "trip_id": r["trip_id"], "dropoff_us": drop, "route_mean_reset": out})
-
-    return fn
-
-
-def route_mean_reset_stream(routed: DataFrame, reset_hours: int = 4) -> DataFrame:
+        a = 0
+        while a < len(dur):  # one pass per segment: up to the first ride past its span
+            b = a + int(np.searchsorted(drop[a:], start + span, "right"))
+            out[a:b] = (total + np.cumsum(dur[a:b])) / (n + np.arange(1, b - a + 1))
+            total, n = total + float(dur[a:b].sum()), n + b - a
+            if b < len(dur):
+                total, n, start = 0.0, 0, int(pick[b])
+                if drop[b] - start > span:  # a ride longer than the span is a segment of its own
+                    out[b], total, n = dur[b], float(dur[b]), 1
+                    b += 1
+            a = b
+        return (int(drop[-1]), total, n, start), pd.DataFrame({
+            "route": np.full(len(dur), route, dtype=object), "trip_id": r["trip_id"], "dropoff_us": drop, "route_mean_reset": out})
+
+    return step
+
+
+def route_mean_reset_stream(routed: DataFrame, reset_hours: int = 4, watermark: str | None = "30 minutes",
+                            expire_hours: float | None = None) -> DataFrame:
     """Running mean of ride duration per route that restarts at the first
     ride ending more than ``reset_hours`` after the pickup of the ride that
     started the current mean (the original job's rule)."""
-    d = routed.select("route", "trip_id", "trip_time", _micros("pickup_datetime").alias("pickup_us"),
-                      _micros("dropoff_datetime").alias("dropoff_us"))
-    return d.groupBy("route").applyInPandasWithState(
-        _reset_fn(reset_hours), RESET_OUT, RESET_STATE, "append", GroupStateTimeout.NoTimeout)
+    d = _rides(routed, "route", "dropoff_datetime")
+    d = d.withColumn("pickup_us", F.unix_micros(_moment(d, "pickup_datetime"))).dropna(subset=["pickup_us"])
+    columns = {"time_us": "long", "trip_id": "long", "trip_time": "double", "pickup_us": "long"}
+    return in_event_time(d, "route", "event_time", columns, RESET_STATE, RESET_OUT, watermark,
+                         _reset_step(reset_hours), _expiry(expire_hours))

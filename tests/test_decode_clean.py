@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from cabgrid.functions.columns import money, parse_timestamp
 from cabgrid.functions.constants import LIMIT_LAT, ORIGIN_LON
@@ -55,6 +56,43 @@ def test_timestamp_forms(spark):
     assert got == [dt.datetime(2015, 1, 1, 0, 34, 42), dt.datetime(2013, 1, 1, 0, 2), None]
 
 
+def test_timestamps_do_not_depend_on_the_session_zone(spark):
+    texts = ["1/5/2015 3:04:05 PM", "2015-01-01T00:34:42+02:00", "2015-01-01T00:34:42Z", "2013-03-10 02:30:00", "2015-07-01 00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    exp = [dt.datetime(2015, 1, 5, 15, 4, 5), dt.datetime(2014, 12, 31, 22, 34, 42), dt.datetime(2015, 1, 1, 0, 34, 42),
+           dt.datetime(2013, 3, 10, 2, 30), dt.datetime(2015, 7, 1)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = df.select(parse_timestamp("t").alias("wall"), F.unix_micros(parse_timestamp("t", ntz=False)).alias("us")).collect()
+            assert [r.wall for r in got] == exp
+            assert [r.us for r in got] == [int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10 ** 6 for t in exp]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_amount_per_mile_of_short_trips(spark):
+    """Distances are summed as they are: 2 x 5 USD over 2 x 0.004 miles."""
+    from cabgrid.operators import fleet, routes
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("r", t, 5.0, 0.004, "1"), ("r", t, 5.0, 0.004, "1")],
+                               "route string, pickup_datetime timestamp_ntz, total_amount double, trip_distance double, passenger_count string")
+    assert [r.amount_per_mile for r in routes.amount_per_mile(df).collect()] == [1250.0]
+    assert fleet.fleet_totals(df).first().total_trip_distance == 0.008
+    huge = df.withColumn("total_amount", F.lit(1e30))
+    assert routes.amount_per_mile(huge).first().amount_per_mile is None  # out of any range: unknown, no error
+
+
+def test_drivers_rank_before_rounding(spark):
+    from cabgrid.operators import drivers
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", t, 1.0, 4.0), ("b", t, 1.0000000001, 4.0)],
+                               "hack_license string, dropoff_datetime timestamp_ntz, tip_amount double, total_amount double")
+    best = drivers.most_pleasant_driver(drivers.driver_tip_rate(df)).first()
+    assert best.hack_license == "b" and best.avg_tip_percentage == 0.25
+
+
 def test_clean_filter_runs_before_drop(spark):
     from cabgrid.operators.clean import trip_clean
     from cabgrid.sources.decode import trip_decode_json

@@ -11,11 +11,10 @@ import __spark_entry__ as entry
 from scripts.check_oracle import compare
 from conftest import SF_ORACLE, SF_SMALL, TABLES
 
-STREAM_KEYS = {"top_routes_stream", "top_routes_stream_update", "area_profitability_stream_update", "area_profitability_stream", "idle_time_stream",
-               "congestion_stream", "route_mean_reset_stream", "archive_readback",
-               "register_clean_table"}
+STREAM_KEYS = {k for k in entry.QUERIES if "_stream" in k} | {"archive_readback", "register_clean_table"}
 # Keys whose interesting rows are sparse: checked at sf0.01 with a floor.
-SPARSE = {"congestion_alerts": 5, "idle_time": 4, "area_profitability": 5, "top_routes": 10,
+SPARSE = {"congestion_alerts": 100, "congestion_alerts_lon_lat": 100, "idle_time": 100, "idle_time_uncapped": 100,
+          "idle_time_lon_lat": 100, "area_profitability": 5, "top_routes": 10,
           "most_pleasant_driver": 1, "table_filter_eq": 1, "fleet_totals": 1}
 BATCH_KEYS = [k for k in entry.QUERIES if k not in STREAM_KEYS]
 
@@ -45,6 +44,17 @@ def test_batch_query_matches_oracle(spark, cons, name):
     assert compare(got, exp) == "OK"
 
 
+STREAM_FLOOR = {"idle_time_stream_late": 100, "congestion_stream_late": 100, "route_mean_reset_stream_late": 9000,
+                "most_pleasant_driver_stream_update": 1, "top_price_breakdown_stream": 5, "top_amount_per_mile_stream": 10}
+
+
+@pytest.mark.parametrize("name", sorted(STREAM_FLOOR))
+def test_stream_query_matches_oracle(spark, cons, name):
+    got = entry.queries()[name](spark, SF_ORACLE).toPandas()
+    assert len(got) >= STREAM_FLOOR[name]
+    assert compare(got, cons[SF_ORACLE].execute(entry.oracle_sql()[name]).df()) == "OK"
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["window_start", "window_end", "route", "count"]

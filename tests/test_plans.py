@@ -52,6 +52,47 @@ def test_per_window_topk_trimmed_before_shuffle(stored):
     assert "WindowGroupLimit" in p
 
 
+def full_exchanges(p, width):
+    """Shuffles of rows with at least ``width`` columns."""
+    return [x for x in p.split("\n\n") if ") Exchange" in x and int(x.split("Input [")[1].split("]")[0]) >= width]
+
+
+def test_order_dependent_queries_shuffle_rows_once(spark, stored):
+    """On a stored trip table, broadcast joins off: rows go through one
+    shuffle, carries come from narrow scans."""
+    from cabgrid.operators import congestion, drivers
+    from cabgrid.operators.grid import grid_cells
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    trips = trip_valid(stored)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for df, scans, windows in (
+                (drivers.previous_ride(grid_cells(trips, 500)), 2, 2), (congestion.route_rising_runs(routed_trips(trips)), 2, 8),
+                (congestion.congestion_alerts(routed_trips(trips)), 4, 10)):
+            p = plan(df)
+            assert len([x for x in p.split("\n\n") if ") Scan parquet" in x]) <= scans
+            assert len(full_exchanges(p, 14)) <= 1
+            assert len([x for x in p.split("\n\n") if ") Window\n" in x]) <= windows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_building_a_query_starts_no_job(spark, monkeypatch):
+    """No action before the caller's own (the pointer-doubling rounds of the
+    reset mean, the streams and the training-data operators excepted)."""
+    import __spark_entry__ as entry
+    from test_oracle import BATCH_KEYS
+
+    def action(self, *_, **__):
+        raise AssertionError("an action while the query is built")
+
+    for name in ("collect", "count", "first", "head", "take", "isEmpty", "toPandas", "toArrow", "checkpoint", "localCheckpoint", "foreach"):
+        monkeypatch.setattr(type(spark.range(0)), name, action)
+    for name in BATCH_KEYS:
+        if name != "route_mean_reset":
+            entry.QUERIES[name](spark, SF_SMALL)
+
+
 def test_no_registered_query_pairs_rows(spark):
     """No cartesian product or nested-loop join in any batch query's plan."""
     import __spark_entry__ as entry
@@ -60,3 +101,29 @@ def test_no_registered_query_pairs_rows(spark):
         p = plan(entry.queries()[name](spark, SF_SMALL))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in p, f"{name}: {bad}"
+
+
+def test_session_settings_are_left_alone(spark):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.constraintPropagation.enabled", "spark.sql.sources.partitionOverwriteMode")}
+    load_trips(spark, SF_SMALL).count()
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    from cabgrid.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Cluster())
+
+
+def test_package_can_be_shipped(spark):
+    from cabgrid.session import ship_package
+    ship_package(spark)

@@ -87,7 +87,7 @@ def test_run_counter_example(spark):
 def test_trailing_mean_matches_range_window(spark, rides):
     pdf, df = rides
     got = seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m",
-                                 bucket_seconds=4 * 3600).toPandas().set_index("trip_id")
+                                 bucket_seconds=2 * 3600).toPandas().set_index("trip_id")
     for _, g in pdf.groupby("route"):
         t = g["dropoff_datetime"].to_numpy()
         for r in g.itertuples():
@@ -101,17 +101,28 @@ def test_trailing_mean_with_buckets_shorter_than_range(spark, rides):
     got = seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m",
                                  bucket_seconds=3600).toPandas().set_index("trip_id")
     exp = seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m",
-                                 bucket_seconds=86400).toPandas().set_index("trip_id")
+                                 bucket_seconds=4 * 3600).toPandas().set_index("trip_id")
     assert len(got) == len(pdf)
     for tid in exp.index:
         assert got.loc[tid].m == pytest.approx(exp.loc[tid].m, rel=1e-12)
 
 
-def test_adaptive_bucket_splits_dense_keys(spark, rides):
-    pdf, df = rides
-    assert seq.choose_bucket_seconds(df, ["route"], "dropoff_datetime") == 86400
-    # The hot key has ~100 rides on its densest day: a 25-row target halves the day twice or more.
-    assert seq.choose_bucket_seconds(df, ["route"], "dropoff_datetime", target_rows=25) <= 21600
+def test_trailing_mean_is_linear(spark):
+    """80,000 rows of one key in two hours: growing frames, not sliding ones."""
+    import time
+    took = {}
+    for n in (40_000, 40_000, 80_000):
+        df = spark.range(n).selectExpr("id AS trip_id", "'r' AS route", "CAST(id % 97 AS DOUBLE) AS trip_time",
+                                       f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * {7200 / n}) AS dropoff_datetime")
+        began = time.time()
+        seq.trailing_range_avg(df, ["route"], "dropoff_datetime", "trip_time", 4 * 3600, "m").agg(F.sum("m")).collect()
+        took[n] = time.time() - began
+    assert took[80_000] < 5 and took[80_000] < 3 * max(took[40_000], 0.5)
+
+
+def test_trailing_range_must_fit_the_buckets(spark, rides):
+    with pytest.raises(ValueError):
+        seq.trailing_range_avg(rides[1], ["route"], "dropoff_datetime", "trip_time", 5000, "m")
 
 
 def test_route_mean_reset_matches_sequential(spark, rides):

@@ -96,11 +96,60 @@ def test_memory_and_foreach_batch_sinks(spark):
 
 
 def test_read_latest_takes_the_last_batch_per_key(spark):
-    from cabgrid.streaming.runner import append_writer, read_latest
+    from cabgrid.streaming.runner import batch_sink, read_batches
     path = shared_path(spark, f"latest-{uuid.uuid4().hex}")
-    put = append_writer(path)
+    schema = T.StructType.fromDDL("k string, v double")
+    assert read_batches(spark, path, schema, ["k"]).count() == 0
+    put = batch_sink(path, schema, ["k"], compact_every=2)
     put(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double"), 0)
     put(spark.createDataFrame([("a", 5.0)], "k string, v double"), 1)
     put(spark.createDataFrame([("a", 3.0), ("c", 7.0)], "k string, v double"), 2)
-    got = {r.k: r.v for r in read_latest(spark, path, T.StructType.fromDDL("k string, v double"), ["k"]).collect()}
+    put(spark.createDataFrame([("a", 3.0), ("c", 7.0)], "k string, v double"), 2)  # a replay
+    got = {r.k: r.v for r in read_batches(spark, path, schema, ["k"]).collect()}
     assert got == {"a": 3.0, "b": 2.0, "c": 7.0}
+    for i in range(3, 12):
+        put(spark.createDataFrame([("d", float(i))], "k string, v double"), i)
+    assert {r.k: r.v for r in read_batches(spark, path, schema, ["k"]).collect()} == {"a": 3.0, "b": 2.0, "c": 7.0, "d": 11.0}
+    assert len(os.listdir(path)) <= 8  # merged and cleared, not one folder per batch
+
+
+def test_snapshots_keep_two_versions(spark):
+    from cabgrid.streaming.runner import read_snapshot, snapshot_sink
+    path = shared_path(spark, f"snap-{uuid.uuid4().hex}")
+    assert read_snapshot(spark, path, "k string").count() == 0
+    for i in range(5):
+        snapshot_sink(path)(spark.createDataFrame([(str(i),)], "k string"), i)
+    assert [r.k for r in read_snapshot(spark, path, "k string").collect()] == ["4"] and len(os.listdir(path)) == 2
+
+
+def test_replayed_batch_adds_no_rows_to_the_table(spark):
+    from cabgrid.streaming.sinks import write_clean_table
+    path = shared_path(spark, f"lines-{uuid.uuid4().hex}")
+    to_trip_json(load_trips(spark, SF_SMALL)).write.text(path)
+    recs = read_trip_stream(spark, "text", path)
+    table = register_clean_table(spark, f"replay_{uuid.uuid4().hex[:8]}", shared_path(spark, f"t-{uuid.uuid4().hex}"), repair=False, by_batch=True)
+    for _ in range(2):  # a fresh checkpoint: batch 0 comes again
+        await_bounded(write_clean_table(trip_clean(trip_decode_json(recs)), table, shared_path(spark, f"c-{uuid.uuid4().hex}")), 300)
+    exp = trip_clean(json_records(spark, SF_SMALL))
+    assert exp.count() > 100 and rows(spark.table(table)) == rows(exp)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_table_is_replaced_or_refused(spark):
+    import pytest
+    name, a, b = f"moved_{uuid.uuid4().hex[:8]}", *(shared_path(spark, f"t-{uuid.uuid4().hex}") for _ in range(2))
+    register_clean_table(spark, name, a, repair=False)
+    register_clean_table(spark, name, a, repair=False)
+    with pytest.raises(ValueError):
+        register_clean_table(spark, name, b, repair=False)
+    with pytest.raises(ValueError):
+        register_clean_table(spark, name, a, repair=False, by_batch=True)
+    register_clean_table(spark, name, b, repair=False, replace=True)
+
+
+def test_sink_table_has_33_typed_columns():
+    from cabgrid.operators.clean import ENRICHED_COLUMNS
+    from cabgrid.streaming.sinks import enriched_column_types
+    typed = enriched_column_types().split(", ")
+    assert len(typed) == 33 and [t.split(" ")[0] for t in typed] == ENRICHED_COLUMNS
+    assert "pickup_datetime TIMESTAMP" in typed and "TripStartDT DATE" in typed and "trip_distance DOUBLE PRECISION" in typed

@@ -1,23 +1,28 @@
 """Batch = stream: the fixture replayed as time-ordered files, one file per
-micro-batch, through the streaming twins; and a restart from checkpoint."""
+micro-batch, through the streaming twins; restarts, live reports, bad times."""
+
+import uuid
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cabgrid.operators import congestion, drivers
 from cabgrid.operators.grid import grid_cells, routed_trips
 from cabgrid.plans.catalog import FEED_SCHEMA, valid
 from cabgrid.sources.trips import load_trips, to_trip_lines
-from cabgrid.streaming import jobs, stateful
-from cabgrid.streaming.runner import append_writer, await_bounded, read_appended, run_stream
-from cabgrid.streaming.sources import read_trip_stream, stage_time_slices
+from cabgrid.session import shared_path
+from cabgrid.streaming import jobs
+from cabgrid.streaming.sources import closing_line, read_trip_stream, stage_time_slices
 from conftest import SF_ORACLE, SF_SMALL
-from pyspark.sql import types as T
 
 
 def feed(spark, time_col, slices=5, sf=SF_SMALL, per_batch=1):
-    trips = load_trips(spark, sf)
-    glob = stage_time_slices(to_trip_lines(trips, keep_id=True, keep=(time_col,)), time_col, slices)
+    """Trip lines in time order and a closing line, ``per_batch`` files a batch."""
+    trips = load_trips(spark, sf).withColumn("at", F.coalesce(time_col, "pickup_datetime"))
+    rows = to_trip_lines(trips, keep_id=True, keep=("at",)).unionByName(spark.range(1).select(
+        F.lit(-1).cast("long").alias("trip_id"), F.lit(closing_line()).alias("value"), F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'").alias("at")))
+    glob = stage_time_slices(rows, "at", slices)
     return read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
                             keep=("trip_id",))
 
@@ -29,7 +34,7 @@ def frame(df, key):
 def test_congestion_stream_equals_batch(spark):
     batch = congestion.congestion_alerts(routed_trips(valid(spark, SF_ORACLE)))
     stream = jobs.congestion_stream(feed(spark, "dropoff_datetime", 12, SF_ORACLE, per_batch=3))
-    assert batch.count() >= 5
+    assert batch.count() >= 100
     key = ["route", "trip_id"]
     pd.testing.assert_frame_equal(frame(stream.select(*batch.columns), key), frame(batch, key),
                                   check_dtype=False)
@@ -56,43 +61,112 @@ def test_top_routes_stream_equals_batch(spark):
     pd.testing.assert_frame_equal(frame(stream, key), frame(batch, key), check_dtype=False)
 
 
-def test_restart_from_checkpoint(spark, tmp_path):
-    """Stop after two micro-batches, restart from the checkpoint: the output
-    holds every alert once, as an uninterrupted run."""
-    from cabgrid.session import shared_path
-    import uuid
+def folders(spark, name):
+    return [shared_path(spark, f"{name}-{uuid.uuid4().hex}") for _ in range(2)]
+
+
+def test_stop_and_restart(spark):
+    """Stopped after two micro-batches and started again with the same output
+    and checkpoint: every alert once, as in an uninterrupted run."""
+    out, ckpt = folders(spark, "restart")
     lines = feed(spark, "dropoff_datetime", slices=6, sf=SF_ORACLE)
-    alerts = stateful.congestion_alerts_stream(routed_trips(jobs.trips_stream(lines)))
-    out = shared_path(spark, f"restart-{uuid.uuid4().hex}")
-    ckpt = shared_path(spark, f"ckpt-restart-{uuid.uuid4().hex}")
-    q = run_stream(alerts, ckpt, "append", append_writer(out), options={"maxFilesPerTrigger": "1"},
-                   trigger={"processingTime": "0 seconds"})
+    job = jobs.start_congestion(lines, output=out, checkpoint=ckpt, trigger={"processingTime": "0 seconds"})
+    q = job.queries[0]
     while q.lastProgress is None or q.lastProgress["batchId"] < 1:
         q.awaitTermination(0.5)
     q.stop()
-    q2 = run_stream(alerts, ckpt, "append", append_writer(out))
-    await_bounded(q2, 300)
-    got = read_appended(spark, out, T.DataType.fromDDL(stateful.CONG_OUT))
+    got = jobs.congestion_stream(lines, output=out, checkpoint=ckpt)
     batch = congestion.congestion_alerts(routed_trips(valid(spark, SF_ORACLE)))
-    assert batch.count() >= 5
-    pd.testing.assert_frame_equal(
-        frame(got.select("route", "trip_id", "run_length", "route_mean"), ["route", "trip_id"]),
-        frame(batch.select("route", "trip_id", "run_length", "route_mean"), ["route", "trip_id"]),
-        check_dtype=False)
-    assert got.select("trip_id").distinct().count() == got.count()
+    assert batch.count() >= 100
+    key = ["route", "trip_id"]
+    pd.testing.assert_frame_equal(frame(got.select(*batch.columns), key), frame(batch, key), check_dtype=False)
+
+
+def test_job_called_twice_reads_each_row_once(spark):
+    """A scheduler's two calls with files added in between."""
+    trips = load_trips(spark, SF_ORACLE).filter("dropoff_datetime is not null")
+    half = trips.selectExpr("percentile(unix_micros(cast(dropoff_datetime as timestamp)), 0.5) AS m").first().m
+    early = F.unix_micros(F.col("dropoff_datetime").cast("timestamp")) <= half
+    path, (out, ckpt) = shared_path(spark, f"lines-{uuid.uuid4().hex}"), folders(spark, "twice")
+
+    def call():
+        lines = read_trip_stream(spark, "parquet", path, {}, FEED_SCHEMA, keep=("trip_id",))
+        return jobs.top_routes_stream(lines, output_mode="update", output=out, checkpoint=ckpt)
+
+    to_trip_lines(trips.filter(early), keep_id=True).write.parquet(path)
+    call().count()
+    to_trip_lines(trips.filter(~early), keep_id=True).write.mode("append").parquet(path)
+    got = frame(call(), ["window_start", "route"])
+    assert frame(call(), ["window_start", "route"]).equals(got)  # nothing new: nothing changes
+    pd.testing.assert_frame_equal(got, frame(entry.queries()["top_routes"](spark, SF_ORACLE), ["window_start", "route"]), check_dtype=False)
+
+
+def test_report_while_running_and_before_the_first_batch(spark):
+    out, ckpt = folders(spark, "live")
+    job = jobs.start_area_profitability(feed(spark, "dropoff_datetime", 4), output=out, checkpoint=ckpt,
+                                        trigger={"processingTime": "1 second"})
+    assert job.report().count() in range(6)
+    while any(q.lastProgress is None or q.lastProgress["batchId"] < 2 for q in job.queries):
+        job.queries[0].awaitTermination(0.5)
+    assert job.report().count() == 5 and all(q.isActive for q in job.queries)
+    for q in job.queries:
+        q.stop()
+
+
+def test_idle_report_after_every_batch(spark):
+    seen = []
+    lines = feed(spark, "pickup_datetime", 4, SF_ORACLE)
+    last = jobs.idle_time_stream(lines, on_batch=lambda report, i: seen.append((i, [r.avg_idle_seconds for r in report.collect()])))
+    assert len(seen) >= 4 and all(v == sorted(v, reverse=True) for _, v in seen)
+    assert sorted(seen[-1][1]) == sorted(r.avg_idle_seconds for r in last.collect())
+
+
+def test_malformed_time_never_reaches_the_state(spark):
+    path = shared_path(spark, f"text-{uuid.uuid4().hex}")
+    good = "m1,h1,2013-01-01 00:00:00,2013-01-01 00:10:00,600,0.44,-73.99,40.75,-73.98,40.76,CSH,5.0,0.5,0.5,1.0,0.0,7.0"
+    bad = good.replace("2013-01-01 00:10:00", "garbage")
+    spark.createDataFrame([(x,) for x in (good, bad, closing_line())], "value string").write.text(path)
+    got = jobs.route_mean_reset_stream(read_trip_stream(spark, "text", path)).collect()
+    assert [(r.route_mean_reset, str(r.dropoff_datetime)) for r in got] == [(600.0, "2013-01-01 00:10:00")]
+
+
+def test_expired_route_starts_anew(spark):
+    line = "m1,h1,{},{},{},0.44,-73.99,40.75,-73.98,40.76,CSH,5.0,0.5,0.5,1.0,0.0,7.0"
+    rides = [line.format("2013-01-01 00:00:00", "2013-01-01 00:10:00", 600), line.format("2013-01-01 00:05:00", "2013-01-01 00:20:00", 900),
+             line.format("2013-01-03 00:00:00", "2013-01-03 00:30:00", 1800), closing_line()]
+    paths = shared_path(spark, f"expire-{uuid.uuid4().hex}")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rides)], "trip_id long, value string")
+    glob = stage_time_slices(df, "trip_id", 4, root=paths)
+    for hours, runs in ((None, 2), (24, 0)):
+        lines = read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA, keep=("trip_id",))
+        alerts = jobs.congestion_stream(lines, min_run=0, expire_hours=hours).collect()
+        last = [r.run_length for r in alerts if r.trip_id == 2]
+        assert last in ([], [runs])
+
+
+def test_batch_and_stream_agree_in_another_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        batch = frame(entry.queries()["most_pleasant_driver"](spark, SF_SMALL), ["window_start"])
+        stream = frame(jobs.most_pleasant_driver_stream(feed(spark, "dropoff_datetime")), ["window_start"])
+        idle = frame(entry.queries()["idle_time"](spark, SF_SMALL), ["cell"])
+        idle_stream = frame(jobs.idle_time_stream(feed(spark, "pickup_datetime")), ["cell"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert batch.equals(frame(entry.queries()["most_pleasant_driver"](spark, SF_SMALL), ["window_start"]))
+    pd.testing.assert_frame_equal(batch, stream, check_dtype=False)
+    pd.testing.assert_frame_equal(idle, idle_stream, check_dtype=False)
 
 
 def test_text_feed_gets_trip_ids(spark):
     """A plain-text feed has no id column: one is derived from the line, so
     the stateful twins still have a tiebreak."""
-    from cabgrid.session import shared_path
-    import uuid
     path = shared_path(spark, f"text-{uuid.uuid4().hex}")
-    to_trip_lines(load_trips(spark, SF_SMALL)).write.text(path)
+    to_trip_lines(load_trips(spark, SF_SMALL)).union(spark.createDataFrame([(closing_line(),)], "value string")).write.text(path)
     lines = read_trip_stream(spark, "text", path)
     assert set(lines.columns) == {"value", "trip_id"}
-    alerts = jobs.route_mean_reset_stream(lines)
-    assert alerts.count() == valid(spark, SF_SMALL).count()
+    assert jobs.route_mean_reset_stream(lines).count() == valid(spark, SF_SMALL).filter("dropoff_datetime is not null").count()
 
 
 def test_top_routes_update_mode_equals_batch(spark):
