@@ -22,6 +22,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: for
+    wider intermediates, which this keeps compressed."""
+    import uuid
+
+    from ..session import shared_path
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few_by_hash(df: DataFrame, seed: str, key: str, count: int, over: int = 4) -> DataFrame:
+    """About ``over * count`` rows of ``df`` (all, if it has no more), by a
+    hash of ``key``: what a bounded sample is then taken from, so that no task
+    sends more than its share to the driver."""
+    from pyspark.sql import functions as F
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 11) / float(1 << 53)
+    return df.filter(h < over * count / max(1, df.count()))
+
+
 def with_row(df: DataFrame, *columns) -> DataFrame:
     """The whole input row as one struct ``row`` beside ``columns``.
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
-from .textscan import CHUNK, LOWER, bytes_of
+from .textscan import CHUNK, LOWER, bytes_of, slices
 
 LANDMARKS = 16
 SAMPLE = 300
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
-        for batch in batches:
+        for batch in slices(batches, 1):
             langs, scores = identify(batch.column(1), scorer)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -197,7 +197,7 @@ def keep_identified(docs: DataFrame, model: Model | None, languages: list[str] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
-        for batch in batches:
+        for batch in slices(batches, text_at):
             found, _ = identify(batch.column(text_at), scorer)
             keep = [x != UND and (languages is None or x in languages) for x in found]
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -24,9 +24,9 @@ Edge cases: vectors null, empty, or with a null or non-finite component take
 no part, as query or candidate, nor do rows with a null id; vectors of another
 length than the query's are no candidates of it; fewer than k candidates: all
 of them; rows sharing an id are separate candidates, none of them the query's
-own, and as queries one for each distinct vector; zero vectors and ties are ordinary; scores are exact up to 2**53 and
-modulo 2**64 beyond; other columns are ignored; an empty table gives an empty
-result.
+own, and as queries one for each distinct vector; zero vectors and ties are
+ordinary; scores are exact up to 2**53 and modulo 2**64 beyond; other columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import few_by_hash, materialise, table
 
 K = 5
 SCALE = 256
@@ -217,9 +217,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     """query_id, rank, vec_id, score: the k best candidates of each query
     (``is_query`` is a condition on the column ``id``) among all other rows."""
     spark = vectors.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     whole = integer_vectors(vectors, id_col, vec_col)
-    sample = whole.orderBy(F.xxhash64("id"), "v").limit(SAMPLE).collect()
+    sample = few_by_hash(whole, "pivot", "id", SAMPLE).orderBy(F.xxhash64("id"), "v").limit(SAMPLE).collect()
     centres: dict[int, np.ndarray] = {}
     for length in {len(r["v"]) for r in sample}:
         points = np.array([np.frombuffer(r["v"], np.int64) for r in sample if len(r["v"]) == length], np.float64)
@@ -244,6 +243,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     found = placed.groupBy("length", "pivot").agg(F.count("*").alias("n"), F.max("reach").alias("radius")).collect()
     blocks = {(r["length"], r["pivot"]): -(-r["n"] // BLOCK) for r in found}
     radius = {(r["length"], r["pivot"]): r["radius"] for r in found}
+    parts = 2 * sum(blocks.values())
 
     name = F.concat_ws(":", "length", "pivot", "salt")
     if not found:

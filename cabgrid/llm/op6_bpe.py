@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .textscan import slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-GROUP_BYTES = 1 << 20
-MEMO = 500_000
+MEMO = 200_000
 _LOADED: dict = {}
 
 
@@ -60,7 +60,7 @@ class Codec:
             halves.sort(key=lambda p: (ranks[p[0]], ranks[p[1]]))
             merges += [(name[a], name[b]) for a, b in halves]
         model = models.BPE(vocab={name[t]: r for t, r in ranks.items()}, merges=merges,
-                           ignore_merges=True, cache_capacity=200_000)
+                           ignore_merges=True, cache_capacity=10_000)
         self.memo: dict[str, bytes] = {}
         self.pattern = regex.compile(PATTERN)
         self.tokenizer = Tokenizer(model)
@@ -132,19 +132,6 @@ def codec(name: str = VOCABULARY) -> Codec:
     return _LOADED[name]
 
 
-def groups(texts: list[str]) -> Iterator[list[str]]:
-    """Neighbours of about GROUP_BYTES characters in all."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= GROUP_BYTES:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def _texts(column) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
@@ -154,16 +141,15 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, offsets: bool = False)
     ``offsets`` the character span of each id (starts, ends: array<int>)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, starts, ends = [], [], []
-            for part in groups(_texts(batch.column(1))):
-                if offsets:
-                    for i, o in use.encode_with_offsets(part):
-                        ids.append(i)
-                        starts.append([a for a, _ in o])
-                        ends.append([b for _, b in o])
-                else:
-                    ids += use.encode(part)
+            if offsets:
+                for i, o in use.encode_with_offsets(_texts(batch.column(1))):
+                    ids.append(i)
+                    starts.append([a for a, _ in o])
+                    ends.append([b for _, b in o])
+            else:
+                ids = use.encode(_texts(batch.column(1)))
             kind = pa.list_(pa.int32())
             columns = [batch.column(0), pa.array(ids, kind)]
             if offsets:
@@ -200,15 +186,14 @@ def encoded_corpus(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool
     (of the bytes the ids decode to). One pass, batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, 1):
             counts, all_ids, of_ids, of_bytes = [], [], [], []
-            for part in groups(_texts(batch.column(1))):
-                for ids in use.encode(part):
-                    counts.append(len(ids))
-                    if with_ids:
-                        all_ids.append(ids)
-                    of_ids.append(hashlib.sha256(",".join(use.text[ids]).encode()).hexdigest())
-                    of_bytes.append(hashlib.sha256(use.decode(ids)).hexdigest())
+            for ids in use.encode(_texts(batch.column(1))):
+                counts.append(len(ids))
+                if with_ids:
+                    all_ids.append(ids)
+                of_ids.append(hashlib.sha256(",".join(use.text[ids]).encode()).hexdigest())
+                of_bytes.append(hashlib.sha256(use.decode(ids)).hexdigest())
             columns = {"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
             if with_ids:
                 columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))

@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import few_by_hash, table
+from .textscan import slices
 
 SAMPLE_PAGES = 120
 SAMPLE_BYTES = 100_000
@@ -391,7 +392,7 @@ def train(samples: list[str]) -> Tagger:
 
 def training_pages(pages: DataFrame, count: int = SAMPLE_PAGES) -> list[str]:
     """At most ``count`` pages of at most SAMPLE_BYTES bytes, by a keyed hash."""
-    rows = (pages.filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES))
+    rows = (few_by_hash(pages, "page", "page_id", count).filter(F.col("html").isNotNull() & (F.octet_length("html") <= SAMPLE_BYTES))
             .select("html", F.xxhash64(F.lit("html"), "page_id").alias("h")).orderBy("h", "html").limit(count).collect())
     return [r["html"] for r in rows]
 
@@ -402,7 +403,7 @@ def extract(pages: DataFrame, tagger: Tagger) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = shared.value
-        for batch in batches:
+        for batch in slices(batches, 2):
             texts = [use.extract(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

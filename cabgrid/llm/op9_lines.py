@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, materialise, table
-from .textscan import LOWER, WHITE, Hasher, bytes_of, chunks, mix64
+from .textscan import LOWER, WHITE, Hasher, bytes_of, chunks, mix64, slices
 
 MIN_KEY = 10
 HOT = 2000
@@ -250,7 +250,7 @@ def dedup_lines(docs: DataFrame, digest: bool = False) -> DataFrame:
     text_at, lost_at, id_at = fields.index("text"), fields.index(lost), fields.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_at):
             kept, lines, drops = rewrite(batch.column(text_at), batch.column(lost_at))
             counts = [pa.array(lines, pa.int64()), pa.array(drops, pa.int64())]
             if digest:

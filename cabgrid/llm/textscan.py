@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 U = np.uint64
 _GOLD = 0x9E3779B97F4A7C15
 
@@ -79,6 +79,15 @@ def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 * CHUNK) -> Iterator[pa.RecordBatch]:
+    """The batches cut (without copying) where ``column`` passes about ``size``
+    bytes: what a task makes of a batch stays a few MB, however wide the rows."""
+    for batch in batches:
+        _, offsets = bytes_of(batch.column(column))
+        for a, b in chunks(offsets, size):
+            yield batch.slice(a, b - a)
+
+
 class Hasher:
     """Hashes of pieces [start, end) of one byte array; equal bytes, equal hash."""
 
