@@ -30,13 +30,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import stored, table
 
 PIECE = r"[^\x20\x09-\x0D]++(?:[\x20\x09\x0B-\x0D]++[^\x20\x09-\x0D]++){0,11}+"
 BASE = 2
 LEAST_LEVEL = 4
 PASSES = 6
-RANGES_PER_PARTITION = 4
+RANGES_PER_PARTITION = 16
 NO_ID = -(1 << 63)
 STATE = ["part", "place", "pair", "level"]
 
@@ -144,11 +144,17 @@ def _likeness(left: Column, right: Column, only_left: Column, only_right: Column
     return F.when(all_ == 0, F.lit(1.0)).otherwise((F.size(left) - only_left).cast("double") / all_)
 
 
+def _longs(values: list[int]) -> Column:
+    """A constant array (one literal, however long)."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """part, place (unique in part), doc_id, text, next: each document with
     the text of the next one."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     depth = max(1, (ranges - 1).bit_length())
     ranges = 1 << depth
@@ -157,22 +163,25 @@ def in_order(docs: DataFrame) -> DataFrame:
     if bounds is None:
         bounds = [0] * (ranges - 1)
     # Binary search in the sorted bounds: how many are at most the id.
-    table_ = F.array(*[F.lit(b).cast("long") for b in bounds])
-    part = F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(depth))]), F.lit(0),
-                       lambda at, step: F.when(F.element_at(table_, at + step) <= F.col("id"), at + step).otherwise(at))
-    rows = rows.withColumn("own", part)
+    # (Plain steps: a lambda here would keep the two readers of the shuffle from sharing it.)
+    table_ = _longs(bounds)
+    rows = rows.withColumn("own", F.lit(0))
+    for step in (1 << i for i in reversed(range(depth))):
+        rows = rows.withColumn("own", F.when(F.element_at(table_, F.col("own") + step) <= F.col("id"), F.col("own") + step).otherwise(F.col("own")))
     # One row per range: its first document's id, and the range before it.
     tops = {r["own"]: r["top"] for r in rows.groupBy("own").agg(F.max("id").alias("top")).collect()}
     order = sorted(tops, reverse=True)
     before = {p: order[i - 1] for i, p in enumerate(order)}
-    top = F.array(*[F.lit(tops.get(p)).cast("long") for p in range(ranges)])
-    goal = F.array(*[F.lit(before.get(p)).cast("int") for p in range(ranges)])
+    top = _longs([tops.get(p, NO_ID) for p in range(ranges)])
+    goal = _longs([before.get(p, -1) for p in range(ranges)]).cast("array<int>")
     here = F.array(F.struct(F.col("own").alias("part"), F.lit(0).alias("guest")))
     there = F.array(F.struct(F.element_at(goal, F.col("own") + 1).alias("part"), F.lit(1).alias("guest")))
     first = F.element_at(top, F.col("own") + 1) == F.col("id")
-    dealt = rows.select("doc_id", "id", "text", F.explode(F.when(first, F.concat(here, there)).otherwise(here)).alias("p"))
-    along = Window.partitionBy("part").orderBy("guest", F.col("id").desc(), "text")
-    return (dealt.select(F.col("p.part").alias("part"), F.col("p.guest").alias("guest"), "doc_id", "id", "text")
+    # What is shuffled is what every reader of it needs, so it is shuffled once.
+    dealt = rows.select("doc_id", "text", F.explode(F.when(first, F.concat(here, there)).otherwise(here)).alias("p"))
+    along = Window.partitionBy("part").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
+    return (dealt.filter("p.part is not null")  # as the optimizer puts it on a join's other side
+            .select(F.col("p.part").alias("part"), F.col("p.guest").alias("guest"), "doc_id", "text")
             .select("part", "guest", "doc_id", "text", F.row_number().over(along).alias("place"), F.lead("text").over(along).alias("next"))
             .filter("guest = 0").drop("guest"))
 
@@ -183,7 +192,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.col("next"), F.lit(1), half))
     versions = (in_order(docs).withColumn("edited", edited)
-                .select("part", "place", F.col("doc_id").cast("long").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"),
+                .select("part", "place", "doc_id", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2("edited", 256).alias("edited_sha256"),
                         digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next")).alias("b")))
     pairs = versions.select("part", "place", F.explode(F.array(
@@ -193,10 +202,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def merged(rows: DataFrame, found: DataFrame) -> DataFrame:
         """The two pairs' counts beside each document; arrays stay only while a
         pair is not decoded."""
+        names = [f"{c}_{p}" for p in (0, 1) for c in ("only_left", "only_right", "open")]
         per = found.groupBy("part", "place").agg(*[
-            F.coalesce(F.sum(F.when(F.col("pair") == p, F.col(c))), F.lit(0)).alias(f"{c}_{p}") for p in (0, 1)
-            for c in ("only_left", "only_right", "open")])
-        full = rows.join(per, ["part", "place"], "left").fillna(0)
+            F.coalesce(F.sum(F.when(F.col("pair") == int(c[-1]), F.col(c[:-2]))), F.lit(0)).alias(c) for c in names])
+        # One map per range: the join keeps the partitioning by range on both sides.
+        per = per.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("place", F.struct(*names)))).alias("counts"))
+        full = rows.join(per, "part", "left").withColumn("c", F.element_at("counts", F.col("place")))
+        full = full.withColumns({c: F.coalesce(F.col("c")[c], F.lit(0)) for c in names})
         ok = (F.col("open_0") + F.col("open_1")) == 0
         near = [F.when(ok, _likeness(F.col("a"), F.col(r), F.col(f"only_left_{p}"), F.col(f"only_right_{p}"))) for p, r in ((0, "e"), (1, "b"))]
         return full.select("part", "place", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
@@ -204,14 +216,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                            *[F.when(~ok, F.col(c)).alias(c) for c in ("a", "e", "b")])
 
     rows = versions.withColumn("fingerprint", base_sketch(F.col("a"))).withColumn("edited_fingerprint", base_sketch(F.col("e")))
-    out = materialise(merged(rows, differences(pairs)))
+    out = stored(merged(rows, differences(pairs)), "sketches")
     done, seed = out.filter("a is null"), 0
     while not (left := out.filter("a is not null")).isEmpty():
         seed += 1
         again = left.select("part", "place", F.explode(F.array(
             F.struct(F.lit(0).alias("pair"), F.col("a").alias("left"), F.col("e").alias("right")),
             F.struct(F.lit(1).alias("pair"), F.col("a").alias("left"), F.col("b").alias("right")))).alias("p")).select("part", "place", "p.*")
-        out = materialise(merged(left, differences(again, seed)))
+        out = stored(merged(left, differences(again, seed)), "sketches")
         done = done.unionByName(out.filter("a is null"))
     return done.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
