@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table, with_row
+from .common import materialise, stored, table, with_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -63,7 +63,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 
 def _with_copies(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
-    """rows (doc_id, source, size, ...) + source_size, target, copies."""
+    """rows (doc_id, source, ...) + source_size, target, copies.
+
+    The targets, one row per source, are written first: Spark then knows their
+    size, and below its broadcast threshold no row of ``rows`` is shuffled;
+    beyond it they are joined by source (skewed partitions are split)."""
+    targets = stored(targets, "targets")
     rate = F.col("target") / F.col("source_size")
     targets = targets.withColumnRenamed("source", "t_source")
     return (
