@@ -27,7 +27,8 @@ from .common import table
 from .textscan import slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MEMO = 200_000
+MEMO = 100_000
+SLICE = 1 << 19
 _LOADED: dict = {}
 
 
@@ -64,11 +65,10 @@ class Codec:
         self.memo: dict[str, bytes] = {}
         self.pattern = regex.compile(PATTERN)
         self.tokenizer = Tokenizer(model)
-        letters_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(PATTERN), "isolated"), letters_only])
-        self.by_piece = Tokenizer(model)
-        self.by_piece.pre_tokenizer = letters_only
+        # Pieces come one by one; whole texts (for offsets) are split here first.
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.split = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(PATTERN), "isolated"), self.letters])
+        self.tokenizer.pre_tokenizer = self.letters
         size = max(ranks.values()) + 1
         self.lengths = np.zeros(size, np.int64)
         pieces = [b""] * size
@@ -81,7 +81,7 @@ class Codec:
     def _learn(self, pieces: list[str]) -> None:
         """The ids of new pieces: one call of the library, each piece a word of
         its own (pieces never merge across the pattern's matches)."""
-        found = self.by_piece.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, np.int32).tobytes()
         ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(pieces)))).tolist()
         a = 0
@@ -108,7 +108,10 @@ class Codec:
     def encode_with_offsets(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
         """ids and, for each, the [start, end) of the characters it touches; a
         character split between tokens belongs to all of them."""
-        return [(e.ids, e.offsets) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.tokenizer.pre_tokenizer = self.split
+        found = [(e.ids, e.offsets) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.tokenizer.pre_tokenizer = self.letters
+        return found
 
     def decode(self, ids) -> bytes:
         ids = np.asarray(ids, np.int64)
@@ -141,7 +144,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, offsets: bool = False)
     ``offsets`` the character span of each id (starts, ends: array<int>)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             ids, starts, ends = [], [], []
             if offsets:
                 for i, o in use.encode_with_offsets(_texts(batch.column(1))):
@@ -186,7 +189,7 @@ def encoded_corpus(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool
     (of the bytes the ids decode to). One pass, batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             counts, all_ids, of_ids, of_bytes = [], [], [], []
             for ids in use.encode(_texts(batch.column(1))):
                 counts.append(len(ids))

@@ -86,6 +86,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 * CHUNK
         _, offsets = bytes_of(batch.column(column))
         for a, b in chunks(offsets, size):
             yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
 
 
 class Hasher:
