@@ -35,6 +35,8 @@ def _table(seed: int) -> np.ndarray:
     return mix64((np.arange(256, dtype=U) + U(1 + 256 * seed)) * U(_GOLD))
 
 
+WORD_BYTE = np.zeros(256, bool)
+WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -118,19 +120,38 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def bare(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words [start, end): which hold more than punctuation, and the bounds
+    of those without the punctuation at their edges (ASCII, and U+2000-203F:
+    typographic quotes and dashes)."""
+    mark = ~WORD_BYTE[data]
+    at = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80))
+    for i in range(3):
+        mark[at + i] = True
+    inner = np.flatnonzero(~mark)
+    lo, hi = np.searchsorted(inner, start), np.searchsorted(inner, end)
+    some = hi > lo
+    return some, inner[lo[some]], inner[hi[some] - 1] + 1
+
+
 class Shingles:
     """The ``width``-word shingles of a chunk of rows, A-Z lower-cased:
     ``hashes`` of those starting at each word but the chunk's last, ``whole``
     whether such a shingle stays inside its row, ``cut`` each row's first
-    word (and an end), ``start``/``end`` the words' bytes in the chunk."""
+    word (and an end), ``start``/``end`` the words' bytes in the chunk. With
+    ``strip``, words of punctuation are left out and others read ``bare``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int, strip: bool = False):
         base = offsets[0]
         data = LOWER[data[base:offsets[-1]]]
         starts = offsets[:-1] - base
         self.width = width
         self.start, self.end = words(data, starts)
-        self.words = Hasher(data, 1)(self.start, self.end) if len(self.start) else np.zeros(0, U)
+        first, last = self.start, self.end
+        if strip and len(first):
+            some, first, last = bare(data, first, last)
+            self.start, self.end = self.start[some], self.end[some]
+        self.words = Hasher(data, 1)(first, last) if len(first) else np.zeros(0, U)
         self.cut = np.searchsorted(self.start, np.append(starts, len(data)))
         self.factor = mix64(np.arange(1, width + 1, dtype=U) * U(_GOLD)) | U(1)
         n = max(0, len(self.words) - width + 1)

@@ -292,6 +292,24 @@ def test_licenses_edited_and_embedded(spark, edges, empty):
         op8_license.Template(0, "too short")
 
 
+def test_licenses_commented_rewrapped_and_related(spark):
+    whole = dict(op8_license.all_templates()[-len(op8_license.WHOLE):])
+    notice = dict(reversed(op8_license.MORE_NOTICES))
+    wrap = lambda t, mark, n: "\n".join(mark + " ".join(w[i:i + n]) for w in [t.split()] for i in range(0, len(w), n))
+    texts = {"MIT": wrap(whole["MIT"], "// ", 7), "Apache-2.0": wrap(op8_license.MORE_NOTICES[11][1], "# ", 5),
+             "BSD-3-Clause": wrap(whole["BSD-3-Clause"], " * ", 9), "BSD-2-Clause": wrap(whole["BSD-2-Clause"], "-- ", 6),
+             "AGPL-3.0": wrap(notice["AGPL-3.0"], "# ", 8), "LGPL-3.0": wrap(notice["LGPL-3.0"], " * ", 6),
+             "LGPL-2.1": wrap(op8_license.MORE_NOTICES[6][1], "; ", 6), "Zlib": wrap(whole["Zlib"], " * ", 8),
+             "GPL-2.0": wrap(op8_license.TEMPLATES[6][1], "# ", 4), "CC-BY-NC-4.0": "x Licensed under CC BY-NC 4.0",
+             "CC0-1.0": whole["CC0-1.0"], "EPL-1.0": whole["EPL-1.0"], "GPL-3.0": whole["GPL-3.0"]}
+    rows = [(i, "a b c\n" + t + "\nd e f") for i, t in enumerate(texts.values())]
+    rows += [(100, whole["AGPL-3.0"]), (101, texts["GPL-2.0"] + "\n\n" + wrap(op8_license.TEMPLATES[5][1], "# ", 9)), (102, None)]
+    got = {}
+    for r in op8_license.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {**{i: {name} for i, name in enumerate(texts)}, 100: {"AGPL-3.0"}, 101: {"GPL-2.0", "GPL-3.0"}}
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 def test_pipeline_matches_brute(spark, docs):
