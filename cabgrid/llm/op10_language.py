@@ -14,7 +14,8 @@ code points. Prediction reads whole
 texts, every n-gram of them.
 
 Edge cases: a text that is null or holds no letter is ``und`` with score 0; an
-empty training set makes every row ``und``; null languages are never learnt;
+empty training set makes every row ``und`` (``keep_identified`` then drops only
+texts that are null or hold no letter); null languages are never learnt;
 repeated rows get the same answer; columns beyond doc_id, text and lang are
 ignored; predictions use the text alone.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +43,8 @@ RIDGE = 1e-3
 GRAMS = 4
 SLOTS = 1 << 22
 UND = "und"
+#: What ``keep_identified`` takes: 0.5 is a tie of the two best languages.
+LEAST_SCORE = 0.6
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -164,9 +168,14 @@ def fit(docs: DataFrame, per_language: int = SAMPLE, landmarks: int = LANDMARKS)
     return Model([r["text"] for r in rows], [r["lang"] for r in rows], [r["n"] <= landmarks for r in rows])
 
 
+def with_letter(column: pa.Array) -> np.ndarray:
+    """Whether each text of a batch holds a letter."""
+    return np.array([bool(t) and LETTER.search(t) is not None for t in column.to_pylist()], bool)
+
+
 def identify(column: pa.Array, scorer: Scorer | None) -> tuple[list[str], np.ndarray]:
     """Language and score of each text of a batch."""
-    letters = np.array([bool(t) and LETTER.search(t) is not None for t in column.to_pylist()], bool)
+    letters = with_letter(column)
     if scorer is None or not len(letters):
         return [UND] * len(letters), np.zeros(len(letters))
     langs, scores = scorer(column)
@@ -189,17 +198,30 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
-def keep_identified(docs: DataFrame, model: Model | None, languages: list[str] | None = None) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model | None, languages: list[str] | None = None,
+                    least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text has a predicted language (one of
-    ``languages``, if given), all columns as they are, in one pass."""
+    ``languages``, if given) with a score of at least ``least_score``, in one
+    pass. A null ``lang`` gets the prediction; the other columns stay. Without
+    a model nothing can be told apart: then every text with a letter stays, as
+    it is."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
+    lang_at = docs.columns.index("lang") if dict(docs.dtypes).get("lang") == "string" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
         for batch in slices(batches, text_at):
-            found, _ = identify(batch.column(text_at), scorer)
-            keep = [x != UND and (languages is None or x in languages) for x in found]
+            text = batch.column(text_at)
+            if scorer is None:
+                yield batch.filter(pa.array(with_letter(text), pa.bool_()))
+                continue
+            found, scores = identify(text, scorer)
+            keep = [x != UND and s >= least_score and (languages is None or x in languages) for x, s in zip(found, scores)]
+            if lang_at is not None:
+                lang = batch.column(lang_at)
+                said = pa.array([None if x == UND else x for x in found], lang.type)
+                batch = batch.set_column(lang_at, batch.schema.field(lang_at), pc.coalesce(lang, said))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

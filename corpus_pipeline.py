@@ -19,11 +19,17 @@ from cabgrid.session import shared_path
 #: Near-duplicate stages on word shingles take five words (similarity 0.8).
 SHINGLE_WORDS = 5
 
+#: Languages the corpus accepts (None: each that a row of ``docs`` is labelled
+#: with), and the least score of a document (0.5: a tie of the two best).
+LANGUAGES: list[str] | None = None
+LEAST_SCORE = op10_language.LEAST_SCORE
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: fitted on the labelled rows of ``docs``; documents it
-    rejects (``und``: no text or no letter) go."""
-    return op10_language.keep_identified(docs, op10_language.fit(docs))
+    """Operator 10: fitted on the labelled rows of ``docs``. Documents it
+    rejects go: those without a letter, in a language that is not one of
+    LANGUAGES, or with a score below LEAST_SCORE; a null lang is filled."""
+    return op10_language.keep_identified(docs, op10_language.fit(docs), LANGUAGES, LEAST_SCORE)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import brute
+import corpus_pipeline
 from cabgrid.llm import op1_mix, op5_near_dedup, op6_bpe, op9_lines, op10_language
 from cabgrid.llm.components import connected_components
 from cabgrid.llm.queries import LLM_ORACLE, LLM_QUERIES
@@ -241,3 +242,26 @@ def test_language_edges(edges, empty):
     assert op10_language.fit(empty) is None
     assert {r.lang_pred for r in op10_language.predict(edges, None).collect()} == {"und"}
     assert op10_language.predict(empty, model).count() == 0
+
+
+def test_language_prediction_takes_effect(spark, monkeypatch):
+    words = {"en": "the house and the garden of the old man", "fr": "le jardin et la maison du vieux monsieur"}
+    rows = [(i, f"{words[x]} {i}", None if i > 35 else x, "a") for i in range(40) for x in [("en", "fr")[i % 2]]]
+    rows += [(100, "12 34", "en", "a"), (101, None, "en", "a"), (102, f"{words['en']} 7 {words['fr']} 7", "en", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = op10_language.fit(df.filter("doc_id < 100"))
+    got = {r.doc_id: r.lang for r in op10_language.keep_identified(df, model).collect()}
+    assert {i: got.get(i) for i in range(40)} == {i: ("en", "fr")[i % 2] for i in range(40)} and not {100, 101} & set(got)
+    score = {r.doc_id: r.score for r in op10_language.predict(df, model).collect()}
+    least = (score[102] + min(score[i] for i in range(40))) / 2
+    assert score[102] < least
+    assert {r.doc_id for r in op10_language.keep_identified(df, model, least_score=least).collect()} == set(range(40))
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ["fr"])
+    kept = corpus_pipeline.identify_language(spark, df.filter("doc_id < 100"), "")
+    assert {r.doc_id for r in kept.collect()} == set(range(1, 40, 2))
+
+
+def test_language_nothing_learnt_keeps_texts(spark, edges):
+    bare = edges.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, bare, "")
+    assert kept.columns == edges.columns and {r.doc_id for r in kept.collect()} == {3, 4, 5, 6, 7, 8, 10, None}
