@@ -8,10 +8,11 @@ labelled sample; a batch of texts is scored by two matrix products (kernel
 with the landmarks, then the regression weights).
 
 What bounds the fit (documented parameters; everything else covers all rows):
-LANDMARKS and SAMPLE rows for each of the MAX_LANGUAGES most frequent labels,
-chosen by a keyed hash of the id among labelled texts of at most SAMPLE_CHARS
-code points. Prediction reads whole
-texts, every n-gram of them.
+LANDMARKS and SAMPLE rows for each label, chosen by a keyed hash of the id among
+its texts with a letter; of more than FULL_LANGUAGES labels all are learnt, from
+fewer rows each (``shares``). A text of more than SAMPLE_CHARS code points is
+learnt by that many from its first letter on. Prediction reads whole texts,
+every n-gram of them.
 
 Edge cases: a text that is null or holds no letter is ``und`` with score 0; an
 empty training set makes every row ``und`` (``keep_identified`` then drops only
@@ -37,7 +38,8 @@ from .textscan import CHUNK, LOWER, bytes_of, slices
 LANDMARKS = 16
 SAMPLE = 300
 SAMPLE_CHARS = 20_000
-MAX_LANGUAGES = 64
+FULL_LANGUAGES = 64
+LEAST_ROWS = 8
 OVERSAMPLE = 4
 RIDGE = 1e-3
 GRAMS = 4
@@ -138,21 +140,32 @@ class Scorer:
         return [self.model.langs[i] for i in best], score
 
 
+def shares(languages: int, per_language: int, landmarks: int) -> tuple[int, int]:
+    """Rows and landmarks of each language: as given for up to FULL_LANGUAGES
+    of them; of more, as many as keep the sample's size, but LEAST_ROWS rows
+    and one landmark at least."""
+    if languages <= FULL_LANGUAGES:
+        return per_language, landmarks
+    fewer = lambda n, least: min(n, max(least, n * FULL_LANGUAGES // languages))
+    return fewer(per_language, LEAST_ROWS), fewer(landmarks, 1)
+
+
 def training_rows(docs: DataFrame, per_language: int = SAMPLE, max_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """The bounded labelled sample (lang, doc_id, text, n): of the
-    MAX_LANGUAGES most frequent languages the ``per_language`` rows first by a
-    keyed hash of the id, none held out. The counts (one row per language, at
-    most MAX_LANGUAGES on the driver) give hash thresholds that about
-    OVERSAMPLE times as many rows pass in the scan; only those are ranked."""
-    labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES).collect()
-    limit = F.lit(-1.0)
-    for r in counts:
-        limit = F.when(F.col("lang") == r["lang"], F.lit(OVERSAMPLE * per_language / r["rows"])).otherwise(limit)
+    """The bounded labelled sample (lang, doc_id, text, n): of each language
+    the ``per_language`` (see ``shares``) rows first by a keyed hash of the id,
+    none held out. The counts (one row per language on the driver) of the rows
+    that can be taken give hash thresholds that about OVERSAMPLE times as many
+    rows pass in the scan; only those are ranked."""
+    labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows")).collect()
+    per_language, _ = shares(len(counts), per_language, LANDMARKS)
+    limits = docs.sparkSession.createDataFrame(
+        [(r["lang"], OVERSAMPLE * per_language / r["rows"]) for r in counts], "lang string, least double")
     h = F.xxhash64(F.lit("lang"), F.col("doc_id"))
-    some = (labelled.filter((F.shiftrightunsigned(h, 11) / float(1 << 53)) < limit)
-            .filter((F.char_length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-            .select("lang", F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), "text"))
+    excerpt = F.when(F.char_length("text") <= max_chars, F.col("text")).otherwise(
+        F.substring(F.regexp_extract("text", r"(?s)\p{L}.*+", 0), 1, max_chars))
+    some = (labelled.join(F.broadcast(limits), "lang").filter((F.shiftrightunsigned(h, 11) / float(1 << 53)) < F.col("least"))
+            .select("lang", F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), excerpt.alias("text")))
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     return (some.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= per_language)
             .select("lang", "doc_id", "text", "n"))
@@ -160,11 +173,13 @@ def training_rows(docs: DataFrame, per_language: int = SAMPLE, max_chars: int =
 
 def fit(docs: DataFrame, per_language: int = SAMPLE, landmarks: int = LANDMARKS) -> Model | None:
     """Fitted on the driver: the sample has at most per_language *
-    MAX_LANGUAGES rows of at most SAMPLE_CHARS code points."""
+    FULL_LANGUAGES rows (or LEAST_ROWS for each language, if that is more) of
+    at most SAMPLE_CHARS code points."""
     rows = training_rows(docs, per_language).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], r["n"]))
+    _, landmarks = shares(len({r["lang"] for r in rows}), per_language, landmarks)
     return Model([r["text"] for r in rows], [r["lang"] for r in rows], [r["n"] <= landmarks for r in rows])
 
 

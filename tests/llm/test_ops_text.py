@@ -265,3 +265,21 @@ def test_language_nothing_learnt_keeps_texts(spark, edges):
     bare = edges.withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.identify_language(spark, bare, "")
     assert kept.columns == edges.columns and {r.doc_id for r in kept.collect()} == {3, 4, 5, 6, 7, 8, 10, None}
+
+
+def test_language_learns_every_label_and_long_texts(spark):
+    """90 languages of their own words, one of them in long texts only."""
+    word = lambda i, j: chr(97 + i % 26) * 2 + chr(97 + i // 26) + chr(97 + j)
+    text = lambda i, k: " ".join(word(i, (k + j) % 9) for j in range(12))
+    rows = [(100 * i + k, text(i, k), f"l{i:02}") for i in range(90) for k in range(12 if i < 60 else 6)]
+    rows += [(20_000 + k, "12 " * 9_000 + "žluťoučký kůň " * 3_000, "cs") for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = op10_language.training_rows(df).collect()
+    assert {r.lang for r in sample} == {f"l{i:02}" for i in range(90)} | {"cs"}
+    assert max(len(r.text) for r in sample) == op10_language.SAMPLE_CHARS
+    assert all(r.text.startswith("žlu") for r in sample if r.lang == "cs")
+    model = op10_language.fit(df)
+    got = op10_language.predict(df, model).collect()
+    said = {r.doc_id: r.lang_pred for r in got}
+    assert np.mean([said[d] == x for d, _, x in rows]) > 0.95 and said[20_000] == "cs"
+    assert op10_language.shares(64, 300, 16) == (300, 16) and op10_language.shares(10_000, 300, 16) == (8, 1)
