@@ -1,8 +1,9 @@
 """PII surrogates (operator 3, DataFrame functions only).
 
 Detection: e-mail addresses, phone numbers, IPv4 addresses, payment cards
-(Luhn-valid), credentials (values after token/password/secret/key, AKIA keys,
-long hex strings) and people named with a title. Each entity gets a surrogate
+(Luhn-valid), IPv6 addresses, social security numbers, credentials (values of any
+length after token/password/secret/key, AKIA keys, long hex strings) and people
+named with a title. Each entity gets a surrogate
 drawn from a keyed hash of its type and normal form, so every mention of it,
 in whatever writing, has the same one (a surname alone and after a first name
 too). The surrogate keeps type and form: digit groups, punctuation, case,
@@ -38,14 +39,21 @@ NEUTRAL = ("Dr", "Prof", "Professor")
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,24}"
-ASSIGNED = r"(?i:token|password|passwd|secret|api_?key|access_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_/+\-]{12,}"
+SAID = r"(?i:token|password|passwd|secret|api_?key|access_?key)[\"']?\s{0,3}[=:]\s{0,3}"
+ASSIGNED = SAID + r"""(?:"[^"\r\n]++(?=")|'[^'\r\n]++(?=')|["']?[^\s"'<>]*[^\s"'<>.,;:!?)\]}])"""
 KEYS = r"\bAKIA[A-Z0-9]{16}\b|\b[0-9a-f]{32,64}\b"
 CARD = r"(?<![\w.])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,4}|\d{4}(?:-\d{4}){2}-\d{1,4}|\d{4} \d{6} \d{5})(?!\w)"
-PHONE = (r"\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|\+[2-9]\d{0,2}(?:[ .\-]?\(?\d{1,4}\)?){2,5}(?![\d.])"
-         r"|(?<![\w.+\-])(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\w)")
+# Calling codes; a trunk zero in parentheses belongs to the way of writing.
+CODE = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+PHONE = (r"\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|\+[2-9](?:[ .\-/]?\(?\d\)?){7,14}(?!\d)"
+         r"|(?<![\w.+\-])(?:1[ .\-])?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\w)")
+SSN = r"(?<![\w.+\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
+HEX = "[0-9A-Fa-f]{1,4}"
+IPV6 = (rf"(?<![\w:.])(?=[A-Fa-f:]*\d)(?:(?:{HEX}:){{7}}{HEX}|{HEX}(?::{HEX}){{0,6}}::(?:{HEX}(?::{HEX}){{0,6}})?"
+        rf"|::{HEX}(?::{HEX}){{0,6}})(?![\w:])")
 IP = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)"
 PERSON = rf"(?<!\p{{L}})(?:{'|'.join((*FEMALE, *MALE, *NEUTRAL))})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-ENTITY = "|".join((EMAIL, ASSIGNED, KEYS, CARD, PHONE, IP, PERSON))
+ENTITY = "|".join((EMAIL, ASSIGNED, KEYS, CARD, SSN, IPV6, PHONE, IP, PERSON))
 
 SCRIPTS = (("IsCyrillic", "бвгдзклмнпрстф", "аеиоу"), ("IsGreek", "βγδκλμνπρστφ", "αεηιο"), (None, "bdfgklmnprstvz", "aeiou"))
 
@@ -73,14 +81,29 @@ def _luhn_sum(digits: Column, odd: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
+def _part(address: Column, i: int) -> Column:
+    """The groups of an IPv6 address before (0) or after (1) its ``::``."""
+    return F.filter(F.split(F.coalesce(F.get(F.split(address, "::"), F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+
+
+def _groups(address: Column) -> Column:
+    """The eight groups of an IPv6 address, lower-cased, without leading zeros."""
+    a, b = _part(F.lower(address), 0), _part(F.lower(address), 1)
+    full = F.concat(a, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(a) - F.size(b))), b)
+    return F.array_join(F.transform(full, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
 def kind(m: Column) -> Column:
     """Type of a match; null if it is none after all (cards need a valid sum)."""
     digits = F.regexp_replace(m, r"\D", "")
     card = m.rlike(r"^[\d \-]+$") & (F.length(digits) >= 13)
     return (
-        F.when(m.contains("@"), "email")
+        F.when(m.rlike(f"^{SAID}"), "secret")
+        .when(m.contains("@"), "email")
         .when(m.rlike(rf"^{IP}$"), "ip")
-        .when(m.rlike(r"^(?i:token|passw|secret|api_?key|access_?key)") | m.rlike(r"^AKIA") | m.rlike(r"^[0-9a-f]{32,64}$")
+        .when(m.contains(":"), "ipv6")
+        .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+        .when(m.rlike(r"^AKIA") | m.rlike(r"^[0-9a-f]{32,64}$")
               & m.rlike("[a-f]"), "secret")
         .when(card, F.when(_luhn_sum(digits, 1) % 10 == 0, "card"))
         .when(m.rlike(r"^[+(\d]"), F.when(F.length(digits).between(8, 15), "phone"))
@@ -89,8 +112,8 @@ def kind(m: Column) -> Column:
 
 def lead(m: Column, t: Column) -> Column:
     """The part of a match that stays: what announces it, or a country code."""
-    return (F.when(t == "secret", F.regexp_extract(m, r"^((?i:[a-z_]+)\s{0,3}[=:]\s{0,3}[\"']?|AKIA)", 1))
-            .when(t == "phone", F.regexp_extract(m, r"^(\+1[ .\-]?|\+\d{1,2}(?=[ .\-(]))", 1))
+    return (F.when(t == "secret", F.regexp_extract(m, rf"^({SAID}[\"']?|AKIA)", 1))
+            .when(t == "phone", F.regexp_extract(m, rf"^((?:{CODE}|1(?=[ .\-]))[ .\-/]?(?:\(0\)[ .\-/]?)?)", 1))
             .when(t == "person", F.regexp_extract(m, r"^(\S+ )", 1)).otherwise(""))
 
 
@@ -101,7 +124,8 @@ def entities(m: Column) -> Column:
         names = F.split(F.lower(core), " ")
         title = F.regexp_replace(lead(m, t), r"[. ]", "")
         gender = F.when(title.isin(*FEMALE), "given_f").when(title.isin(*MALE), "given_m").otherwise("given")
-        norm = F.when(t.isin("phone", "card"), F.regexp_replace(core, r"\D", "")).otherwise(F.lower(core))
+        norm = (F.when(t.isin("phone", "card", "ssn"), F.regexp_replace(core, r"\D", ""))
+                .when(t == "ipv6", _groups(core)).otherwise(F.lower(core)))
         return F.when(t == "person", F.transform(names, lambda n, i: F.struct(
             F.when(i + 1 < F.size(names), gender).otherwise("surname").alias("t"), n.alias("norm")))).otherwise(
             F.array(F.struct(t.alias("t"), norm.alias("norm"))))
@@ -128,10 +152,19 @@ def surrogate(t: Column, norm: Column, attempt: Column, key: str = KEY) -> Colum
         kept = F.length(F.regexp_extract(norm, r"(\.[a-z]+)$", 1))
         email = _chars(norm, lambda j, c: F.when(j > n - kept, c).otherwise(alnum(j, c)))
         hexa = norm.rlike("^[0-9a-f]+$")
-        secret = _chars(norm, lambda j, c: F.when(hexa & c.rlike("[a-f]"), pick("abcdef", j)).otherwise(alnum(j, c)))
+        more = F.greatest((attempt / WIDER).cast("int"), (~norm.rlike("[a-z0-9]")).cast("int"))
+        secret = _chars(F.concat(norm, F.repeat(F.lit("a"), more)), lambda j, c: F.when(hexa & c.rlike("[a-f]"), pick("abcdef", j)).otherwise(alnum(j, c)))
         phone = _chars(norm, lambda j, c: F.when(j == 1, pick("23456789", j)).otherwise(pick("0123456789", j)))
         body = _chars(F.substring(norm, F.lit(1), n - 1), lambda j, c: F.when(j == 1, c).otherwise(pick("0123456789", j)))
         card = _bind(body, lambda b: F.concat(b, ((10 - _luhn_sum(b, 0) % 10) % 10).cast("string")))
+        ssn = _chars(norm, lambda j, c: F.when(j == 1, pick("12345", j)).when(j.isin(5, 9), pick("123456789", j)).otherwise(pick("0123456789", j)))
+
+        def group(g, i):
+            wide = F.when(attempt >= WIDER, F.lit(4)).otherwise(F.length(g))
+            digits = F.concat(*[pick("123456789abcdef" if k == 0 else "0123456789abcdef", i * 4 + k + 1) for k in range(4)])
+            return F.when(g == "0", g).otherwise(F.substring(digits, F.lit(1), wide))
+
+        ipv6 = F.array_join(F.transform(F.split(norm, ":"), group), ":")
         octets = F.split(norm, r"\.")
         ip = F.array_join(F.transform(octets, lambda o, i: F.when(attempt >= WIDER, byte(i + 1).cast("string"))
                                       .when(F.length(o) == 3, (100 + byte(i + 1) % 156).cast("string"))
@@ -149,7 +182,7 @@ def surrogate(t: Column, norm: Column, attempt: Column, key: str = KEY) -> Colum
         person = F.when(norm.rlike(rf"\p{{{SCRIPTS[0][0]}}}"), name(*SCRIPTS[0][1:])).when(
             norm.rlike(rf"\p{{{SCRIPTS[1][0]}}}"), name(*SCRIPTS[1][1:])).otherwise(name(*SCRIPTS[2][1:]))
         return (F.when(t == "email", email).when(t == "secret", secret).when(t == "phone", phone)
-                .when(t == "card", card).when(t == "ip", ip).otherwise(person))
+                .when(t == "card", card).when(t == "ip", ip).when(t == "ssn", ssn).when(t == "ipv6", ipv6).otherwise(person))
 
     return _bind(digest, draw)
 
@@ -162,16 +195,24 @@ def _written(m: Column, t: Column, new: Column) -> Column:
     digits = _chars(core, lambda j, c: F.when(c.rlike(r"\d"), F.substring(new, nth(j), F.lit(1))).otherwise(c))
     cased = _chars(new, lambda j, c: F.when(F.substring(core, j, F.lit(1)) != F.lower(F.substring(core, j, F.lit(1))), F.upper(c))
                    .otherwise(c))
-    return F.concat(head, F.when(t.isin("phone", "card"), digits).when(t == "ip", new).otherwise(cased))
+    six = F.split(new, ":")
+    a, b = _part(core, 0), _part(core, 1)
+    as_long = lambda g, old: F.when(F.length(old) > F.length(g), F.lpad(g, 4, "0")).otherwise(g)
+    left = F.array_join(F.zip_with(F.slice(six, F.lit(1), F.size(a)), a, as_long), ":")
+    right = F.array_join(F.zip_with(F.slice(six, 9 - F.size(b), F.size(b)), b, as_long), ":")
+    address = F.concat(left, F.when(core.contains("::"), F.concat(F.lit("::"), right)).otherwise(""))
+    address = F.when(core.rlike("[A-F]"), F.upper(address)).otherwise(address)
+    return F.concat(head, F.when(t.isin("phone", "card", "ssn"), digits).when(t == "ip", new).when(t == "ipv6", address).otherwise(cased))
 
 
 def replaced(text: Column, found: Column, attempts: Column, key: str = KEY) -> Column:
     """``text`` with its matches ``found`` replaced; ``attempts``: map "type|norm"
-    to the attempt of redrawn entities."""
+    to the type (of a given name, what the corpus says of gender) and the
+    attempt of entities that are not drawn as they are mentioned."""
     def new(m):
         def write(t):
-            parts = F.transform(entities(m), lambda e: surrogate(
-                e["t"], e["norm"], F.coalesce(F.element_at(attempts, F.concat_ws("|", e["t"], e["norm"])), F.lit(0)), key))
+            parts = F.transform(entities(m), lambda e: _bind(F.element_at(attempts, F.concat_ws("|", e["t"], e["norm"])), lambda a: surrogate(
+                F.coalesce(a["as_t"], e["t"]), e["norm"], F.coalesce(a["attempt"], F.lit(0)), key)))
             return F.when(t.isNull(), m).otherwise(_written(m, t, F.array_join(parts, " ")))
         return _bind(kind(m), write)
 
@@ -179,16 +220,28 @@ def replaced(text: Column, found: Column, attempts: Column, key: str = KEY) -> C
     return F.array_join(F.zip_with(gaps, F.transform(found, new), lambda g, s: F.concat(g, F.coalesce(s, F.lit("")))), "")
 
 
+def by_name(known: DataFrame) -> DataFrame:
+    """(t, norm, as_t): the type each distinct entity ``known`` (t, norm) is
+    drawn as. A given name is one entity under any title: female or male if its
+    titles say one of the two, else of no gender."""
+    given = known.filter(F.col("t").startswith("given"))
+    said = given.groupBy("norm").agg(F.max((F.col("t") == "given_f").cast("int")).alias("f"), F.max((F.col("t") == "given_m").cast("int")).alias("m"))
+    as_t = F.when(F.col("f") > F.col("m"), "given_f").when(F.col("m") > F.col("f"), "given_m").otherwise("given")
+    return (given.join(said, "norm").select("t", "norm", as_t.alias("as_t"))
+            .unionByName(known.filter(~F.col("t").startswith("given")).select("t", "norm", F.col("t").alias("as_t"))))
+
+
 def redraws(known: DataFrame, key: str = KEY) -> DataFrame:
     """(t, norm, attempt) of the entities that need an attempt after 0, from
     the distinct entities ``known`` (t, norm)."""
     drawn = materialise(known.withColumn("attempt", F.lit(0)).withColumn("new", surrogate(F.col("t"), F.col("norm"), F.col("attempt"), key)))
-    names = known.select(F.col("t").alias("of"), F.col("norm").alias("real"))
+    plain = F.regexp_replace("t", "^given.*", "given")  # given names differ whatever their gender
+    names = known.select(plain.alias("of"), F.col("norm").alias("real"))
     while True:
         # First of each surrogate: earlier attempts stay, then the smaller normal form.
-        first = drawn.groupBy("t", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "norm")).alias("stays")).filter("n > 1")
-        shared = drawn.join(first, ["t", "new"]).filter(F.struct("attempt", "norm") != F.col("stays")).select("t", "norm")
-        real = drawn.join(names, (F.col("t") == F.col("of")) & (F.col("new") == F.col("real")), "left_semi").select("t", "norm")
+        first = drawn.groupBy(plain.alias("of"), "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "norm")).alias("stays")).filter("n > 1")
+        shared = drawn.withColumn("of", plain).join(first, ["of", "new"]).filter(F.struct("attempt", "norm") != F.col("stays")).select("t", "norm")
+        real = drawn.join(names, (plain == F.col("of")) & (F.col("new") == F.col("real")), "left_semi").select("t", "norm")
         again = shared.unionByName(real).distinct()
         again = materialise(again.join(drawn.filter(F.col("attempt") < LAST), ["t", "norm"], "left_semi"))
         if again.isEmpty():
@@ -208,10 +261,13 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
                          .withColumn("at", F.monotonically_increasing_id()))
     mentions = (marked.select("at", F.explode("found").alias("m")).filter(kind(F.col("m")).isNotNull())
                 .select("at", F.explode(entities(F.col("m"))).alias("e")).select("at", "e.t", "e.norm"))
-    again = redraws(mentions.select("t", "norm").distinct(), key)
+    known = materialise(by_name(mentions.select("t", "norm").distinct()))
+    drawn = redraws(known.select(F.col("as_t").alias("t"), "norm").distinct(), key)
+    again = (known.join(drawn.withColumnRenamed("t", "as_t"), ["as_t", "norm"], "left")
+             .withColumn("attempt", F.coalesce("attempt", F.lit(0))).filter("attempt > 0 or t <> as_t"))
     per_row = (mentions.distinct().join(again, ["t", "norm"]).groupBy("at")
-               .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "t", "norm"), "attempt"))).alias("attempts")))
-    none = F.create_map().cast("map<string,int>")
+               .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "t", "norm"), F.struct("as_t", "attempt")))).alias("attempts")))
+    none = F.create_map().cast("map<string,struct<as_t:string,attempt:int>>")
     full = marked.join(per_row, "at", "left").withColumn("attempts", F.coalesce("attempts", none))
     changed = full.select("row", replaced(F.col("text"), F.col("found"), F.col("attempts"), key).alias("new_text"),
                           F.size(F.filter("found", lambda m: kind(m).isNotNull())).alias("n_entities"))

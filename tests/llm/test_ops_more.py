@@ -138,6 +138,26 @@ def test_pii_empty(empty):
     assert op3_pii.replace_entities(empty).count() == 0
 
 
+def test_pii_more_forms_and_sentence_ends(spark):
+    rows = ["Call +49 30 1234567.", "Call +442079460958.", "Call +44 20 7946 0958.", "mid +44 (0)20 7946 0958 sentence", "password: hunter2.",
+            "password=Tr0ub4dor&3, ok", '{"secret": "two words"}', "US 555 123 4567.", "or 1-555-123-4567!", "SSN 123-45-6789.",
+            "at 2001:db8::8a2e:370:7334.", "at 2001:0DB8:0:0:0:8A2E:0370:7334 too", "Mrs Anna Smith.", "Dr Anna Smith.", "pw token: p@ss.word"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.row.doc_id: (r.new_text, r.n_entities) for r in op3_pii.replace_entities(df).collect()}
+    new = [got[i][0] for i in range(len(rows))]
+    assert [got[i][1] for i in range(len(rows))] == [1] * len(rows)
+    for text, part in zip(new, ["1234567", "7946", "0958", "7946", "hunter2", "Tr0ub4dor", "two words", "123 4567", "4567", "6789", "7334", "7334",
+                                "Anna", "Anna", "p@ss"]):
+        assert part not in text
+    digits = [re.sub(r"\D", "", x) for x in new]
+    assert re.fullmatch(r"Call \+49 \d\d \d{7}\.", new[0]) and digits[1] == digits[2] == digits[3].replace("440", "44", 1)
+    assert re.fullmatch(r"password: [a-z]{6}\d\.", new[4]) and re.fullmatch(r"password=\w{9}&\d, ok", new[5])
+    assert digits[8] == "1" + digits[7] and re.fullmatch(r"SSN \d{3}-\d\d-\d{4}\.", new[9])
+    import ipaddress
+    assert ipaddress.ip_address(new[10][3:-1]) == ipaddress.ip_address(new[11].split()[1])
+    assert new[12][4:] == new[13][3:] and new[12].split()[1].endswith("a")
+
+
 # --- 4: fingerprints --------------------------------------------------------------------
 
 def brute_fingerprint(rows):
