@@ -52,8 +52,10 @@ BLOCK = frozenset(
 ENDS_P = BLOCK - {"button", "option", "label"}
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(script|style|title|textarea|noscript|noframes|svg|math|iframe|template|select|object|video|audio|canvas)\b[^>]*>"
-    r"(?:.*?</\1\s*>|.*\Z)"
+    # self-closed: an empty foreign element
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(script|style|title|textarea|noscript|noframes|svg|iframe|template|select|object|video|audio|canvas)(?=[\s/>])[^>]*>"
+    r"(?:.*?</\1(?=[\s/>])[^>]*>|.*\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+>"

@@ -246,6 +246,15 @@ def test_html_parser_and_edges(spark):
     assert op7_html.extract(df.limit(0), tagger).count() == 0
 
 
+def test_html_icons_custom_elements_and_math():
+    cut = lambda h: [b.text for b in op7_html.blocks(h)]
+    for icon in ("<svg-icon name=x></svg-icon>", "<video-player src='a>b'></video-player>", "<select-menu></select-menu>",
+                 "<svg class=i />", "<svg/>", "<svg viewBox='0 0 1 1'><title>i</title></svg >", "<object-card/>"):
+        assert cut(f"{icon}<p>one</p><p>two</p>") == ["one", "two"], icon
+    assert cut("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert cut("<script src=a.js/>no</script><p>yes") == ["yes"]
+
+
 def test_crf_viterbi_is_best():
     """Viterbi against all labellings of short chains."""
     rng = np.random.default_rng(2)
