@@ -15,6 +15,7 @@ from . import (
     op8_license,
     op9_lines,
     op10_language,
+    op13_prefix_bpe,
 )
 
 LLM_QUERIES = {
@@ -28,6 +29,7 @@ LLM_QUERIES = {
     "op8_license_scan": op8_license.op8_license_scan,
     "op9_line_dedup": op9_lines.op9_line_dedup,
     "op10_language_id": op10_language.op10_language_id,
+    "op13_prefix_bpe": op13_prefix_bpe.op13_prefix_bpe,
     "pipeline": corpus_pipeline.run,
 }
 LLM_ORACLE = {
