@@ -58,3 +58,10 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB SQL: the CRC-32 (polynomial 0xEDB88320) of an ASCII text."""
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''), lambda ch: unicode(ch)::BIGINT)),
+      lambda c, b: xor(c >> 8, list_reduce(list_concat([xor(c, b) & 255], range(8)),
+        lambda d, k: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END))), 4294967295)"""

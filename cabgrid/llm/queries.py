@@ -15,6 +15,8 @@ from . import (
     op8_license,
     op9_lines,
     op10_language,
+    op11_turn_repair,
+    op12_prefix_trie,
     op13_prefix_bpe,
 )
 
@@ -29,6 +31,8 @@ LLM_QUERIES = {
     "op8_license_scan": op8_license.op8_license_scan,
     "op9_line_dedup": op9_lines.op9_line_dedup,
     "op10_language_id": op10_language.op10_language_id,
+    "op11_turn_repair": op11_turn_repair.op11_turn_repair,
+    "op12_prefix_trie": op12_prefix_trie.op12_prefix_trie,
     "op13_prefix_bpe": op13_prefix_bpe.op13_prefix_bpe,
     "pipeline": corpus_pipeline.run,
 }
@@ -36,4 +40,6 @@ LLM_ORACLE = {
     "op1_mix_sources": op1_mix.SQL,
     "op2_topk": op2_topk.SQL,
     "op9_line_dedup": op9_lines.SQL,
+    "op11_turn_repair": op11_turn_repair.SQL,
+    "op12_prefix_trie": op12_prefix_trie.SQL,
 }
