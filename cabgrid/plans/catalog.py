@@ -20,6 +20,7 @@ from ..operators.grid import grid_cells, routed_trips
 from ..sources.decode import trip_decode_csv, trip_decode_json
 from ..sources.trips import load_table, load_trips, to_trip_json, to_trip_lines
 from ..streaming import jobs
+from ..streaming.admission import Admission
 from ..streaming.sinks import topic_fanout
 from ..streaming.sources import closing_line, read_json_stream, read_trip_stream, stage_time_slices
 
@@ -213,16 +214,20 @@ def q_area_profitability_stream_update(spark, d):
     return jobs.area_profitability_stream(_feed(spark, d), output_mode="update")
 
 
+#: Replays end with a closing record.
+REPLAY = Admission(closing=closing_line())
+
+
 def q_idle_time_stream(spark, d):
-    return jobs.idle_time_stream(_feed(spark, d, time_col="pickup_datetime"))
+    return jobs.idle_time_stream(_feed(spark, d, time_col="pickup_datetime"), admit=REPLAY)
 
 
 def q_congestion_stream(spark, d):
-    return jobs.congestion_stream(_feed(spark, d))
+    return jobs.congestion_stream(_feed(spark, d), admit=REPLAY)
 
 
 def q_route_mean_reset_stream(spark, d):
-    return jobs.route_mean_reset_stream(_feed(spark, d))
+    return jobs.route_mean_reset_stream(_feed(spark, d), admit=REPLAY)
 
 
 LATE_SECONDS = 20 * 60
@@ -230,7 +235,7 @@ LATE_SECONDS = 20 * 60
 
 def q_late(job, time_col: str = "dropoff_datetime"):
     """A keyed-state job fed with trips up to 20 minutes late, out of order."""
-    return lambda spark, d: job(_feed(spark, d, time_col=time_col, late_seconds=LATE_SECONDS))
+    return lambda spark, d: job(_feed(spark, d, time_col=time_col, late_seconds=LATE_SECONDS), admit=REPLAY)
 
 
 def q_windowed(job, output_mode: str = "complete"):

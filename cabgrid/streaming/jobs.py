@@ -24,12 +24,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import utc_wall
 from ..functions.constants import CLEAN_COLUMNS, CLEAN_PARTITIONS, TRIP_JSON_FIELDS
 from ..operators import areas, drivers, routes
-from ..operators.clean import trip_clean, trip_valid, valid_trip
+from ..operators.clean import trip_clean
 from ..operators.grid import grid_cells, routed_trips
 from ..session import shared_path
-from ..sources.decode import trip_decode_csv, trip_decode_json
+from ..sources.decode import trip_decode_json
 from . import stateful
-from .runner import (await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
+from .admission import Admission, admitted, rejected, rejects
+from .runner import (KEYED_STATE, await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
                      snapshot_sink)
 from .sinks import register_clean_table, write_archive, write_clean_table
 
@@ -57,23 +58,17 @@ class Job:
     queries: list[StreamingQuery]
     report: Callable[[], DataFrame]
 
+    def rejected(self) -> dict[str, int]:
+        """Records turned away by the recent micro-batches, by reason."""
+        return rejected(self.queries[:1])
+
     def finish(self, timeout_s: float | None = None) -> DataFrame:
         for q in self.queries:
             await_bounded(q, timeout_s)
         return self.report()
 
 
-def trips_stream(lines: DataFrame, event_time: str | None = None, watermark: str | None = None) -> DataFrame:
-    """Decoded, valid trips (times as moments). With ``event_time`` and
-    ``watermark`` the watermark comes before the validity test, and the test
-    reads that column, so it is not moved below: invalid records (a closing
-    line) move the watermark too."""
-    keep = [c for c in ("trip_id",) if c in lines.columns]
-    trips = trip_decode_csv(lines, ntz=False, keep=keep)
-    if event_time is None:
-        return trip_valid(trips)
-    valid = F.coalesce(valid_trip(), F.lit(False))
-    return trips.withWatermark(event_time, watermark).filter(valid == F.col(event_time).isNotNull())
+ADMIT = Admission()
 
 
 def _windowed(rows: DataFrame, name: str, key: list[str], top: Callable[[DataFrame], DataFrame], output_mode: str,
@@ -100,43 +95,43 @@ def _windowed(rows: DataFrame, name: str, key: list[str], top: Callable[[DataFra
 
 
 def start_top_routes(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output_mode: str = "complete",
-                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Top k routes over 30-minute windows sliding by 10 minutes."""
-    counts = routes.route_counts(routed_trips(trips_stream(lines)), watermark=watermark)
+    counts = routes.route_counts(routed_trips(admitted(lines, admit)), watermark=watermark)
     return _windowed(counts, "top-routes", ["route"], lambda c: routes.top_routes(c, k), output_mode, output, checkpoint, trigger)
 
 
 def start_most_pleasant_driver(lines: DataFrame, k: int = 1, watermark: str = "30 minutes", output_mode: str = "complete",
-                               output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+                               output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Drivers with the highest average tip rate of a day."""
-    rates = drivers.driver_tip_rate(trips_stream(lines), watermark=watermark)
+    rates = drivers.driver_tip_rate(admitted(lines, admit), watermark=watermark)
     return _windowed(rates, "pleasant-driver", ["hack_license"], lambda r: drivers.most_pleasant_driver(r, k), output_mode,
                      output, checkpoint, trigger)
 
 
 def start_top_price_breakdown(lines: DataFrame, k: int = 5, watermark: str = "30 minutes", output_mode: str = "complete",
-                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Cells with the highest totals of two hours and what they consist of."""
-    prices = areas.price_breakdown(grid_cells(trips_stream(lines), 500), watermark=watermark)
+    prices = areas.price_breakdown(grid_cells(admitted(lines, admit), 500), watermark=watermark)
     return _windowed(prices, "price-breakdown", ["cell_pickup"], lambda p: areas.top_price_breakdown(p, k), output_mode,
                      output, checkpoint, trigger)
 
 
 def start_top_amount_per_mile(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output_mode: str = "complete",
-                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Routes with the highest amount per mile of an hour."""
-    rates = routes.amount_per_mile(routed_trips(trips_stream(lines)), watermark=watermark)
+    rates = routes.amount_per_mile(routed_trips(admitted(lines, admit)), watermark=watermark)
     return _windowed(rates, "amount-per-mile", ["route"], lambda a: routes.top_amount_per_mile(a, k), output_mode,
                      output, checkpoint, trigger)
 
 
 def start_area_profitability(lines: DataFrame, k: int = 5, output_mode: str = "complete", watermark: str = "30 minutes",
-                             output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+                             output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Two concurrent streams (average profit per pickup cell and 15 minutes;
     dropoffs per cell and 30 minutes); the profitability report reads what
     both hold at that moment."""
     spark = lines.sparkSession
-    cells = grid_cells(trips_stream(lines), 250)
+    cells = grid_cells(admitted(lines, admit), 250)
     out, ckpt = output or _folder(spark, "profitability"), checkpoint or _folder(spark, "ckpt-profitability")
     parts = {"profit": (areas.area_profit_avg(cells, watermark=watermark), "cell_pickup"),
              "dropoffs": (areas.area_dropoffs(cells, watermark=watermark), "cell_dropoff")}
@@ -169,26 +164,27 @@ def _stateful(rows: DataFrame, name: str, report: Callable[[DataFrame], DataFram
         if on_batch is not None:
             on_batch(report(read_batches(spark, out, schema)), batch_id)
 
-    q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), "append", sink, trigger=trigger)
+    q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), "append", sink, trigger=trigger,
+                   settings=KEYED_STATE)
     return Job([q], lambda: report(read_batches(spark, out, schema)))
 
 
 def start_idle_time(lines: DataFrame, max_idle_seconds: int | None = 3600, watermark: str = "2 hours",
-                    output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                    output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT,
                     on_batch: Callable[[DataFrame, int], None] | None = None) -> Job:
     """Average idle time per cell, highest first, over the idle rides that the
     keyed state has given so far."""
-    cells = grid_cells(trips_stream(lines, "pickup_datetime", watermark), 500)
+    cells = grid_cells(admitted(lines, admit, "pickup_datetime", watermark), 500)
     return _stateful(stateful.idle_rides_stream(cells, max_idle_seconds, None), "idle",
                      lambda got: drivers.idle_summary(got.withColumnRenamed("gap_us", "_gap_us")),
                      output, checkpoint, trigger, on_batch)
 
 
 def start_congestion(lines: DataFrame, min_run: int = 2, mean_hours: int = 4, watermark: str = "30 minutes",
-                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                     output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT,
                      expire_hours: float | None = None) -> Job:
     """Congestion alerts from keyed state per route."""
-    routed = routed_trips(trips_stream(lines, "dropoff_datetime", watermark))
+    routed = routed_trips(admitted(lines, admit, "dropoff_datetime", watermark))
     return _stateful(
         stateful.congestion_alerts_stream(routed, min_run, mean_hours, None, expire_hours), "congestion",
         lambda got: got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"), "run_length",
@@ -197,16 +193,26 @@ def start_congestion(lines: DataFrame, min_run: int = 2, mean_hours: int = 4, wa
 
 
 def start_route_mean_reset(lines: DataFrame, reset_hours: int = 4, watermark: str = "30 minutes",
-                           output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None,
+                           output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT,
                            expire_hours: float | None = None) -> Job:
     """Running duration mean per route with the original 4-hour reset."""
-    routed = routed_trips(trips_stream(lines, "dropoff_datetime", watermark))
+    routed = routed_trips(admitted(lines, admit, "dropoff_datetime", watermark))
     return _stateful(
         stateful.route_mean_reset_stream(routed, reset_hours, None, expire_hours), "mean-reset",
         lambda got: got.select("route", "trip_id", _from_us("dropoff_us").alias("dropoff_datetime"), "route_mean_reset"),
         output, checkpoint, trigger)
 
 
+def start_rejects(lines: DataFrame, event_time: str | None = "dropoff_datetime", admit: Admission = ADMIT, output: str | None = None,
+                  checkpoint: str | None = None, trigger: dict | None = None) -> Job:
+    """The side output of a job with the same ``admit`` and ``event_time``:
+    the records that it turns away, with the reason."""
+    spark = lines.sparkSession
+    rows, out = rejects(lines, admit, event_time), output or _folder(spark, "rejects")
+    q = run_stream(rows, checkpoint or _folder(spark, "ckpt-rejects"), "append", batch_sink(out, rows.schema), trigger=trigger)
+    return Job([q], lambda: read_batches(spark, out, rows.schema))
+
+
 def _bounded(start: Callable[..., Job]) -> Callable[..., DataFrame]:
     """The job run to its end (``availableNow`` unless a trigger is given) or
     for ``timeout_s`` seconds, then its report."""

@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: State in RocksDB; a batch commits its changes, not a copy of its files.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 BatchFn = Callable[[DataFrame, int], None]
 
 
@@ -16,9 +21,12 @@ def run_stream(df: DataFrame, checkpoint: str, output_mode: str = "append",
                foreach_batch: BatchFn | None = None, fmt: str | None = None,
                path: str | None = None, partition_by: list[str] | None = None,
                options: dict | None = None, trigger: dict | None = None,
-               query_name: str | None = None) -> StreamingQuery:
+               query_name: str | None = None, settings: dict[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query with a checkpoint (restartable).
 
+    ``settings``: session settings for this query (KEYED_STATE for keyed logs);
+    a query takes them as it starts, then the session gets its own back.
+
     ``trigger`` defaults to ``availableNow`` (process what is there, then
     stop: an incremental run any scheduler can start); pass
     ``{"processingTime": "10 seconds"}`` for a continuous job.
@@ -36,7 +44,16 @@ def run_stream(df: DataFrame, checkpoint: str, output_mode: str = "append",
         w = w.partitionBy(*partition_by)
     for k, v in (options or {}).items():
         w = w.option(k, v)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in settings or {}}
+    try:
+        for k, v in (settings or {}).items():
+            conf.set(k, v)
+        return w.start()
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def await_bounded(query: StreamingQuery, timeout_s: float | None = None) -> None:
