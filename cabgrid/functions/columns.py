@@ -74,6 +74,12 @@ def wall_micros(c: Column) -> Column:
             + (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
 
 
+def time_of(micros: Column, kind: str) -> Column:
+    """The time of ``epoch_micros`` as the Spark type ``kind``."""
+    moment = F.timestamp_micros(micros)
+    return utc_wall(moment) if kind == "timestamp_ntz" else moment
+
+
 def epoch_micros(df: DataFrame, name: str) -> Column:
     """Microseconds since 1970-01-01 for a timestamp column, ntz or not.
 

@@ -3,10 +3,12 @@ started with a ride longer than the route's recent mean."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import time_of
 from . import sequence as seq
+from .restarts import restarted_means
 
 
 def route_rising_runs(routed: DataFrame, time_col: str = "dropoff_datetime",
@@ -42,8 +44,7 @@ def congestion_alerts(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
                     "route_mean"))
 
 
-def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "trip_id",
-                     bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
+def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "trip_id") -> DataFrame:
     """Running mean of ``trip_time`` per route (rides in dropoff order) that
     restarts at the first ride ending more than ``reset_hours`` after the
     pickup of the ride that started the current mean: the original job's
@@ -51,70 +52,17 @@ def route_mean_reset(routed: DataFrame, reset_hours: int = 4, tiebreak: str = "t
     ``congestion_alerts``).
 
     The restarts form a chain per route (each start fixes the next one), found
-    without putting a route in one task: every ride's would-be successor
-    start comes from a bucketed successor search, the chain from each route's
-    first ride is unrolled by pointer doubling over ride ids, and the mean is
-    a running average inside each segment (a segment spans at most
-    ``reset_hours`` of dropoffs).
+    by composing maps of time blocks (``restarts``); the mean is a running one
+    since the latest start. Equal (dropoff, id) pairs keep an arbitrary order.
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(routed.sparkSession)
     routed = routed.dropna(subset=["dropoff_datetime", "pickup_datetime"])
-    span = reset_hours * 3600 * 1_000_000
-    r = routed.dropna(subset=["route"]).select(
-        "route", F.col(tiebreak).alias("_id"), "trip_time", "dropoff_datetime",
-        seq.epoch_micros(routed, "dropoff_datetime").alias("_td"),
-        seq.epoch_micros(routed, "pickup_datetime").alias("_tp"))
-    reach = F.col("_tp") + F.lit(span)
-    later = reach >= F.col("_td")
-    rides = r.select("route", F.col("_td").alias("_t"), F.col("_id").alias("_k"),
-                     F.col("_id").alias("_ride"))
-    probes = r.select("route", F.when(later, reach).otherwise(F.col("_td")).alias("_t"),
-                      F.when(later, F.lit(seq.LONG_MAX)).otherwise(F.col("_id")).alias("_k"),
-                      F.col("_id").alias("_probe"))
-    nxt = seq.first_after(rides, probes, ["route"], bucket_seconds).select(
-        F.col("_probe").alias("_node"), F.col("_next").alias("_ptr"))
-    roots = r.groupBy("route").agg(
-        F.min_by("_id", F.struct("_td", "_id")).alias("_node")).withColumnRenamed("route", "_root_key")
-    starts = seq.chain_members(nxt, roots).select(F.col("_node").alias("_id"), F.lit(True).alias("_start"))
-    flagged = r.join(starts, "_id", "left").withColumn("_start", F.coalesce("_start", F.lit(False)))
-    # Segment label = id of the latest start at or before the ride.
-    flagged = flagged.withColumn("_seg_in", F.when(F.col("_start"), F.col("_id")))
-    d = seq.add_bucket(flagged, "dropoff_datetime", bucket_seconds)
-    w = Window.partitionBy("route", seq.BUCKET).orderBy("dropoff_datetime", "_id")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_seg", F.last("_seg_in", ignorenulls=True).over(upto))
-    # Running mean per segment, computed per (route, bucket). Rows after a
-    # start in their bucket average from that start. Rows before the bucket's
-    # first start continue a segment from earlier buckets: its (sum, count)
-    # so far comes from a prefix scan over per-bucket totals (one row per
-    # route and bucket), joined to those rows only.
-    tt = F.col("trip_time").cast("double")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumns({
-        "_rn": F.row_number().over(w), "_bl": F.last("_seg").over(whole),
-        "_bsum": F.sum(tt).over(whole), "_bcnt": F.count(F.lit(1)).over(whole),
-        "_psum": F.sum(tt).over(upto), "_pcnt": F.count(F.lit(1)).over(upto)})
-    d = d.withColumns({
-        "_lsum": F.sum(F.when(F.col("_seg") == F.col("_bl"), tt)).over(whole),
-        "_lcnt": F.count(F.when(F.col("_seg") == F.col("_bl"), F.lit(1))).over(whole)})
-    bw = Window.partitionBy("route").orderBy(seq.BUCKET)
-    ends = d.filter(F.col("_rn") == 1).withColumns({
-        "_ct": F.sum("_bsum").over(bw.rowsBetween(Window.unboundedPreceding, 0)),
-        "_cn": F.sum("_bcnt").over(bw.rowsBetween(Window.unboundedPreceding, 0))})
-    last_start = F.last(F.when(F.col("_bl").isNotNull(), F.struct(
-        F.col("_lsum").alias("s"), F.col("_lcnt").alias("n"), F.col("_ct").alias("ct"),
-        F.col("_cn").alias("cn"))), ignorenulls=True).over(bw.rowsBetween(Window.unboundedPreceding, -1))
-    carry = ends.withColumn("_a", last_start).select(
-        "route", seq.BUCKET,
-        (F.col("_a.s") + F.col("_ct") - F.col("_bsum") - F.col("_a.ct")).alias("_csum"),
-        (F.col("_a.n") + F.col("_cn") - F.col("_bcnt") - F.col("_a.cn")).alias("_ccnt"))
-    sw = Window.partitionBy("route", seq.BUCKET, "_seg").orderBy("_td", "_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    started = d.filter(F.col("_seg").isNotNull()).select(
-        "route", F.col("_id").alias(tiebreak), "dropoff_datetime",
-        F.avg("trip_time").over(sw).alias("route_mean_reset"))
-    carried = d.filter(F.col("_seg").isNull()).join(carry, ["route", seq.BUCKET]).select(
-        "route", F.col("_id").alias(tiebreak), "dropoff_datetime",
-        ((F.col("_csum") + F.col("_psum")) / (F.col("_ccnt") + F.col("_pcnt"))).alias("route_mean_reset"))
-    return started.unionByName(carried)
+    span = reset_hours * 3600
+    rides = routed.dropna(subset=["route"]).select(
+        "route", seq.epoch_micros(routed, "dropoff_datetime").alias("t"), F.col(tiebreak).cast("long").alias("id"),
+        (seq.epoch_micros(routed, "pickup_datetime") + F.lit(span * 1_000_000)).alias("reach"),
+        F.col("trip_time").cast("double").alias("value"))
+    kind = dict(routed.dtypes)["dropoff_datetime"]
+    return restarted_means(rides, span).select(
+        "route", F.col("id").alias(tiebreak), time_of(F.col("t"), kind).alias("dropoff_datetime"), F.col("mean").alias("route_mean_reset"))

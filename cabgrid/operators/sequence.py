@@ -10,9 +10,7 @@ aggregate of the columns it needs, joined to the one pass over the rows.
 * run counters: each bucket's row count, last value and last break, scanned
   over buckets to the run that enters each bucket;
 * trailing range means: exact prefix sums; the prefix at ``t - range`` comes
-  from narrow look-up entries placed in the bucket that asks for them;
-* successor search and chains (``first_after``, ``chain_members``) for the
-  restart rule of the reset mean.
+  from narrow look-up entries placed in the bucket that asks for them.
 
 Buckets are BUCKET_SECONDS wide unless the caller says otherwise, whatever the
 data. Rows without a key or a time have no place in a sequence and are left
@@ -153,74 +151,3 @@ def trailing_range_avg(df: DataFrame, key: list[str], time_col: str, value: str,
 
 def key_time_order(time_col: str, tiebreak: str | None) -> list[str]:
     return [time_col] + ([tiebreak] if tiebreak else [])
-
-
-LONG_MAX = 9_223_372_036_854_775_807
-
-
-def first_after(rides: DataFrame, probes: DataFrame, key: list[str],
-                bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """For every probe, the first ride of the same key strictly after it.
-
-    ``rides``: key, ``_t`` (long), ``_k`` (long tiebreak), ``_ride`` (id).
-    ``probes``: key, ``_t``, ``_k``, ``_probe`` (id). Rides are ordered by
-    (``_t``, ``_k``); a probe equal to a ride's (``_t``, ``_k``) sorts after it.
-    Returns ``_probe`` and ``_next`` (null when no ride follows).
-
-    Partitioned by (key, time bucket); a probe with no later ride in its
-    bucket takes the first ride of the next bucket that has one, found on
-    the per-bucket summary (one row per key and bucket).
-    """
-    width = bucket_seconds * 1_000_000
-    r = rides.select(*key, "_t", "_k", F.lit(0).alias("_kind"), F.col("_ride"),
-                     F.lit(None).cast("long").alias("_probe"))
-    p = probes.select(*key, "_t", "_k", F.lit(1).alias("_kind"),
-                      F.lit(None).cast("long").alias("_ride"), F.col("_probe"))
-    u = r.unionByName(p).withColumn(BUCKET, F.floor(F.col("_t") / F.lit(width)).cast("long"))
-    part = Window.partitionBy(*key, BUCKET)
-    desc = part.orderBy(F.desc("_t"), F.desc("_k"), F.desc("_kind"))
-    u = u.withColumns({
-        "_in": F.last("_ride", ignorenulls=True).over(
-            desc.rowsBetween(Window.unboundedPreceding, -1)),
-        "_bfirst": F.last("_ride", ignorenulls=True).over(
-            desc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    })
-    found = u.filter((F.col("_kind") == 1) & F.col("_in").isNotNull()).select(
-        "_probe", F.col("_in").alias("_next"))
-    open_ = u.filter((F.col("_kind") == 1) & F.col("_in").isNull()).select(*key, BUCKET, "_probe")
-    # Next bucket holding a ride, per (key, bucket) that needs one.
-    firsts = (u.filter(F.col("_kind") == 0).groupBy(*key, BUCKET)
-              .agg(F.first("_bfirst").alias("_first")).withColumn("_need", F.lit(0)))
-    needs = (open_.select(*key, BUCKET).distinct()
-             .withColumn("_first", F.lit(None).cast("long")).withColumn("_need", F.lit(1)))
-    kw = Window.partitionBy(*key).orderBy(F.desc(BUCKET), F.desc("_need"))
-    carry = (firsts.unionByName(needs)
-             .withColumn("_carry", F.last("_first", ignorenulls=True).over(
-                 kw.rowsBetween(Window.unboundedPreceding, -1)))
-             .filter(F.col("_need") == 1).select(*key, BUCKET, "_carry"))
-    rest = open_.join(carry, key + [BUCKET], "left").select("_probe", F.col("_carry").alias("_next"))
-    return found.unionByName(rest)
-
-
-def chain_members(nxt: DataFrame, roots: DataFrame) -> DataFrame:
-    """Nodes on the chain ``root, next(root), next(next(root)), ...``.
-
-    ``nxt``: ``_node``, ``_ptr`` (null at the end of a chain); ``roots``:
-    ``_root_key`` (any grouping label) and ``_node``. Pointer doubling: the
-    table of 2^k-step jumps is built from the 2^(k-1) one by a self-join on
-    the unique node id (no key skew), then the chain is unrolled from each
-    root by binary steps. Rounds: log2 of the longest chain. Every table is
-    checkpointed to the shared checkpoint folder to cut lineage.
-    """
-    jumps = [nxt.filter(F.col("_ptr").isNotNull()).select("_node", "_ptr").checkpoint()]
-    while not jumps[-1].isEmpty():
-        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
-        nxt2 = a.join(b, F.col("a._ptr") == F.col("b._node")).select(
-            F.col("a._node").alias("_node"), F.col("b._ptr").alias("_ptr"))
-        jumps.append(nxt2.checkpoint())
-    pos = roots.select("_root_key", F.lit(0).cast("long").alias("_pos"), "_node").checkpoint()
-    for k in reversed(range(len(jumps) - 1)):
-        step = pos.join(jumps[k], "_node").select(
-            "_root_key", (F.col("_pos") + F.lit(1 << k)).alias("_pos"), F.col("_ptr").alias("_node"))
-        pos = pos.unionByName(step).checkpoint()
-    return pos

@@ -127,7 +127,7 @@ def test_trailing_range_must_fit_the_buckets(spark, rides):
 
 def test_route_mean_reset_matches_sequential(spark, rides):
     pdf, df = rides
-    got = congestion.route_mean_reset(df, bucket_seconds=2 * 3600).toPandas().set_index("trip_id")
+    got = congestion.route_mean_reset(df).toPandas().set_index("trip_id")
     assert len(got) == len(pdf)
     span = dt.timedelta(hours=4)
     for _, g in pdf.sort_values(["dropoff_datetime", "trip_id"]).groupby("route"):
