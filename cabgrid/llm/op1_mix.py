@@ -5,9 +5,14 @@ is emitted floor(rate) times plus one hash-seeded Bernoulli copy whose
 probability is the rate's fraction, so reruns agree and no order matters.
 
 Edge cases: null text has size 0; a null source is a source of its own, last
-in order; sources without words get target 0 and no copies; rows repeating a
-doc_id share its coin; a null doc_id has a coin of its own; empty tables give
+in order; sources without words get target 0 and no copies; rows that share a
+doc_id (or have none) are numbered in the order they are read and each has a coin
+of its own in ``mix_sources`` (in ``emit_mix``, which shuffles no texts, rows
+without a doc_id have, rows that repeat one share its coin); empty tables give
 empty results; other columns of any name are untouched.
+
+Bound: the targets are windows over one row per source, sorted (with spilling)
+by one task; a million sources are some 50 MB there.
 """
 
 from __future__ import annotations
@@ -27,9 +32,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def coin(doc_id: Column, seed: str = SEED) -> Column:
-    """Uniform in [0, 1) from the id: 48 bits of a keyed md5."""
+def coin(doc_id: Column, seed: str = SEED, turn: Column | None = None) -> Column:
+    """Uniform in [0, 1) from the id: 48 bits of a keyed md5. ``turn``: of rows
+    that share an id all but the first (0) have other coins."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+    if turn is not None:
+        text = F.concat(text, F.when(turn > 0, F.concat(F.lit(":"), turn.cast("string"))).otherwise(""))
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
@@ -62,8 +70,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, at) + turn: how many rows with the same doc_id were read
+    before. Counted by (doc_id, part of the input), so that an id (or null) that
+    many rows share is spread over the parts."""
+    parts = rows.withColumn("part", F.shiftright("at", 33))
+    by_part = Window.partitionBy("doc_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (parts.groupBy("doc_id", "part").agg(F.count("*").alias("n"))
+              .select(F.col("doc_id").alias("b_id"), F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(by_part), F.lit(0)).alias("before"))
+              .filter("before > 0"))
+    own = F.row_number().over(Window.partitionBy("doc_id", "part").orderBy("at")) - 1
+    return (parts.withColumn("own", own)
+            .join(before, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("part") == F.col("b_part")), "left")
+            .withColumn("turn", F.col("own") + F.coalesce("before", F.lit(0))).drop("part", "own", "b_id", "b_part", "before"))
+
+
 def _with_copies(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
-    """rows (doc_id, source, ...) + source_size, target, copies.
+    """rows (doc_id, source, turn, ...) + source_size, target, copies.
 
     The targets, one row per source, are written first: Spark then knows their
     size, and below its broadcast threshold no row of ``rows`` is shuffled;
@@ -75,7 +98,7 @@ def _with_copies(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
         rows.join(targets, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
         .withColumn("rate", F.when(F.col("source_size") > 0, rate).otherwise(F.lit(0.0)))
         .withColumn("copies", F.floor("rate")
-                    + (coin(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long"))
+                    + (coin(F.col("doc_id"), seed, F.col("turn")) < F.col("rate") - F.floor("rate")).cast("long"))
     )
 
 
@@ -84,8 +107,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     """Per row of ``docs`` (doc_id, source, text): doc_id, size, source_size,
     target, rate, copies, taken. Text is read once: the narrow (id, source,
     size) rows are written to the shared folder and used twice."""
-    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    mixed = _with_copies(sizes, source_targets(sizes, weights, max_repeats), seed)
+    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("at")))
+    mixed = _with_copies(numbered(sizes), source_targets(sizes, weights, max_repeats), seed)
     return mixed.select("doc_id", "size", "source_size", "target", "rate", "copies",
                         (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -95,7 +118,8 @@ def emit_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     """The mixed corpus: every row of ``docs`` as often as the mix takes it,
     with the columns of ``docs``."""
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
-    rows = with_row(docs, F.col("doc_id"), F.col("source"))
+    turn = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
+    rows = with_row(docs, F.col("doc_id"), F.col("source"), turn.alias("turn"))
     mixed = _with_copies(rows, source_targets(sizes, weights, max_repeats), seed)
     return (mixed.filter("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))

@@ -38,7 +38,8 @@ MALE = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "г-н")
 NEUTRAL = ("Dr", "Prof", "Professor")
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]+\.)+[A-Za-z]{2,24}"
+# Every repeated group is bounded: the engine recurses once for each repetition.
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]{1,63}+\.){1,32}[A-Za-z]{2,24}"
 SAID = r"(?i:token|password|passwd|secret|api_?key|access_?key)[\"']?\s{0,3}[=:]\s{0,3}"
 ASSIGNED = SAID + r"""(?:"[^"\r\n]++(?=")|'[^'\r\n]++(?=')|["']?[^\s"'<>]*[^\s"'<>.,;:!?)\]}])"""
 KEYS = r"\bAKIA[A-Z0-9]{16}\b|\b[0-9a-f]{32,64}\b"
@@ -52,7 +53,8 @@ HEX = "[0-9A-Fa-f]{1,4}"
 IPV6 = (rf"(?<![\w:.])(?=[A-Fa-f:]*\d)(?:(?:{HEX}:){{7}}{HEX}|{HEX}(?::{HEX}){{0,6}}::(?:{HEX}(?::{HEX}){{0,6}})?"
         rf"|::{HEX}(?::{HEX}){{0,6}})(?![\w:])")
 IP = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)"
-PERSON = rf"(?<!\p{{L}})(?:{'|'.join((*FEMALE, *MALE, *NEUTRAL))})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+NAME = r"(?:\p{L}['’])?\p{Lu}\p{L}+(?:['’\-]\p{L}+){0,3}"
+PERSON = rf"(?<!\p{{L}})(?:{'|'.join((*FEMALE, *MALE, *NEUTRAL))})\.? {NAME}(?: {NAME})?"
 ENTITY = "|".join((EMAIL, ASSIGNED, KEYS, CARD, SSN, IPV6, PHONE, IP, PERSON))
 
 SCRIPTS = (("IsCyrillic", "бвгдзклмнпрстф", "аеиоу"), ("IsGreek", "βγδκλμνπρστφ", "αεηιο"), (None, "bdfgklmnprstvz", "aeiou"))
@@ -146,7 +148,7 @@ def surrogate(t: Column, norm: Column, attempt: Column, key: str = KEY) -> Colum
             return F.substring(F.lit(pool), byte(j) % len(pool) + 1, F.lit(1))
 
         def alnum(j, c):
-            return (F.when(c.rlike("[0-9]"), pick("0123456789", j)).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", j)).otherwise(c))
+            return (F.when(c.rlike("[0-9]"), pick("0123456789", j)).when(c.rlike(r"\p{L}"), pick("abcdefghijklmnopqrstuvwxyz", j)).otherwise(c))
 
         n = F.length(norm)
         kept = F.length(F.regexp_extract(norm, r"(\.[a-z]+)$", 1))
@@ -175,7 +177,7 @@ def surrogate(t: Column, norm: Column, attempt: Column, key: str = KEY) -> Colum
         end = F.length(longer)
 
         def name(consonants, vowels):
-            return _chars(longer, lambda j, c: F.when((j == end) & (t == "given_f"), F.lit(vowels[0]))
+            return _chars(longer, lambda j, c: F.when(~c.rlike(r"\p{L}"), c).when((j == end) & (t == "given_f"), F.lit(vowels[0]))
                           .when((j == end) & (t == "given_m"), pick(consonants, j))
                           .when(j % 2 == 1, pick(consonants, j)).otherwise(pick(vowels, j)))
 

@@ -364,3 +364,25 @@ def test_pipeline_stages_keep_columns(spark, edges):
         rows = stage(spark, rows, "")
         assert rows.columns == edges.columns, name
     assert "ids" in corpus_pipeline.STAGES[-1][1](spark, rows, "").columns
+
+
+def test_pii_very_long_texts_of_every_form(spark):
+    """Long runs that nearly match, form by form: no stack runs out."""
+    n = 300_000
+    rows = ["x@" + "a." * (n // 2), "x@" + "ab." * (n // 3), "x" * 500 + "@" + "a-" * (n // 2), "1234 " * (n // 5), "4" * n,
+            "+49" + " 1" * (n // 2), "+4" + "(1)" * (n // 3), "1.2." * (n // 4), "ab:" * (n // 3), "::" * (n // 2), "a::" + "1:" * (n // 2),
+            "0" * n, "ab01" * (n // 4), "123-45-" * (n // 7), "Dr " + "Aa-" * (n // 3), "Mrs O'" * (n // 6), "Miss " + "Ab Cd " * (n // 6)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(8)
+    got = {r.row.doc_id: r for r in op3_pii.replace_entities(df).select("row", "new_text", "n_entities").collect()}
+    assert len(got) == len(rows) and got[0].new_text == rows[0]
+
+
+def test_pii_letters_of_any_script_apostrophes_and_hyphens(spark):
+    rows = ["müller@firma.de", "josé@example.com", "Mr. O'Neil", "Mme Jean-Pierre d'Arc", "Frau D'Arc-Müller", "m@bücher.de"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.row.doc_id: (r.new_text, r.n_entities) for r in op3_pii.replace_entities(df).collect()}
+    assert [got[i][1] for i in range(6)] == [1] * 6
+    for i, shape in enumerate([r"[a-z]{6}@[a-z]{5}\.de", r"[a-z]{4}@[a-z]{7}\.com", r"Mr\. [A-Z]'[A-Z][a-z]{3}", r"Mme [A-Z][a-z]{3}-[A-Z][a-z]{5} d'Arc",
+                               r"Frau [A-Z]'[A-Z][a-z]{2}-[A-Z][a-z]{5}", r"[a-z]@[a-z]{6}\.de"]):
+        assert got[i][0] != rows[i] and (i == 3 or re.fullmatch(shape, got[i][0])), got[i]
+    assert not {"müller", "josé", "neil", "pierre", "bücher"} & set(re.findall(r"\w+", " ".join(x for x, _ in got.values()).lower()))

@@ -67,6 +67,20 @@ def test_mix_matches_brute(docs, rows):
         assert r.target == pytest.approx(target)
 
 
+def test_mix_rows_without_an_id_or_with_one_id(spark):
+    """Half the rows have no doc_id, a third share one: each has its own coin,
+    so the sources come near their targets."""
+    rows = [(None if i % 2 else 7 if i % 3 else i, f"s{i % 4 // 2}", "two words") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7)
+    got = op1_mix.mix_sources(df).groupBy("target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == len(rows) and len(got) == 2
+    assert all(abs(r.taken - r.target) < 0.05 * r.target for r in got)
+    nameless = df.filter("doc_id is null")
+    emitted = dict(op1_mix.emit_mix(nameless).groupBy("source").count().collect())
+    for r in op1_mix.source_targets(nameless.select("source", F.lit(2).alias("size"))).collect():
+        assert abs(2 * emitted[r.source] - r.target) < 0.05 * r.target
+
+
 def test_mix_empty(empty):
     assert op1_mix.mix_sources(empty).count() == 0 and op1_mix.emit_mix(empty).count() == 0
 
