@@ -65,13 +65,25 @@ def idle_rides(prev: DataFrame, max_idle_seconds: int | None = 3600) -> DataFram
     return d.withColumn("idle_seconds", F.col("_gap_us") / F.lit(1_000_000.0))
 
 
+def idle_sums(rides: DataFrame) -> DataFrame:
+    """(cell, gap_us, rides): sum and count of the gaps ``_gap_us`` per cell."""
+    return rides.groupBy("cell").agg(F.sum("_gap_us").alias("gap_us"), F.count(F.lit(1)).alias("rides"))
+
+
+def idle_sums_merged(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("cell").agg(F.sum("gap_us").alias("gap_us"), F.sum("rides").alias("rides"))
+
+
+def idle_means(sums: DataFrame) -> DataFrame:
+    """Average idle seconds and ride count per ``cell`` (exact sum in
+    microseconds, then one division); highest average first."""
+    return sums.select("cell", (F.col("gap_us").cast("double") / F.col("rides") / F.lit(1_000_000.0))
+                       .alias("avg_idle_seconds"), "rides").orderBy(F.desc("avg_idle_seconds"), "cell")
+
+
 def idle_summary(rides: DataFrame) -> DataFrame:
-    """Average idle seconds and ride count per ``cell`` from rides with the
-    gap ``_gap_us`` in microseconds (exact sum, then one division); highest
-    average first."""
-    agg = rides.groupBy("cell").agg(F.sum("_gap_us").alias("_s"), F.count(F.lit(1)).alias("rides"))
-    return agg.select("cell", (F.col("_s").cast("double") / F.col("rides") / F.lit(1_000_000.0))
-                      .alias("avg_idle_seconds"), "rides").orderBy(F.desc("avg_idle_seconds"), "cell")
+    """``idle_means`` of rides with the gap ``_gap_us`` in microseconds."""
+    return idle_means(idle_sums(rides))
 
 
 def idle_time(prev: DataFrame, max_idle_seconds: int | None = 3600) -> DataFrame:

@@ -15,11 +15,34 @@ from pyspark.sql import functions as F
 from ..functions.columns import EXACT, window_columns
 
 
-def route_counts(routed: DataFrame, length: str = "30 minutes", slide: str = "10 minutes",
+def route_panes(routed: DataFrame, pane: str = "10 minutes", time_col: str = "dropoff_datetime",
+                watermark: str | None = None) -> DataFrame:
+    """Trips per (pane, route): the slides that sliding windows consist of.
+    A trip is one row here, not one for every window that holds it."""
+    df = routed.withWatermark(time_col, watermark) if watermark else routed
+    return (df.groupBy(F.window(time_col, pane).alias("w"), "route").agg(F.count(F.lit(1)).alias("count"))
+            .select(*window_columns(F.col("w")), "route", "count"))
+
+
+def windows_of_panes(panes: DataFrame, length_panes: int = 3) -> DataFrame:
+    """Counts per sliding window of ``length_panes`` panes, from pane counts."""
+    width = F.col("window_end") - F.col("window_start")
+    starts = F.array(*[F.col("window_start") - width * i for i in range(length_panes)])
+    return (panes.select(F.explode(starts).alias("window_start"), width.alias("width"), "route", "count")
+            .withColumn("window_end", F.col("window_start") + F.col("width") * length_panes)
+            .groupBy("window_start", "window_end", "route").agg(F.sum("count").alias("count")))
+
+
+def route_counts(routed: DataFrame, pane: str = "10 minutes", length_panes: int = 3,
                  time_col: str = "dropoff_datetime", watermark: str | None = None) -> DataFrame:
-    """Trips per (sliding window on dropoff, route)."""
+    """Trips per (sliding window on dropoff, route): windows of 30 minutes every
+    10. Trips are counted once, by panes; the pane counts are combined. Of a
+    stream (one stateful aggregate): the windows themselves."""
+    if not routed.isStreaming:
+        return windows_of_panes(route_panes(routed, pane, time_col), length_panes)
     df = routed.withWatermark(time_col, watermark) if watermark else routed
-    win = F.window(time_col, length, slide)
+    n, unit = pane.split()
+    win = F.window(time_col, f"{int(n) * length_panes} {unit}", pane)
     return (df.groupBy(win.alias("w"), "route").agg(F.count(F.lit(1)).alias("count"))
             .select(*window_columns(F.col("w")), "route", "count"))
 

@@ -30,7 +30,7 @@ from ..session import shared_path
 from ..sources.decode import trip_decode_json
 from . import stateful
 from .admission import Admission, admitted, rejected, rejects
-from .runner import (KEYED_STATE, await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
+from .runner import (KEYED_STATE, Merge, await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
                      snapshot_sink)
 from .sinks import register_clean_table, write_archive, write_clean_table
 
@@ -96,9 +96,11 @@ def _windowed(rows: DataFrame, name: str, key: list[str], top: Callable[[DataFra
 
 def start_top_routes(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output_mode: str = "complete",
                      output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
-    """Top k routes over 30-minute windows sliding by 10 minutes."""
-    counts = routes.route_counts(routed_trips(admitted(lines, admit)), watermark=watermark)
-    return _windowed(counts, "top-routes", ["route"], lambda c: routes.top_routes(c, k), output_mode, output, checkpoint, trigger)
+    """Top k routes over 30-minute windows sliding by 10 minutes; the state
+    holds counts of 10-minute panes, which the report combines."""
+    panes = routes.route_panes(routed_trips(admitted(lines, admit)), watermark=watermark)
+    return _windowed(panes, "top-routes", ["route"], lambda p: routes.top_routes(routes.windows_of_panes(p), k), output_mode,
+                     output, checkpoint, trigger)
 
 
 def start_most_pleasant_driver(lines: DataFrame, k: int = 1, watermark: str = "30 minutes", output_mode: str = "complete",
@@ -152,21 +154,28 @@ def start_area_profitability(lines: DataFrame, k: int = 5, output_mode: str = "c
 
 def _stateful(rows: DataFrame, name: str, report: Callable[[DataFrame], DataFrame], output: str | None,
               checkpoint: str | None, trigger: dict | None,
-              on_batch: Callable[[DataFrame, int], None] | None = None) -> Job:
+              on_batch: Callable[[DataFrame, int], None] | None = None,
+              keep: Callable[[DataFrame], DataFrame] | None = None, merge: Merge | None = None) -> Job:
     """Rows of a keyed-state query, appended per micro-batch, and their report;
-    ``on_batch`` gets the report after every micro-batch."""
-    spark, schema = rows.sparkSession, rows.schema
+    ``on_batch`` gets the report after every micro-batch. ``keep`` and
+    ``merge``: of a batch only partial aggregates are kept, so that a report
+    does not read all rows ever written."""
+    spark = rows.sparkSession
+    schema = keep(spark.createDataFrame([], rows.schema)).schema if keep else rows.schema
     out = output or _folder(spark, name)
-    put = batch_sink(out, schema)
+    put = batch_sink(out, schema, transform=keep, merge=merge)
+
+    def held() -> DataFrame:
+        return report(read_batches(spark, out, schema, merge=merge))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         put(batch, batch_id)
         if on_batch is not None:
-            on_batch(report(read_batches(spark, out, schema)), batch_id)
+            on_batch(held(), batch_id)
 
     q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), "append", sink, trigger=trigger,
                    settings=KEYED_STATE)
-    return Job([q], lambda: report(read_batches(spark, out, schema)))
+    return Job([q], held)
 
 
 def start_idle_time(lines: DataFrame, max_idle_seconds: int | None = 3600, watermark: str = "2 hours",
@@ -175,9 +184,9 @@ def start_idle_time(lines: DataFrame, max_idle_seconds: int | None = 3600, water
     """Average idle time per cell, highest first, over the idle rides that the
     keyed state has given so far."""
     cells = grid_cells(admitted(lines, admit, "pickup_datetime", watermark), 500)
-    return _stateful(stateful.idle_rides_stream(cells, max_idle_seconds, None), "idle",
-                     lambda got: drivers.idle_summary(got.withColumnRenamed("gap_us", "_gap_us")),
-                     output, checkpoint, trigger, on_batch)
+    return _stateful(stateful.idle_rides_stream(cells, max_idle_seconds, None), "idle", drivers.idle_means,
+                     output, checkpoint, trigger, on_batch,
+                     keep=lambda rides: drivers.idle_sums(rides.withColumnRenamed("gap_us", "_gap_us")), merge=drivers.idle_sums_merged)
 
 
 def start_congestion(lines: DataFrame, min_run: int = 2, mean_hours: int = 4, watermark: str = "30 minutes",

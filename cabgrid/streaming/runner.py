@@ -73,9 +73,15 @@ def await_bounded(query: StreamingQuery, timeout_s: float | None = None) -> None
 # A micro-batch writes one sub-folder named by its batch id (a replay writes
 # it again, so every batch counts once) and readers take only folders whose
 # write has ended. ``snapshot_sink``: each ``version=<id>`` holds the whole
-# result. ``batch_sink``: each ``batch=<id>`` holds what the batch changed;
-# every ``compact_every`` batches they are merged into ``base=<id>``, and what
-# the merge before has taken in is deleted, so a reader's folders outlive it.
+# result. ``batch_sink``: each ``run0=<id>`` holds what the batch changed; FAN
+# runs of a level are merged into one of the next, ``run<level>=<last id>``, up
+# to LEVELS. So a row is written LEVELS + 1 times at most, no merge takes in more
+# than FAN ** LEVELS batches, and what a merge has taken in is deleted when the
+# next one of its level is done: a reader's folders outlive it.
+
+FAN, LEVELS = 10, 3
+Merge = Callable[[DataFrame], DataFrame]
+
 
 def _folders(spark: SparkSession, path: str, kind: str) -> dict[int, str]:
     """Ended sub-folders ``<kind>=<id>`` of ``path``, by id; none if it is not there."""
@@ -124,34 +130,54 @@ def read_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(versions[max(versions)])
 
 
-def batch_sink(path: str, schema, key: list[str] | None = None, compact_every: int = 100,
-               transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+def batch_sink(path: str, schema, key: list[str] | None = None, fan: int = FAN, levels: int = LEVELS,
+               transform: Callable[[DataFrame], DataFrame] | None = None, merge: Merge | None = None) -> BatchFn:
     """foreachBatch function for append mode, and with ``key`` for update mode
-    (readers take a key's row of its latest batch)."""
+    (readers take a key's row of its latest batch). ``transform``: what is kept
+    of a batch (rows of ``schema``); ``merge``: combines kept rows (sums of
+    partial aggregates), when runs are merged and when they are read."""
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            before = max(_folders(spark, path, "base"), default=-1)
-            read_batches(spark, path, schema, key).write.mode("overwrite").parquet(f"{path}/base={batch_id}")
-            _delete(spark, [f for b, f in _folders(spark, path, "batch").items() if b <= before])
-            _delete(spark, [f for b, f in _folders(spark, path, "base").items() if b < before])
+        (transform(batch) if transform else batch).write.mode("overwrite").parquet(f"{path}/run0={batch_id}")
+        for level in range(1, levels + 1):
+            span = fan ** level
+            if (batch_id + 1) % span:
+                break
+            below = _folders(spark, path, f"run{level - 1}")
+            taken = {i: f for i, f in below.items() if batch_id - span < i <= batch_id}
+            if taken:
+                _merged(spark, taken, schema, key, merge).write.mode("overwrite").parquet(f"{path}/run{level}={batch_id}")
+            _delete(spark, [f for i, f in below.items() if i <= batch_id - span])
     return put
 
 
-def read_batches(spark: SparkSession, path: str, schema, key: list[str] | None = None) -> DataFrame:
-    """What ``batch_sink`` holds: all rows, or per ``key`` the row of the
-    latest batch that changed it; empty if no batch has run yet."""
-    bases, batches = _folders(spark, path, "base"), _folders(spark, path, "batch")
-    base = max(bases, default=-1)
-    folders = [bases[base]] if bases else []
-    folders += [f for b, f in batches.items() if b > base]
-    if not folders:
+def _runs(spark: SparkSession, path: str) -> dict[int, str]:
+    """The runs that hold all batches, each once, by last batch id: those of
+    the highest level, then of each lower one what came after."""
+    names = {f"run{level}" for level in range(LEVELS + 1)}
+    runs, upto = {}, -1
+    for name in sorted(names, reverse=True):
+        found = {i: f for i, f in _folders(spark, path, name).items() if i > upto}
+        upto = max(found, default=upto)
+        runs |= found
+    return runs
+
+
+def _merged(spark: SparkSession, runs: dict[int, str], schema, key: list[str] | None, merge: Merge | None) -> DataFrame:
+    if not runs:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(*folders)
+    df = spark.read.schema(schema).parquet(*runs.values())
+    if merge is not None:
+        return merge(df)
     if key is None:
         return df
-    at = F.regexp_extract("_metadata.file_path", r"/(?:batch|base)=(\d+)/", 1).cast("long")
+    at = F.regexp_extract("_metadata.file_path", r"/run\d+=(\d+)/", 1).cast("long")
     rest = [c for c in df.columns if c not in key]
     latest = df.withColumn("_at", at).groupBy(*key).agg(F.max_by(F.struct(*rest), "_at").alias("_v"))
     return latest.select(*[F.col(c) if c in key else F.col("_v")[c].alias(c) for c in df.columns])
+
+
+def read_batches(spark: SparkSession, path: str, schema, key: list[str] | None = None, merge: Merge | None = None) -> DataFrame:
+    """What ``batch_sink`` holds: all rows (``merge``d), or per ``key`` the row
+    of the latest batch that changed it; empty if no batch has run yet."""
+    return _merged(spark, _runs(spark, path), schema, key, merge)

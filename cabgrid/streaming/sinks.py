@@ -26,22 +26,31 @@ def kafka_payload(fanned: DataFrame) -> DataFrame:
     return fanned.select(F.col("topic"), F.encode(F.col("value"), "UTF-8").alias("value"))
 
 
-def write_archive(df: DataFrame, path: str, checkpoint: str,
-                  partitions: list[str] | None = None, trigger: dict | None = None) -> StreamingQuery:
+def _spread(df: DataFrame, partitions: list[str], spread: int) -> DataFrame:
+    """Rows dealt by partition and one of ``spread`` parts of it (by a hash of
+    the row): up to so many tasks write a partition, so a busy hour or vendor
+    is not one task's. A plain streaming sink cannot size them by the data."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    return df.repartition(*partitions, part)
+
+
+def write_archive(df: DataFrame, path: str, checkpoint: str, partitions: list[str] | None = None,
+                  trigger: dict | None = None, spread: int = 4) -> StreamingQuery:
     """Append the dated trips as JSON files partitioned by calendar parts
-    (year/month/day/hour by default; the full list is an argument). Rows are
-    dealt by those parts first: few files per partition."""
-    w = (df.repartition(*(partitions or ARCHIVE_PARTITIONS)).writeStream.format("json").outputMode("append")
-         .partitionBy(*(partitions or ARCHIVE_PARTITIONS))
+    (year/month/day/hour by default; the full list is an argument), a
+    micro-batch by up to ``spread`` files and tasks a partition."""
+    by = partitions or ARCHIVE_PARTITIONS
+    w = (_spread(df, by, spread).writeStream.format("json").outputMode("append").partitionBy(*by)
          .option("path", path).option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def write_clean_files(df: DataFrame, path: str, checkpoint: str,
-                      trigger: dict | None = None) -> StreamingQuery:
-    """Append cleaned trips as Parquet partitioned by vendor and month."""
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .partitionBy(*[n for n, _ in CLEAN_PARTITIONS])
+                      trigger: dict | None = None, spread: int = 32) -> StreamingQuery:
+    """Append cleaned trips as Parquet partitioned by vendor and month, a
+    micro-batch by up to ``spread`` files and tasks a partition."""
+    by = [n for n, _ in CLEAN_PARTITIONS]
+    w = (_spread(df, by, spread).writeStream.format("parquet").outputMode("append").partitionBy(*by)
          .option("path", path).option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -89,15 +98,18 @@ def write_clean_table(df: DataFrame, table: str, checkpoint: str,
                       trigger: dict | None = None) -> StreamingQuery:
     """Append cleaned trips into a catalog table registered ``by_batch``: each
     micro-batch overwrites its own ``batch_id`` partitions, so a replayed one
-    leaves its rows once. The rows are dealt by the partition columns first:
-    few files per partition."""
+    leaves its rows once. The rows are rebalanced by the partition columns
+    (adaptive execution): few files per partition, and a partition beyond the
+    advisory size is written by many tasks."""
     order = [n for n, _ in CLEAN_COLUMNS + CLEAN_PARTITIONS]
     parts = [n for n, _ in CLEAN_PARTITIONS]
 
     def put(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch's own session: the caller's settings stay as they are.
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (batch.select(*order).repartition(*parts).withColumn(BATCH_PARTITION[0], F.lit(batch_id).cast("long"))
+        conf = batch.sparkSession.conf
+        conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        conf.set("spark.sql.adaptive.enabled", "true")
+        (batch.select(*order).hint("rebalance", *[F.col(p) for p in parts]).withColumn(BATCH_PARTITION[0], F.lit(batch_id).cast("long"))
          .write.mode("overwrite").insertInto(table))
 
     w = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)

@@ -48,7 +48,7 @@ def test_top_routes_ties_by_route(spark):
             ("2013-01-01 00:00:00", "c")]
     df = spark.createDataFrame(rows, "t string, route string").select(
         F.col("t").cast("timestamp").alias("dropoff_datetime"), "route")
-    counts = routes.route_counts(df, "30 minutes", "10 minutes")
+    counts = routes.route_counts(df, "10 minutes", 3)
     top = routes.top_routes(counts, 3).collect()
     assert [(r.route, r["count"]) for r in top] == [("c", 2), ("a", 1), ("b", 1)]
     per = routes.top_routes_per_window(counts, 1).collect()

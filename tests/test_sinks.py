@@ -14,15 +14,16 @@ from cabgrid.operators import routes
 from cabgrid.operators.grid import routed_trips
 from cabgrid.plans.catalog import FEED_SCHEMA, json_records, valid
 from cabgrid.streaming import jobs
+from cabgrid.streaming.admission import Admission, admitted
 from cabgrid.session import shared_path
 from cabgrid.sources.decode import trip_decode_json
 from cabgrid.sources.tables import describe_table, list_databases, list_tables
 from cabgrid.sources.trips import load_trips, to_trip_json, to_trip_lines
 from cabgrid.streaming.runner import await_bounded, run_stream
 from cabgrid.streaming.sinks import (kafka_payload, register_clean_table, topic_fanout,
-                                     write_clean_files)
+                                     write_clean_files, write_clean_table)
 from cabgrid.streaming.sources import read_json_stream, read_trip_stream, stage_time_slices
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 
 TYPES = {"double": T.DoubleType(), "string": T.StringType(), "int": T.IntegerType()}
 CLEAN_SCHEMA = T.StructType([T.StructField(n, TYPES[t]) for n, t in CLEAN_COLUMNS + CLEAN_PARTITIONS])
@@ -82,7 +83,7 @@ def test_memory_and_foreach_batch_sinks(spark):
                              "dropoff_datetime", 2)
     lines = read_trip_stream(spark, "parquet", glob, {"maxFilesPerTrigger": "1"}, FEED_SCHEMA,
                              keep=("trip_id",))
-    counts = routes.route_counts(routed_trips(jobs.trips_stream(lines)), watermark="30 minutes")
+    counts = routes.route_counts(routed_trips(admitted(lines, Admission())), watermark="30 minutes")
     name = f"route_counts_{uuid.uuid4().hex[:8]}"
     q = run_stream(counts, shared_path(spark, f"ckpt-{uuid.uuid4().hex}"), "complete", fmt="memory",
                    query_name=name)
@@ -100,7 +101,7 @@ def test_read_latest_takes_the_last_batch_per_key(spark):
     path = shared_path(spark, f"latest-{uuid.uuid4().hex}")
     schema = T.StructType.fromDDL("k string, v double")
     assert read_batches(spark, path, schema, ["k"]).count() == 0
-    put = batch_sink(path, schema, ["k"], compact_every=2)
+    put = batch_sink(path, schema, ["k"], fan=2)
     put(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double"), 0)
     put(spark.createDataFrame([("a", 5.0)], "k string, v double"), 1)
     put(spark.createDataFrame([("a", 3.0), ("c", 7.0)], "k string, v double"), 2)
@@ -153,3 +154,56 @@ def test_sink_table_has_33_typed_columns():
     typed = enriched_column_types().split(", ")
     assert len(typed) == 33 and [t.split(" ")[0] for t in typed] == ENRICHED_COLUMNS
     assert "pickup_datetime TIMESTAMP" in typed and "TripStartDT DATE" in typed and "trip_distance DOUBLE PRECISION" in typed
+
+
+def test_levelled_runs_hold_every_batch_once_and_bound_what_is_written(spark, monkeypatch):
+    """40 batches, merged by threes over two levels: sums are right after every
+    batch, and no batch writes more than the last nine had."""
+    from cabgrid.streaming import runner
+    monkeypatch.setattr(runner, "LEVELS", 2)
+    path, schema = shared_path(spark, f"levels-{uuid.uuid4().hex}"), "k string, v long"
+    sums = lambda df: df.groupBy("k").agg(F.sum("v").alias("v"))
+    put = runner.batch_sink(path, schema, fan=3, levels=2, merge=sums)
+    for i in range(40):
+        put(spark.createDataFrame([("a", 1), (f"k{i}", i)], schema), i)
+        if i % 6 == 5 or i > 36:
+            put(spark.createDataFrame([("a", 1), (f"k{i}", i)], schema), i)  # replayed
+            got = {r.k: r.v for r in runner.read_batches(spark, path, schema, merge=sums).collect()}
+            assert got == {"a": i + 1, **{f"k{j}": j for j in range(i + 1)}}
+    sizes = [spark.read.parquet(f).count() for f in runner._folders(spark, path, "run2").values()]
+    assert sizes == [10] * 4 and len(runner._folders(spark, path, "run0")) <= 7 and len(runner._folders(spark, path, "run1")) <= 7
+
+
+def test_one_vendor_is_written_by_many_tasks(spark):
+    """All rows of one vendor and month: files of about the advisory size."""
+    path, name = shared_path(spark, f"vendor-{uuid.uuid4().hex}"), f"vendor_{uuid.uuid4().hex[:8]}"
+    recs = to_trip_json(load_trips(spark, SF_ORACLE), keep_id=True)
+    recs.repartition(8).select(F.regexp_replace("value", '"vendorid":"."', '"vendorid":"1"').alias("value")).write.parquet(f"{path}/in")
+    lines = read_trip_stream(spark, "parquet", f"{path}/in")
+    table = register_clean_table(spark, name, location=f"{path}/table", repair=False, by_batch=True)
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+        write_clean_table(trip_clean(trip_decode_json(lines)), table, f"{path}/ckpt").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = spark.table(table).select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert len(files) >= 5 and max(r["count"] for r in files) < 0.5 * sum(r["count"] for r in files)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_busy_hour_is_archived_by_many_tasks(spark):
+    from cabgrid.streaming.sinks import write_archive
+    path = shared_path(spark, f"hour-{uuid.uuid4().hex}")
+    rows = load_trips(spark, SF_SMALL).selectExpr("cast(trip_id as string) AS value", "'2024' AS TripStartYear")
+    rows.write.parquet(f"{path}/in")
+    lines = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # small parts would be joined again
+    try:
+        spark.conf.set(key, "false")
+        write_archive(lines, f"{path}/out", f"{path}/ckpt", ["TripStartYear"], spread=32).awaitTermination()
+    finally:
+        spark.conf.unset(key)
+    back = spark.read.json(f"{path}/out")
+    per_file = [r["count"] for r in back.select(F.input_file_name().alias("f")).groupBy("f").count().collect()]
+    assert back.count() == rows.count() and len(per_file) >= 3 and max(per_file) < 0.6 * sum(per_file)
