@@ -33,6 +33,59 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The intermediate tables of one operator call: Parquet in the shared
+    folder, so they survive lost executors.
+
+    ``with Scratch(spark, name) as scratch``: inside, Spark removes a step's
+    shuffle files when the step has ended (nothing reads them again, as every
+    step reads tables), ``drop`` removes tables whose last reader is done, and
+    leaving removes all but ``result``. The session's setting comes back.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, name: str):
+        import uuid
+
+        from ..session import shared_path
+        self.spark, self.root = spark, shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+        self.count = 0
+
+    def __enter__(self) -> Scratch:
+        self.before = self.spark.conf.get(self.CLEANUP, None)
+        self.spark.conf.set(self.CLEANUP, "true")
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.before is None:
+            self.spark.conf.unset(self.CLEANUP)
+        else:
+            self.spark.conf.set(self.CLEANUP, self.before)
+        self.drop(*[df for df, _ in self.paths.values()])
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` written to a table that stays."""
+        self.count += 1
+        path = f"{self.root}-{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written to a table that goes with the scratch folder."""
+        out = self.result(df)
+        self.paths[id(out)] = out, f"{self.root}-{self.count}"
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove the tables of ``frames`` (those ``keep`` gave)."""
+        context = self.spark.sparkContext
+        for df in frames:
+            path = context._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def few_by_hash(df: DataFrame, seed: str, key: str, count: int, over: int = 4) -> DataFrame:
     """About ``over * count`` rows of ``df`` (all, if it has no more), by a
     hash of ``key``: what a bounded sample is then taken from, so that no task

@@ -32,7 +32,6 @@ columns of any name are ignored; empty tables give empty results.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_path
-from .common import fresh, materialise, table
+from .common import Scratch, fresh, table
 from .components import connected_components
-from .textscan import bytes_of, chunks, mix64, shingle_sets
+from .textscan import bytes_of, chunks, mix64, shingle_sets, slices
 
 WORDS = 4
 BANDS, ROWS = 32, 5
@@ -53,6 +51,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 LEAST_EQUAL_BITS = 120
 HUBS = 8
 BLOCK, COLUMNS = 512, 8192
+#: Pairs of a hub, or rows of a class, beyond which they are dealt over more tasks (classes: over SALTS).
+SALTED, SALTS = 1024, 64
 U = np.uint64
 
 
@@ -141,82 +141,104 @@ def own_shingles(reps: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """pairs (u, v) + linked: compared on the full sets of ``texts`` (doc_id, text)."""
+    """pairs (u, v) + linked: compared on the full sets of ``texts`` (doc_id, text).
+
+    A pair carries the text of its u. The texts of v go once to each group of
+    about SALTED of its pairs, ahead of them, so a hub of any number of pairs is
+    spread over tasks and its sets are made once a group.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, was = None, None
-        for batch in batches:
-            us, vs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            data, offsets = bytes_of(batch.column(2))
-            hub_data, hub_offsets = bytes_of(batch.column(3))
+        group, hub = None, []
+        for batch in slices(batches, 3):
+            us, groups = batch.column(0).to_pylist(), list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            data, offsets = bytes_of(batch.column(3))
             linked = np.zeros(len(us), bool)
             for a, b in chunks(offsets):
-                sets = shingle_sets(data, offsets[a:b + 1], words)
-                for i in range(a, b):
-                    text = hub_data[hub_offsets[i]:hub_offsets[i + 1]]
-                    if was is None or len(was) != len(text) or not np.array_equal(was, text):
-                        was = text
-                        of = shingle_sets(text, np.array([0, len(text)]), words)[0]
-                    mine = sets[i - a]
-                    both = len(np.intersect1d(mine, of, assume_unique=True))
-                    linked[i] = both and DENOMINATOR * both >= NUMERATOR * (len(mine) + len(of) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(linked)],
-                                             ["u", "v", "linked"])
-
-    hubs = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("hub_text"))
-    own = texts.select(F.col("doc_id").alias("u"), "text")
-    rows = pairs.join(hubs, "v").join(own, "u").select("u", "v", "text", "hub_text")
-    return rows.mapInArrow(run, "u long, v long, linked boolean").groupBy("u", "v").agg(F.max("linked").alias("linked"))
+                for i, mine in enumerate(shingle_sets(data, offsets[a:b + 1], words), a):
+                    if groups[i] != group:
+                        group, hub = groups[i], []
+                    if us[i] is None:
+                        hub.append(mine)
+                        continue
+                    for other in hub:
+                        both = len(np.intersect1d(mine, other, assume_unique=True))
+                        linked[i] |= both > 0 and DENOMINATOR * both >= NUMERATOR * (len(mine) + len(other) - both)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked)], ["u", "v", "linked"])
+
+    sizes = pairs.groupBy("v").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
+    hubs = sizes.join(texts, F.col("v") == F.col("doc_id")).select(
+        F.lit(None).cast("long").alias("u"), "v", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "text")
+    own = pairs.join(sizes, "v").join(texts, F.col("u") == F.col("doc_id")).select(
+        "u", "v", F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt"), "text")
+    rows = own.unionByName(hubs).repartition("v", "salt").sortWithinPartitions("v", "salt", F.col("u").asc_nulls_first())
+    return (rows.mapInArrow(run, "u long, v long, linked boolean").filter("u is not null")
+            .groupBy("u", "v").agg(F.max("linked").alias("linked")))
+
+
+def classes(known: DataFrame) -> DataFrame:
+    """doc_id, rep of rows with a set: the smallest id with an equal set. Rows
+    of classes of more than SALTED are dealt over SALTS tasks."""
+    key = ["k1", "k2", "n_shingles"]
+    rows = known.select("doc_id", *key, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    least = rows.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"))
+    large = least.filter(F.col("size") > SALTED).select(*key, F.col("rep").alias("far"), F.explode(
+        F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    split = rows.join(large, [*key, "salt"], "left")
+    small = split.filter("far is null").join(least.filter(F.col("size") <= SALTED), key).select("doc_id", "rep")
+    return split.filter("far is not null").select("doc_id", F.col("far").alias("rep")).unionByName(small)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    rows = materialise(scan(docs, words))
+    with Scratch(docs.sparkSession, "near-dup") as scratch:
+        return scratch.result(_near_duplicates(docs, words, scratch))
+
+
+def _near_duplicates(docs: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    rows = scratch.keep(scan(docs, words))
     known = rows.filter("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    of = materialise(known.select("doc_id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"])
-                     .select("doc_id", "rep", "k1", "k2"))
+    of = scratch.keep(classes(known))
 
     # Rows of one doc_id in several classes make them one document.
     least = of.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("last")).filter("v < last")
-    stars = materialise(of.join(least, "doc_id").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct())
+    stars = scratch.keep(of.join(least, "doc_id").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct())
 
-    reps = known.join(of.filter("doc_id = rep").select("doc_id", "k1", "k2").distinct(), ["doc_id", "k1", "k2"], "left_semi")
+    # Of each class the row(s) of its smallest id: they alone are compared.
+    reps = known.join(of.filter("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     banded = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("hub")).filter("size > 1")
-    members = materialise(
+    members = scratch.keep(
         banded.join(shared, "bucket").select("bucket", "rep", "hub")
         .join(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "s1", "s2", "s3"), "rep"))
-
-    path = shared_path(spark, f"near-dup-texts-{uuid.uuid4().hex}")
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-     .join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").write.parquet(path))
-    texts = spark.read.schema("doc_id long, text string").parquet(path)
+    texts = scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                         .join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
 
     m, h = members.alias("m"), members.filter("rep = hub").alias("h")
-    pairs = (m.join(h, F.col("m.bucket") == F.col("h.bucket"))
-             .filter((F.col("m.rep") != F.col("h.rep")) & _possible("m", "h"))
-             .groupBy(F.col("m.rep").alias("u")).agg(F.min("h.rep").alias("v")))
+    pairs = scratch.keep(m.join(h, F.col("m.bucket") == F.col("h.bucket"))
+                         .filter((F.col("m.rep") != F.col("h.rep")) & _possible("m", "h"))
+                         .groupBy(F.col("m.rep").alias("u")).agg(F.min("h.rep").alias("v")))
 
     def joined(stars: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = materialise(connected_components(stars.unionByName(links)))
+        found = connected_components(stars.unionByName(links), scratch)
         return found, found.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
 
-    first = materialise(confirmed(pairs, texts, words))
+    first = scratch.keep(confirmed(pairs, texts, words))
     found, stars = joined(stars, first.filter("linked").select("u", "v"))
-    members = _linkable(_unsettled(members, found, 0), texts, words)
-    open_ = materialise(_unsettled(members, found, 0))
+    linkable = _linkable(_unsettled(members, found, 0), texts, words, scratch)
+    scratch.drop(members, pairs)
+    open_ = scratch.keep(_unsettled(linkable, found, 0))
     by_id = Window.partitionBy("bucket").orderBy("rep")
     hubs = open_.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= HUBS)
     m, h = open_.alias("m"), hubs.alias("h")
-    pairs = (m.join(h, F.col("m.bucket") == F.col("h.bucket"))
-             .filter((F.col("m.component") != F.col("h.component")) & _possible("m", "h", own=True))
-             .select(F.greatest("m.rep", "h.rep").alias("u"), F.least("m.rep", "h.rep").alias("v")).distinct()
-             .join(first.select("u", "v"), ["u", "v"], "left_anti"))
-    second = materialise(confirmed(pairs, texts, words))
+    pairs = scratch.keep(m.join(h, F.col("m.bucket") == F.col("h.bucket"))
+                         .filter((F.col("m.component") != F.col("h.component")) & _possible("m", "h", own=True))
+                         .select(F.greatest("m.rep", "h.rep").alias("u"), F.least("m.rep", "h.rep").alias("v")).distinct()
+                         .join(first.select("u", "v"), ["u", "v"], "left_anti"))
+    second = scratch.keep(confirmed(pairs, texts, words))
     found, stars = joined(stars, second.filter("linked").select("u", "v"))
-    rest = materialise(_unsettled(members, found, HUBS))
-    found, stars = joined(stars, block_links(rest, texts, words))
+    rest = scratch.keep(_unsettled(linkable, found, HUBS))
+    scratch.drop(linkable, open_, pairs, first, second)
+    found, stars = joined(stars, block_links(rest, texts, words, scratch))
 
     labels = (of.join(found, F.col("rep") == F.col("node"), "left")
               .select("doc_id", F.coalesce("component", "rep").alias("component_id")).distinct())
@@ -235,20 +257,22 @@ def _unsettled(members: DataFrame, found: DataFrame, tested: int) -> DataFrame:
     return placed.join(mixed, "bucket")
 
 
-def _linkable(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+def _linkable(members: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
     """``members`` + own, without those that can reach the similarity with
     nobody in their bucket: their shared shingles are too few even for its
     smallest set. Exact: what is own here is shared with no possible partner."""
-    members = materialise(members)
+    members = scratch.keep(members)
     known = members.join(own_shingles(members, texts, words), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     for _ in range(2):  # the smallest sets may go first
         least = known.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
         known = known.join(least, "bucket").filter(
             (NUMERATOR + DENOMINATOR) * (F.col("n_shingles") - F.col("own")) >= NUMERATOR * (F.col("n_shingles") + F.col("least"))).drop("least")
-    return materialise(known)
+    out = scratch.keep(known)
+    scratch.drop(members)
+    return out
 
 
-def block_links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+def block_links(members: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
     """u, v: links between components of ``members`` that share a bucket,
     enough of them to join all that are linked.
 
@@ -259,7 +283,7 @@ def block_links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     of any size is split over tasks, and its pairs are never rows.
     """
     hubs = members.groupBy("bucket").agg(F.min("rep").alias("v"))
-    clusters = materialise(connected_components(members.join(hubs, "bucket").select(F.col("rep").alias("u"), "v")))
+    clusters = connected_components(members.join(hubs, "bucket").select(F.col("rep").alias("u"), "v"), scratch)
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = clusters.join(sizes, "component").select(
         F.col("node").alias("rep"), F.col("component").alias("cluster"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own_block"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from cabgrid.llm import op1_mix, op5_near_dedup, op6_bpe, op9_lines, op10_language
+from cabgrid.llm.common import Scratch
 from cabgrid.llm.components import connected_components
 from cabgrid.llm.queries import LLM_ORACLE, LLM_QUERIES
 from conftest import SF_SMALL, TABLES
@@ -142,7 +143,8 @@ def test_superminhash_estimates_jaccard():
 
 def test_components_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 300)] + [(1000, 999), (5, 5)], "u long, v long")
-    got = dict(connected_components(edges).collect())
+    with Scratch(spark, "chain") as scratch:
+        got = dict(connected_components(edges, scratch).collect())
     assert got == {**{i: 1 for i in range(1, 301)}, 999: 999, 1000: 999}
 
 
