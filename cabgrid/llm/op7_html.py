@@ -7,10 +7,12 @@ labels, main and other, scores the blocks and their neighbours; Viterbi gives
 the best labelling, and the main blocks are joined.
 
 Training pages are labelled two ways, both bounded: SAMPLE_PAGES pages of the
-input by a keyed hash whose one <article> labels their blocks, and GENERATED
-pages of known layout made by ``layouts``, whose text is taken from those
-samples (from a word rule, if there are none). Every page is then decoded,
-whole.
+input by a keyed hash whose one <article> labels their blocks (less its parts
+that are or name themselves menus, adverts, comments, share bars, forms or
+notices), and GENERATED pages of known layout made by ``layouts``, whose text is
+taken from those samples (from a word rule, if there are none). Only in training
+a page is cut after SAMPLE_BLOCKS blocks, and paragraphs lent to generated pages
+after PROSE_CHARS code points. Every page is then decoded, whole.
 
 Edge cases: null or empty html, and pages without text, give an empty text;
 cut-off tags, unclosed elements and comments, and stray end tags are read as
@@ -38,6 +40,8 @@ from .textscan import slices
 SAMPLE_PAGES = 120
 SAMPLE_BYTES = 100_000
 GENERATED = 360
+SAMPLE_BLOCKS = 200
+PROSE_CHARS = 2000
 DIMENSIONS = 1 << 13
 EPOCHS = 80
 RATE = 0.1
@@ -63,6 +67,7 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
 SPLIT = re.compile(r"[^a-z]+")
+REGIONS = frozenset("article main nav aside header footer form".split())
 
 
 class Block:
@@ -175,6 +180,14 @@ def features(page: list[Block]) -> list[list[int]]:
         own = next((t for t in reversed(b.path) if t in BLOCK), "none")
         names = {"bias", f"own:{own}", f"size:{size}", f"link:{min(4, int(share * 4.01))}", f"own:{own}:{min(size, 5)}"}
         names.update(b.marks)
+        region = next((t for t in reversed(b.path) if t in REGIONS), "none")
+        names.add(f"region:{region}:{own}")
+        names.add(f"region:{region}:link:{min(2, int(share * 2.01))}:{min(size, 4)}")
+        # What an element inside the text calls itself weighs apart from what the text's containers do.
+        inside = max((j for j, m in enumerate(b.marks) if m in ("t:article", "t:main")), default=None)
+        if inside is not None:
+            own_at = next((j for j in range(inside + 1, len(b.marks)) if b.marks[j].startswith("t:")), len(b.marks))
+            names.update("in:" + m for m in b.marks[own_at:])
         end = text[-1]
         names.add("end:" + ("stop" if end in ".!?…。»”\"" else "other"))
         names.add(f"commas:{min(3, text.count(','))}")
@@ -296,9 +309,8 @@ def layouts(prose: list[str], count: int, seed: int = 7) -> Iterator[tuple[list[
     prose = prose or [" ".join(_word(r) for _ in range(r.randint(5, 80))).capitalize() + "." for _ in range(400)]
     flag = "\x01"  # begins each main block's text, dropped after labelling
 
-    def named(tag: str, names, inner: str) -> str:
-        kind = r.random()
-        attribute = "" if kind < 0.15 else f' {r.choice(("class", "class", "id"))}="{r.choice(names)}{r.choice(("", "", " col-8", " box", "-1"))}"'
+    def element(tag: str, names, inner: str, bare: float = 0.15) -> str:
+        attribute = "" if r.random() < bare else f' {r.choice(("class", "class", "id"))}="{r.choice(names)}{r.choice(("", "", " col-8", " box", "-1"))}"'
         return f"<{tag}{attribute}>{inner}</{tag}>"
 
     def some(low: int = 2, high: int = 9) -> str:
@@ -308,7 +320,11 @@ def layouts(prose: list[str], count: int, seed: int = 7) -> Iterator[tuple[list[
     def sentence() -> str:
         return r.choice(prose)[:r.randint(30, 400)]
 
-    def other(kind: str) -> str:
+    def other(kind: str, bare: float = 0.15) -> str:
+        """A part that is no text; ``bare``: the chance that it has no name."""
+        def named(tag: str, names, inner: str) -> str:
+            return element(tag, names, inner, bare)
+
         names = OTHER_NAMES[kind]
         items = [some(1, 4) for _ in range(r.randint(2, 8))]
         listed = "".join(f'<li><a href="/{_word(r)}">{x}</a></li>' for x in items)
@@ -335,32 +351,36 @@ def layouts(prose: list[str], count: int, seed: int = 7) -> Iterator[tuple[list[
         parts = [f"<h1>{flag}{some(3, 12)}</h1>"] if r.random() < 0.8 else []
         for _ in range(r.randint(1, 12)):
             kind, p = r.random(), r.choice(prose)
-            if kind < 0.72:
+            if r.random() < 0.12:
+                parts.append(other(r.choice(("ad", "ad", "share", "aside", "form", "notice", "nav", "comments")), 0.0))
+            if kind < 0.70:
                 parts.append(f"<p>{flag}{p}</p>")
-            elif kind < 0.80:
+            elif kind < 0.78:
                 parts.append(f"<p><b>{flag}{p}<br>")
             elif kind < 0.86:
                 parts.append(f"<h2>{flag}{some(2, 8)}</h2><p>{flag}{p}</p>")
-            elif kind < 0.90:
-                parts.append("<ul>" + "".join(f"<li>{flag}{some(3, 20)}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
+            elif kind < 0.91:
+                item = (lambda: f"{flag}{r.choice((some(1, 4), some(3, 20), r.choice(prose)))}")
+                kinds = r.choice(("ul", "ul", "ol"))
+                parts.append(f"<{kinds}>" + "".join(f"<li>{r.choice(('', '<p>'))}{item()}</li>" for _ in range(r.randint(1, 6))) + f"</{kinds}>")
             elif kind < 0.93:
                 parts.append(f"<blockquote>{flag}{p}</blockquote>")
             elif kind < 0.96:
                 parts.append(f"<p>{flag}{some(1, 4)} <a href=#>{some(1, 3)}</a> {p}</p>")
-            elif kind < 0.98:
-                parts.append(f"<table><tr><td>{flag}{some(1, 5)}</td><td>{flag}{some(1, 5)}</td></tr></table>")
             else:
-                parts.append(other(r.choice(("ad", "share", "aside"))))
-        tag = r.choice(("article", "article", "main", "div", "div", "section", "td"))
+                parts.append(f"<table><tr><td>{flag}{some(1, 5)}</td><td>{flag}{some(1, 5)}</td></tr></table>")
+        tag = r.choice(("article", "article", "main", "main", "div", "div", "section", "td"))
         inner = "".join(parts)
         if tag == "td":
-            return f"<table><tr>{named('td', MAIN_NAMES, inner)}</tr></table>"
-        wrapped = f"<article>{inner}</article>" if tag == "article" and r.random() < 0.5 else named(tag, MAIN_NAMES, inner)
-        return named("div", (*MAIN_NAMES, "wrapper", "container", "page"), wrapped) if r.random() < 0.4 else wrapped
+            return f"<table><tr>{element('td', MAIN_NAMES, inner)}</tr></table>"
+        wrapped = f"<{tag}>{inner}</{tag}>" if tag in ("article", "main") and r.random() < 0.5 else element(tag, MAIN_NAMES, inner)
+        return element("div", (*MAIN_NAMES, "wrapper", "container", "page"), wrapped) if r.random() < 0.4 else wrapped
 
     for _ in range(count):
         before = [other(k) for k in ("header", "nav", "notice", "ad", "form", "share", "aside") if r.random() < (0.65 if k == "nav" else 0.35)]
         after = [other(k) for k in ("share", "aside", "ad", "form", "comments", "nav", "notice", "footer") if r.random() < (0.75 if k == "footer" else 0.5 if k == "comments" else 0.3)]
+        if r.random() < 0.2:  # the text begins the page
+            before = []
         body = "".join([*before, article(), *after])
         if r.random() < 0.3:
             body = f"<div{r.choice((' id=page', ' class=container', ''))}>{body}</div>"
@@ -374,21 +394,32 @@ def layouts(prose: list[str], count: int, seed: int = 7) -> Iterator[tuple[list[
             yield page, labels
 
 
+#: Words by which a part of an article says that it is none of its text.
+NOT_TEXT = frozenset(
+    "ad ads advert advertisement sponsor sponsored promo comment comments disqus replies share sharing social newsletter "
+    "subscribe signup login consent cookie sidebar related recommended widget menu nav navbar breadcrumb breadcrumbs toc".split())
+
+
 def labelled(html: str) -> tuple[list[Block], list[int]] | None:
-    """A page whose one <article> labels its blocks, else nothing."""
+    """A page whose one <article> labels its blocks, else nothing. Parts of the
+    article that are or name themselves something else are no text of it."""
     if len(re.findall(r"<article\b", html, re.I)) != 1:
         return None
     page = blocks(html)
-    skip = {"nav", "aside", "footer", "form", "header"}
-    labels = [MAIN if "article" in b.path and not skip & set(b.path[b.path.index("article"):]) else OTHER for b in page]
+    skip = {f"t:{t}" for t in ("nav", "aside", "footer", "form", "header")} | {f"w:{w}" for w in NOT_TEXT} | {"hidden"}
+    labels = []
+    for b in page:
+        inner = b.marks[b.marks.index("t:article") + 1:] if "t:article" in b.marks else None
+        own = next((i for i, m in enumerate(inner) if m.startswith("t:")), len(inner)) if inner is not None else 0
+        labels.append(MAIN if inner is not None and not skip & set(inner[own:]) else OTHER)
     return (page, labels) if page else None
 
 
 def train(samples: list[str]) -> Tagger:
     pages = [x for x in map(labelled, samples) if x]
-    prose = [b.text[:2000] for page, labels in pages for b, y in zip(page, labels) if y == MAIN and len(b.text) > 20]
+    prose = [b.text[:PROSE_CHARS] for page, labels in pages for b, y in zip(page, labels) if y == MAIN and len(b.text) > 20]
     pages += layouts(prose, GENERATED)
-    pages = [(p[:200], y[:200]) for p, y in pages]
+    pages = [(p[:SAMPLE_BLOCKS], y[:SAMPLE_BLOCKS]) for p, y in pages]
     return Tagger().fit([features(p) for p, _ in pages], [y for _, y in pages])
 
 
