@@ -39,7 +39,7 @@ from .textscan import slices
 
 SAMPLE_PAGES = 120
 SAMPLE_BYTES = 100_000
-GENERATED = 360
+GENERATED = 720
 SAMPLE_BLOCKS = 200
 PROSE_CHARS = 2000
 DIMENSIONS = 1 << 13
@@ -172,6 +172,8 @@ def features(page: list[Block]) -> list[list[int]]:
     """The feature slots of each block."""
     out = []
     last = len(page) - 1
+    told = [not {"article", "main"}.isdisjoint(b.path) for b in page]
+    some = any(told)
     for i, b in enumerate(page):
         text = b.text
         words = text.count(" ") + 1
@@ -182,6 +184,8 @@ def features(page: list[Block]) -> list[list[int]]:
         names.update(b.marks)
         region = next((t for t in reversed(b.path) if t in REGIONS), "none")
         names.add(f"region:{region}:{own}")
+        if some and not told[i]:
+            names.add("outside")
         names.add(f"region:{region}:link:{min(2, int(share * 2.01))}:{min(size, 4)}")
         # What an element inside the text calls itself weighs apart from what the text's containers do.
         inside = max((j for j, m in enumerate(b.marks) if m in ("t:article", "t:main")), default=None)
@@ -381,7 +385,10 @@ def layouts(prose: list[str], count: int, seed: int = 7) -> Iterator[tuple[list[
         after = [other(k) for k in ("share", "aside", "ad", "form", "comments", "nav", "notice", "footer") if r.random() < (0.75 if k == "footer" else 0.5 if k == "comments" else 0.3)]
         if r.random() < 0.2:  # the text begins the page
             before = []
-        body = "".join([*before, article(), *after])
+        text = article()
+        if r.random() < 0.3:  # one container for the text and what stands beside it
+            text = element("div", ("wrapper", "container", "page", "row", "layout"), text + other(r.choice(("aside", "ad", "comments", "share")), 0.0))
+        body = "".join([*before, text, *after])
         if r.random() < 0.3:
             body = f"<div{r.choice((' id=page', ' class=container', ''))}>{body}</div>"
         if r.random() < 0.1:
