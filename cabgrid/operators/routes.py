@@ -47,6 +47,18 @@ def route_counts(routed: DataFrame, pane: str = "10 minutes", length_panes: int
             .select(*window_columns(F.col("w")), "route", "count"))
 
 
+def closing_route_counts(routed: DataFrame, pane: str = "10 minutes", length_panes: int = 3,
+                         time_col: str = "dropoff_datetime") -> DataFrame:
+    """``route_counts`` of a stream with a watermark, for append mode: a pane's
+    counts go on to a second aggregate when the pane closes, which gives each
+    sliding window when it closes. Trips are counted once, by panes."""
+    n, unit = pane.split()
+    panes = routed.groupBy(F.window(time_col, pane).alias("pane"), "route").agg(F.count(F.lit(1)).alias("n"))
+    win = F.window(F.window_time("pane"), f"{int(n) * length_panes} {unit}", pane)
+    return (panes.groupBy(win.alias("w"), "route").agg(F.sum("n").alias("count"))
+            .select(*window_columns(F.col("w")), "route", "count"))
+
+
 def top_routes(counts: DataFrame, k: int = 10) -> DataFrame:
     """Top k over the whole result: latest window first, then count; route
     breaks ties."""

@@ -21,7 +21,7 @@ from ..sources.decode import trip_decode_csv, trip_decode_json
 from ..sources.trips import load_table, load_trips, to_trip_json, to_trip_lines
 from ..streaming import jobs
 from ..streaming.admission import Admission
-from ..streaming.sinks import topic_fanout
+from ..streaming.sinks import kafka_payload, topic_fanout
 from ..streaming.sources import closing_line, read_json_stream, read_trip_stream, stage_time_slices
 
 TOPICS = ["topic2", "topic3", "topic4"]
@@ -266,6 +266,20 @@ def q_register_clean_table(spark, d):
     return jobs.clean_table_roundtrip(_feed(spark, d, "json"))
 
 
+def q_clean_files_registered(spark, d):
+    return jobs.clean_files_registered(_feed(spark, d, "json"))
+
+
+def q_topic_payload(spark, d):
+    sent = kafka_payload(topic_fanout(to_trip_json(load_trips(spark, d), keep_id=True), TOPICS))
+    return sent.select("topic", F.sha2("value", 256).alias("payload_sha256"), F.octet_length("value").cast("long").alias("n_bytes"))
+
+
+def q_closed(job, time_col: str = "dropoff_datetime"):
+    """The top of every window, given when the window closes."""
+    return lambda spark, d: job(_feed(spark, d, time_col=time_col), admit=REPLAY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_routes": lambda s, d: routes.top_routes(q_route_counts(s, d)),
     "trip_decode_csv": q_trip_decode_csv,
@@ -326,6 +340,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_mean_reset_stream_late": q_late(jobs.route_mean_reset_stream),
     "archive_readback": q_archive_readback,
     "register_clean_table": q_register_clean_table,
+    "clean_files_registered": q_clean_files_registered,
+    "topic_payload": q_topic_payload,
+    "top_routes_closed_stream": q_closed(jobs.closed_top_routes_stream),
+    "price_breakdown_closed_stream": q_closed(jobs.closed_price_breakdown_stream, "pickup_datetime"),
+    "pleasant_driver_closed_stream": q_closed(jobs.closed_pleasant_driver_stream),
 }
 
 __all__ = ["QUERIES"]

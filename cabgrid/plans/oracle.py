@@ -331,9 +331,15 @@ def sql_map() -> dict[str, str]:
              "most_pleasant_driver_stream": "most_pleasant_driver", "most_pleasant_driver_stream_update": "most_pleasant_driver",
              "top_price_breakdown_stream": "top_price_breakdown", "top_price_breakdown_stream_update": "top_price_breakdown",
              "top_amount_per_mile_stream": "top_amount_per_mile", "top_amount_per_mile_stream_update": "top_amount_per_mile",
-             "register_clean_table": "trip_clean"}
+             "top_routes_closed_stream": "top_routes_per_window",
+             "price_breakdown_closed_stream": "price_breakdown_per_window",
+             "pleasant_driver_closed_stream": "pleasant_driver_per_day",
+             "register_clean_table": "trip_clean", "clean_files_registered": "trip_clean"}
     for stream_key, batch_key in twins.items():
         q[stream_key] = q[batch_key]
     q["topic_fanout"] = (with_(TRIPS, JSONREC) + f"SELECT t.topic, trip_id, {_json_text()} AS value FROM jsonrec, "
                          "(VALUES ('topic2'), ('topic3'), ('topic4')) t(topic)")
+    q["topic_payload"] = (with_(TRIPS, JSONREC) + f"SELECT t.topic, sha256({_json_text()}) AS payload_sha256, "
+                          f"CAST(octet_length(encode({_json_text()})) AS BIGINT) AS n_bytes FROM jsonrec, "
+                          "(VALUES ('topic2'), ('topic3'), ('topic4')) t(topic)")
     return q

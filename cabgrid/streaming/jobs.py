@@ -32,7 +32,7 @@ from . import stateful
 from .admission import Admission, admitted, rejected, rejects
 from .runner import (KEYED_STATE, Merge, await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
                      snapshot_sink)
-from .sinks import register_clean_table, write_archive, write_clean_table
+from .sinks import register_clean_table, register_new_partitions, write_archive, write_clean_files, write_clean_table
 
 
 def _folder(spark, name: str) -> str:
@@ -127,6 +127,44 @@ def start_top_amount_per_mile(lines: DataFrame, k: int = 10, watermark: str = "3
                      output, checkpoint, trigger)
 
 
+def _closed(rows: DataFrame, name: str, top: Callable[[DataFrame], DataFrame], output: str | None, checkpoint: str | None,
+            trigger: dict | None) -> Job:
+    """The top of every window, written once: when the watermark closes it.
+
+    In append mode all rows of a window come in one micro-batch (they expire
+    together), so ranking a batch ranks whole windows; nothing but the open
+    windows' aggregates is held, and nothing that is written changes later."""
+    spark = rows.sparkSession
+    schema = top(spark.createDataFrame([], rows.schema)).schema
+    out = output or _folder(spark, name)
+    q = run_stream(rows, checkpoint or _folder(spark, f"ckpt-{name}"), "append", batch_sink(out, schema, transform=top),
+                   trigger=trigger, settings=KEYED_STATE)
+    return Job([q], lambda: _ntz(read_batches(spark, out, schema), *WINDOW))
+
+
+def start_closed_top_routes(lines: DataFrame, k: int = 10, watermark: str = "30 minutes", output: str | None = None,
+                            checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
+    """Top k routes of every sliding window, when it closes."""
+    routed = routed_trips(admitted(lines, admit, "dropoff_datetime", watermark))
+    return _closed(routes.closing_route_counts(routed), "closed-routes", lambda c: routes.top_routes_per_window(c, k),
+                   output, checkpoint, trigger)
+
+
+def start_closed_price_breakdown(lines: DataFrame, k: int = 5, watermark: str = "30 minutes", output: str | None = None,
+                                 checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
+    """Cells with the highest totals of every two hours, when they are over."""
+    cells = grid_cells(admitted(lines, admit, "pickup_datetime", watermark), 500)
+    return _closed(areas.price_breakdown(cells), "closed-prices", lambda p: areas.price_breakdown_per_window(p, k),
+                   output, checkpoint, trigger)
+
+
+def start_closed_pleasant_driver(lines: DataFrame, k: int = 1, watermark: str = "30 minutes", output: str | None = None,
+                                 checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
+    """Drivers with the highest average tip rate of every day, when it is over."""
+    rates = drivers.driver_tip_rate(admitted(lines, admit, "dropoff_datetime", watermark))
+    return _closed(rates, "closed-pleasant", lambda r: drivers.pleasant_driver_per_day(r, k), output, checkpoint, trigger)
+
+
 def start_area_profitability(lines: DataFrame, k: int = 5, output_mode: str = "complete", watermark: str = "30 minutes",
                              output: str | None = None, checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
     """Two concurrent streams (average profit per pickup cell and 15 minutes;
@@ -236,6 +274,9 @@ most_pleasant_driver_stream = _bounded(start_most_pleasant_driver)
 top_price_breakdown_stream = _bounded(start_top_price_breakdown)
 top_amount_per_mile_stream = _bounded(start_top_amount_per_mile)
 area_profitability_stream = _bounded(start_area_profitability)
+closed_top_routes_stream = _bounded(start_closed_top_routes)
+closed_price_breakdown_stream = _bounded(start_closed_price_breakdown)
+closed_pleasant_driver_stream = _bounded(start_closed_pleasant_driver)
 idle_time_stream = _bounded(start_idle_time)
 congestion_stream = _bounded(start_congestion)
 route_mean_reset_stream = _bounded(start_route_mean_reset)
@@ -289,3 +330,16 @@ def clean_table_roundtrip(records: DataFrame, table: str | None = None, timeout_
     await_bounded(q, timeout_s)
     cols = [n for n, _ in CLEAN_COLUMNS + CLEAN_PARTITIONS]
     return spark.table(full).select(*cols)
+
+
+def clean_files_registered(records: DataFrame, table: str | None = None, timeout_s: float | None = None,
+                           output: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Stream cleaned trips into Parquet files, register the partitions that
+    came since the last call, and scan the table."""
+    spark = records.sparkSession
+    path = output or _folder(spark, "clean-files")
+    full = register_clean_table(spark, table or f"files_{uuid.uuid4().hex[:12]}", location=path, repair=False)
+    q = write_clean_files(trip_clean(trip_decode_json(records)), path, checkpoint or _folder(spark, "ckpt-clean-files"))
+    await_bounded(q, timeout_s)
+    register_new_partitions(spark, full, path)
+    return spark.table(full).select(*[n for n, _ in CLEAN_COLUMNS + CLEAN_PARTITIONS])

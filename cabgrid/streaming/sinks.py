@@ -5,9 +5,10 @@ and, where noted, on a static one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -94,6 +95,65 @@ def register_clean_table(spark: SparkSession, table: str, location: str | None =
     return table
 
 
+REGISTERED = "registered_batch"
+
+
+def register_new_partitions(spark: SparkSession, table: str, location: str) -> int:
+    """Register the partitions that a file stream into ``location`` (such as
+    ``write_clean_files``) has committed since the last call; how many were new.
+
+    The sink's commit log names each batch's files. Only the log entries after
+    the batch noted in the table's properties are read and only partitions that
+    the catalog lacks are added, so a call costs what came in, not a walk over
+    the whole tree. A call that dies halfway is repeated by the next one.
+    Register the table (``repair=False``) before the stream's first batch: over a
+    folder with a commit log Spark takes the partition columns for file columns.
+    """
+    done = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(REGISTERED)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location, "_spark_metadata")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    # <batch>, or <batch>.compact: all files up to that batch.
+    ended = {n: int(n.split(".")[0]) for n in names if re.fullmatch(r"\d+(\.compact)?", n)}
+    since = -1 if done is None else int(done)
+    new = [n for n, batch in ended.items() if batch > since]
+    whole = max((ended[n] for n in new if n.endswith(".compact")), default=-1)
+    new = [n for n in new if ended[n] > whole or n == f"{whole}.compact"]
+    if not new:
+        return 0
+    keys = [n for n, _ in CLEAN_PARTITIONS]
+    pattern = "/" + "/".join(f"{k}=([^/]*)" for k in keys) + "/[^/]*$"
+    path = F.get_json_object("value", "$.path")
+    # Spark's file readers skip folders that begin with an underscore.
+    lines = spark.sparkContext.textFile(",".join(fs.makeQualified(root).toString() + f"/{n}" for n in new))
+    log = spark.createDataFrame(lines.map(lambda line: (line,)), "value string")
+    folders = log.filter(path.rlike(pattern)).select(
+        *[_unescaped(F.regexp_extract(path, pattern, i + 1)).alias(k) for i, k in enumerate(keys)]).distinct()
+    name = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k)) for k in keys]).alias("name")
+    found = folders.select(name, *[_unescaped(F.col(k)).alias(k) for k in keys]).collect()
+    there = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = [r for r in found if r["name"] not in there]
+    for a in range(0, len(added), 100):
+        spec = " ".join("PARTITION (" + ", ".join(f"`{k}` = {_literal(r[k])}" for k in keys) + ")" for r in added[a:a + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REGISTERED}' = '{max(ended.values())}')")
+    spark.catalog.refreshTable(table)
+    return len(added)
+
+
+def _unescaped(c: Column) -> Column:
+    """Percent escapes resolved once (the log's paths are URIs of folder names,
+    which escape the partition value)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def _literal(value: str) -> str:
+    """A partition value as SQL; the folder of nulls stands for null."""
+    if value == "__HIVE_DEFAULT_PARTITION__":
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def write_clean_table(df: DataFrame, table: str, checkpoint: str,
                       trigger: dict | None = None) -> StreamingQuery:
     """Append cleaned trips into a catalog table registered ``by_batch``: each

@@ -207,3 +207,34 @@ def test_a_busy_hour_is_archived_by_many_tasks(spark):
     back = spark.read.json(f"{path}/out")
     per_file = [r["count"] for r in back.select(F.input_file_name().alias("f")).groupBy("f").count().collect()]
     assert back.count() == rows.count() and len(per_file) >= 3 and max(per_file) < 0.6 * sum(per_file)
+
+
+def test_only_new_partitions_are_registered(spark):
+    """Batch after batch: what each call adds is what came in, also past the
+    commit log's compaction; odd and missing partition values are found."""
+    from cabgrid.functions.constants import CLEAN_COLUMNS, CLEAN_PARTITIONS
+    from cabgrid.streaming.sinks import register_new_partitions, write_clean_files
+    path = shared_path(spark, f"new-{uuid.uuid4().hex}")
+    columns = CLEAN_COLUMNS + CLEAN_PARTITIONS
+    schema = ", ".join(f"`{n}` {t}" for n, t in columns)
+    table = register_clean_table(spark, f"new_{uuid.uuid4().hex[:8]}", f"{path}/table", repair=False)
+    assert register_new_partitions(spark, table, f"{path}/table") == 0
+
+    def arrive(*parts):
+        rows = [tuple([None] * len(CLEAN_COLUMNS) + list(p)) for p in parts]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        lines = spark.readStream.schema(schema).parquet(f"{path}/in")
+        write_clean_files(lines, f"{path}/table", f"{path}/ckpt", spread=1).awaitTermination()
+
+    arrive(("1", 1), ("2", 1))
+    assert register_new_partitions(spark, table, f"{path}/table") == 2
+    assert register_new_partitions(spark, table, f"{path}/table") == 0
+    arrive(("1", 1), ("it's a/b+c %41=\u00e9", 2), (None, 3))
+    assert register_new_partitions(spark, table, f"{path}/table") == 2
+    for month in range(2, 13):
+        arrive(("1", month))
+    assert any(f.endswith(".compact") for f in os.listdir(f"{path}/table/_spark_metadata"))
+    assert register_new_partitions(spark, table, f"{path}/table") == 11
+    got = sorted((r.vendorid or "", r.TripStartMonth) for r in spark.table(table).collect())
+    assert got == sorted([("1", 1), ("2", 1), ("1", 1), ("it's a/b+c %41=\u00e9", 2), ("", 3)] + [("1", m) for m in range(2, 13)])
+    spark.sql(f"DROP TABLE {table}")

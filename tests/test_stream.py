@@ -217,3 +217,20 @@ def test_top_routes_update_mode_equals_batch(spark):
     stream = jobs.top_routes_stream(feed(spark, "dropoff_datetime", 8, per_batch=2), output_mode="update")
     key = ["window_start", "route"]
     pd.testing.assert_frame_equal(frame(stream, key), frame(batch, key), check_dtype=False)
+
+
+def test_windows_are_ranked_once_when_they_close(spark):
+    """Five batches: every closed window's whole top, once; a window that the
+    watermark has not passed is not reported."""
+    from cabgrid.operators import routes
+    counts = routes.route_counts(routed_trips(valid(spark, SF_SMALL)))
+    batch = routes.top_routes_per_window(counts, 3)
+    got = jobs.closed_top_routes_stream(feed(spark, "dropoff_datetime"), 3, admit=REPLAY)
+    key = ["window_start", "rank"]
+    pd.testing.assert_frame_equal(frame(got.select(*batch.columns), key), frame(batch, key), check_dtype=False)
+    open_ = jobs.closed_top_routes_stream(feed(spark, "dropoff_datetime"), 3)  # the closing record is turned away
+    last = valid(spark, SF_SMALL).agg(F.max("dropoff_datetime").alias("m")).first().m
+    ends = [r.window_end for r in open_.select("window_end").distinct().collect()]
+    assert ends and max(ends) <= last
+    closed = open_.select(*batch.columns)
+    assert closed.exceptAll(batch).isEmpty() and 0 < closed.count() < batch.count()
