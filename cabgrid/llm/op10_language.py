@@ -4,8 +4,8 @@ Kernel of two texts: how many character n-grams (of 1 to 4 UTF-8 bytes, A-Z
 lower-cased) both hold, presence only, over the geometric mean of their
 distinct n-gram counts (blended spectrum). Nyström features from a bounded set
 of landmark texts, one-versus-rest kernel ridge regression on a bounded
-labelled sample; a batch of texts is scored by two matrix products (kernel
-with the landmarks, then the regression weights).
+labelled sample; a batch of texts is scored by two matrix products (its presence
+matrix by the landmarks', in blocks, then the kernel by the regression weights).
 
 What bounds the fit (documented parameters; everything else covers all rows):
 LANDMARKS and SAMPLE rows for each label, chosen by a keyed hash of the id among
@@ -44,6 +44,7 @@ OVERSAMPLE = 4
 RIDGE = 1e-3
 GRAMS = 4
 SLOTS = 1 << 22
+TEXTS, COLUMNS = 256, 4096
 UND = "und"
 #: What ``keep_identified`` takes: 0.5 is a tie of the two best languages.
 LEAST_SCORE = 0.6
@@ -86,7 +87,7 @@ class Model:
         self.langs = sorted(set(langs))
         self.slots = np.unique(np.concatenate(marks)) if marks else np.zeros(0, np.uint32)
         # one row per n-gram of any landmark, one column per landmark: presence / sqrt(size)
-        self.marks = np.zeros((len(self.slots) + 1, len(marks)), np.float32)
+        self.marks = np.zeros((len(self.slots), len(marks)), np.float32)
         for j, s in enumerate(marks):
             self.marks[np.searchsorted(self.slots, s), j] = 1 / np.sqrt(len(s))
         k = self._kernel(sets).astype(np.float64)
@@ -104,13 +105,29 @@ class Model:
         self.bias = (self.shift - self.mean @ weights).astype(np.float32)
 
     def _kernel(self, sets: list[np.ndarray]) -> np.ndarray:
-        k = np.zeros((len(sets), self.marks.shape[1]), np.float32)
-        for i, s in enumerate(sets):
-            if len(s):
-                at = np.searchsorted(self.slots, s)
-                hit = (at < len(self.slots)) & (self.slots[np.minimum(at, len(self.slots) - 1)] == s)
-                k[i] = self.marks[at[hit]].sum(0) / np.sqrt(len(s))
-        return k
+        known = [np.flatnonzero(np.isin(self.slots, s, assume_unique=True)) for s in sets]
+        return presence_product(known, [len(s) for s in sets], self.marks)
+
+
+def presence_product(known: list[np.ndarray], sizes: list[int], marks: np.ndarray) -> np.ndarray:
+    """Kernel of texts with landmarks: the texts' presence matrix (row i: ones
+    at ``known[i]``, over the root of ``sizes[i]``) times ``marks``, by blocks
+    of TEXTS rows and COLUMNS n-grams, so memory does not grow with a text."""
+    out = np.zeros((len(known), marks.shape[1]), np.float32)
+    for a in range(0, len(known), TEXTS):
+        part = known[a:a + TEXTS]
+        at = np.concatenate(part)
+        text = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        order = np.argsort(at, kind="stable")
+        at, text = at[order], text[order]
+        for start in range(0, len(marks), COLUMNS):
+            cut = slice(*np.searchsorted(at, [start, start + COLUMNS]))
+            if cut.stop > cut.start:
+                block = marks[start:start + COLUMNS]
+                presence = np.zeros((len(part), len(block)), np.float32)
+                presence[text[cut], at[cut] - start] = 1
+                out[a:a + TEXTS] += presence @ block
+    return out / np.sqrt(np.maximum(1, np.array(sizes, np.float32)))[:, None]
 
 
 class Scorer:
@@ -123,13 +140,13 @@ class Scorer:
 
     def kernel(self, column: pa.Array) -> np.ndarray:
         data, offsets = bytes_of(column)
-        k = np.zeros((len(column), self.model.marks.shape[1]), np.float32)
+        known, sizes = [], []
         for i in range(len(column)):
             mine = distinct_slots(LOWER[data[offsets[i]:offsets[i + 1]]])
-            if len(mine):
-                rows = self.row[mine]
-                k[i] = self.model.marks[rows[rows < len(self.model.slots)]].sum(0) / np.sqrt(len(mine))
-        return k
+            rows = self.row[mine]
+            known.append(rows[rows < len(self.model.slots)])
+            sizes.append(len(mine))
+        return presence_product(known, sizes, self.model.marks)
 
     def __call__(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         values = self.kernel(column) @ self.model.weights + self.model.bias

@@ -101,17 +101,24 @@ def peel(state: DataFrame, seed: int, passes: int = PASSES) -> DataFrame:
 
 def recovered(left: Column, right: Column, pairs: DataFrame, seed: int = 0) -> DataFrame:
     """place, digest, n (1: only in ``left``, -1: only in ``right``) of the
-    differing paragraphs of version pairs, peeled; rows of undecoded pairs have
-    a null digest. ``pairs``: place (unique), and what the columns read."""
-    state = cells(_levelled(pairs.select(F.lit(0).alias("part"), "place", F.lit(0).alias("pair"), left.alias("left"), right.alias("right"))), seed)
+    differing paragraphs of version pairs, peeled; pairs whose cells do not all
+    peel away are sketched again, larger and with other hashes, until they do.
+    ``pairs``: place (unique), and what the columns read."""
+    rows = pairs.select(F.lit(0).alias("part"), "place", F.lit(0).alias("pair"), left.alias("left"), right.alias("right"))
     out = None
-    for p in range(PASSES):
-        sub = p % 3
-        pure = f"cell >> 48 = {sub} and abs(n) = 1 and sum = {check('key')}"
-        got = state.filter(pure).select("place", F.col("key").alias("digest"), "n")
-        out = got if out is None else out.unionByName(got)
-        state = peel_one(state, sub, seed)
-    return out.unionByName(state.select("place", F.lit(None).cast("long").alias("digest"), F.lit(0).cast("long").alias("n")).distinct())
+    while True:
+        state, found = cells(_levelled(rows, seed), seed), None
+        for p in range(PASSES):
+            pure = f"cell >> 48 = {p % 3} and abs(n) = 1 and sum = {check('key')}"
+            got = state.filter(pure).select("place", F.col("key").alias("digest"), "n")
+            found = got if found is None else found.unionByName(got)
+            state = peel_one(state, p % 3, seed)
+        open_ = stored(state.select("place").distinct(), "undecoded")
+        found = stored(found.join(open_, "place", "left_anti"), "differing")
+        out = found if out is None else out.unionByName(found)
+        if open_.isEmpty():
+            return out
+        rows, seed = rows.join(open_, "place", "left_semi"), seed + 1
 
 
 def peel_one(state: DataFrame, sub: int, seed: int) -> DataFrame:

@@ -212,6 +212,20 @@ def test_sketch_recovers_digests(spark):
     assert {(r.place, r.digest, r.n) for r in got} == {(1, h["b two"], 1), (1, h["d four"], -1)}
 
 
+def test_sketch_recovers_all_digests_by_retries(spark, monkeypatch):
+    """From sketches too small to peel, every differing paragraph all the same."""
+    monkeypatch.setattr(op4_sketch, "_levelled", lambda pairs, more=0: pairs.withColumn("level", F.lit(2 + 3 * more)))
+    rows = [(i, "\n".join(f"line {i} {j}" for j in range(12 * i)), "\n".join(f"line {i} {j}" for j in range(6, 12 * i + 3))) for i in range(1, 5)]
+    pairs = spark.createDataFrame(rows, "place long, left string, right string")
+    got = op4_sketch.recovered(op4_sketch.digests(F.col("left")), op4_sketch.digests(F.col("right")), pairs)
+    exp = []
+    for i, a, b in rows:
+        a, b = set(a.split("\n")), set(b.split("\n"))
+        exp += [(i, x, 1) for x in a - b] + [(i, x, -1) for x in b - a]
+    exp = spark.createDataFrame(exp, "place long, p string, n int").select("place", F.xxhash64("p").alias("digest"), "n")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
 # --- 7: HTML ------------------------------------------------------------------------------
 
 def test_html_articles_of_the_table(spark):
