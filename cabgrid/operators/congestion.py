@@ -13,30 +13,35 @@ from .restarts import restarted_means
 
 def route_rising_runs(routed: DataFrame, time_col: str = "dropoff_datetime",
                       tiebreak: str | None = "trip_id",
-                      bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = seq.BUCKET_SECONDS, max_rows: int | None = None) -> DataFrame:
     """Per ride: ``run_length`` of strictly rising ``trip_time`` on its route
     (rides in dropoff order), plus duration and pickup point of the ride that
-    started the run."""
+    started the run. ``max_rows``: rides of a route and bucket above which it
+    is cut into slices (``None``: never)."""
     order = seq.key_time_order(time_col, tiebreak)
+    widths = max_rows and seq.dense_widths(seq.moments(routed, ["route"], time_col), ["route"], bucket_seconds, max_rows)
     return seq.rising_runs(routed, ["route"], order, "trip_time",
-                           ["pickup_longitude", "pickup_latitude"], bucket_seconds).drop(seq.BUCKET)
+                           ["pickup_longitude", "pickup_latitude"], bucket_seconds, widths=widths).drop(seq.BUCKET)
 
 
 def congestion_alerts(routed: DataFrame, min_run: int = 2, mean_hours: int = 4,
                       time_col: str = "dropoff_datetime", tiebreak: str | None = "trip_id",
-                      bucket_seconds: int = seq.BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = seq.BUCKET_SECONDS, max_rows: int | None = None) -> DataFrame:
     """Rides ending a run of at least ``min_run`` rising durations whose first
     ride lasted longer than the route's mean duration over the last
     ``mean_hours`` (rides with dropoff in [t - mean_hours, t]).
 
     The rows are shuffled once by (route, bucket) for the trailing mean and
-    the runs; the carries of both are narrow aggregates.
+    the runs; the carries of both are narrow aggregates. ``max_rows``: as for
+    ``route_rising_runs``.
     """
     order = seq.key_time_order(time_col, tiebreak)
+    widths = max_rows and seq.dense_widths(seq.moments(routed, ["route"], time_col, mean_hours * 3600), ["route"],
+                                           bucket_seconds, max_rows)
     d = seq.trailing_range_avg(routed, ["route"], time_col, "trip_time", mean_hours * 3600,
-                               "route_mean", bucket_seconds)
+                               "route_mean", bucket_seconds, widths)
     d = seq.rising_runs(d, ["route"], order, "trip_time",
-                        ["pickup_longitude", "pickup_latitude"], bucket_seconds, source=routed)
+                        ["pickup_longitude", "pickup_latitude"], bucket_seconds, source=routed, widths=widths)
     return (d.filter((F.col("run_length") >= min_run)
                      & (F.col("first_trip_time") > F.col("route_mean")))
             .select("route", *([tiebreak] if tiebreak else []), time_col, "run_length",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import AVG_DIGITS, epoch_micros, window_columns
 from .routes import top_k_per_window
-from .sequence import BUCKET, BUCKET_SECONDS, previous_in_order
+from .sequence import BUCKET, BUCKET_SECONDS, dense_widths, moments, previous_in_order
 
 
 def driver_tip_rate(trips: DataFrame, length: str = "1 day", time_col: str = "dropoff_datetime",
@@ -41,12 +41,15 @@ def pleasant_driver_per_day(rates: DataFrame, k: int = 1) -> DataFrame:
 
 def previous_ride(cells: DataFrame, key: str = "hack_license", time_col: str = "pickup_datetime",
                   tiebreak: str | None = "trip_id",
-                  bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int = BUCKET_SECONDS, max_rows: int | None = None) -> DataFrame:
     """Every ride with the dropoff cell and dropoff time of the same driver's
-    previous ride (by pickup time); null for the driver's first ride."""
+    previous ride (by pickup time); null for the driver's first ride.
+    ``max_rows``: rides of a key and bucket above which it is cut into slices
+    (``None``: never)."""
     order = [time_col] + ([tiebreak] if tiebreak else [])
+    widths = max_rows and dense_widths(moments(cells, [key], time_col), [key], bucket_seconds, max_rows)
     d = previous_in_order(cells, [key], order, ["cell_dropoff", "dropoff_datetime"],
-                          bucket_seconds=bucket_seconds)
+                          bucket_seconds=bucket_seconds, widths=widths)
     return d.drop(BUCKET)
 
 

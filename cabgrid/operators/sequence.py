@@ -12,9 +12,15 @@ aggregate of the columns it needs, joined to the one pass over the rows.
 * trailing range means: exact prefix sums; the prefix at ``t - range`` comes
   from narrow look-up entries placed in the bucket that asks for them.
 
-Buckets are BUCKET_SECONDS wide unless the caller says otherwise, whatever the
-data. Rows without a key or a time have no place in a sequence and are left
-out. All results equal the unbucketed window definitions exactly.
+Buckets are BUCKET_SECONDS wide unless the caller says otherwise. With
+``widths`` (``dense_widths``) a (key, bucket) of more than ``max_rows`` rows is
+cut into narrower slices of its own width, so a window partition stops growing
+with a key's density; the carries chain slices just as they chain buckets. The
+narrowest slice is a second: rows of a key in the same second (ties, as trip
+records hold whole seconds) are one partition.
+
+Rows without a key or a time have no place in a sequence and are left out. All
+results equal the unbucketed window definitions exactly, whatever the buckets.
 """
 
 from __future__ import annotations
@@ -28,29 +34,82 @@ BUCKET = "_bkt"
 # One hour: a key's rows of an hour are one window partition, and a key has
 # 8,766 carry rows a year. A parameter of every operator.
 BUCKET_SECONDS = 3_600
+WIDE = "_wide"
+# Rows of a key in a bucket from which it is cut into slices.
+MAX_ROWS = 1_000_000
 
 
-def add_bucket(df: DataFrame, time_col: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    if BUCKET in df.columns:
-        return df
-    width = bucket_seconds * 1_000_000
-    return df.withColumn(BUCKET, F.floor(epoch_micros(df, time_col) / F.lit(width)).cast("long"))
+def start_of(micros: Column, width: Column | int) -> Column:
+    """The second at which the slice of ``width`` seconds around a moment starts."""
+    width = F.lit(width) if isinstance(width, int) else width
+    return ((micros - F.pmod(micros, width * F.lit(1_000_000).cast("long"))) / F.lit(1_000_000)).cast("long")
+
 
+def in_buckets(df: DataFrame, key: list[str], micros: Column, bucket_seconds: int, widths: DataFrame | None = None) -> DataFrame:
+    """``df`` with its bucket, named by the second it starts at."""
+    if widths is None:
+        return df.withColumn(BUCKET, start_of(micros, bucket_seconds))
+    near = df.withColumn(WIDE, start_of(micros, bucket_seconds)).join(F.broadcast(widths), [*key, WIDE], "left")
+    return near.select(*df.columns, start_of(micros, F.coalesce("_width", F.lit(bucket_seconds))).alias(BUCKET))
 
-def placed(df: DataFrame, key: list[str], time_col: str, bucket_seconds: int) -> DataFrame:
+
+def placed(df: DataFrame, key: list[str], time_col: str, bucket_seconds: int, widths: DataFrame | None = None) -> DataFrame:
     """Rows that have a place in a sequence, with their bucket."""
-    return add_bucket(df.dropna(subset=[*key, time_col]), time_col, bucket_seconds)
+    if BUCKET in df.columns:
+        return df.dropna(subset=[*key, time_col])
+    return in_buckets(df.dropna(subset=[*key, time_col]), key, epoch_micros(df, time_col), bucket_seconds, widths)
+
+
+def moments(df: DataFrame, key: list[str], time_col: str, *later: int) -> DataFrame:
+    """The key and ``_t`` (microseconds) of each row, and of the moments
+    ``later`` seconds after it."""
+    t = epoch_micros(df, time_col)
+    at = F.explode(F.array(*[t + F.lit(s * 1_000_000) for s in (0, *later)])) if later else t
+    return df.dropna(subset=[*key, time_col]).select(*key, at.alias("_t"))
+
+
+def slice_widths(bucket_seconds: int) -> list[int]:
+    """Widths a bucket may be cut to: divisors, each at most half the one before."""
+    widths: list[int] = []
+    for w in range(bucket_seconds // 2, 0, -1):
+        if bucket_seconds % w == 0 and 2 * w <= (widths or [bucket_seconds])[-1]:
+            widths.append(w)
+    return widths or [1]
+
+
+def dense_widths(at: DataFrame, key: list[str], bucket_seconds: int = BUCKET_SECONDS, max_rows: int = MAX_ROWS) -> DataFrame:
+    """(key, ``_wide``, ``_width``) of each (key, bucket) with more than
+    ``max_rows`` of the moments ``at``: the widest slices of which none holds
+    more (a second, if even that does).
+
+    One narrow scan with partial counts. Only where it finds dense buckets is
+    a second scan made, for their counts by second (at most ``bucket_seconds``
+    rows a bucket). Both tables have at most (moments / ``max_rows``) rows, the
+    size bound of their broadcasts: 5e11 rows, about 100 TB of trips, give at
+    most 5e5 rows of some 50 bytes at MAX_ROWS.
+    """
+    wide = at.withColumn(WIDE, start_of(F.col("_t"), bucket_seconds))
+    dense = wide.groupBy(*key, WIDE).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*key, WIDE)
+    seconds = (wide.join(F.broadcast(dense), [*key, WIDE]).groupBy(*key, WIDE, F.floor(F.col("_t") / 1_000_000).alias("_second"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    tries = F.explode(F.array(*[F.lit(w) for w in slice_widths(bucket_seconds)]))
+    sizes = (seconds.select(*key, WIDE, "_second", "_n", tries.alias("_width"))
+             .groupBy(*key, WIDE, "_width", F.floor((F.col("_second") - F.col(WIDE)) / F.col("_width")).alias("_slice"))
+             .agg(F.sum("_n").alias("_n")).groupBy(*key, WIDE, "_width").agg(F.max("_n").alias("_most")))
+    return sizes.groupBy(*key, WIDE).agg(
+        F.coalesce(F.max(F.when(F.col("_most") <= max_rows, F.col("_width"))), F.lit(1)).alias("_width"))
 
 
 def previous_in_order(df: DataFrame, key: list[str], order: list[str], cols: list[str],
-                      prefix: str = "prev_", bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                      prefix: str = "prev_", bucket_seconds: int = BUCKET_SECONDS,
+                      widths: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key
     (rows ordered by ``order``; ``order[0]`` is the timestamp bucketed).
 
     One window pass over (key, bucket); a bucket's first row takes the last
     row of the bucket before, from a partial aggregate.
     """
-    d = placed(df, key, order[0], bucket_seconds)
+    d = placed(df, key, order[0], bucket_seconds, widths)
     ends = d.groupBy(*key, BUCKET).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
     carry = ends.select(*key, BUCKET, F.lag("_last").over(Window.partitionBy(*key).orderBy(BUCKET)).alias("_carry"))
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
@@ -61,11 +120,11 @@ def previous_in_order(df: DataFrame, key: list[str], order: list[str], cols: lis
 
 
 def run_carries(df: DataFrame, key: list[str], order: list[str], value: str, carry: list[str],
-                bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: int = BUCKET_SECONDS, widths: DataFrame | None = None) -> DataFrame:
     """Per (key, bucket): ``_before`` rows in earlier buckets, ``_enter`` the
     last value before it, ``_run`` the start of the run that enters it
     (``at``: its row number, ``value``, and the ``carry`` columns)."""
-    d = placed(df, key, order[0], bucket_seconds).select(*key, BUCKET, *dict.fromkeys([*order, value, *carry]))
+    d = placed(df, key, order[0], bucket_seconds, widths).select(*key, BUCKET, *dict.fromkeys([*order, value, *carry]))
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
     d = d.withColumns({"_pos": F.row_number().over(w) - 1, "_prev": F.lag(value).over(w)})
     start = F.struct(F.col("_pos").alias("at"), F.col(value).alias("value"), *carry)
@@ -85,7 +144,8 @@ def run_carries(df: DataFrame, key: list[str], order: list[str], value: str, car
 
 
 def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
-                carry: list[str], bucket_seconds: int = BUCKET_SECONDS, source: DataFrame | None = None) -> DataFrame:
+                carry: list[str], bucket_seconds: int = BUCKET_SECONDS, source: DataFrame | None = None,
+                widths: DataFrame | None = None) -> DataFrame:
     """Length of the current run of strictly rising ``value`` per key.
 
     ``run_length`` is 0 on the first row of a key and whenever ``value`` does
@@ -96,8 +156,8 @@ def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
     ``source``: the rows to take the carries from, where ``df`` is derived
     from them.
     """
-    carries = run_carries(df if source is None else source, key, order, value, carry, bucket_seconds)
-    d = placed(df, key, order[0], bucket_seconds).join(carries, [*key, BUCKET])
+    carries = run_carries(df if source is None else source, key, order, value, carry, bucket_seconds, widths)
+    d = placed(df, key, order[0], bucket_seconds, widths).join(carries, [*key, BUCKET])
     w = Window.partitionBy(*key, BUCKET).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumns({"_pos": F.row_number().over(w) - 1, "_prev": F.lag(value).over(w)})
@@ -112,33 +172,35 @@ def rising_runs(df: DataFrame, key: list[str], order: list[str], value: str,
 
 
 def trailing_range_avg(df: DataFrame, key: list[str], time_col: str, value: str,
-                       range_seconds: int, out: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                       range_seconds: int, out: str, bucket_seconds: int = BUCKET_SECONDS,
+                       widths: DataFrame | None = None) -> DataFrame:
     """``out`` = average of ``value`` over rows of the same key whose
     ``time_col`` lies in [t - range, t] (ties included).
 
-    The sum to ``t`` less the sum before ``t - range``, both exact decimals:
-    totals of earlier buckets (a carry per key and bucket) and growing frames
-    inside the bucket. For the second, each row gives one narrow entry (key,
-    time, value) to the bucket that starts ``range`` later. Linear in the rows;
-    ``bucket_seconds`` must divide the range.
+    What came until ``t`` less what had gone before it, both exact decimals: a
+    row's value comes at its time and goes ``range`` after it, as a narrow
+    entry (key, time, value) in the bucket of that later moment. Totals of the
+    earlier buckets (a carry per key and bucket) and growing frames inside the
+    bucket. Linear in the rows; ``bucket_seconds`` must divide the range.
+    ``widths`` are those of the moments at which values come and go.
     """
     if range_seconds % bucket_seconds:
         raise ValueError(f"a range of {range_seconds} s is not a multiple of the {bucket_seconds} s buckets")
-    rng, back = range_seconds * 1_000_000, range_seconds // bucket_seconds
-    d = placed(df, key, time_col, bucket_seconds).withColumn("_t", epoch_micros(df, time_col))
-    v = F.col(value).try_cast(EXACT)
-    narrow = d.select(*key, BUCKET, "_t", v.alias("_v"))
-    kw = Window.partitionBy(*key).orderBy(BUCKET)
-    totals = narrow.groupBy(*key, BUCKET).agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c"))
-
-    def until(column: str, last: int) -> Column:
-        return F.coalesce(F.sum(column).over(kw.rangeBetween(Window.unboundedPreceding, last)), F.lit(0))
-
-    # Sum and count in (the buckets wholly before t - range, the bucket's start].
-    base = totals.select(*key, BUCKET, (until("_s", -1) - until("_s", -1 - back)).alias("_bs"),
-                         (until("_c", -1) - until("_c", -1 - back)).alias("_bc"))
-    entries = narrow.select(*key, (F.col(BUCKET) + back).alias(BUCKET), (F.col("_t") + rng).alias("_t"), F.col("_v").alias("_gone"))
-    both = d.withColumn("_v", v).unionByName(entries.withColumn("_entry", F.lit(True)), allowMissingColumns=True)
+    rng = F.lit(range_seconds * 1_000_000)
+    rows_in = df.dropna(subset=[*key, time_col])
+    t, v = epoch_micros(df, time_col), F.col(value).try_cast(EXACT)
+    d = placed(df, key, time_col, bucket_seconds, widths).withColumns({"_t": t, "_v": v})
+    nothing = F.lit(None).cast(EXACT)
+    moves = F.explode(F.array(F.struct(t.alias("_t"), v.alias("_v"), nothing.alias("_gone")),
+                              F.struct((t + rng).alias("_t"), nothing.alias("_v"), v.alias("_gone"))))
+    moved = in_buckets(rows_in.select(*key, moves.alias("_m")).select(*key, "_m.*"), key, F.col("_t"), bucket_seconds, widths)
+    sums = moved.groupBy(*key, BUCKET).agg((F.coalesce(F.sum("_v"), F.lit(0)) - F.coalesce(F.sum("_gone"), F.lit(0))).alias("_s"),
+                                           (F.count("_v") - F.count("_gone")).alias("_c"))
+    earlier = Window.partitionBy(*key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(*key, BUCKET, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_bs"),
+                       F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_bc"))
+    entries = in_buckets(rows_in.select(*key, (t + rng).alias("_t"), v.alias("_gone")), key, F.col("_t"), bucket_seconds, widths)
+    both = d.unionByName(entries.withColumn("_entry", F.lit(True)), allowMissingColumns=True)
     w = Window.partitionBy(*key, BUCKET).orderBy("_t", F.col("_entry").asc_nulls_first())
     gone = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     came = Window.partitionBy(*key, BUCKET).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -17,6 +17,7 @@ from ..operators import areas, congestion, drivers, fleet, routes
 from ..operators.clean import (ENRICHED_COLUMNS, trip_clean, trip_date_parts, trip_enriched,
                                trip_typed_json, trip_valid)
 from ..operators.grid import grid_cells, routed_trips
+from ..operators.sequence import MAX_ROWS
 from ..sources.decode import trip_decode_csv, trip_decode_json
 from ..sources.trips import load_table, load_trips, to_trip_json, to_trip_lines
 from ..streaming import jobs
@@ -25,6 +26,8 @@ from ..streaming.sinks import kafka_payload, topic_fanout
 from ..streaming.sources import closing_line, read_json_stream, read_trip_stream, stage_time_slices
 
 TOPICS = ["topic2", "topic3", "topic4"]
+# The ``_sliced`` keys: so few rows a slice that every busy hour of the tables is cut.
+FEW_ROWS = 2
 
 
 def valid(spark: SparkSession, d: str) -> DataFrame:
@@ -106,24 +109,44 @@ def q_amount_per_mile(spark, d):
     return routes.amount_per_mile(routed500(spark, d))
 
 
-def q_previous_ride(spark, d):
-    p = drivers.previous_ride(grid_cells(valid(spark, d), 500))
+def previous_ride(spark, d, max_rows):
+    p = drivers.previous_ride(grid_cells(valid(spark, d), 500), max_rows=max_rows)
     return p.select("trip_id", "hack_license", "pickup_datetime", "dropoff_datetime",
                     "cell_pickup", "cell_dropoff", "prev_cell_dropoff", "prev_dropoff_datetime")
 
 
+def q_previous_ride(spark, d):
+    return previous_ride(spark, d, MAX_ROWS)
+
+
 def q_idle_time(spark, d):
-    return drivers.idle_time(drivers.previous_ride(grid_cells(valid(spark, d), 500)))
+    return drivers.idle_time(drivers.previous_ride(grid_cells(valid(spark, d), 500), max_rows=MAX_ROWS))
 
 
-def q_rising_runs(spark, d):
-    r = congestion.route_rising_runs(routed500(spark, d))
+def rising_runs(spark, d, max_rows):
+    r = congestion.route_rising_runs(routed500(spark, d), max_rows=max_rows)
     return r.select("route", "trip_id", "dropoff_datetime", "trip_time", "run_length",
                     "first_trip_time", "first_pickup_longitude", "first_pickup_latitude")
 
 
+def q_rising_runs(spark, d):
+    return rising_runs(spark, d, MAX_ROWS)
+
+
 def q_congestion_alerts(spark, d):
-    return congestion.congestion_alerts(routed500(spark, d))
+    return congestion.congestion_alerts(routed500(spark, d), max_rows=MAX_ROWS)
+
+
+def q_previous_ride_sliced(spark, d):
+    return previous_ride(spark, d, FEW_ROWS)
+
+
+def q_rising_runs_sliced(spark, d):
+    return rising_runs(spark, d, FEW_ROWS)
+
+
+def q_congestion_alerts_sliced(spark, d):
+    return congestion.congestion_alerts(routed500(spark, d), max_rows=FEW_ROWS)
 
 
 def q_vendor_revenue(spark, d):
@@ -247,15 +270,15 @@ def routed_lon_lat(spark, d):
 
 
 def q_idle_time_uncapped(spark, d):
-    return drivers.idle_time(drivers.previous_ride(grid_cells(valid(spark, d), 500)), None)
+    return drivers.idle_time(drivers.previous_ride(grid_cells(valid(spark, d), 500), max_rows=MAX_ROWS), None)
 
 
 def q_idle_time_lon_lat(spark, d):
-    return drivers.idle_time(drivers.previous_ride(routed_lon_lat(spark, d)))
+    return drivers.idle_time(drivers.previous_ride(routed_lon_lat(spark, d), max_rows=MAX_ROWS))
 
 
 def q_congestion_alerts_lon_lat(spark, d):
-    return congestion.congestion_alerts(routed_lon_lat(spark, d))
+    return congestion.congestion_alerts(routed_lon_lat(spark, d), max_rows=MAX_ROWS)
 
 
 def q_archive_readback(spark, d):
@@ -307,6 +330,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_amount_per_mile": lambda s, d: routes.top_amount_per_mile(q_amount_per_mile(s, d)),
     "previous_ride": q_previous_ride,
     "idle_time": q_idle_time,
+    "previous_ride_sliced": q_previous_ride_sliced,
+    "rising_runs_sliced": q_rising_runs_sliced,
+    "congestion_alerts_sliced": q_congestion_alerts_sliced,
     "rising_runs": q_rising_runs,
     "congestion_alerts": q_congestion_alerts,
     "vendor_revenue": q_vendor_revenue,

@@ -334,7 +334,8 @@ def sql_map() -> dict[str, str]:
              "top_routes_closed_stream": "top_routes_per_window",
              "price_breakdown_closed_stream": "price_breakdown_per_window",
              "pleasant_driver_closed_stream": "pleasant_driver_per_day",
-             "register_clean_table": "trip_clean", "clean_files_registered": "trip_clean"}
+             "previous_ride_sliced": "previous_ride", "rising_runs_sliced": "rising_runs",
+             "congestion_alerts_sliced": "congestion_alerts", "register_clean_table": "trip_clean", "clean_files_registered": "trip_clean"}
     for stream_key, batch_key in twins.items():
         q[stream_key] = q[batch_key]
     q["topic_fanout"] = (with_(TRIPS, JSONREC) + f"SELECT t.topic, trip_id, {_json_text()} AS value FROM jsonrec, "

@@ -13,7 +13,7 @@ from conftest import SF_ORACLE, SF_SMALL, TABLES
 
 STREAM_KEYS = {k for k in entry.QUERIES if "_stream" in k} | {"archive_readback", "register_clean_table", "clean_files_registered"}
 # Keys whose interesting rows are sparse: checked at sf0.01 with a floor.
-SPARSE = {"congestion_alerts": 100, "congestion_alerts_lon_lat": 100, "idle_time": 100, "idle_time_uncapped": 100,
+SPARSE = {"congestion_alerts": 100, "congestion_alerts_lon_lat": 100, "congestion_alerts_sliced": 100, "idle_time": 100, "idle_time_uncapped": 100,
           "idle_time_lon_lat": 100, "area_profitability": 5, "top_routes": 10,
           "most_pleasant_driver": 1, "table_filter_eq": 1, "fleet_totals": 1}
 BATCH_KEYS = [k for k in entry.QUERIES if k not in STREAM_KEYS]

@@ -78,6 +78,23 @@ def test_order_dependent_queries_shuffle_rows_once(spark, stored):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
 
 
+def test_sliced_queries_shuffle_rows_once(spark, stored):
+    """Cutting dense hours adds narrow scans and broadcasts of widths only."""
+    from cabgrid.operators import congestion, drivers
+    from cabgrid.operators.grid import grid_cells
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    trips = trip_valid(stored)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for df in (drivers.previous_ride(grid_cells(trips, 500), max_rows=1000), congestion.congestion_alerts(routed_trips(trips), max_rows=1000)):
+            p = plan(df)
+            assert len(full_exchanges(p, 14)) <= 1
+            sent = [int(x.split("Input [")[1].split("]")[0]) for x in p.split("\n\n") if ") BroadcastExchange" in x]
+            assert sent and max(sent) <= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
 def test_building_a_query_starts_no_job(spark, monkeypatch):
     """No action before the caller's own (the pointer-doubling rounds of the
     reset mean, the streams and the training-data operators excepted)."""

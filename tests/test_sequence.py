@@ -3,6 +3,7 @@ sequential definitions, on data where one key holds most rows and buckets
 are small, so carries across (and over empty) buckets are exercised."""
 
 import datetime as dt
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cabgrid.operators import congestion, drivers
 from cabgrid.operators import sequence as seq
+from cabgrid.session import shared_path
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -159,3 +161,63 @@ def test_shuffled_input_same_result(spark, rides):
     key = ["route", "trip_id"]
     pd.testing.assert_frame_equal(a.sort_values(key).reset_index(drop=True),
                                   b.sort_values(key).reset_index(drop=True))
+
+
+@pytest.fixture(scope="module")
+def dense(spark):
+    """Half of all rides on one route in one hour, a fifth of those in a minute."""
+    n = 12_000
+    hot = "id % 2 = 0"
+    second = "CASE WHEN id % 2 = 0 AND id % 10 = 0 THEN 1800 + pmod(hash(id), 60) WHEN id % 2 = 0 THEN pmod(hash(id), 3600) ELSE pmod(hash(id), 200000) END"
+    df = spark.range(n).selectExpr(
+        "id AS trip_id", f"IF({hot}, 'hot', concat('r', id % 41)) AS route", f"IF({hot}, 'hot', concat('r', id % 41)) AS hack_license",
+        f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, {second}) AS dropoff_datetime",
+        "CAST(pmod(hash(id, 1), 31) * 60 AS DOUBLE) AS trip_time", "rand(1) AS pickup_longitude", "rand(2) AS pickup_latitude",
+        "IF(id % 3 = 0, 'x', 'y') AS cell_pickup", "IF(id % 3 = 1, 'x', 'y') AS cell_dropoff")
+    path = shared_path(spark, f"dense-{uuid.uuid4().hex}")
+    df.withColumn("pickup_datetime", F.col("dropoff_datetime")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_no_window_partition_grows_with_a_dense_hour(spark, dense):
+    moments = seq.moments(dense, ["route"], "dropoff_datetime", 4 * 3600)
+    widths = seq.dense_widths(moments, ["route"], max_rows=400)
+    found = {(r.route, r._wide): r._width for r in widths.collect()}
+    start = int((T0 - dt.datetime(1970, 1, 1)).total_seconds())
+    # The hour of the rides, and the hour in which they leave the trailing mean.
+    assert set(found) == {("hot", start), ("hot", start + 4 * 3600)}
+    slices = seq.in_buckets(moments, ["route"], F.col("_t"), 3600, widths).groupBy("route", seq.BUCKET).count()
+    assert slices.agg(F.max("count")).first()[0] <= 400
+    assert slices.agg(F.sum("count")).first()[0] == moments.count()
+    # Rides of one second stay together, however many there are.
+    assert {r._width for r in seq.dense_widths(moments, ["route"], max_rows=1).collect()} >= {1}
+
+
+@pytest.mark.parametrize("max_rows", [1, 400])
+def test_sliced_hours_equal_plain_windows(spark, dense, max_rows):
+    from pyspark.sql import Window
+    w = Window.partitionBy("hack_license").orderBy("pickup_datetime", "trip_id")
+    prev = drivers.previous_ride(dense, max_rows=max_rows).select("trip_id", "prev_cell_dropoff", "prev_dropoff_datetime")
+    plain = dense.select("trip_id", F.lag("cell_dropoff").over(w), F.lag("dropoff_datetime").over(w))
+    assert prev.exceptAll(plain).isEmpty() and prev.count() == dense.count()
+    runs = congestion.route_rising_runs(dense, max_rows=max_rows).select("trip_id", "run_length", "first_trip_time", "first_pickup_longitude")
+    whole = congestion.route_rising_runs(dense, bucket_seconds=400_000).select(runs.columns)
+    assert runs.exceptAll(whole).isEmpty() and runs.count() == dense.count()
+    alerts = congestion.congestion_alerts(dense, max_rows=max_rows)
+    range_ = Window.partitionBy("route").orderBy(F.unix_micros(F.col("dropoff_datetime").cast("timestamp"))).rangeBetween(-4 * 3600 * 1_000_000, 0)
+    means = dense.select("trip_id", F.avg("trip_time").over(range_).alias("mean"))
+    expected = (whole.filter("run_length >= 2").join(means, "trip_id").filter("first_trip_time > mean")
+                .select("trip_id", "run_length", F.round("mean", 6)))
+    assert alerts.count() >= 20
+    assert alerts.select("trip_id", "run_length", F.round("route_mean", 6)).exceptAll(expected).isEmpty()
+    assert alerts.count() == expected.count()
+
+
+def test_slices_of_empty_and_null_rows(spark, dense):
+    nothing = dense.limit(0)
+    assert drivers.previous_ride(nothing, max_rows=5).count() == 0
+    assert congestion.congestion_alerts(nothing, max_rows=5).count() == 0
+    holes = dense.withColumns({"route": F.when(F.col("trip_id") % 3 > 0, F.col("route")),
+                               "dropoff_datetime": F.when(F.col("trip_id") % 5 > 0, F.col("dropoff_datetime"))})
+    got = congestion.route_rising_runs(holes, max_rows=50)
+    assert got.count() == holes.dropna(subset=["route", "dropoff_datetime"]).count()
