@@ -245,6 +245,10 @@ def q_idle_time_stream(spark, d):
     return jobs.idle_time_stream(_feed(spark, d, time_col="pickup_datetime"), admit=REPLAY)
 
 
+def q_area_profitability_joined_stream(spark, d):
+    return jobs.joined_profitability_stream(_feed(spark, d), admit=REPLAY)
+
+
 def q_congestion_stream(spark, d):
     return jobs.congestion_stream(_feed(spark, d), admit=REPLAY)
 
@@ -348,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_routes_stream": q_top_routes_stream,
     "top_routes_stream_update": q_top_routes_stream_update,
     "area_profitability_stream": q_area_profitability_stream,
+    "area_profitability_joined_stream": q_area_profitability_joined_stream,
     "area_profitability_stream_update": q_area_profitability_stream_update,
     "idle_time_stream": q_idle_time_stream,
     "congestion_stream": q_congestion_stream,

@@ -325,6 +325,7 @@ def sql_map() -> dict[str, str]:
         + "SELECT * FROM d")
     twins = {"top_routes_stream": "top_routes", "top_routes_stream_update": "top_routes",
              "area_profitability_stream_update": "area_profitability", "area_profitability_stream": "area_profitability",
+             "area_profitability_joined_stream": "area_profitability",
              "idle_time_stream": "idle_time", "congestion_stream": "congestion_alerts",
              "route_mean_reset_stream": "route_mean_reset", "idle_time_stream_late": "idle_time",
              "congestion_stream_late": "congestion_alerts", "route_mean_reset_stream_late": "route_mean_reset",

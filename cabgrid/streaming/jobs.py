@@ -30,6 +30,7 @@ from ..session import shared_path
 from ..sources.decode import trip_decode_json
 from . import stateful
 from .admission import Admission, admitted, rejected, rejects
+from .cell_join import DROPOFF_MINUTES, MINUTE_US, PROFIT_MINUTES, first_pairs_of_cells
 from .runner import (KEYED_STATE, Merge, await_bounded, batch_sink, read_batches, read_snapshot, run_stream,
                      snapshot_sink)
 from .sinks import register_clean_table, register_new_partitions, write_archive, write_clean_files, write_clean_table
@@ -44,7 +45,7 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _from_us(c: str):
-    return utc_wall(F.timestamp_micros(F.col(c)))
+    return utc_wall(F.timestamp_micros(F.expr(c)))
 
 
 WINDOW = ["window_start", "window_end"]
@@ -190,6 +191,27 @@ def start_area_profitability(lines: DataFrame, k: int = 5, output_mode: str = "c
     return Job(queries, lambda: areas.area_profitability(held("profit"), held("dropoffs"), k))
 
 
+def start_joined_profitability(lines: DataFrame, k: int = 5, watermark: str = "30 minutes", output: str | None = None,
+                               checkpoint: str | None = None, trigger: dict | None = None, admit: Admission = ADMIT) -> Job:
+    """The profitability report over closed windows, the two sides joined per
+    cell in one query's state (``cell_join``): a micro-batch writes the pairs
+    it changed, and state and report hold at most k pairs a cell."""
+    spark = lines.sparkSession
+    pairs = first_pairs_of_cells(grid_cells(admitted(lines, admit, "dropoff_datetime", watermark), 250), k)
+    out, key = output or _folder(spark, "joined-profitability"), ["cell", "rank"]
+    q = run_stream(pairs, checkpoint or _folder(spark, "ckpt-joined-profitability"), "append", batch_sink(out, pairs.schema, key),
+                   trigger=trigger, settings=KEYED_STATE)
+
+    def report() -> DataFrame:
+        ends = [_from_us(f"{c} + {m * MINUTE_US}") for c, m in (("window_us", PROFIT_MINUTES), ("taxis_us", DROPOFF_MINUTES))]
+        return (read_batches(spark, out, pairs.schema, key)
+                .orderBy("window_us", F.col("profitability").desc_nulls_last(), "cell", "taxis_us").limit(k)
+                .select("cell", _from_us("window_us").alias("window_start"), ends[0].alias("window_end"),
+                        _from_us("taxis_us").alias("taxis_window_start"), ends[1].alias("taxis_window_end"), "profitability"))
+
+    return Job([q], report)
+
+
 def _stateful(rows: DataFrame, name: str, report: Callable[[DataFrame], DataFrame], output: str | None,
               checkpoint: str | None, trigger: dict | None,
               on_batch: Callable[[DataFrame, int], None] | None = None,
@@ -274,6 +296,7 @@ most_pleasant_driver_stream = _bounded(start_most_pleasant_driver)
 top_price_breakdown_stream = _bounded(start_top_price_breakdown)
 top_amount_per_mile_stream = _bounded(start_top_amount_per_mile)
 area_profitability_stream = _bounded(start_area_profitability)
+joined_profitability_stream = _bounded(start_joined_profitability)
 closed_top_routes_stream = _bounded(start_closed_top_routes)
 closed_price_breakdown_stream = _bounded(start_closed_price_breakdown)
 closed_pleasant_driver_stream = _bounded(start_closed_pleasant_driver)

@@ -44,7 +44,7 @@ def test_batch_query_matches_oracle(spark, cons, name):
     assert compare(got, exp) == "OK"
 
 
-STREAM_FLOOR = {"idle_time_stream_late": 100, "congestion_stream_late": 100, "route_mean_reset_stream_late": 9000,
+STREAM_FLOOR = {"area_profitability_joined_stream": 5, "idle_time_stream_late": 100, "congestion_stream_late": 100, "route_mean_reset_stream_late": 9000,
                 "most_pleasant_driver_stream_update": 1, "top_price_breakdown_stream": 5, "top_amount_per_mile_stream": 10}
 
 
