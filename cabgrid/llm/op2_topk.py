@@ -3,8 +3,9 @@
 Vectors become integers, floor(256 * x). The upper level of the tree is a set
 of at most PIVOTS centres, chosen farthest-first from a bounded sample; every
 vector belongs to its nearest centre, whose covering radius is the largest
-distance of its members. A centre's vectors are dealt over blocks of about
-BLOCK rows (a hot vector's copies too), one block in memory at a time.
+distance of its members. A centre's vectors are dealt over blocks of at most
+about BLOCK rows and BLOCK_BYTES bytes (a hot vector's copies too), one block in
+memory at a time (three times its bytes: the vectors, their order, as doubles).
 
 1. Seed: each query is searched in one block of its own centre; its kth score
    there is a lower bound.
@@ -39,23 +40,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import few_by_hash, materialise, table
+from .textscan import mix64
 
 K = 5
 SCALE = 256
 EVERY = 50
 PIVOTS = 32
 SAMPLE = 1024
-BLOCK = 131_072
+BLOCK, BLOCK_BYTES = 131_072, 1 << 26
 LEAF, FAN = 128, 8
 NONE = np.iinfo(np.int64).min
 
 
-def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """id, v (binary, int64 components) of the rows that take part."""
+def eligible(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """id, x (doubles) of the rows that take part."""
     parts = F.col(vec_col).cast("array<double>")
     fine = (F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0)
             & F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    return vectors.filter(fine).select(F.col(id_col).cast("long").alias("id"), parts.alias("x"))
 
+
+def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
+    """id, v (binary, int64 components) of ``eligible`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
@@ -65,7 +71,12 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             packed = [x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["id", "v"])
 
-    return vectors.filter(fine).select(F.col(id_col).cast("long"), parts).mapInArrow(run, "id long, v binary")
+    return rows.mapInArrow(run, "id long, v binary")
+
+
+def block_rows(length: int) -> int:
+    """Rows a block of vectors of ``length`` bytes is dealt."""
+    return max(1, min(BLOCK, BLOCK_BYTES // length))
 
 
 def unpack(column) -> np.ndarray:
@@ -114,7 +125,9 @@ class BlockIndex:
     """Cover tree over one block's vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        order = np.lexsort((ids, *vectors.T[::-1]))
+        # Equal vectors meet by a hash; one that shares it splits them, and more is kept.
+        odd = mix64(np.arange(1, vectors.shape[1] + 1)) | np.uint64(1)
+        order = np.lexsort((ids, mix64(vectors.view(np.uint64) @ odd)))
         ids, vectors = ids[order], vectors[order]
         new = np.ones(len(ids), bool)
         new[1:] = (vectors[1:] != vectors[:-1]).any(1)
@@ -217,8 +230,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     """query_id, rank, vec_id, score: the k best candidates of each query
     (``is_query`` is a condition on the column ``id``) among all other rows."""
     spark = vectors.sparkSession
-    whole = integer_vectors(vectors, id_col, vec_col)
-    sample = few_by_hash(whole, "pivot", "id", SAMPLE).orderBy(F.xxhash64("id"), "v").limit(SAMPLE).collect()
+    rows = eligible(vectors, id_col, vec_col)
+    whole = integer_vectors(rows)
+    sample = integer_vectors(few_by_hash(rows, "pivot", "id", SAMPLE)).orderBy(F.xxhash64("id"), "v").limit(SAMPLE).collect()
     centres: dict[int, np.ndarray] = {}
     for length in {len(r["v"]) for r in sample}:
         points = np.array([np.frombuffer(r["v"], np.int64) for r in sample if len(r["v"]) == length], np.float64)
@@ -241,7 +255,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
     placed = materialise(whole.mapInArrow(place, "id long, v binary, length long, pivot int, reach double"))
     # One row per centre: bounded by PIVOTS times the number of vector lengths.
     found = placed.groupBy("length", "pivot").agg(F.count("*").alias("n"), F.max("reach").alias("radius")).collect()
-    blocks = {(r["length"], r["pivot"]): -(-r["n"] // BLOCK) for r in found}
+    blocks = {(r["length"], r["pivot"]): -(-r["n"] // block_rows(r["length"])) for r in found}
     radius = {(r["length"], r["pivot"]): r["radius"] for r in found}
     parts = 2 * sum(blocks.values())
 
@@ -260,20 +274,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
         """The blocks a query must still see: those of every centre whose bound
         reaches its kth score, less the one it was seeded in."""
         for batch in batches:
-            for i in range(len(batch)):
-                ident, query, v, length, least, seen = (batch.column(c)[i].as_py() for c in range(6))
-                q = np.frombuffer(v, np.int64).astype(np.float64)
-                norm = float(np.sqrt(q @ q))
-                goal = []
-                for (of, pivot), n in blocks.items():
-                    if of == length:
-                        bound = np.inf if length not in centres else float(q @ centres[length][pivot]) + norm * radius[of, pivot]
-                        if least is None or bound + 1e-9 * (abs(bound) + norm + 1) >= least:
-                            goal += [b for b in (f"{of}:{pivot}:{s}" for s in range(n)) if b != seen]
-                if goal:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([ident] * len(goal)), pa.array([query] * len(goal)), pa.array([v] * len(goal), pa.binary()),
-                         pa.array([least] * len(goal), pa.int64()), pa.array(goal)], ["id", "query", "v", "least", "block"])
+            lengths = batch.column(3).to_numpy()
+            for of in np.unique(lengths).tolist():
+                mine = batch.take(pa.array(np.flatnonzero(lengths == of)))
+                q = unpack(mine.column(2)).astype(np.float64)
+                norm, least = np.sqrt((q * q).sum(1)), mine.column(4).fill_null(int(NONE)).to_numpy()
+                seen = mine.column(5).to_numpy(zero_copy_only=False)
+                for (length, pivot), n in blocks.items():
+                    if length != of:
+                        continue
+                    bound = q @ centres[of][pivot] + norm * radius[of, pivot] if of in centres else np.full(len(q), np.inf)
+                    reached = bound + 1e-9 * (np.abs(bound) + norm + 1) >= least
+                    for block in (f"{of}:{pivot}:{s}" for s in range(n)):
+                        part = mine.take(pa.array(np.flatnonzero(reached & (seen != block))))
+                        if len(part):
+                            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in (0, 1, 2, 4)), pa.array([block] * len(part))],
+                                                             ["id", "query", "v", "least", "block"])
 
     onward = (queries.join(lower, ["id", "query"], "left").select("id", "query", "v", "length", "least", "block")
               .mapInArrow(route, "id long, query long, v binary, least long, block string"))

@@ -42,6 +42,34 @@ def test_top_k_hot_vector_blocks_and_ties(spark, monkeypatch):
     assert got == brute_top(rows, lambda i: i % 10 == 0, 5)
 
 
+def test_top_k_of_long_vectors_in_blocks_of_bytes(spark, monkeypatch):
+    """768 dimensions: blocks are bounded by bytes, not by rows."""
+    length = 768 * 8
+    assert op2_topk.block_rows(length) * length <= 1 << 26 and op2_topk.block_rows(8) == op2_topk.BLOCK and op2_topk.block_rows(1 << 30) == 1
+    monkeypatch.setattr(op2_topk, "BLOCK_BYTES", 40 * length)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(9, 768)).round(1)
+    rows = [(i, (base[i % 9] + rng.integers(0, 2, 768) * (i % 4 == 0)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in op2_topk.top_k(df, F.col("id") % 25 == 0).collect()}
+    assert got == brute_top(rows, lambda i: i % 25 == 0, 5)
+
+
+def test_block_index_keeps_equal_vectors_smallest_ids(monkeypatch):
+    """Also where different vectors share a hash: then more are kept, none lost."""
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-2, 3, (500, 3))
+    ids = rng.permutation(500)
+    for shared in (False, True):
+        if shared:
+            monkeypatch.setattr(op2_topk, "mix64", lambda x: np.asarray(x).astype(np.uint64) * np.uint64(0))
+        index = op2_topk.BlockIndex(ids, vectors, 2)
+        for v in np.unique(vectors, axis=0):
+            least = sorted(ids[(vectors == v).all(1)])[:3]
+            kept = sorted(index.ids[(index.vectors == v).all(1)])
+            assert kept == least or (shared and kept[:3] == least)
+
+
 def test_top_k_edges(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, []), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]),
             (6, [1.0, 2.0]), (7, [0.0, 0.0]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (50, [-1.0, 0.5]), (100, [1e9, 1e9])]
