@@ -4,8 +4,9 @@
    keys; (hash, doc_id) rows are written to the shared folder.
 2. A partial aggregation gives each hash its document count and smallest
    document; hashes of one document are done.
-3. The repeated hashes are sharded. Per shard a minimal perfect hash indexes
-   three compact arrays: fingerprint, document count, smallest document.
+3. The repeated hashes are sharded, at most about SHARD_KEYS a shard however
+   many there are. Per shard a minimal perfect hash indexes three compact
+   arrays: fingerprint, document count, smallest document.
 4. Line rows stream past their shard's arrays, one shard in memory at a time,
    and give the lines each document loses.
 5. Documents are rewritten without them.
@@ -37,7 +38,7 @@ from .textscan import LOWER, WHITE, Hasher, bytes_of, chunks, mix64, slices
 
 MIN_KEY = 10
 HOT = 2000
-SHARDS_PER_PARTITION = 4
+SHARDS_PER_PARTITION, SHARD_KEYS = 4, 1 << 20
 U = np.uint64
 
 
@@ -166,6 +167,12 @@ def line_hashes(docs: DataFrame) -> DataFrame:
             .mapInArrow(run, "doc_id long, h1 long, h2 long"))
 
 
+def shard_count(keys: int, partitions: int) -> int:
+    """Enough shards for every partition, and for SHARD_KEYS hashes in each
+    (some 30 MB of arrays)."""
+    return max(SHARDS_PER_PARTITION * partitions, -(-keys // SHARD_KEYS))
+
+
 def shard_arrays(repeated: DataFrame, shards: int) -> DataFrame:
     """(shard, arrays): one row per shard of the repeated hashes."""
     def build(key, pdf):
@@ -185,10 +192,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
                                       F.count("*").alias("n_docs"))
         .filter("first_doc < last_doc").drop("last_doc"))
-    total = repeated.agg(F.sum("n_docs")).first()[0] or 0
+    total, keys = repeated.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.count("*")).first()
     top = repeated.filter(F.col("n_docs") > total / HOT).collect()  # at most HOT rows, by their sum
     hot = LineIndex(*[np.array([r[c] for r in top], np.int64) for c in ("h1", "h2", "n_docs", "first_doc")])
-    shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shard_count(keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Hot lines are answered here; the others go to their shard."""

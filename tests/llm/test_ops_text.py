@@ -196,6 +196,15 @@ def test_lines_hot_line(spark, monkeypatch):
     assert got == brute.line_dedup(rows)
 
 
+def test_lines_shards_grow_with_the_repeated_lines(spark, monkeypatch):
+    assert op9_lines.shard_count(0, 8) == 32 and op9_lines.shard_count(1 << 40, 8) == 1 << 20
+    monkeypatch.setattr(op9_lines, "SHARD_KEYS", 2)
+    rows = [(i, f"line of pair {i // 2} is here\nand of three {i // 3} as well\nonly {i} has this line") for i in range(300)]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in op9_lines.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.line_dedup(rows)
+
+
 def test_lines_edges(edges, empty):
     out = op9_lines.dedup_lines(edges)
     assert out.columns == edges.columns + ["n_lines_", "n_dropped"]
