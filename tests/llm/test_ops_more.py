@@ -223,6 +223,41 @@ def test_fingerprints_edges(spark, edges, empty):
     assert op4_sketch.fingerprints(empty).count() == 0
 
 
+def test_likeness_from_fingerprints_alone(spark, docs):
+    """near_edited is what the two returned strings say, whatever their sizes."""
+    rows = op4_sketch.fingerprints(docs).filter("doc_id is not null")
+    pairs = rows.select(F.col("doc_id").alias("place"), F.col("fingerprint").alias("left"), F.col("edited_fingerprint").alias("right"), "near_edited")
+    got = {r.place: r.near for r in op4_sketch.likeness(pairs.select("place", "left", "right")).collect()}
+    exp = {r.place: r.near_edited for r in pairs.collect()}
+    peeled = {k for k, v in got.items() if v is not None}
+    assert set(got) == set(exp) and len(peeled) > 0.95 * len(exp)
+    assert all(got[k] == pytest.approx(exp[k]) for k in peeled)
+    sets = [("a\nb\nc", "\n".join(map(str, range(200)))), ("", ""), ("a", ""), ("x\ny", "y\nx"), ("a\nb", None)]
+    pairs = spark.createDataFrame([(i, *t) for i, t in enumerate(sets)], "place long, a string, b string")
+    pairs = pairs.select("place", *[op4_sketch.packed(op4_sketch.digests(F.col(c))).alias(n) for c, n in (("a", "left"), ("b", "right"))])
+    pairs = pairs.withColumn("right", F.when(F.col("place") < 4, F.col("right")))
+    assert {r.place: r.near for r in op4_sketch.likeness(pairs).collect()} == {0: 0.0, 1: 1.0, 2: 0.0, 3: 1.0, 4: None}
+
+
+def test_fingerprints_of_one_frequent_id(spark):
+    """A third of the rows share an id: many ranges hold them, each row has its next."""
+    rows = [(500 if i % 3 else i, f"text {i}\nand {i % 7}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ordered = op4_sketch.in_order(docs)
+    assert ordered.filter("doc_id = 500").select("part").distinct().count() > 20
+    nexts = ordered.select("doc_id", "text", "next").collect()
+    follow = {r.text: r.next for r in nexts}
+    assert len(nexts) == len(follow) == 3000
+    at, seen = nexts[0].text, []
+    for _ in range(3000):  # one ring through all documents
+        seen.append(at)
+        at = follow[at]
+    assert len(set(seen)) == 3000 and at == seen[0]
+    ids = {t: d for d, t in rows}
+    assert sum(ids[t] < ids[follow[t]] for t in seen) == 1
+    assert op4_sketch.fingerprints(docs).count() == 3000
+
+
 def test_sketch_retries_larger(spark, monkeypatch):
     """With too few passes and cells the first sketches fail; larger ones do not."""
     monkeypatch.setattr(op4_sketch, "LEAST_LEVEL", 1)
