@@ -5,7 +5,9 @@
 file becomes its vocabulary (bytes written as the byte-level alphabet's
 characters) and its merge list (all splits of a token into two tokens, by the
 token's rank). Decoding goes through a table of each id's bytes, so characters
-split between tokens come back whole.
+split between tokens come back whole. Offsets are the tokens' byte ranges, mapped
+to characters by counting the bytes that begin one; a character split between
+tokens belongs to all of them.
 
 Edge cases: a null or empty text has no ids and decodes to nothing; text of
 any length is encoded whole; other columns of any name are untouched; empty
@@ -113,6 +115,17 @@ class Codec:
         self.tokenizer.pre_tokenizer = self.letters
         return found
 
+    def spans(self, text: str, ids) -> tuple[np.ndarray, np.ndarray]:
+        """[start, end) of the characters (code points) that each of a text's
+        ids touches, from the lengths of the ids' bytes."""
+        ids = np.asarray(ids, np.int64)
+        ends = np.cumsum(self.lengths[ids])
+        starts = ends - self.lengths[ids]
+        if not (len(ids) and text.isascii()):
+            begun = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+            starts, ends = begun[starts] - 1, begun[ends - 1]
+        return starts.astype("<i4"), ends.astype("<i4")
+
     def decode(self, ids) -> bytes:
         ids = np.asarray(ids, np.int64)
         if not len(ids):
@@ -145,18 +158,14 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, offsets: bool = False)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
         for batch in slices(batches, 1, SLICE):
-            ids, starts, ends = [], [], []
+            texts = _texts(batch.column(1))
+            ids, starts, ends = use.encode(texts), [], []
             if offsets:
-                for i, o in use.encode_with_offsets(_texts(batch.column(1))):
-                    ids.append(i)
-                    starts.append([a for a, _ in o])
-                    ends.append([b for _, b in o])
-            else:
-                ids = use.encode(_texts(batch.column(1)))
+                starts, ends = zip(*map(use.spans, texts, ids)) if texts else ([], [])
             kind = pa.list_(pa.int32())
             columns = [batch.column(0), pa.array(ids, kind)]
             if offsets:
-                columns += [pa.array(starts, kind), pa.array(ends, kind)]
+                columns += [pa.array(list(starts), kind), pa.array(list(ends), kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "starts", "ends"][:len(columns)])
 
     schema = "doc_id long, ids array<int>" + ", starts array<int>, ends array<int>" * offsets
@@ -183,30 +192,37 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, bytes binary, text string")
 
 
-def encoded_corpus(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
+def encoded_corpus(docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True, offsets: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids (unless ``with_ids`` is
     false), ids_sha256 (of the decimal ids joined by commas), decoded_sha256
-    (of the bytes the ids decode to). One pass, batch by batch."""
+    (of the bytes the ids decode to), and with ``offsets`` offsets_sha256 (of
+    all starts, then all ends, as little-endian 32-bit integers). One pass,
+    batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(vocabulary)
         for batch in slices(batches, 1, SLICE):
-            counts, all_ids, of_ids, of_bytes = [], [], [], []
-            for ids in use.encode(_texts(batch.column(1))):
+            counts, all_ids, of_ids, of_bytes, of_spans = [], [], [], [], []
+            texts = _texts(batch.column(1))
+            for text, ids in zip(texts, use.encode(texts)):
                 counts.append(len(ids))
                 if with_ids:
                     all_ids.append(ids)
                 of_ids.append(hashlib.sha256(",".join(use.text[ids]).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(use.decode(ids)).hexdigest())
+                if offsets:
+                    of_spans.append(hashlib.sha256(b"".join(a.tobytes() for a in use.spans(text, ids))).hexdigest())
             columns = {"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())}
             if with_ids:
                 columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
             columns |= {"ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_bytes, pa.string())}
+            if offsets:
+                columns["offsets_sha256"] = pa.array(of_spans, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    ids = "ids array<int>, " * with_ids
+    ids, spans = "ids array<int>, " * with_ids, ", offsets_sha256 string" * offsets
     return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(run, f"doc_id long, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string"))
+            .mapInArrow(run, f"doc_id long, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string{spans}"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoded_corpus(table(spark, sf_dir, "documents"), with_ids=False)
+    return encoded_corpus(table(spark, sf_dir, "documents"), with_ids=False, offsets=True)

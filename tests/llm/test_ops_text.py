@@ -1,5 +1,7 @@
 """Operators 1, 5, 6, 9, 10: against brute force, DuckDB and tiktoken; edges."""
 
+import hashlib
+import tempfile
 import zlib
 
 import duckdb
@@ -170,9 +172,21 @@ def test_bpe_any_text(tiktoken, text):
     ids = codec.encode([text])[0]
     assert list(ids) == tiktoken.encode_ordinary(text) and codec.decode(ids) == text.encode()
     (again, spans), = codec.encode_with_offsets([text])
+    starts, ends = codec.spans(text, codec.encode([text])[0])
+    assert list(zip(starts.tolist(), ends.tolist())) == spans
     assert again == list(ids) and all(0 <= a < b <= len(text) for a, b in spans)
 
 
+def test_bpe_query_gives_offsets(docs, spark):
+    """The query's digest is of the library's own offsets."""
+    docs.write.mode("overwrite").parquet((folder := tempfile.mkdtemp(prefix="bpe-")) + "/documents.parquet")
+    got = {r.doc_id: r.offsets_sha256 for r in op6_bpe.op6_byte_bpe(spark, folder).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    for (d, text), (_, spans) in zip(texts.items(), op6_bpe.codec().encode_with_offsets(list(texts.values()))):
+        packed = np.array([a for a, _ in spans] + [b for _, b in spans], "<i4").tobytes()
+        assert got[d] == hashlib.sha256(packed).hexdigest()
+
+
 def test_bpe_edges(edges, empty):
     got = op6_bpe.encode(edges, offsets=True)
     back = {(r.doc_id, r.text) for r in op6_bpe.decode(got).collect()}
