@@ -11,7 +11,8 @@ If cells remain, the pair is sketched again, larger and with other hashes.
 
 ``fingerprint`` is the sketch of the whole set with seed 0, its level fitting the
 set's size, as text: the level, then the cells in use (``packed``). It peels
-alone, so it is all that a comparison needs: ``likeness`` reads nothing else.
+alone (rare collisions apart), so it is all that a comparison needs: ``likeness``
+reads nothing else.
 ``near_edited`` and ``near_next`` are shared / all paragraphs, from the two
 sketches subtracted at the larger one's level and peeled; a pair that does not
 peel (rare) is sketched again, larger and with other hashes.
@@ -20,8 +21,7 @@ Order: documents by descending doc_id (null last), equal ids by a hash of the
 text, then by text; the last one's next is the first. Texts are shuffled once,
 by ranges of that order (bounds from approximate percentiles; an id that fills
 several ranges is dealt to them by the hash); each range also gets the first
-document of the one before it in the order's sense. Peeling runs inside the same
-partitions, a grouped sum per subtable; a range's counts are an array by place.
+document of the range that follows it. Peeling runs inside the same partitions, a grouped sum per subtable; a range's counts are an array by place.
 
 Edge cases: null text is empty; an empty text has no paragraphs, and two of
 them are alike (1.0); a single document is its own next; repeated rows are
