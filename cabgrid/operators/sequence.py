@@ -37,6 +37,8 @@ BUCKET_SECONDS = 3_600
 WIDE = "_wide"
 # Rows of a key in a bucket from which it is cut into slices.
 MAX_ROWS = 1_000_000
+# Widths of slices of fewer rows are too many to broadcast.
+BROADCAST_ROWS = 1_000
 
 
 def start_of(micros: Column, width: Column | int) -> Column:
@@ -49,7 +51,7 @@ def in_buckets(df: DataFrame, key: list[str], micros: Column, bucket_seconds: in
     """``df`` with its bucket, named by the second it starts at."""
     if widths is None:
         return df.withColumn(BUCKET, start_of(micros, bucket_seconds))
-    near = df.withColumn(WIDE, start_of(micros, bucket_seconds)).join(F.broadcast(widths), [*key, WIDE], "left")
+    near = df.withColumn(WIDE, start_of(micros, bucket_seconds)).join(widths, [*key, WIDE], "left")
     return near.select(*df.columns, start_of(micros, F.coalesce("_width", F.lit(bucket_seconds))).alias(BUCKET))
 
 
@@ -87,17 +89,30 @@ def dense_widths(at: DataFrame, key: list[str], bucket_seconds: int = BUCKET_SEC
     rows a bucket). Both tables have at most (moments / ``max_rows``) rows, the
     size bound of their broadcasts: 5e11 rows, about 100 TB of trips, give at
     most 5e5 rows of some 50 bytes at MAX_ROWS.
+
+    With ``max_rows`` below BROADCAST_ROWS that bound grows with the input, so
+    nothing is broadcast by hand: one scan counts every bucket by second, and
+    rows meet their widths in a shuffled join (adaptive execution broadcasts
+    what turns out small, and splits an hour that is skewed).
     """
     wide = at.withColumn(WIDE, start_of(F.col("_t"), bucket_seconds))
-    dense = wide.groupBy(*key, WIDE).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*key, WIDE)
-    seconds = (wide.join(F.broadcast(dense), [*key, WIDE]).groupBy(*key, WIDE, F.floor(F.col("_t") / 1_000_000).alias("_second"))
-               .agg(F.count(F.lit(1)).alias("_n")))
+    second = F.floor(F.col("_t") / 1_000_000).alias("_second")
+    few = max_rows < BROADCAST_ROWS
+    if few:
+        counted = wide.groupBy(*key, WIDE, second).agg(F.count(F.lit(1)).alias("_n"))
+        in_all = F.sum("_n").over(Window.partitionBy(*key, WIDE))
+        seconds = counted.withColumn("_all", in_all).filter(F.col("_all") > max_rows)
+    else:
+        dense = wide.groupBy(*key, WIDE).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*key, WIDE)
+        seconds = wide.join(F.broadcast(dense), [*key, WIDE]).groupBy(*key, WIDE, second).agg(F.count(F.lit(1)).alias("_n"))
     tries = F.explode(F.array(*[F.lit(w) for w in slice_widths(bucket_seconds)]))
     sizes = (seconds.select(*key, WIDE, "_second", "_n", tries.alias("_width"))
              .groupBy(*key, WIDE, "_width", F.floor((F.col("_second") - F.col(WIDE)) / F.col("_width")).alias("_slice"))
              .agg(F.sum("_n").alias("_n")).groupBy(*key, WIDE, "_width").agg(F.max("_n").alias("_most")))
-    return sizes.groupBy(*key, WIDE).agg(
+    widths = sizes.groupBy(*key, WIDE).agg(
         F.coalesce(F.max(F.when(F.col("_most") <= max_rows, F.col("_width"))), F.lit(1)).alias("_width"))
+    # One shuffle of the widths, which all joins with them read.
+    return widths.repartition(*key, WIDE) if few else F.broadcast(widths)
 
 
 def previous_in_order(df: DataFrame, key: list[str], order: list[str], cols: list[str],

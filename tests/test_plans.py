@@ -2,6 +2,7 @@
 projections prune columns, aggregates combine before the shuffle, top-k
 stays a bounded heap."""
 
+import re
 import uuid
 
 import pytest
@@ -95,6 +96,33 @@ def test_sliced_queries_shuffle_rows_once(spark, stored):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
 
 
+def test_widths_of_few_rows_are_not_broadcast_by_hand(spark, stored):
+    """Slices of two rides: the widths grow with the rides, so no size bounds
+    a broadcast of them."""
+    from cabgrid.operators import congestion, drivers
+    from cabgrid.operators.grid import grid_cells
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    trips = trip_valid(stored)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for df in (drivers.previous_ride(grid_cells(trips, 500), max_rows=2), congestion.route_rising_runs(routed_trips(trips), max_rows=2),
+                   congestion.congestion_alerts(routed_trips(trips), max_rows=2)):
+            assert "BroadcastExchange" not in plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def method_sizes(df):
+    """Bytes of the largest generated method of each stage; the JVM compiles none above 8,000."""
+    text = df.sparkSession.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+
+
+def test_trip_derivation_is_compiled(spark):
+    sizes = method_sizes(routed_trips(trip_valid(load_trips(spark, SF_SMALL))))
+    assert sizes and max(sizes) < 8000
+
+
 def test_building_a_query_starts_no_job(spark, monkeypatch):
     """No action before the caller's own (the pointer-doubling rounds of the
     reset mean, the streams and the training-data operators excepted)."""
