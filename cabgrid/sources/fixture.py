@@ -76,3 +76,29 @@ TRIP_COLUMNS = [
 def trip_columns(text: str) -> list[tuple[str, str]]:
     """(expression, name) pairs; ``text`` is the engine's text type."""
     return [(e.replace("{text}", text), n) for e, n in TRIP_COLUMNS]
+
+
+#: The parts that several columns share, in steps that each use those before.
+STEPS = [
+    [(SECONDS, "_seconds"), (f"({DRIVER})", "_driver"), (_hour("ts"), "_dropoff_hour")],
+    [(PICKUP, "_pickup")],
+    [(_hour(PICKUP), "_pickup_hour")],
+    [(PICKUP_X, "_px"), (PICKUP_Y, "_py"), (DROPOFF_X, "_dx"), (DROPOFF_Y, "_dy")],
+]
+
+
+def trip_steps(text: str) -> tuple[list[list[tuple[str, str]]], list[tuple[str, str]]]:
+    """(steps, columns): ``trip_columns`` with each shared part as a column of
+    its own, so that an engine evaluates it once a row."""
+    named: list[tuple[str, str]] = []
+
+    def short(expression: str) -> str:
+        for part, name in reversed(named):
+            expression = expression.replace(part, name)
+        return expression
+
+    steps = []
+    for step in STEPS:
+        steps.append([(short(part), name) for part, name in step])
+        named += [(short(part), name) for part, name in step if short(part) != part] + step
+    return steps, [(short(e), n) for e, n in trip_columns(text)]

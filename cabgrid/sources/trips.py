@@ -7,11 +7,13 @@ grows linearly with the table.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import TRIP_JSON_FIELDS, TRIP_LINE_FIELDS
-from .fixture import trip_columns
+from .fixture import trip_steps
 
 MALFORMED = "garbage"
 
@@ -25,9 +27,15 @@ def trips_from_events(events: DataFrame) -> DataFrame:
 
     The columns come out of a generator, so the optimizer sees plain columns
     and not their derivations (constraint propagation over those grows very
-    fast with the depth of a plan)."""
-    fields = ", ".join(f"{e} AS {n}" for e, n in trip_columns("STRING"))
-    return events.selectExpr(f"inline(array(struct({fields})))")
+    fast with the depth of a plan). Parts that several columns share are
+    columns before it: with each repeated, the generated method grows beyond
+    what the JVM compiles (8,000 bytes) and runs interpreted."""
+    steps, columns = trip_steps("STRING")
+    rows = events.select("event_id", "ts", "user_id")
+    for step in steps:
+        rows = rows.selectExpr("*", *[f"{e} AS {n}" for e, n in step])
+    fields = ", ".join(f"{e} AS {n}" for e, n in columns)
+    return rows.selectExpr(f"inline(array(struct({fields})))")
 
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,13 +56,9 @@ def to_trip_lines(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame
 
 def fixed_text(c: Column, decimals: int) -> Column:
     """Decimal text of a double with a fixed number of decimals, built from
-    integers so that every engine writes the same characters."""
-    scale = 10 ** decimals
-    units = F.round(c * F.lit(float(scale))).cast("long")
-    mag = F.abs(units)
-    sign = F.when(units < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, (mag / F.lit(scale)).cast("long").cast("string"), F.lit("."),
-                    F.lpad((mag % F.lit(scale)).cast("string"), decimals, "0"))
+    an integer so that every engine writes the same characters."""
+    units = F.round(c * F.lit(float(10 ** decimals))).cast("long")
+    return (units.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-decimals))).cast(f"decimal({19 + decimals},{decimals})").cast("string")
 
 
 def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
@@ -66,13 +70,15 @@ def to_trip_json(trips: DataFrame, keep_id: bool = False, keep=()) -> DataFrame:
     AM/PM when ``id % 41 = 0``, the pickup time for an unknown dropoff time.
     """
     tid = F.col("trip_id")
-    dollar = F.when(tid % 7 == 0, F.lit("$")).otherwise(F.lit(""))
+    # Columns of their own: derived once a row, not once a field.
+    trips = trips.withColumns({"_dollar": F.when(tid % 7 == 0, F.lit("$")).otherwise(F.lit("")), "_am_pm": tid % 41 == 0})
+    dollar, am_pm = F.col("_dollar"), F.col("_am_pm")
 
     def cash(name: str) -> Column:
         return F.concat(dollar, fixed_text(F.col(name), 2))
 
     def when(time: Column) -> Column:
-        return F.when(tid % 41 == 0, F.date_format(time, "M/d/yyyy h:mm:ss a")).otherwise(
+        return F.when(am_pm, F.date_format(time, "M/d/yyyy h:mm:ss a")).otherwise(
             F.date_format(time, "yyyy-MM-dd HH:mm:ss"))
 
     fields = {
