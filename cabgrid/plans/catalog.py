@@ -209,13 +209,14 @@ def _feed(spark, d, form: str = "csv", time_col: str = "dropoff_datetime", files
     trips = load_trips(spark, d)
     delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(F.xxhash64("trip_id"), F.lit(late_seconds + 1)).cast("decimal(18,6)"))
     arrival = (F.coalesce(time_col, "pickup_datetime") + delay).alias("arrival")
-    wire = to_trip_lines if form == "csv" else to_trip_json
-    rows = wire(trips, keep_id=True, keep=("pickup_datetime", "dropoff_datetime")).select("trip_id", "value", arrival)
     if form == "csv":
+        rows = to_trip_lines(trips, keep_id=True, keep=("pickup_datetime", "dropoff_datetime")).select("trip_id", "value", arrival)
         last = spark.range(1).select(F.lit(-1).cast("long").alias("trip_id"), F.lit(closing_line()).alias("value"),
                                      F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'").alias("arrival"))
-        rows = rows.unionByName(last)
-    glob = stage_time_slices(rows, "arrival", files)
+        glob = stage_time_slices(rows.unionByName(last), "arrival", files)
+    else:
+        glob = stage_time_slices(trips.withColumn("arrival", arrival), "arrival", files,
+                                 form=lambda rows: to_trip_json(rows, keep_id=True, keep=("arrival",)))
     read = read_trip_stream if form == "csv" else read_json_stream
     return read(spark, "parquet", glob, {"maxFilesPerTrigger": str(per_batch)}, FEED_SCHEMA,
                 keep=("trip_id",))

@@ -9,6 +9,7 @@ not needed for the file-stream paths used in tests.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def closing_line(when: str = "2100-01-01 00:00:00") -> str:
 
 
 def stage_time_slices(df: DataFrame, time_col: str, files: int = 32, root: str | None = None,
-                      fmt: str = "parquet") -> str:
+                      fmt: str = "parquet", form: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write ``df`` as files that each hold one contiguous range of
     ``time_col``, dated in time order, into a fresh folder under the shared
     checkpoint folder.
@@ -84,12 +85,15 @@ def stage_time_slices(df: DataFrame, time_col: str, files: int = 32, root: str |
     and data arrives in time order, like a live feed replayed. One write job
     (``repartitionByRange`` on the time: equal times share a file) into
     ``files`` files. Each file is then stamped with its position (a metadata
-    call per file). A replay tool for tests and registered checks:
+    call per file). ``form`` makes the rows to write of the sorted ones: what it
+    derives is derived once, neither for the sample of the ranges nor shuffled.
+    A replay tool for tests and registered checks:
     a production feed comes from Kafka. Returns the glob to read.
     """
     spark = df.sparkSession
     folder = root or shared_path(spark, f"stage-{uuid.uuid4().hex}")
-    (df.repartitionByRange(files, F.col(time_col)).sortWithinPartitions(time_col)
+    rows = df.repartitionByRange(files, F.col(time_col)).sortWithinPartitions(time_col)
+    ((form(rows) if form else rows)
      .write.mode("errorifexists").format(fmt).save(folder))
     _stamp_in_order(spark, folder, fmt)
     return f"{folder}/part-*.{fmt}"

@@ -238,3 +238,22 @@ def test_only_new_partitions_are_registered(spark):
     got = sorted((r.vendorid or "", r.TripStartMonth) for r in spark.table(table).collect())
     assert got == sorted([("1", 1), ("2", 1), ("1", 1), ("it's a/b+c %41=\u00e9", 2), ("", 3)] + [("1", m) for m in range(2, 13)])
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_staged_form_is_derived_of_the_sorted_rows(spark):
+    """What ``form`` derives is neither sampled for the ranges nor shuffled:
+    each row is derived once, and files hold contiguous ranges of the time."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        calls.add(1)
+        return i
+
+    udf = F.udf(seen, "long")
+    rows = spark.range(1000).select(F.col("id").alias("trip_id"), F.pmod(F.hash("id"), F.lit(500)).alias("at"))
+    glob = stage_time_slices(rows, "at", 4, form=lambda r: r.select("trip_id", "at", udf("trip_id").alias("value")))
+    got = spark.read.parquet(glob)
+    assert calls.value == 1000
+    assert got.filter("value = trip_id").count() == 1000
+    ends = sorted((r.a, r.b) for r in got.groupBy(F.input_file_name()).agg(F.min("at").alias("a"), F.max("at").alias("b")).collect())
+    assert len(ends) == 4 and all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
