@@ -51,6 +51,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 LEAST_EQUAL_BITS = 120
 HUBS = 8
 BLOCK, COLUMNS = 512, 8192
+#: Bits of the map of ids that texts are let through by before a join (a broadcast of 262,144 rows at most).
+FILTER_BITS = 1 << 24
 #: Pairs of a hub, or rows of a class, beyond which they are dealt over more tasks (classes: over SALTS).
 SALTED, SALTS = 1024, 64
 U = np.uint64
@@ -205,13 +207,13 @@ def _near_duplicates(docs: DataFrame, words: int, scratch: Scratch) -> DataFrame
 
     # Of each class the row(s) of its smallest id: they alone are compared.
     reps = known.join(of.filter("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
-    banded = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
+    # Dealt by bucket once: the counts and the rows they are joined to read the same shuffle.
+    banded = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).repartition("bucket")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("hub")).filter("size > 1")
     members = scratch.keep(
         banded.join(shared, "bucket").select("bucket", "rep", "hub")
         .join(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "s1", "s2", "s3"), "rep"))
-    texts = scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                         .join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    texts = scratch.keep(texts_of(docs, members, scratch))
 
     m, h = members.alias("m"), members.filter("rep = hub").alias("h")
     pairs = scratch.keep(m.join(h, F.col("m.bucket") == F.col("h.bucket"))
@@ -247,6 +249,24 @@ def _near_duplicates(docs: DataFrame, words: int, scratch: Scratch) -> DataFrame
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def texts_of(docs: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, text of the rows of ``docs`` that are a rep of ``members``.
+
+    A bitmap of FILTER_BITS hashed ids, at most FILTER_BITS / 64 rows however
+    many members there are, lets most other texts out before the exact join
+    shuffles them.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(slot, 6).alias("word"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {FILTER_BITS}) % 64 AS INT))")
+    ids = scratch.keep(members.select(F.col("rep").alias("doc_id")).distinct())
+    bitmap = ids.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    likely = (rows.withColumn("word", word).join(F.broadcast(bitmap), "word")
+              .filter(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text"))
+    # Not a semi join, which the optimizer would move below the bitmap's join; ids are distinct.
+    return likely.join(ids, "doc_id").select("doc_id", "text")
+
+
 def _unsettled(members: DataFrame, found: DataFrame, tested: int) -> DataFrame:
     """``members`` with their component, of the buckets that hold several
     components and more members than ``tested``."""

@@ -463,3 +463,27 @@ def test_pii_letters_of_any_script_apostrophes_and_hyphens(spark):
                                r"Frau [A-Z]'[A-Z][a-z]{2}-[A-Z][a-z]{5}", r"[a-z]@[a-z]{6}\.de"]):
         assert got[i][0] != rows[i] and (i == 3 or re.fullmatch(shape, got[i][0])), got[i]
     assert not {"müller", "josé", "neil", "pierre", "bücher"} & set(re.findall(r"\w+", " ".join(x for x, _ in got.values()).lower()))
+
+
+def test_texts_of_few_members_are_filtered_before_the_shuffle(spark):
+    """Exactly the members' texts, and others leave by a bounded bitmap of
+    hashed ids, below the shuffle of the exact join."""
+    from pyspark.sql import functions as F
+
+    from cabgrid.llm.common import Scratch
+    from cabgrid.llm.op5_near_dedup import texts_of
+    docs = spark.range(-500, 1500).select(F.when(F.col("id") != 7, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    docs = docs.unionByName(docs.filter("doc_id = 64"))
+    members = spark.createDataFrame([(-3,), (-3,), (7,), (64,), (1499,), (9999,)], "rep long")
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        with Scratch(spark, "texts") as scratch:
+            found = texts_of(docs, members, scratch)
+            assert sorted(tuple(r) for r in found.collect()) == [(-3, "t-3"), (64, "t64"), (64, "t64"), (1499, "t1499")]
+            plan = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+            lines = plan.split("Initial Plan")[-1].splitlines()
+            at = [next(i for i, x in enumerate(lines) if name in x) for name in ("SortMergeJoin", "Exchange hash", "BroadcastHashJoin")]
+            assert at == sorted(at)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
